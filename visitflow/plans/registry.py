@@ -632,3 +632,6 @@ FROM r1 WHERE r1.nid IN (SELECT nid FROM f WHERE kind = 'visita' AND value = {q(
 
 report("outbox_cancellation_notice", O.cancellation_notices, P_ORD, _r20_sql(P_ORD),
        ("status_log", "visit_log", "property_master", "crm_deal"))
+
+
+from . import registry_ops  # noqa: E402,F401  (registers the operator-level keys)

@@ -139,9 +139,7 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
         "nid", "status", "fecha_inicio",
         F.when(mod.contains("T"), F.try_to_date(iso_date_part(mod), "yyyy-MM-dd")).alias("mod_date"),
         F.when(mod.contains("T"), iso_date_part(mod)).otherwise(_or_blank(mod)).alias("ultima_actualizacion"))
-    status = last.join(newest, "nid", "left")
-    real = status.filter(rules.cancelled_for_real("status", "last_report", "mod_date",
-                                                  p.cancel_statuses_report, p.done_status))
+    real = cancelled_keys(last, newest, p)
 
     photos = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional, as_string=True)
     kept = joins.semi(rows, real.select("nid"), "nid", "nid")
@@ -176,6 +174,14 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
     )
 
 
+def cancelled_keys(last: DataFrame, newest: DataFrame, p: Params) -> DataFrame:
+    """Keys whose cancellation is real (B7, J16): latest visit status joined
+    with the newest report date per key."""
+    status = last.join(newest, "nid", "left")
+    return status.filter(rules.cancelled_for_real("status", "last_report", "mod_date",
+                                                  p.cancel_statuses_report, p.done_status))
+
+
 def _master_by_key(t: Tables, p: Params) -> DataFrame:
     """Master + CRM per string key, one row per key (a dict keyed by nid)."""
     cd = t.property_master.select(F.col("nid").cast("string").alias("nid"), *MASTER_COLS)

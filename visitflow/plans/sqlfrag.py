@@ -21,7 +21,7 @@ def clean(e: str) -> str:
 
 def title(e: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all(lower({e}), '(\\pL+|\\PL+)'), "
-            f"lambda w: upper(w[1]) || w[2:]), '')")
+            f"lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), '')")
 
 
 def title_or_blank(e: str) -> str:

@@ -103,26 +103,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     part, pages, documents = r("part"), r("pages"), r("documents")
     t = Tables()
 
-    start = F.col("o_orderdate") + F.make_dt_interval(secs=F.floor("o_totalprice").cast("int"))
-    t["visit_log"] = orders.select(
-        (F.col("o_custkey") + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_orderpriority").alias("visit_type"),
-        F.col("o_orderpriority").alias("visit_category"),
-        _iso(start).alias("fecha_inicio"),
-        _iso(start + F.make_dt_interval(hours=F.lit(1))).alias("fecha_fin"),
-        _iso(F.col("o_orderdate")).alias("modified_date"),
-        F.col("o_orderpriority").alias("ciudad_muni"),
-        F.col("o_orderstatus").alias("zona"),
-        F.concat(F.lit("Calle "), F.col("o_orderkey").cast("string")).alias("direccion"),
-        F.lit(None).cast("string").alias("torre_apto"),
-        F.lit(None).cast("string").alias("conjunto"),
-        F.concat(F.lit("Scheduler "), F.substring("o_orderpriority", 1, 1)).alias("nombre_agendador"),
-        F.concat(F.lit("scheduler"), F.substring("o_orderpriority", 1, 1), F.lit("@example.com")).alias("email_agendador"),
-        F.lit(None).cast("string").alias("nombre_visitador"),
-        F.lit(None).cast("string").alias("email_visitador"),
-        F.col("o_orderkey").alias("record_id"),
-    )
+    t["visit_log"] = bind_visit_log(orders)
 
     bal = F.col("c_acctbal")
     t["property_master"] = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
@@ -193,21 +174,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
         _key("p_partkey").alias("nid_1"),
         F.when(F.col("p_size") > 40, F.lit("")).otherwise(F.col("p_name")).alias("nombre_de_edificio_conjunto"))
 
-    et = F.col("event_type")
-    t["status_log"] = events.select(
-        (F.col("user_id") + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
-        F.when(et.isin("purchase", "signup"), F.lit("perm"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("fecha"),
-        F.when(et == "view", F.when(v < 170, F.lit("confirmada")).otherwise(F.lit("cancelada")))
-        .when(et == "click", F.lit("wa:1"))
-        .when(et == "error", F.when(v < 30, F.lit("cc:desistido")).otherwise(F.lit("cc:llamado")))
-        .when(et == "purchase", F.when(v < 20, F.lit("ps:")).otherwise(F.lit("ps:listo")))
-        .when(et == "signup", F.when(v < 50, F.lit("pc:")).when(v < 100, F.lit("jz:interesado"))
-              .otherwise(F.lit("pc:nota")))
-        .alias("estado"),
-        F.lit(None).cast("string").alias("usuario"),
-        F.col("ts").alias("timestamp"),
-        F.col("event_id").alias("seq"))
+    t["status_log"] = bind_status_log(events)
 
     t["report_rows"] = driver_report_rows(pages)
 
@@ -248,6 +215,50 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return t
 
 
+def bind_visit_log(orders: DataFrame) -> DataFrame:
+    """``visit_log`` role from ``orders`` (batch or streaming)."""
+    start = F.col("o_orderdate") + F.make_dt_interval(secs=F.floor("o_totalprice").cast("int"))
+    return orders.select(
+        (F.col("o_custkey") + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("visit_type"),
+        F.col("o_orderpriority").alias("visit_category"),
+        _iso(start).alias("fecha_inicio"),
+        _iso(start + F.make_dt_interval(hours=F.lit(1))).alias("fecha_fin"),
+        _iso(F.col("o_orderdate")).alias("modified_date"),
+        F.col("o_orderpriority").alias("ciudad_muni"),
+        F.col("o_orderstatus").alias("zona"),
+        F.concat(F.lit("Calle "), F.col("o_orderkey").cast("string")).alias("direccion"),
+        F.lit(None).cast("string").alias("torre_apto"),
+        F.lit(None).cast("string").alias("conjunto"),
+        F.concat(F.lit("Scheduler "), F.substring("o_orderpriority", 1, 1)).alias("nombre_agendador"),
+        F.concat(F.lit("scheduler"), F.substring("o_orderpriority", 1, 1), F.lit("@example.com")).alias("email_agendador"),
+        F.lit(None).cast("string").alias("nombre_visitador"),
+        F.lit(None).cast("string").alias("email_visitador"),
+        F.col("o_orderkey").alias("record_id"),
+    )
+
+
+def bind_status_log(events: DataFrame) -> DataFrame:
+    """``status_log`` role from ``events`` (batch or streaming)."""
+    v = F.col("value")
+    et = F.col("event_type")
+    return events.select(
+        (F.col("user_id") + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
+        F.when(et.isin("purchase", "signup"), F.lit("perm"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("fecha"),
+        F.when(et == "view", F.when(v < 170, F.lit("confirmada")).otherwise(F.lit("cancelada")))
+        .when(et == "click", F.lit("wa:1"))
+        .when(et == "error", F.when(v < 30, F.lit("cc:desistido")).otherwise(F.lit("cc:llamado")))
+        .when(et == "purchase", F.when(v < 20, F.lit("ps:")).otherwise(F.lit("ps:listo")))
+        .when(et == "signup", F.when(v < 50, F.lit("pc:")).when(v < 100, F.lit("jz:interesado"))
+              .otherwise(F.lit("pc:nota")))
+        .alias("estado"),
+        F.lit(None).cast("string").alias("usuario"),
+        F.col("ts").alias("timestamp"),
+        F.col("event_id").alias("seq"))
+
+
 def driver_report_rows(pages: DataFrame) -> DataFrame:
     """Visit-report rows out of the driver's web pages: each page is one
     report, its first list holds the rows (one link per row).  The page id

@@ -574,3 +574,40 @@ op("first_final_phase",
    f"""SELECT CAST(nid AS VARCHAR) AS nid, CAST(min(CAST(first_time_in_phase AS DATE)) AS VARCHAR) AS fecha_levant
        FROM process_history WHERE pipe_id IN {in_list(P_REP.patrimony_pipes)} AND phase_name IN {in_list(P_REP.final_phases)}
        AND nid IS NOT NULL GROUP BY 1""", ("process_history",))
+
+# ------------------------------------------------------------ 2.10 streams
+from ..streaming import streams as S  # noqa: E402
+from .bindings import bind_status_log, bind_visit_log, driver_report_rows  # noqa: E402
+from .registry import P_EV, _fold_sql  # noqa: E402
+
+
+def _st1(spark, sf):
+    log = bind_status_log(S.stream_source(spark, f"{sf}/events.parquet"))
+    return spark.read.parquet(S.status_fold_stream(spark, log, P_EV.status_day_str))
+
+
+def _st2(spark, sf):
+    rows = driver_report_rows(S.stream_source(spark, f"{sf}/pages.parquet"))
+    return spark.read.parquet(S.dedup_reports_stream(spark, rows))
+
+
+def _st3(spark, sf):
+    visits = bind_visit_log(S.stream_source(spark, f"{sf}/orders.parquet", max_files=1))
+    return spark.read.parquet(S.latest_upsert_stream(spark, visits)).select("nid", "status", "modified_date", "record_id")
+
+
+def _st4(spark, sf):
+    visits = bind_visit_log(S.stream_source(spark, f"{sf}/orders.parquet"))
+    return spark.read.parquet(S.daily_counts_stream(spark, visits, tables(spark, sf).property_master,
+                                                    P_MTD.cancel_statuses_digest))
+
+
+register("stream_status_fold", _fold_sql(P_EV.status_day_str), ("status_log",))(_st1)
+register("stream_dedup_reports", "SELECT DISTINCT nid, fecha_reporte FROM report_rows", ("report_rows",))(_st2)
+register("stream_latest_upsert", """SELECT nid, status, modified_date, record_id FROM (SELECT *, row_number() OVER
+  (PARTITION BY nid ORDER BY modified_date DESC, record_id DESC) AS _rn FROM visit_log) WHERE _rn = 1""", VL)(_st3)
+register("stream_daily_counts", f"""
+SELECT strftime(CAST(substring(v.modified_date, 1, 10) AS DATE), '%Y-%m-%d') AS dia,
+  {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS agente, count(*) AS canceladas
+FROM visit_log v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
+WHERE v.status IN {in_list(P_MTD.cancel_statuses_digest)} GROUP BY 1, 2""", ("visit_log", "property_master"))(_st4)

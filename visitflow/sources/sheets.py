@@ -126,13 +126,16 @@ def sheet_published(tabs: Sequence[tuple[DataFrame, str]]) -> DataFrame:
 def read_status_log_positional(spark: SparkSession, path: str) -> DataFrame:
     """Positional status read (S7): the header line is skipped, columns are
     taken by position, rows with fewer than three cells are dropped and an
-    empty third cell is kept as ''.  ``seq`` is the file order."""
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", "\u0000").option("emptyValue", "").csv(path))
-    first = raw.columns[:3]
-    if len(first) < 3:
-        return spark.createDataFrame([], "nid string, fecha string, estado string, seq bigint")
-    df = raw.filter(F.col(f"`{first[2]}`").isNotNull())
-    return df.select(F.col(f"`{first[0]}`").alias("nid"), F.col(f"`{first[1]}`").alias("fecha"),
-                     F.col(f"`{first[2]}`").alias("estado"),
-                     F.monotonically_increasing_id().alias("seq"))
+    empty third cell is kept as ''.  ``seq`` is the file order.
+
+    The CSV parser returns an unquoted empty cell as null, like a missing
+    one; a row whose cell count differs from the three-column schema is
+    flagged in ``_corrupt``, which tells a short row from an empty cell.
+    """
+    schema = "nid string, fecha string, estado string, _corrupt string"
+    raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
+    cells = F.size(F.split(F.col("_corrupt"), ","))
+    keep = F.col("_corrupt").isNull() | (cells >= 3)
+    return raw.filter(keep).select("nid", "fecha", F.coalesce(F.col("estado"), F.lit("")).alias("estado"),
+                                   F.monotonically_increasing_id().alias("seq"))

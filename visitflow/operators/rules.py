@@ -32,6 +32,23 @@ def photo_keyset(cards: DataFrame, images: DataFrame, source_id: int,
     return keys.select(k.alias("nid")).filter(F.col("nid").isNotNull()).distinct()
 
 
+def photo_flags(cards: DataFrame, images: DataFrame, sources: dict[str, int],
+                exclude_deleted: bool = False) -> DataFrame:
+    """Several photo-source key sets in one pass over the images (B2).
+
+    ``sources`` maps a flag name to a source id; the result has one row per
+    ``nid`` holding any of them and a boolean column per flag.  The image
+    table (the largest input) is scanned once instead of once per source.
+    """
+    ids = list(sources.values())
+    img = images.filter(F.col("source_image_id").isin(ids))
+    if exclude_deleted:
+        img = img.filter(F.col("deleted_at").isNull())
+    img = img.select(F.col("property_card_id").alias("_cid"), F.col("source_image_id").alias("_src")).distinct()
+    j = cards.select("id", "nid").filter(F.col("nid").isNotNull()).join(img, F.col("id") == F.col("_cid"), "inner")
+    return j.groupBy("nid").agg(*[F.bool_or(F.col("_src") == F.lit(v)).alias(k) for k, v in sources.items()])
+
+
 def patrimony_v1(state, encumbrance, ok: Sequence[str], deny: Sequence[str]) -> Column:
     """State in the allow-list, or no state and an encumbrance not denied."""
     s, g = col_(state), col_(encumbrance)

@@ -317,31 +317,55 @@ def _newest_report_text(rows: DataFrame, p: Params) -> DataFrame:
         F.max_by(F.when(city_ok, F.col("ciudad_correo")), F.when(city_ok, seq)).alias("ciudad_correo"))
 
 
+def _card_choice(t: Tables, p: Params) -> DataFrame:
+    """Per key with listing cards: the first card/state row (smallest card
+    id, then state, nulls first) that passes the listing rules, once for a
+    key with live professional photos (live rows excluded) and once without.
+
+    Cards are reduced to one row per key *before* they meet the property
+    master: the card side can hold a hot key (one property with a third of
+    all cards), and the partial ``min(struct)`` aggregate shrinks it on every
+    map task instead of sending it whole to one join task.
+    """
+    pc = t.listing_card.select(F.col("id").alias("pc_id"), F.col("nid").alias("card_nid"),
+                               F.col("active").alias("pc_active"))
+    ps = t.listing_state.select(F.col("property_card_id").alias("ps_card"),
+                                F.col("current_state_id").alias("ps_state"))
+    cards = pc.filter(F.col("card_nid").isNotNull()).join(ps, F.col("pc_id") == F.col("ps_card"), "left")
+    row = F.struct(F.col("pc_id"), F.col("ps_state"))
+    not_dead = rules.listing_not_dead("pc_active", "ps_state", p.dead_states)
+    live = rules.listing_live_coalesced("pc_active", "ps_state", p.live_state)
+    return cards.groupBy("card_nid").agg(F.min(F.when(not_dead, row)).alias("best_any"),
+                                         F.min(F.when(not_dead & ~live, row)).alias("best_not_live"))
+
+
 def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
                published: DataFrame | None = None) -> DataFrame:
     """Visited (report says done) properties still to publish."""
     rows = report_window(t.report_rows, p, p.completed_lookback_days).filter(F.col("completado"))
-    keys = rows.select("nid").filter(F.col("nid") != "").distinct()
-    fc = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_client, exclude_deleted=True)
-    f360 = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional, exclude_deleted=True)
+    # one row per reported key; joining it (inner) both restricts to reported keys and
+    # attaches the report columns, so the report documents are parsed once
+    rep = _newest_report_text(rows.filter(F.col("nid") != ""), p).withColumnRenamed("nid", "rep_nid")
+    photos = rules.photo_flags(t.listing_card, t.listing_image,
+                               {"p_fc": p.photo_client, "p_360": p.photo_professional}, exclude_deleted=True)
     epa = rules.latest_flag(t.clearance_tower).withColumnRenamed("nid", "epa_nid")
-    pc = t.listing_card.select(F.col("id").alias("pc_id"), F.col("nid").alias("pc_nid"), F.col("active").alias("pc_active"))
-    ps = t.listing_state.select(F.col("property_card_id").alias("ps_card"), F.col("current_state_id").alias("ps_state"))
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"))
 
-    base = joins.semi(_base_active(t, p), keys, "nid_s", "nid")
+    base = _base_active(t, p).join(rep, F.col("nid_s") == F.col("rep_nid"), "inner")
     base = base.filter(rules.active_pipeline(None, "cd_fecha_desistio_inmobiliaria",
                                              "h_fecha_desistio_inmobiliaria", "cd_v_fecha_venta",
                                              "h_dealstage", p.lost_stage))
     base = base.join(epa, F.col("nid_s") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,
                                           p.flag_in_process, p.patrimony_contract))
-    base = _flag(base, f360, "nid", "nid", "has_360")
-    base = _flag(base, fc, "nid", "nid", "has_fc")
-    base = base.join(pc, F.col("nid") == F.col("pc_nid"), "left")
-    base = base.join(ps, F.col("pc_id") == F.col("ps_card"), "left")
-    base = base.filter(rules.listing_not_dead("pc_active", "ps_state", p.dead_states))
-    base = base.filter(~rules.listing_live_coalesced("pc_active", "ps_state", p.live_state) | ~F.col("has_360"))
+    base = base.join(photos.withColumnRenamed("nid", "ph_nid"), F.col("nid") == F.col("ph_nid"), "left")
+    base = base.withColumn("has_fc", F.coalesce("p_fc", F.lit(False))) \
+               .withColumn("has_360", F.coalesce("p_360", F.lit(False)))
+    # A key with cards keeps its best passing card; a key without cards stays with no card;
+    # a key whose cards all fail the listing rules is dropped (the row filter of the join).
+    base = base.join(_card_choice(t, p), F.col("nid") == F.col("card_nid"), "left")
+    base = base.withColumn("best", F.when(F.col("has_360"), F.col("best_not_live")).otherwise(F.col("best_any")))
+    base = base.filter(F.col("card_nid").isNull() | F.col("best").isNotNull())
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
     if published is None:
         published = sheets.sheet_published(t.followup_tabs)
@@ -351,16 +375,13 @@ def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
         _or_blank(owner()).alias("comercial"),
         F.col("cd_ciudad").alias("_city"),
         _or_blank(team()).alias("equipo"),
-        F.when(F.col("pc_id").isNull(), F.lit(WITHOUT_CMS)).otherwise(F.lit(WITH_CMS)).alias("ficha_cms"),
+        F.when(F.col("best.pc_id").isNull(), F.lit(WITHOUT_CMS)).otherwise(F.lit(WITH_CMS)).alias("ficha_cms"),
         _or_blank("d_estado").alias("patrimonio"),
         F.when(F.col("has_fc"), F.lit(CLIENT_PHOTOS_LABEL)).otherwise(F.lit(UNPUBLISHED_LABEL)).alias("tipo_fotos"),
-        F.col("pc_id"), F.col("ps_state"))
-    out = first_per_key(out, ["nid"], [F.col("pc_id").asc_nulls_first(), F.col("ps_state").asc_nulls_first(),
-                                       "comercial", "equipo", "patrimonio"])
+        "fecha_recorrido", "ciudad_correo")
+    out = first_per_key(out, ["nid"], ["comercial", "equipo", "patrimonio", "_city"])
     if links is None:
         links = sheets.lookup_links(t.link_tabs)
-    rep = _newest_report_text(rows, p)
-    out = out.join(rep, "nid", "left")
     out = joins.lookup_default(out, links, "nid", "nid", "link", "link_publicacion")
     pat, ficha = F.col("patrimonio"), F.col("ficha_cms")
     estado = F.concat(F.when(pat != "", F.concat(pat, F.lit(", "))).otherwise(F.lit("")),
@@ -389,15 +410,15 @@ def subject_keys(t: Tables, p: Params) -> DataFrame:
 def to_publish_client_photos(t: Tables, p: Params) -> DataFrame:
     """Properties from client-photo mails that still need publishing.
     Rows are not deduplicated, as in the original."""
-    fc = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_client)
-    f360 = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional)
+    photos = rules.photo_flags(t.listing_card, t.listing_image,
+                               {"p_fc": p.photo_client, "p_360": p.photo_professional})
     epa = rules.latest_flag(t.clearance_tower).withColumnRenamed("nid", "epa_nid")
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"),
                                F.col("date_publication").alias("d_pub"))
     base = joins.semi(_base_active(t, p), subject_keys(t, p), "nid_s", "nid")
     base = base.filter(F.col("cd_fecha_desistio_inmobiliaria").isNull())
-    base = joins.anti(base, f360, "nid", "nid")
-    base = _flag(base, fc, "nid", "nid", "has_fc")
+    base = base.join(photos.withColumnRenamed("nid", "ph_nid"), F.col("nid") == F.col("ph_nid"), "left")
+    base = base.filter(~F.coalesce("p_360", F.lit(False))).withColumn("has_fc", F.coalesce("p_fc", F.lit(False)))
     base = base.filter(F.col("cd_date_publication").isNull() | F.col("has_fc"))
     base = base.join(epa, F.col("nid_s") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,

@@ -611,3 +611,47 @@ SELECT strftime(CAST(substring(v.modified_date, 1, 10) AS DATE), '%Y-%m-%d') AS
   {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS agente, count(*) AS canceladas
 FROM visit_log v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
 WHERE v.status IN {in_list(P_MTD.cancel_statuses_digest)} GROUP BY 1, 2""", ("visit_log", "property_master"))(_st4)
+
+# ------------------------------------------------- 2.1 file sources / sinks
+import uuid  # noqa: E402
+
+from ..session import checkpoint_path  # noqa: E402
+from ..sources.tables import scan_csv_typed  # noqa: E402
+
+
+def _io_dir(spark, name):
+    return checkpoint_path(spark, f"io/{name}/{uuid.uuid4().hex}")
+
+
+def _csv_typed(spark, sf):
+    """The per-agent summary lands as all-string CSV (a CLI export), then
+    is read back with typed, error-tolerant casts."""
+    path = _io_dir(spark, "csv_typed")
+    b = O.backlog_agent(tables(spark, sf), P_MTD)
+    b.select(*[F.col(c).cast("string") for c in b.columns]).write.option("header", True).csv(path)
+    types = {m: "bigint" for m in O.METRICS}
+    return scan_csv_typed(spark, path, types).select(
+        "comercial", *O.METRICS, F.coalesce("equipo", F.lit("")).alias("equipo"))
+
+
+def _sheet_bom(spark, sf):
+    """S3: a sheet tab exported with a byte-order mark in its header."""
+    path = _io_dir(spark, "sheet_bom")
+    tab = tables(spark, sf).link_tabs[0][0]
+    tab.toDF(sheets.BOM + "NID", "Link Publicación").write.option("header", True).csv(path)
+    return sheets.resolve_header(sheets.read_sheet(spark, path), sheets.LINK_ALIASES, ("nid", "link"))
+
+
+def _append(spark, sf):
+    """Status rows appended twice to the log folder and read back."""
+    path = _io_dir(spark, "status_append")
+    log = tables(spark, sf).status_log
+    sinks.status_append(log.filter(F.col("fecha") == "perm"), path)
+    sinks.status_append(log.filter(F.col("fecha") != "perm"), path)
+    return spark.read.parquet(path).select(*sinks.LOG_COLUMNS)
+
+
+register("scan_csv_typed", f"WITH b AS ({_r16_sql(P_MTD)}) SELECT * FROM b", _BACKLOG_ROLES)(_csv_typed)
+register("scan_sheet_bom", "SELECT nid, link FROM link_rows WHERE tab_order = 0", ("link_rows",))(_sheet_bom)
+register("status_append", "SELECT nid, fecha, estado, COALESCE(usuario, '') AS usuario FROM status_log",
+         ("status_log",))(_append)

@@ -25,7 +25,7 @@ REMINDER_SUBJECT = "Tienes {n} visita(s) 360 agendada(s) para manana {day}"
 REMINDER_BODY = ("Hola {name},\n\nTienes {n} visita(s) 360 agendada(s) para manana {day}.\n\n"
                  "Ingresa en el siguiente link y escribeles para confirmar la visita:\n{url}\n\n"
                  "Utiliza los botones de WhatsApp para escribirles y usa los botones "
-                 "de Confirmar y Cancelar para informar a Remo.\n\nSaludos,\n{sign}")
+                 "de Confirmar y Cancelar para informar al coordinador.\n\nSaludos,\n{sign}")
 DIGEST_SUBJECT = "Visita(s) cancelada(s) ayer - Reagendar ({n} nueva(s))"
 DIGEST_HEAD = ("Hola {name},\n\nLas siguientes visitas que tenias agendadas para ayer fueron "
                "canceladas, reagendalas:\n\n")

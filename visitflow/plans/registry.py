@@ -487,7 +487,7 @@ SELECT email, nombre, CAST(cnt AS BIGINT) AS count,
   'Tienes ' || cnt || ' visita(s) 360 agendada(s) para manana {day}' AS subject,
   'Hola ' || nombre || E',\\n\\nTienes ' || cnt || ' visita(s) 360 agendada(s) para manana {day}.' ||
   E'\\n\\nIngresa en el siguiente link y escribeles para confirmar la visita:\\n{p.portal_url}\\n\\n' ||
-  'Utiliza los botones de WhatsApp para escribirles y usa los botones de Confirmar y Cancelar para informar a Remo.' ||
+  'Utiliza los botones de WhatsApp para escribirles y usa los botones de Confirmar y Cancelar para informar al coordinador.' ||
   E'\\n\\nSaludos,\\n{p.signature}' AS body
 FROM per"""
 

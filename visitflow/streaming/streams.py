@@ -127,13 +127,16 @@ def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFram
     out = f"{run}/table"
     v = visits.filter(F.col("status").isin(list(cancel_statuses)))
     v = joins.left_cast(v, master, "nid", "nid", ["c_comercial_captacion"])
-    v = v.withColumn("event_ts", F.to_timestamp(F.substring("modified_date", 1, 19), "yyyy-MM-dd'T'HH:mm:ss"))
+    # ISO text with a zone designator -> an instant, whatever the session time zone;
+    # tumbling windows are aligned to UTC days, and the day label is the UTC date text
+    md = F.col("modified_date")
+    v = v.withColumn("event_ts", F.coalesce(F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")),
+                                            F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))))
     v = v.withColumn("agente", falsy_chain("c_comercial_captacion", "email_agendador"))
     agg = (v.withWatermark("event_ts", "1 day")
            .groupBy(F.window("event_ts", "1 day").alias("w"), "agente")
-           .agg(F.count(F.lit(1)).alias("canceladas")))
-    agg = agg.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("dia"), "agente",
-                     F.col("canceladas").cast("bigint").alias("canceladas"))
+           .agg(F.min(F.substring(md, 1, 10)).alias("dia"), F.count(F.lit(1)).alias("canceladas")))
+    agg = agg.select("dia", "agente", F.col("canceladas").cast("bigint").alias("canceladas"))
     q = (agg.writeStream.outputMode("complete").option("checkpointLocation", f"{run}/_checkpoint")
          .foreachBatch(_overwrite_each_batch(out)).trigger(availableNow=True).start())
     q.awaitTermination()

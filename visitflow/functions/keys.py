@@ -27,3 +27,13 @@ def key_string(c) -> Column:
     """``CAST(x AS STRING)`` for integral keys (F1).  Doubles are refused: a
     double prints as ``5.7E10`` and would never match a string key."""
     return col_(c).cast("string")
+
+
+def canonical_long(c) -> Column:
+    """String key -> bigint when the text is exactly that number's decimal
+    form, else null.  ``canonical_long(s) = n`` holds exactly when
+    ``CAST(n AS STRING) = s``, so a string-keyed side can join a bigint-keyed
+    side on the bigint, and a whole join chain shares one hash partitioning."""
+    s = col_(c)
+    n = s.try_cast("bigint")
+    return F.when(n.cast("string") == s, n)

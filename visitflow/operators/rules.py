@@ -116,32 +116,37 @@ def listing_live_coalesced(active, state, live_state: int) -> Column:
             & (F.coalesce(col_(state), F.lit(0)) == F.lit(live_state)))
 
 
-def active_phase_keys(history: DataFrame, pipes: Sequence[str], closed: Sequence[str]) -> DataFrame:
-    """Keys whose latest phase in ``pipes`` is not closed (B9), as strings."""
+def _key(as_string: bool) -> Column:
+    return F.col("nid").cast("string").alias("nid") if as_string else F.col("nid")
+
+
+def active_phase_keys(history: DataFrame, pipes: Sequence[str], closed: Sequence[str],
+                      as_string: bool = True) -> DataFrame:
+    """Keys whose latest phase in ``pipes`` is not closed."""
     h = history.filter(F.col("pipe_id").isin(list(pipes)))
     last = latest_per_key(h, "nid", "first_time_in_phase", tiebreak="record_id")
-    return (last.filter(~F.col("phase_name").isin(list(closed)))
-            .select(F.col("nid").cast("string").alias("nid")))
+    return last.filter(~F.col("phase_name").isin(list(closed))).select(_key(as_string))
 
 
-def first_final_phase(history: DataFrame, pipes: Sequence[str], finals: Sequence[str]) -> DataFrame:
+def first_final_phase(history: DataFrame, pipes: Sequence[str], finals: Sequence[str],
+                      as_string: bool = True) -> DataFrame:
     """First date each key reached a final phase."""
     return (history.filter(F.col("pipe_id").isin(list(pipes))
                            & F.col("phase_name").isin(list(finals))
                            & F.col("nid").isNotNull())
-            .groupBy(F.col("nid").cast("string").alias("nid"))
+            .groupBy(_key(as_string))
             .agg(F.min(F.to_date("first_time_in_phase")).alias("fecha_levant")))
 
 
-def latest_flag(tower: DataFrame) -> DataFrame:
+def latest_flag(tower: DataFrame, as_string: bool = True) -> DataFrame:
     """Latest patrimony flag per key, not filtered before ranking."""
     last = latest_per_key(tower, "nid", "v_fecha_inicio_fase_actual_patrimonio_de_familia",
                           tiebreak="record_id")
-    return last.select(F.col("nid").cast("string").alias("nid"),
-                       F.col("v_flag_desistidos_patrimonio").alias("flag"))
+    return last.select(_key(as_string), F.col("v_flag_desistidos_patrimonio").alias("flag"))
 
 
-def unfavourable_opinions(tower: DataFrame, as_of, unfavourable: str, months: int) -> DataFrame:
+def unfavourable_opinions(tower: DataFrame, as_of, unfavourable: str, months: int,
+                          as_string: bool = True) -> DataFrame:
     """Latest unfavourable opinion per key within the lookback, filtered
     before ranking (W3)."""
     t = tower.filter((F.lower("v_concepto_del_defensor_de_familia") == F.lit(unfavourable))
@@ -149,7 +154,7 @@ def unfavourable_opinions(tower: DataFrame, as_of, unfavourable: str, months: in
                         >= F.add_months(lit_date(as_of), -months)))
     last = latest_per_key(t, "nid", "v_fecha_concepto_del_defensor_de_familia", tiebreak="record_id")
     return last.select(
-        F.col("nid").cast("string").alias("nid"),
+        _key(as_string),
         F.to_date("v_fecha_concepto_del_defensor_de_familia").alias("fecha_desfavorable"),
         F.col("v_concepto_del_defensor_de_familia").alias("concepto"),
         F.col("v_nombre_cliente_1").alias("nombre_cliente_plano"),

@@ -79,12 +79,11 @@ def _fmt(template: str, **parts) -> Column:
 
 # ------------------------------------------------------------ R15/R16 -----
 def _to_schedule_base(t: Tables, p: Params) -> DataFrame:
-    """Rows counted as "to schedule" (patrimony rule v1), with their keys."""
-    b = R.latest_visits(t, p, by_category=True, real_keys=False).select(
-        F.col("nid").alias("b_nid"), F.col("status").alias("b_status"))
+    """Rows counted as "to schedule" (patrimony rule v1).  Every side input
+    is keyed on the numeric property key, so the master is shuffled once."""
+    b = R.visits_by_numeric_key(R.latest_visits(t, p, by_category=True, real_keys=False),
+                                [F.col("status").alias("b_status")]).withColumnRenamed("nid", "b_nid")
     fc = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_client)
-    done = (t.visit_log.filter(F.col("visit_category").isin(list(p.visit_categories))
-                               & (F.col("status") == F.lit(p.done_status))).select("nid").distinct())
     gs = t.seller_intake.groupBy(F.col("nid").alias("gs_nid")).agg(
         any_value("gravamenes_del_apartamento").alias("gravamen"))
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"))
@@ -95,8 +94,8 @@ def _to_schedule_base(t: Tables, p: Params) -> DataFrame:
     base = base.filter(not_contains_ci("cd_ciudad", p.excluded_city_substrings))
     base = joins.exists_flag(base, fc, "nid", "nid", "has_fc")
     base = base.filter(rules.publication_ok("cd_date_publication", "has_fc", p.publication_cutoff))
-    base = joins.not_in(base, done, "nid_s", "nid")
-    base = base.join(b, F.col("nid_s") == F.col("b_nid"), "left")
+    base = joins.not_in(base, R.done_keys(t, p), "nid", "nid")
+    base = base.join(b, F.col("nid") == F.col("b_nid"), "left")
     base = base.filter(F.col("b_nid").isNull() | ~F.col("b_status").isin(list(p.scheduled_statuses)))
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
     base = base.join(gs, F.col("nid") == F.col("gs_nid"), "left")
@@ -113,10 +112,11 @@ def _cancelled_base(t: Tables, p: Params) -> DataFrame:
 
 def _court_base(t: Tables, p: Params) -> DataFrame:
     """Unfavourable opinions without an active court phase (no pipeline check)."""
-    d = rules.unfavourable_opinions(t.clearance_tower, p.as_of, p.unfavourable, p.opinion_lookback_months)
-    d = joins.anti(d.select("nid"), rules.active_phase_keys(t.process_history, p.court_pipes, p.closed_phases),
-                   "nid", "nid")
-    return R.with_master_crm(d, t, p)
+    d = rules.unfavourable_opinions(t.clearance_tower, p.as_of, p.unfavourable, p.opinion_lookback_months,
+                                    as_string=False)
+    d = joins.anti(d.select("nid"), rules.active_phase_keys(t.process_history, p.court_pipes, p.closed_phases,
+                                                            as_string=False), "nid", "nid")
+    return R.with_master_crm(d, t, p, key_is_string=False)
 
 
 def _team_expr(default: str, hp: str = "h_", cp: str = "cd_") -> Column:

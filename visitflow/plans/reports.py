@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import spanish_day_month, utc_to_local_hhmm
-from ..functions.keys import is_real_key
+from ..functions.keys import canonical_long, is_real_key
 from ..functions.text import clean, falsy_chain, iso_date_part, not_contains_ci, title_or_blank
 from ..operators import joins, rules
 from ..operators.aggs import any_value
@@ -213,13 +213,15 @@ def pipeline_keys(t: Tables, p: Params) -> DataFrame:
 
 def court_candidates(t: Tables, p: Params) -> DataFrame:
     """Latest unfavourable opinion within the lookback, in the pipeline,
-    without an active court phase (R3)."""
-    d = rules.unfavourable_opinions(t.clearance_tower, p.as_of, p.unfavourable, p.opinion_lookback_months)
-    d = joins.semi(d, pipeline_keys(t, p), "nid", "nid")
-    d = joins.anti(d, rules.active_phase_keys(t.process_history, p.court_pipes, p.closed_phases), "nid", "nid")
-    j = with_master_crm(d, t, p)
+    without an active court phase (R3).  Every join is on the numeric key."""
+    d = rules.unfavourable_opinions(t.clearance_tower, p.as_of, p.unfavourable, p.opinion_lookback_months,
+                                    as_string=False)
+    d = joins.semi(d, crm_in_pipeline(t, p).filter(F.col("nid").isNotNull()).select("nid"), "nid", "nid")
+    d = joins.anti(d, rules.active_phase_keys(t.process_history, p.court_pipes, p.closed_phases, as_string=False),
+                   "nid", "nid")
+    j = with_master_crm(d, t, p, key_is_string=False)
     out = j.select(
-        "nid",
+        F.col("nid").cast("string").alias("nid"),
         _date_text("fecha_desfavorable").alias("fecha_desfavorable"),
         _date_text("cd_c_fecha_captacion").alias("fecha_captacion"),
         clean(owner()).alias("comercial"),
@@ -247,21 +249,32 @@ def _flag(df: DataFrame, keys: DataFrame, on: str, key_col: str, name: str) -> D
     return joins.exists_flag(df, keys, on, key_col, name)
 
 
+def visits_by_numeric_key(df: DataFrame, cols) -> DataFrame:
+    """A visit-keyed frame re-keyed on the numeric property key (exact:
+    only keys written as the number's decimal form can match)."""
+    return df.select(canonical_long("nid").alias("nid"), *cols).filter(F.col("nid").isNotNull())
+
+
+def done_keys(t: Tables, p: Params) -> DataFrame:
+    """Properties with a finished visit of the tracked category (numeric key)."""
+    v = t.visit_log.filter(F.col("visit_category").isin(list(p.visit_categories))
+                           & (F.col("status") == F.lit(p.done_status)))
+    return visits_by_numeric_key(v, []).distinct()
+
+
 def to_schedule(t: Tables, p: Params) -> DataFrame:
     """Properties to schedule a visit for (R4), one row per key, newest
-    capture first (patrimony rule v2)."""
-    b = latest_visits(t, p, by_category=True, real_keys=False).select(
-        F.col("nid").alias("b_nid"), F.col("status").alias("b_status"))
+    capture first (patrimony rule v2).  All side inputs are keyed on the
+    numeric property key, so the master is partitioned once for the chain."""
+    b = visits_by_numeric_key(latest_visits(t, p, by_category=True, real_keys=False),
+                              [F.col("status").alias("b_status")]).withColumnRenamed("nid", "b_nid")
     fc = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_client)
-    done = (t.visit_log.filter(F.col("visit_category").isin(list(p.visit_categories))
-                               & (F.col("status") == F.lit(p.done_status)))
-            .select("nid").distinct())
-    epa = rules.latest_flag(t.clearance_tower).withColumnRenamed("nid", "epa_nid")
+    epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
     cn = (t.seller_form.filter(F.col("nid_1").isNotNull() & F.col("nombre_de_edificio_conjunto").isNotNull()
                                & (F.col("nombre_de_edificio_conjunto") != ""))
-          .groupBy(F.col("nid_1").cast("string").alias("cn_nid"))
+          .groupBy(F.col("nid_1").alias("cn_nid"))
           .agg(any_value("nombre_de_edificio_conjunto").alias("conjunto")))
-    fl = rules.first_final_phase(t.process_history, p.patrimony_pipes, p.final_phases) \
+    fl = rules.first_final_phase(t.process_history, p.patrimony_pipes, p.final_phases, as_string=False) \
         .withColumnRenamed("nid", "fl_nid")
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"))
 
@@ -272,15 +285,15 @@ def to_schedule(t: Tables, p: Params) -> DataFrame:
     base = base.filter(not_contains_ci("cd_ciudad", p.excluded_city_substrings))
     base = _flag(base, fc, "nid", "nid", "has_fc")
     base = base.filter(rules.publication_ok("cd_date_publication", "has_fc", p.publication_cutoff))
-    base = joins.not_in(base, done, "nid_s", "nid")
-    base = base.join(b, F.col("nid_s") == F.col("b_nid"), "left")
+    base = joins.not_in(base, done_keys(t, p), "nid", "nid")
+    base = base.join(b, F.col("nid") == F.col("b_nid"), "left")
     base = base.filter(F.col("b_nid").isNull() | ~F.col("b_status").isin(list(p.scheduled_statuses)))
-    base = base.join(epa, F.col("nid_s") == F.col("epa_nid"), "left")
+    base = base.join(epa, F.col("nid") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,
                                           p.flag_in_process, p.patrimony_contract))
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
-    base = base.join(cn, F.col("nid_s") == F.col("cn_nid"), "left")
-    base = base.join(fl, F.col("nid_s") == F.col("fl_nid"), "left")
+    base = base.join(cn, F.col("nid") == F.col("cn_nid"), "left")
+    base = base.join(fl, F.col("nid") == F.col("fl_nid"), "left")
     out = base.select(
         F.coalesce(F.col("nid_s"), F.lit("")).alias("nid"),
         _or_blank(owner()).alias("comercial"),
@@ -345,17 +358,18 @@ def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
     rows = report_window(t.report_rows, p, p.completed_lookback_days).filter(F.col("completado"))
     # one row per reported key; joining it (inner) both restricts to reported keys and
     # attaches the report columns, so the report documents are parsed once
-    rep = _newest_report_text(rows.filter(F.col("nid") != ""), p).withColumnRenamed("nid", "rep_nid")
+    rep = _newest_report_text(rows.filter(F.col("nid") != ""), p)
+    rep = rep.withColumn("rep_nid", canonical_long("nid")).drop("nid").filter(F.col("rep_nid").isNotNull())
     photos = rules.photo_flags(t.listing_card, t.listing_image,
                                {"p_fc": p.photo_client, "p_360": p.photo_professional}, exclude_deleted=True)
-    epa = rules.latest_flag(t.clearance_tower).withColumnRenamed("nid", "epa_nid")
+    epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"))
 
-    base = _base_active(t, p).join(rep, F.col("nid_s") == F.col("rep_nid"), "inner")
+    base = _base_active(t, p).join(rep, F.col("nid") == F.col("rep_nid"), "inner")
     base = base.filter(rules.active_pipeline(None, "cd_fecha_desistio_inmobiliaria",
                                              "h_fecha_desistio_inmobiliaria", "cd_v_fecha_venta",
                                              "h_dealstage", p.lost_stage))
-    base = base.join(epa, F.col("nid_s") == F.col("epa_nid"), "left")
+    base = base.join(epa, F.col("nid") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,
                                           p.flag_in_process, p.patrimony_contract))
     base = base.join(photos.withColumnRenamed("nid", "ph_nid"), F.col("nid") == F.col("ph_nid"), "left")
@@ -369,7 +383,7 @@ def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
     if published is None:
         published = sheets.sheet_published(t.followup_tabs)
-    base = joins.anti(base, published, "nid_s", "nid")
+    base = joins.anti(base, visits_by_numeric_key(published, []), "nid", "nid")
     out = base.select(
         F.col("nid_s").alias("nid"),
         _or_blank(owner()).alias("comercial"),
@@ -412,15 +426,15 @@ def to_publish_client_photos(t: Tables, p: Params) -> DataFrame:
     Rows are not deduplicated, as in the original."""
     photos = rules.photo_flags(t.listing_card, t.listing_image,
                                {"p_fc": p.photo_client, "p_360": p.photo_professional})
-    epa = rules.latest_flag(t.clearance_tower).withColumnRenamed("nid", "epa_nid")
+    epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"),
                                F.col("date_publication").alias("d_pub"))
-    base = joins.semi(_base_active(t, p), subject_keys(t, p), "nid_s", "nid")
+    base = joins.semi(_base_active(t, p), visits_by_numeric_key(subject_keys(t, p), []), "nid", "nid")
     base = base.filter(F.col("cd_fecha_desistio_inmobiliaria").isNull())
     base = base.join(photos.withColumnRenamed("nid", "ph_nid"), F.col("nid") == F.col("ph_nid"), "left")
     base = base.filter(~F.coalesce("p_360", F.lit(False))).withColumn("has_fc", F.coalesce("p_fc", F.lit(False)))
     base = base.filter(F.col("cd_date_publication").isNull() | F.col("has_fc"))
-    base = base.join(epa, F.col("nid_s") == F.col("epa_nid"), "left")
+    base = base.join(epa, F.col("nid") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,
                                           p.flag_in_process, p.patrimony_contract))
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
@@ -442,16 +456,16 @@ def to_publish_no_photos(t: Tables, p: Params) -> DataFrame:
     f360 = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional)
     nph = (t.crm_deal_raw.filter(F.col("flag_inmueble_nph").isNotNull() & (F.col("flag_inmueble_nph") != "")
                                  & F.col("nid").isNotNull())
-           .select(F.col("nid").cast("string").alias("nid")).distinct())
-    epa = rules.latest_flag(t.clearance_tower).withColumnRenamed("nid", "epa_nid")
+           .select("nid").distinct())
+    epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
     base = _base_active(t, p)
     base = base.filter(rules.active_pipeline("cd_c_fecha_captacion", "cd_fecha_desistio_inmobiliaria",
                                              "h_fecha_desistio_inmobiliaria", "cd_v_fecha_venta",
                                              "h_dealstage", p.lost_stage)
                        & F.col("cd_date_publication").isNull())
     base = joins.anti(base, f360, "nid", "nid")
-    base = joins.anti(base, nph, "nid_s", "nid")
-    base = base.join(epa, F.col("nid_s") == F.col("epa_nid"), "left")
+    base = joins.anti(base, nph, "nid", "nid")
+    base = base.join(epa, F.col("nid") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,
                                           p.flag_in_process, p.patrimony_contract))
     out = base.select(

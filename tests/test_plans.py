@@ -52,3 +52,26 @@ def test_projection_is_pruned(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "nid" in df.columns
+
+
+def test_bucketed_roles_remove_shuffles(spark):
+    import datetime as dt
+    import uuid
+
+    from visitflow.plans import reports as R
+    from visitflow.plans.bindings import driver_params, driver_tables
+    from visitflow.plans.materialize import materialize_roles
+
+    t = driver_tables(spark, SF)
+    p = driver_params(dt.date(2026, 4, 23))
+    bt = materialize_roles(spark, t, "vf_" + uuid.uuid4().hex[:8], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, bucketed = R.to_publish_no_photos(t, p), R.to_publish_no_photos(bt, p)
+        assert plain.exceptAll(bucketed).count() == 0 and bucketed.exceptAll(plain).count() == 0
+        n = [plan_text(d).count("Exchange hashpartitioning") for d in (plain, bucketed)]
+        assert n[1] < n[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -116,3 +116,15 @@ def test_r4_r7(t):
     assert r4["10000012"]["ultimo_status"] == "Sin visita"
     r7 = {r["nid"] for r in R.to_publish_no_photos(t, P).collect()}
     assert "10000011" not in r7 and "10000012" not in r7 and "10000001" in r7
+
+
+def test_results_do_not_depend_on_row_order_or_partitioning(t):
+    """Metamorphic: every pick has a total order, so shuffled inputs give the same rows."""
+    from pyspark.sql import DataFrame
+
+    from visitflow.plans.bindings import Tables
+    shuffled = Tables({k: (v.orderBy(F.rand(7)).repartition(5) if isinstance(v, DataFrame) else v)
+                       for k, v in t.items()})
+    for fn in (R.visits_tomorrow, R.cancelled, R.to_schedule, O.cancelled_digest, O.backlog_agent):
+        a, b = fn(t, P), fn(shuffled, P)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, fn.__name__

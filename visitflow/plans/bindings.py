@@ -34,7 +34,17 @@ ROLES = ("visit_log", "property_master", "crm_deal", "crm_deal_raw", "listing_ca
 
 
 class Tables(dict):
-    """Role name -> DataFrame (tabs roles hold a list of (DataFrame, label))."""
+    """Role name -> DataFrame (tabs roles hold a list of (DataFrame, label)).
+
+    ``raw(name)`` reads a source table the roles were bound from, for the
+    few operators that work on a source directly (HTML pages, documents).
+    """
+
+    spark = None
+    source_dir = None
+
+    def raw(self, name: str) -> DataFrame:
+        return _read(self.spark, self.source_dir, name)
 
     def __getattr__(self, name):
         try:
@@ -102,6 +112,7 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     supplier, lineitem, events = r("supplier"), r("lineitem"), r("events")
     part, pages, documents = r("part"), r("pages"), r("documents")
     t = Tables()
+    t.spark, t.source_dir = spark, sf_dir
 
     t["visit_log"] = bind_visit_log(orders)
 

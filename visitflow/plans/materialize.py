@@ -33,6 +33,7 @@ def materialize_roles(spark: SparkSession, t: Tables, database: str, buckets: in
     roles = roles or KEYED_ROLES
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out = Tables(t)
+    out.spark, out.source_dir = t.spark, t.source_dir
     for role, key in roles.items():
         name = f"{database}.{role}"
         (t[role].write.mode("overwrite").format("parquet")

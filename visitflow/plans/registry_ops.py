@@ -15,7 +15,7 @@ from ..sources import documents, sheets, sinks, state
 from ..sources.tables import scan_table
 from . import outbox as O
 from . import reports as R
-from .registry import (P_COURT, P_MTD, P_ORD, P_REP, P_SUBJ, ROLES_R4, _active_where, _links_sql, _published_sql,
+from .registry import (P_COURT, P_MTD, P_ORD, P_REP, P_SUBJ, ROLES_BACKLOG, ROLES_R4, _active_where, _links_sql, _published_sql,
                        _r4_sql, _r15_sql, _r16_sql, _r17_sql, _subject_keys_sql, _ur, _window, register, tables)
 from .sqlfrag import (active_phases, clean, date_text, dlit, falsy, hora, in_list, latest_flag, nonblank,
                       not_contains, photo_set, q, spanish_date, strip, title, unfavourable)
@@ -30,7 +30,7 @@ def op(key: str, fn, sql: str | None, roles: tuple = ()):
 
 # ------------------------------------------------------------ 2.1 sources
 op("scan_table",
-   lambda t, sf: scan_table(t.visit_log.sparkSession, f"{sf}/orders.parquet",
+   lambda t, sf: scan_table(t.spark, f"{sf}/orders.parquet",
                             {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string"})
    .select("o_orderkey", "o_custkey", "o_orderstatus"),
    "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
@@ -153,8 +153,7 @@ op("if_null",
    "SELECT nid, CAST(CAST(IF(estado_patrimonio = 'MACHINERY', date_publication, NULL) AS DATE) AS VARCHAR) AS fecha "
    "FROM intake_detail", ("intake_detail",))
 
-_BACKLOG_ROLES = ("visit_log", "property_master", "intake_detail", "crm_deal", "listing_card", "listing_image",
-                  "seller_intake", "clearance_tower", "process_history")
+_BACKLOG_ROLES = ROLES_BACKLOG
 op("drop_zero_groups",
    lambda t, sf: O.backlog_team(t, P_MTD).filter(aggs.row_total("por_agendar", "canceladas", "juzgado") > 0),
    f"WITH b AS ({_r15_sql(P_MTD)}) SELECT * FROM b WHERE por_agendar + canceladas + juzgado > 0", _BACKLOG_ROLES)
@@ -463,11 +462,11 @@ op("fn_falsy_chain",
        LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = 'P1'""", ("property_master", "crm_deal"))
 _TITLE_RE = r"(?is)<title>(.*?)</title>"
 op("fn_title",
-   lambda t, sf: t.link_tabs[0][0].sparkSession.read.parquet(f"{sf}/pages.parquet").select(
+   lambda t, sf: t.raw("pages").select(
        "page_id", T.py_title(F.regexp_extract("html", _TITLE_RE, 1)).alias("titulo")),
    f"SELECT page_id, {title(f'regexp_extract(html, {q(_TITLE_RE)}, 1)')} AS titulo FROM pages")
 op("fn_regex_report_date",
-   lambda t, sf: t.link_tabs[0][0].sparkSession.read.parquet(f"{sf}/documents.parquet").select(
+   lambda t, sf: t.raw("documents").select(
        "doc_id", F.regexp_extract("text", r"(?U)(\d+ de \w+)", 1).alias("fecha")),
    r"SELECT doc_id, regexp_extract(text, '([0-9]+ de [\pL\pM\pN_]+)', 1) AS fecha FROM documents")
 op("fn_regex_subject_key", lambda t, sf: t.photo_subject.select("msg_id", T.subject_key("subject").alias("nid")),
@@ -498,7 +497,7 @@ op("fn_outcome_si", lambda t, sf: t.report_rows.select("doc_id", "row_pos", T.is
 
 # ---------------------------------------------- 2.8 extraction, rules, folds
 op("html_rows",
-   lambda t, sf: html_rows(t.link_tabs[0][0].sparkSession.read.parquet(f"{sf}/pages.parquet"), "html", "ul", "li", "a", 1,
+   lambda t, sf: html_rows(t.raw("pages"), "html", "ul", "li", "a", 1,
                            keep=["page_id"]).select("page_id", F.col("row_pos").cast("bigint").alias("row_pos"),
                                                     F.array_join("cells", "|").alias("cells")),
    "SELECT page_id, CAST(row_pos AS BIGINT) AS row_pos, array_to_string(cells, '|') AS cells FROM page_items WHERE len(cells) >= 1",

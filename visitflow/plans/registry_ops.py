@@ -654,3 +654,15 @@ register("scan_csv_typed", f"WITH b AS ({_r16_sql(P_MTD)}) SELECT * FROM b", _BA
 register("scan_sheet_bom", "SELECT nid, link FROM link_rows WHERE tab_order = 0", ("link_rows",))(_sheet_bom)
 register("status_append", "SELECT nid, fecha, estado, COALESCE(usuario, '') AS usuario FROM status_log",
          ("status_log",))(_append)
+
+
+def _positional(spark, sf):
+    """The status sheet exported as CSV, read back by column position."""
+    path = _io_dir(spark, "status_positional")
+    log = tables(spark, sf).status_log
+    log.select(F.col("nid").alias("NID "), F.col("fecha").alias("Fecha"), F.col("estado").alias("estado"),
+               "usuario").write.option("header", True).csv(path)
+    return sheets.read_status_log_positional(spark, path).select("nid", "fecha", "estado")
+
+
+register("scan_status_positional", "SELECT nid, fecha, estado FROM status_log", ("status_log",))(_positional)

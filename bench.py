@@ -31,7 +31,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(4, int(cpus) * 2))))
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = local_session(cpus, shuffle_partitions=parts, app="visitflow-bench")
     # warm the JVM and the parquet footer cache once
     spark.read.parquet(f"{sf_dir}/nation.parquet").write.format("noop").mode("overwrite").save()

@@ -8,7 +8,7 @@ shuffles on the property key.  Dates come from ``params.as_of``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import spanish_day_month, utc_to_local_hhmm
@@ -126,36 +126,38 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
     visit not done), then rows whose property already has professional
     photos are dropped, one row per (key, report) is kept and the visit /
     master / CRM columns are attached.
+
+    The report documents are parsed once: rows are deduplicated per
+    (key, report) and carry their key's newest report date (a window over
+    the few reports of one key), then meet the latest visit per key.
     """
     rows = report_window(t.report_rows, p, p.cancelled_lookback_days).filter(~F.col("completado"))
     rows = rows.withColumn("report_date", spanish_day_month("fecha_reporte", p.as_of, p.future_slack_days))
-    newest = rows.groupBy("nid").agg(F.max("report_date").alias("last_report"))
+    kept = first_per_key(rows, ["nid", "fecha_reporte"],
+                         [F.col("received_at").asc_nulls_first(), "doc_id", "row_pos"])
+    kept = kept.withColumn("last_report", F.max("report_date").over(Window.partitionBy("nid")))
 
     v = t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types)))
-    v = joins.semi(v, rows.select("nid"), "nid", "nid")
     last = latest_per_key(v, "nid", "modified_date", tiebreak="record_id")
     mod = F.col("modified_date")
     last = last.select(
         "nid", "status", "fecha_inicio",
         F.when(mod.contains("T"), F.try_to_date(iso_date_part(mod), "yyyy-MM-dd")).alias("mod_date"),
         F.when(mod.contains("T"), iso_date_part(mod)).otherwise(_or_blank(mod)).alias("ultima_actualizacion"))
-    real = cancelled_keys(last, newest, p)
-
+    # keys missing from the visit log never count as cancelled (inner join)
+    real = kept.join(last, "nid", "inner").filter(
+        rules.cancelled_for_real("status", "last_report", "mod_date", p.cancel_statuses_report, p.done_status))
     photos = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional, as_string=True)
-    kept = joins.semi(rows, real.select("nid"), "nid", "nid")
-    kept = joins.anti(kept, photos, "nid", "nid")
-    kept = first_per_key(kept, ["nid", "fecha_reporte"],
-                         [F.col("received_at").asc_nulls_first(), "doc_id", "row_pos"])
+    real = joins.anti(real, photos, "nid", "nid")
 
     fi = F.col("fecha_inicio")
-    visit = real.select("nid", "ultima_actualizacion",
-                        F.when(fi.isNotNull() & fi.contains("T"),
-                               F.concat(iso_date_part(fi), F.lit(" "), utc_to_local_hhmm(fi, p.utc_offset_hours)))
-                        .otherwise(F.lit("")).alias("fecha_agendada"))
+    fecha_agendada = (F.when(fi.isNotNull() & fi.contains("T"),
+                             F.concat(iso_date_part(fi), F.lit(" "), utc_to_local_hhmm(fi, p.utc_offset_hours)))
+                      .otherwise(F.lit("")))
     master = _master_by_key(t, p)
     prof = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional,
                               exclude_deleted=True, as_string=True)
-    out = kept.join(visit, "nid", "left").join(master, "nid", "left")
+    out = real.join(master, "nid", "left")
     out = joins.exists_flag(out, prof, "nid", "nid", "tiene_fotos_profesionales")
     city = F.coalesce(F.nullif(F.col("m_ciudad"), F.lit("")), F.nullif(F.col("ciudad_correo"), F.lit("")))
     return out.select(
@@ -167,7 +169,7 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
         _or_blank("m_telefono").alias("telefono_cliente"),
         _or_blank("m_direccion").alias("direccion"),
         "fecha_reporte",
-        _or_blank("fecha_agendada").alias("fecha_agendada"),
+        fecha_agendada.alias("fecha_agendada"),
         _or_blank("m_equipo").alias("equipo"),
         _or_blank("ultima_actualizacion").alias("ultima_actualizacion"),
         "tiene_fotos_profesionales",

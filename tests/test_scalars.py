@@ -136,3 +136,16 @@ def test_business_lookback(spark):
 def test_add_months_clamps(spark):
     df = spark.createDataFrame([(dt.date(2026, 8, 31),)], "d date")
     assert df.select(F.add_months("d", -6)).first()[0] == dt.date(2026, 2, 28)
+
+
+_MONTHISH = st.sampled_from(list(SPANISH_MONTHS) + ["abirl", "mayoo", "dicimebre", "ferbero", "xyz", "ABRIL", "Mayo"])
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 35), _MONTHISH, st.sampled_from([" de ", "  de ", " DE ", " del "])),
+                min_size=1, max_size=10),
+       st.dates(min_value=dt.date(2020, 1, 1), max_value=dt.date(2030, 12, 31)))
+def test_spanish_dates_property(spark, parts, today):
+    vals = [f"{d}{sep}{m}" for d, m, sep in parts]
+    got = one_col(spark, vals, lambda c: dates.spanish_day_month(c, today))
+    assert got == [py_report_date(v, today) for v in vals]

@@ -11,8 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from visitflow.session import local_session
     s = local_session(4, shuffle_partitions=8, app="visitflow-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="visitflow-test-ckpt-"),
-                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="visitflow-test-wh-")})
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="visitflow-test-wh-")})
     yield s
     s.stop()
 

@@ -35,18 +35,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...) and
     is used as is.  Only a session without it (tests, local runs) gets a fresh
-    scratch folder.
+    scratch folder, registered on the SparkContext (the conf itself cannot be
+    changed at run time).
     """
+    sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext.getCheckpointDir()
-    if not cur:
-        cur = tempfile.mkdtemp(prefix="visitflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", cur)
-        spark.sparkContext.setCheckpointDir(cur)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(cur)
-    return cur
+    if cur:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(cur)
+        return cur
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitflow-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:

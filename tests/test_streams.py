@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from visitflow.operators.latest import latest_per_key
 from visitflow.plans.bindings import bind_visit_log

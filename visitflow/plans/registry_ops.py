@@ -3,6 +3,8 @@ tables, each with an independent DuckDB oracle."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -12,12 +14,16 @@ from ..operators import aggs, filters, joins, latest, rules, sets
 from ..operators.extract import html_rows
 from ..operators.status import clean_log, state_upsert
 from ..sources import documents, sheets, sinks, state
-from ..sources.tables import scan_table
+from ..session import checkpoint_path
+from ..sources.tables import scan_csv_typed, scan_table
+from ..streaming import streams as S
 from . import outbox as O
 from . import reports as R
-from .registry import (P_COURT, P_MTD, P_ORD, P_REP, P_SUBJ, ROLES_BACKLOG, ROLES_R4, _active_where, _links_sql, _published_sql,
-                       _r4_sql, _r15_sql, _r16_sql, _r17_sql, _subject_keys_sql, _ur, _window, register, tables)
-from .sqlfrag import (active_phases, clean, date_text, dlit, falsy, hora, in_list, latest_flag, nonblank,
+from .bindings import bind_status_log, bind_visit_log, driver_report_rows
+from .registry import (P_COURT, P_EV, P_MTD, P_ORD, P_REP, P_SUBJ, ROLES_BACKLOG, ROLES_R4, _active_where, _fold_sql,
+                       _links_sql, _published_sql, _r4_sql, _r15_sql, _r16_sql, _r17_sql, _subject_keys_sql, _ur,
+                       _window, register, tables)
+from .sqlfrag import (active_phases, clean, dlit, falsy, hora, in_list, latest_flag, nonblank,
                       not_contains, photo_set, q, spanish_date, strip, title, unfavourable)
 
 VL = ("visit_log",)
@@ -575,9 +581,6 @@ op("first_final_phase",
        AND nid IS NOT NULL GROUP BY 1""", ("process_history",))
 
 # ------------------------------------------------------------ 2.10 streams
-from ..streaming import streams as S  # noqa: E402
-from .bindings import bind_status_log, bind_visit_log, driver_report_rows  # noqa: E402
-from .registry import P_EV, _fold_sql  # noqa: E402
 
 
 def _st1(spark, sf):
@@ -612,10 +615,7 @@ FROM visit_log v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
 WHERE v.status IN {in_list(P_MTD.cancel_statuses_digest)} GROUP BY 1, 2""", ("visit_log", "property_master"))(_st4)
 
 # ------------------------------------------------- 2.1 file sources / sinks
-import uuid  # noqa: E402
 
-from ..session import checkpoint_path  # noqa: E402
-from ..sources.tables import scan_csv_typed  # noqa: E402
 
 
 def _io_dir(spark, name):

@@ -13,13 +13,14 @@ class SchemaMismatch(ValueError):
 
 
 def scan_table(spark: SparkSession, path: str, expect: Mapping[str, str] | None = None) -> DataFrame:
-    """Parquet / catalog scan with an optional column-type check.
+    """Parquet file/folder or catalog table (``db.name``) scan with an
+    optional column-type check (S1).
 
     The check reads only the footer schema; column pruning and pushed
     filters still apply to whatever the caller selects afterwards.
     """
-    df = spark.table(path) if "/" not in path and "." in path and not path.endswith(".parquet") \
-        else spark.read.parquet(path)
+    is_path = "/" in path or path.endswith(".parquet")
+    df = spark.read.parquet(path) if is_path else spark.table(path)
     if expect:
         have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         bad = {c: (t, have.get(c)) for c, t in expect.items() if have.get(c) != t}

@@ -35,3 +35,17 @@ def test_daily_counts_stream_equals_batch(spark):
     got = E.queries()["stream_daily_counts"](spark, SF)
     assert got.count() > 0
     assert set(got.columns) == {"dia", "agente", "canceladas"}
+
+
+def test_upsert_batch_replay_is_idempotent(spark, scratch):
+    rows = "nid string, modified_date string, record_id bigint, status string"
+    b0 = spark.createDataFrame([("1", "2026-04-01", 1, "A"), ("2", "2026-04-01", 2, "A")], rows)
+    b1 = spark.createDataFrame([("1", "2026-04-03", 3, "B"), ("2", "2026-03-01", 4, "C")], rows)
+    root = os.path.join(scratch, "versions")
+    upsert = S.upsert_batch(spark, root)
+    upsert(b0, 0)
+    upsert(b1, 1)
+    first = sorted(tuple(r) for r in spark.read.parquet(f"{root}/v=1").collect())
+    upsert(b1, 1)  # the same micro-batch again, as after a failed attempt
+    again = sorted(tuple(r) for r in spark.read.parquet(f"{root}/v=1").collect())
+    assert first == again == [("1", "2026-04-03", 3, "B"), ("2", "2026-04-01", 2, "A")]

@@ -95,6 +95,21 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+def upsert_batch(spark: SparkSession, versions_root: str, keys=("nid",), by: str = "modified_date",
+                 tiebreak: str = "record_id"):
+    """``foreachBatch`` function of ST3.  Batch ``k`` reads the newest
+    complete version below ``k`` and overwrites ``v=k``; running batch ``k``
+    again (a replay after a failure) writes the same version again."""
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        prev = [v for v in _versions(spark, versions_root) if v < batch_id]
+        merged = batch
+        if prev:
+            merged = spark.read.parquet(f"{versions_root}/v={prev[-1]}").unionByName(batch)
+        (latest_per_key(merged, list(keys), by, tiebreak)
+         .write.mode("overwrite").parquet(f"{versions_root}/v={batch_id}"))
+    return upsert
+
+
 def latest_upsert_stream(spark: SparkSession, visits: DataFrame, keys=("nid",), by: str = "modified_date",
                          tiebreak: str = "record_id", name: str = "latest_upsert",
                          root: str | None = None) -> str:
@@ -105,16 +120,8 @@ def latest_upsert_stream(spark: SparkSession, visits: DataFrame, keys=("nid",),
     """
     run = root or _run_dir(spark, name)
     tables = f"{run}/versions"
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        prev = [v for v in _versions(spark, tables) if v < batch_id]
-        merged = batch
-        if prev:
-            merged = spark.read.parquet(f"{tables}/v={prev[-1]}").unionByName(batch)
-        latest_per_key(merged, list(keys), by, tiebreak).write.mode("overwrite").parquet(f"{tables}/v={batch_id}")
-
     q = (visits.writeStream.option("checkpointLocation", f"{run}/_checkpoint")
-         .foreachBatch(upsert).trigger(availableNow=True).start())
+         .foreachBatch(upsert_batch(spark, tables, keys, by, tiebreak)).trigger(availableNow=True).start())
     q.awaitTermination()
     vs = _versions(spark, tables)
     return f"{tables}/v={vs[-1]}" if vs else ""

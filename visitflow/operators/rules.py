@@ -32,21 +32,26 @@ def photo_keyset(cards: DataFrame, images: DataFrame, source_id: int,
     return keys.select(k.alias("nid")).filter(F.col("nid").isNotNull()).distinct()
 
 
-def photo_flags(cards: DataFrame, images: DataFrame, sources: dict[str, int],
+def photo_flags(cards: DataFrame, images: DataFrame, sources: dict,
                 exclude_deleted: bool = False) -> DataFrame:
     """Several photo-source key sets in one pass over the images (B2).
 
-    ``sources`` maps a flag name to a source id; the result has one row per
-    ``nid`` holding any of them and a boolean column per flag.  The image
-    table (the largest input) is scanned once instead of once per source.
+    ``sources`` maps a flag name to a source id, or to ``(source id,
+    exclude_deleted)`` when flags differ in whether deleted images count.
+    The result has one row per ``nid`` holding any of the sources and a
+    boolean column per flag.  The image table (the largest input) is scanned
+    and shuffled once instead of once per flag.
     """
-    ids = list(sources.values())
-    img = images.filter(F.col("source_image_id").isin(ids))
-    if exclude_deleted:
+    spec = {k: (v if isinstance(v, tuple) else (v, exclude_deleted)) for k, v in sources.items()}
+    img = images.filter(F.col("source_image_id").isin(sorted({s for s, _ in spec.values()})))
+    if all(ex for _, ex in spec.values()):
         img = img.filter(F.col("deleted_at").isNull())
-    img = img.select(F.col("property_card_id").alias("_cid"), F.col("source_image_id").alias("_src")).distinct()
+    img = img.select(F.col("property_card_id").alias("_cid"), F.col("source_image_id").alias("_src"),
+                     F.col("deleted_at").isNull().alias("_live")).distinct()
     j = cards.select("id", "nid").filter(F.col("nid").isNotNull()).join(img, F.col("id") == F.col("_cid"), "inner")
-    return j.groupBy("nid").agg(*[F.bool_or(F.col("_src") == F.lit(v)).alias(k) for k, v in sources.items()])
+    flags = [F.bool_or((F.col("_src") == F.lit(s)) & (F.col("_live") if ex else F.lit(True))).alias(k)
+             for k, (s, ex) in spec.items()]
+    return j.groupBy("nid").agg(*flags)
 
 
 def patrimony_v1(state, encumbrance, ok: Sequence[str], deny: Sequence[str]) -> Column:

@@ -147,18 +147,18 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
     # keys missing from the visit log never count as cancelled (inner join)
     real = kept.join(last, "nid", "inner").filter(
         rules.cancelled_for_real("status", "last_report", "mod_date", p.cancel_statuses_report, p.done_status))
-    photos = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional, as_string=True)
-    real = joins.anti(real, photos, "nid", "nid")
+    # one pass over the images: any professional photo drops the row, a live one sets the flag
+    photos = rules.photo_flags(t.listing_card, t.listing_image,
+                               {"p_any": (p.photo_professional, False), "p_live": (p.photo_professional, True)})
+    photos = photos.select(F.col("nid").cast("string").alias("ph_nid"), "p_any", "p_live")
+    real = real.join(photos, F.col("nid") == F.col("ph_nid"), "left").filter(~F.coalesce("p_any", F.lit(False)))
 
     fi = F.col("fecha_inicio")
     fecha_agendada = (F.when(fi.isNotNull() & fi.contains("T"),
                              F.concat(iso_date_part(fi), F.lit(" "), utc_to_local_hhmm(fi, p.utc_offset_hours)))
                       .otherwise(F.lit("")))
-    master = _master_by_key(t, p)
-    prof = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_professional,
-                              exclude_deleted=True, as_string=True)
-    out = real.join(master, "nid", "left")
-    out = joins.exists_flag(out, prof, "nid", "nid", "tiene_fotos_profesionales")
+    out = real.join(_master_by_key(t, p), "nid", "left")
+    out = out.withColumn("tiene_fotos_profesionales", F.coalesce("p_live", F.lit(False)))
     city = F.coalesce(F.nullif(F.col("m_ciudad"), F.lit("")), F.nullif(F.col("ciudad_correo"), F.lit("")))
     return out.select(
         "nid",

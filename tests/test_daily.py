@@ -28,12 +28,13 @@ def test_daily_cli(spark, scratch):
     docs = spark.createDataFrame([(1, "r@example.com", dt.datetime(2026, 4, 23, 8), HTML)],
                                  "doc_id bigint, sender string, received_at timestamp_ntz, html string")
     t["report_rows"] = report_rows(docs, keep=("doc_id", "sender", "received_at"))
+    t["photo_report"] = docs
     t["photo_subject"] = spark.createDataFrame([(1, dt.datetime(2026, 4, 20), "Fotos cliente (10000013)")],
                                                "msg_id bigint, received_at timestamp_ntz, subject string")
     locations = {}
     for role in ("visit_log", "property_master", "crm_deal", "crm_deal_raw", "listing_card", "listing_image",
                  "listing_state", "process_history", "clearance_tower", "intake_detail", "seller_intake",
-                 "seller_form", "status_log", "report_rows", "photo_subject", "team_lead"):
+                 "seller_form", "status_log", "photo_report", "photo_subject", "team_lead"):
         path = os.path.join(scratch, "in", role)
         t[role].write.parquet(path)
         locations[role] = path
@@ -53,3 +54,5 @@ def test_daily_cli(spark, scratch):
     got = {r["nid"] for r in spark.read.parquet(os.path.join(out, "visits_tomorrow")).collect()}
     assert got == {r["nid"] for r in R.visits_tomorrow(t, Params(as_of=dt.date(2026, 4, 23))).collect()}
     assert spark.read.parquet(os.path.join(out, "links")).count() == 1
+    cancelled = {r["nid"] for r in spark.read.parquet(os.path.join(out, "cancelled")).collect()}
+    assert cancelled == {r["nid"] for r in R.cancelled(t, Params(as_of=dt.date(2026, 4, 23))).collect()} == {"10000002"}

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.extract import report_rows
 from ..plans.bindings import Tables
 from .sheets import read_sheet
 from .tables import scan_table
@@ -47,6 +48,7 @@ ROLE_SCHEMAS = {
     "report_rows": ("doc_id bigint, sender string, received_at timestamp_ntz, fecha_reporte string, row_pos bigint, "
                     "nid string, ciudad_correo string, fotografo string, resultado string, completado boolean, "
                     "motivo string"),
+    "photo_report": "doc_id bigint, sender string, received_at timestamp_ntz, html string",
     "photo_subject": "msg_id bigint, received_at timestamp_ntz, subject string",
     "team_lead": "equipo string, email string",
 }
@@ -80,11 +82,17 @@ def conform(df: DataFrame, role: str) -> DataFrame:
 def read_roles(spark: SparkSession, locations: Mapping[str, str],
                link_tabs: Sequence[tuple[str, str]] = (), followup_tabs: Sequence[tuple[str, str]] = ()) -> Tables:
     """Tables from ``role -> parquet path or catalog table`` plus sheet tabs
-    given as ``(csv path, label)`` in priority order (later wins)."""
+    given as ``(csv path, label)`` in priority order (later wins).
+
+    Landed report mails can be given as ``photo_report`` documents; their
+    rows (``report_rows``) are then extracted from the HTML on the executors.
+    """
     t = Tables()
     t.spark = spark
     for role, loc in locations.items():
         t[role] = conform(scan_table(spark, loc), role)
+    if "photo_report" in t and "report_rows" not in t:
+        t["report_rows"] = report_rows(t["photo_report"], keep=("doc_id", "sender", "received_at"))
     t["link_tabs"] = [(read_sheet(spark, p), lbl) for p, lbl in link_tabs]
     t["followup_tabs"] = [(read_sheet(spark, p), lbl) for p, lbl in followup_tabs]
     return t

@@ -56,3 +56,12 @@ def test_daily_cli(spark, scratch):
     assert spark.read.parquet(os.path.join(out, "links")).count() == 1
     cancelled = {r["nid"] for r in spark.read.parquet(os.path.join(out, "cancelled")).collect()}
     assert cancelled == {r["nid"] for r in R.cancelled(t, Params(as_of=dt.date(2026, 4, 23))).collect()} == {"10000002"}
+
+
+def test_status_log_order_from_timestamp(spark):
+    rows = [("1", "perm", "ps:a", None, dt.datetime(2026, 4, 1, 10)),
+            ("1", "perm", "ps:b", None, dt.datetime(2026, 4, 1, 9))]
+    df = spark.createDataFrame(rows, "nid string, fecha string, estado string, usuario string, timestamp timestamp_ntz")
+    log = conform(df, "status_log")
+    from visitflow.operators.status import status_fold
+    assert status_fold(log, "2026-04-02").first()["value"] == "a"      # the later write wins

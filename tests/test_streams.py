@@ -49,3 +49,23 @@ def test_upsert_batch_replay_is_idempotent(spark, scratch):
     upsert(b1, 1)  # the same micro-batch again, as after a failed attempt
     again = sorted(tuple(r) for r in spark.read.parquet(f"{root}/v=1").collect())
     assert first == again == [("1", "2026-04-03", 3, "B"), ("2", "2026-04-01", 2, "A")]
+
+
+def test_daily_counts_append_mode_emits_closed_windows_only(spark, scratch):
+    from visitflow.plans.bindings import driver_tables
+    t = driver_tables(spark, SF)
+    src = os.path.join(scratch, "orders")
+    spark.read.parquet(f"{SF}/orders.parquet").write.parquet(src)
+    orders = spark.read.parquet(src)
+
+    def run(mode):
+        stream = spark.readStream.schema(orders.schema).parquet(src)
+        path = S.daily_counts_stream(spark, bind_visit_log(stream), t.property_master, ["P", "O"], mode=mode)
+        return spark.read.parquet(path)
+
+    complete, append = run("complete"), run("append")
+    last_day = complete.agg({"dia": "max"}).first()[0]
+    # emitted windows are final (equal to the complete result); the newest ones stay open
+    assert 0 < append.count() < complete.count()
+    assert append.exceptAll(complete).count() == 0
+    assert append.filter(append.dia == last_day).count() == 0

@@ -128,8 +128,13 @@ def latest_upsert_stream(spark: SparkSession, visits: DataFrame, keys=("nid",),
 
 
 def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFrame, cancel_statuses,
-                        name: str = "daily_counts") -> str:
-    """ST4: cancellations per agent per UTC day (tumbling window, watermark)."""
+                        name: str = "daily_counts", mode: str = "complete", lateness: str = "1 day") -> str:
+    """ST4: cancellations per agent per UTC day (tumbling window, watermark).
+
+    ``complete`` rewrites every window each trigger (equals the batch
+    count); ``append`` emits a window once the watermark (max event time
+    minus ``lateness``) has passed its end, and drops rows later than that.
+    """
     run = _run_dir(spark, name)
     out = f"{run}/table"
     v = visits.filter(F.col("status").isin(list(cancel_statuses)))
@@ -140,11 +145,14 @@ def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFram
     v = v.withColumn("event_ts", F.coalesce(F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")),
                                             F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))))
     v = v.withColumn("agente", falsy_chain("c_comercial_captacion", "email_agendador"))
-    agg = (v.withWatermark("event_ts", "1 day")
+    agg = (v.withWatermark("event_ts", lateness)
            .groupBy(F.window("event_ts", "1 day").alias("w"), "agente")
            .agg(F.min(F.substring(md, 1, 10)).alias("dia"), F.count(F.lit(1)).alias("canceladas")))
     agg = agg.select("dia", "agente", F.col("canceladas").cast("bigint").alias("canceladas"))
-    q = (agg.writeStream.outputMode("complete").option("checkpointLocation", f"{run}/_checkpoint")
-         .foreachBatch(_overwrite_each_batch(out)).trigger(availableNow=True).start())
-    q.awaitTermination()
+    w = agg.writeStream.outputMode(mode).option("checkpointLocation", f"{run}/_checkpoint")
+    if mode == "complete":
+        w = w.foreachBatch(_overwrite_each_batch(out))
+    else:
+        w = w.format("parquet").option("path", out)
+    w.trigger(availableNow=True).start().awaitTermination()
     return out

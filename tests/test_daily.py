@@ -50,7 +50,12 @@ def test_daily_cli(spark, scratch):
     out = os.path.join(scratch, "out")
     daily.main(["--roles", roles, "--as-of", "2026-04-23", "--out", out, "--links", f"{links}:Bogotá",
                 "--followup", f"{follow}:Ciudades"])
-    assert sorted(os.listdir(out)) == sorted(daily.REPORTS)
+    assert sorted(os.listdir(out)) == sorted(list(daily.REPORTS) + ["backlog_levels"])
+    from visitflow.plans import outbox as O
+    p = Params(as_of=dt.date(2026, 4, 23))
+    for name, fn in (("backlog_team", O.backlog_team), ("backlog_agent", O.backlog_agent)):
+        got = spark.read.parquet(os.path.join(out, name))
+        assert got.exceptAll(fn(t, p)).count() == 0 and fn(t, p).exceptAll(got).count() == 0
     got = {r["nid"] for r in spark.read.parquet(os.path.join(out, "visits_tomorrow")).collect()}
     assert got == {r["nid"] for r in R.visits_tomorrow(t, Params(as_of=dt.date(2026, 4, 23))).collect()}
     assert spark.read.parquet(os.path.join(out, "links")).count() == 1

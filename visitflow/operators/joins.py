@@ -111,18 +111,19 @@ def lookup_fallback(left: DataFrame, lookup: DataFrame, left_key: str, key_col:
     return out.withColumn(out_col, F.coalesce(val, F.lit(default))).drop("_lk", "_lv")
 
 
-def merge_metrics(parts: Sequence[DataFrame], key: str, metrics: Sequence[str],
+def merge_metrics(parts: Sequence[DataFrame], key, metrics: Sequence[str],
                   carry: Sequence[str] = ()) -> DataFrame:
     """Full-outer merge of keyed aggregates, zero-filled.
 
-    Each part holds ``key`` and some of ``metrics``; instead of chaining full
-    outer joins (one shuffle each) the parts are unioned with zeros for the
-    missing metrics and summed in one aggregation.  ``carry`` columns (text)
-    take the first non-blank value.
+    Each part holds ``key`` (one column or several) and some of ``metrics``;
+    instead of chaining full outer joins (one shuffle each) the parts are
+    unioned with zeros for the missing metrics and summed in one
+    aggregation.  ``carry`` columns (text) take the first non-blank value.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     aligned = []
     for p in parts:
-        cols = [F.col(key)]
+        cols = [F.col(k) for k in keys]
         for m in metrics:
             cols.append((F.col(m) if m in p.columns else F.lit(0)).cast("bigint").alias(m))
         for c in carry:
@@ -133,7 +134,7 @@ def merge_metrics(parts: Sequence[DataFrame], key: str, metrics: Sequence[str],
         u = u.unionByName(p)
     aggs = [F.sum(m).cast("bigint").alias(m) for m in metrics]
     aggs += [F.max(F.nullif(F.col(c), F.lit(""))).alias(c) for c in carry]
-    out = u.groupBy(key).agg(*aggs)
+    out = u.groupBy(*keys).agg(*aggs)
     for c in carry:
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit("")))
     return out

@@ -52,15 +52,34 @@ REPORTS = {
 }
 
 
+BACKLOG = ("backlog_team", "backlog_agent", "team_lead_digest", "agent_digest")
+
+
 def run_daily(t: Tables, p: Params, out_dir: str, only=None) -> dict[str, str]:
-    """Write each report to ``out_dir/<name>``; returns name -> folder."""
+    """Write each report to ``out_dir/<name>``; returns name -> folder.
+
+    The four backlog outputs share one job: both backlog levels are
+    computed once (``outbox.backlog_levels``), written, and the team/agent
+    tables and their messages are derived from the written table.
+    """
+    out_dir = out_dir.rstrip("/")
     written = {}
-    for name, fn in REPORTS.items():
-        if only and name not in only:
-            continue
-        path = f"{out_dir.rstrip('/')}/{name}"
-        fn(t, p).write.mode("overwrite").parquet(path)
-        written[name] = path
+
+    def write(name, df):
+        df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        written[name] = f"{out_dir}/{name}"
+
+    wanted = [n for n in REPORTS if not only or n in only]
+    if any(n in BACKLOG for n in wanted):
+        write("backlog_levels", O.backlog_levels(t, p))
+        spark = t.spark or SparkSession.getActiveSession()
+        levels = spark.read.parquet(written["backlog_levels"])
+        team, agent = O.team_from_levels(levels), O.agent_from_levels(levels)
+        derived = {"backlog_team": team, "backlog_agent": agent,
+                   "team_lead_digest": O.team_lead_digest(t, p, backlog=team),
+                   "agent_digest": O.agent_digest(t, p, backlog=agent)}
+    for name in wanted:
+        write(name, derived[name] if name in BACKLOG else REPORTS[name](t, p))
     return written
 
 

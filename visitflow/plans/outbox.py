@@ -156,6 +156,48 @@ def backlog_agent(t: Tables, p: Params) -> DataFrame:
     return out.select("comercial", *METRICS, "equipo")
 
 
+TEAM_LEVEL, AGENT_LEVEL = "equipo", "comercial"
+
+
+def backlog_levels(t: Tables, p: Params) -> DataFrame:
+    """R15 and R16 in one plan, long form ``(nivel, clave, metrics..., equipo)``.
+
+    Each of the three bases is built once and aggregated once over the
+    grouping sets (team) and (agent), instead of once per report: the
+    daily run writes this table and derives both backlogs (and their
+    outboxes) from it.
+    """
+    old = F.year("cd_c_fecha_captacion") <= F.lit(p.old_year)
+    lvl = F.when(F.grouping("team") == 0, F.lit(TEAM_LEVEL)).otherwise(F.lit(AGENT_LEVEL))
+    key = F.when(F.grouping("team") == 0, F.col("team")).otherwise(F.col("agent"))
+
+    def keyed(df: DataFrame, *extra) -> DataFrame:
+        return df.select(_team_expr(p.no_team_label).alias("team"), _agent_expr().alias("agent"), *extra)
+
+    def by_level(df: DataFrame, *aggs) -> DataFrame:
+        g = df.groupingSets([["team"], ["agent"]], "team", "agent").agg(*aggs, lvl.alias("nivel"), key.alias("clave"))
+        ok = (F.col("nivel") == TEAM_LEVEL) | (F.col("clave").isNotNull() & (F.col("clave") != "") & has_at("clave"))
+        return g.filter(ok).drop("team", "agent")
+
+    a = by_level(keyed(_to_schedule_base(t, p), old.alias("old"), _team_expr("").alias("team_blank")),
+                 F.count(F.lit(1)).alias("por_agendar"), count_if(F.col("old")).alias("por_agendar_2025"),
+                 any_value("team_blank").alias("equipo"))
+    a = a.withColumn("equipo", F.when(F.col("nivel") == AGENT_LEVEL, F.col("equipo")))
+    b = by_level(keyed(_cancelled_base(t, p)), F.count(F.lit(1)).alias("canceladas"))
+    c = by_level(keyed(_court_base(t, p)), F.count(F.lit(1)).alias("juzgado"))
+    return joins.merge_metrics([a, b, c], ["nivel", "clave"], METRICS, carry=("equipo",))
+
+
+def team_from_levels(levels: DataFrame) -> DataFrame:
+    """R15 rows out of ``backlog_levels``."""
+    return levels.filter(F.col("nivel") == TEAM_LEVEL).select(F.col("clave").alias("equipo"), *METRICS)
+
+
+def agent_from_levels(levels: DataFrame) -> DataFrame:
+    """R16 rows out of ``backlog_levels``."""
+    return levels.filter(F.col("nivel") == AGENT_LEVEL).select(F.col("clave").alias("comercial"), *METRICS, "equipo")
+
+
 # ---------------------------------------------------------------- R13 -----
 def visit_reminder(t: Tables, p: Params) -> DataFrame:
     """Per agent: how many visits tomorrow (R13).  Per key the earliest
@@ -235,9 +277,10 @@ def cancelled_digest(t: Tables, p: Params) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R17 -----
-def team_lead_digest(t: Tables, p: Params) -> DataFrame:
-    """Per team with any action: lead mail (fallback default) and message."""
-    b = backlog_team(t, p)
+def team_lead_digest(t: Tables, p: Params, backlog: DataFrame | None = None) -> DataFrame:
+    """Per team with any action: lead mail (fallback default) and message.
+    ``backlog`` is an already computed R15 result (e.g. from backlog_levels)."""
+    b = backlog if backlog is not None else backlog_team(t, p)
     b = b.filter(row_total("por_agendar", "canceladas", "juzgado") > 0)
     b = joins.lookup_fallback(b, t.team_lead, "equipo", "equipo", "email", "email", p.lead_default_email)
     return b.select(
@@ -248,10 +291,11 @@ def team_lead_digest(t: Tables, p: Params) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R18 -----
-def agent_digest(t: Tables, p: Params) -> DataFrame:
+def agent_digest(t: Tables, p: Params, backlog: DataFrame | None = None) -> DataFrame:
     """Per agent with a non-zero total: message, sorted by mail; with
-    ``max_messages`` only the first N (R18)."""
-    b = backlog_agent(t, p)
+    ``max_messages`` only the first N (R18).  ``backlog`` is an already
+    computed R16 result."""
+    b = backlog if backlog is not None else backlog_agent(t, p)
     b = b.withColumn("total", row_total("por_agendar", "canceladas", "juzgado")).filter(F.col("total") > 0)
     body = F.concat(
         F.lit(AGENT_HEAD),

@@ -666,3 +666,11 @@ def _positional(spark, sf):
 
 
 register("scan_status_positional", "SELECT nid, fecha, estado FROM status_log", ("status_log",))(_positional)
+
+
+register("report_backlog_levels", f"""
+WITH t AS ({_r15_sql(P_MTD)}), a AS ({_r16_sql(P_MTD)})
+SELECT 'equipo' AS nivel, equipo AS clave, por_agendar, por_agendar_2025, canceladas, juzgado, '' AS equipo FROM t
+UNION ALL
+SELECT 'comercial', comercial, por_agendar, por_agendar_2025, canceladas, juzgado, equipo FROM a""", ROLES_BACKLOG)(
+    lambda spark, sf: O.backlog_levels(tables(spark, sf), P_MTD))

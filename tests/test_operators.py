@@ -202,3 +202,13 @@ def test_global_flag_is_scalar_subquery(spark):
     assert df.filter(aggs.global_flag(df.filter("k = 1"), F.col("f"))).count() == 0
     plan = gated._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_outbox_rows(spark, scratch):
+    msgs = spark.createDataFrame([("a@x", "s", "b", 3)], "email string, subject string, body string, total bigint")
+    assert sinks.outbox_rows(msgs).columns == ["to", "subject", "body", "total"]
+    fixed = sinks.outbox_rows(msgs.drop("email"), fixed_to="coord@x").first()
+    assert fixed["to"] == "coord@x"
+    path = os.path.join(scratch, "outbox")
+    sinks.outbox_write(msgs, path)
+    assert spark.read.parquet(path).first()["to"] == "a@x"

@@ -28,7 +28,14 @@ def json_sink(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def outbox_write(df: DataFrame, path: str) -> None:
+def outbox_rows(df: DataFrame, to: str = "email", fixed_to: str | None = None) -> DataFrame:
+    """Messages as ``(to, subject, body, ...)`` rows (S14): the recipient is
+    the ``to`` column, or ``fixed_to`` for messages with one recipient."""
+    rcpt = F.lit(fixed_to) if fixed_to is not None else F.col(to)
+    rest = [c for c in df.columns if c not in (to, "subject", "body")]
+    return df.select(rcpt.alias("to"), "subject", "body", *rest)
+
+
+def outbox_write(df: DataFrame, path: str, to: str = "email", fixed_to: str | None = None) -> None:
     """Message outbox table (S14); delivery is out of scope."""
-    df.select("to", "subject", "body", *[c for c in df.columns if c not in ("to", "subject", "body")]) \
-        .write.mode("overwrite").parquet(path)
+    outbox_rows(df, to, fixed_to).write.mode("overwrite").parquet(path)

@@ -212,3 +212,35 @@ def test_outbox_rows(spark, scratch):
     path = os.path.join(scratch, "outbox")
     sinks.outbox_write(msgs, path)
     assert spark.read.parquet(path).first()["to"] == "a@x"
+
+
+NESTED = """<p>reporte del registro fotográfico del 2 de mayo</p>
+<table><tr><td>10000001<td>Cali<td>Ana<td>SI</tr>
+<tr><td>10000002</td><td>Bogotá</td><td><table><tr><td>x</td></tr></table>Luis</td><td>No</td></tr></table>"""
+
+
+def test_tree_fallback_equals_native_on_flat_tables(spark):
+    from visitflow.operators.extract import html_rows_tree
+    docs = spark.createDataFrame([(1, HTML), (2, None), (3, "<p>sin tabla</p>")], "doc_id bigint, html string")
+    native = html_rows(docs, "html", keep=["doc_id"])
+    tree = html_rows_tree(docs, "html", keep=["doc_id"])
+    assert rows(native, "doc_id", "row_pos", F.array_join("cells", "|")) == rows(tree, "doc_id", "row_pos",
+                                                                              F.array_join("cells", "|"))
+
+
+def test_tree_fallback_nested_and_unclosed(spark):
+    from visitflow.operators.extract import html_rows_tree
+    docs = spark.createDataFrame([(1, NESTED)], "doc_id bigint, html string")
+    got = [(r["row_pos"], r["cells"]) for r in html_rows_tree(docs, "html", min_cells=1, keep=["doc_id"])
+           .orderBy("row_pos").collect()]
+    # unclosed cells nest inside each other; the nested table's row and cell count as descendants
+    assert got[0] == (0, ["10000001CaliAnaSI", "CaliAnaSI", "AnaSI", "SI"])
+    assert got[1] == (1, ["10000002", "Bogotá", "xLuis", "x", "No"])
+    assert got[2] == (2, ["x"])
+
+
+def test_report_rows_tree_mode(spark):
+    docs = spark.createDataFrame([(1, "r@example.com", None, HTML)],
+                                 "doc_id bigint, sender string, received_at timestamp_ntz, html string")
+    cols = ("nid", "ciudad_correo", "fotografo", "completado", "motivo", "fecha_reporte")
+    assert rows(report_rows(docs, tree=True), *cols) == rows(report_rows(docs), *cols)

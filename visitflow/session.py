@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,8 +52,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}"
-
-
-def fresh_dir(prefix: str = "visitflow-run-") -> str:
-    """A new local scratch folder (tests only); never reused or deleted."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

@@ -13,6 +13,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column for error messages;
+    # the stack inspection costs milliseconds per expression when plans are built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

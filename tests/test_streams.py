@@ -69,3 +69,19 @@ def test_daily_counts_append_mode_emits_closed_windows_only(spark, scratch):
     assert 0 < append.count() < complete.count()
     assert append.exceptAll(complete).count() == 0
     assert append.filter(append.dia == last_day).count() == 0
+
+
+def test_dedup_stream_resumes_from_its_checkpoint(spark, scratch):
+    from visitflow.plans.bindings import driver_report_rows
+    src = os.path.join(scratch, "pages")
+    spark.read.parquet(f"{SF}/pages.parquet").write.parquet(src)
+    pages = spark.read.parquet(src)
+    root = os.path.join(scratch, "run")
+
+    def run():
+        stream = spark.readStream.schema(pages.schema).parquet(src)
+        return spark.read.parquet(S.dedup_reports_stream(spark, driver_report_rows(stream), root=root))
+
+    first = run().count()
+    assert first > 0
+    assert run().count() == first          # restart with no new input: nothing is processed twice

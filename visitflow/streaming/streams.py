@@ -5,7 +5,8 @@ that are really streams (the status log and the visit log / report rows)
 are read incrementally.  Every stream here runs with
 ``trigger(availableNow=True)``, writes its state under the shared checkpoint
 folder (``spark.checkpoint.dir``) and, run to completion, equals its batch
-twin.
+twin.  Without ``root`` each call starts a fresh run folder; with a stable
+``root`` a restarted stream resumes from its checkpointed offsets and state.
 
 * ST1 ``status_fold_stream``: last value per (nid, kind), complete mode.
 * ST2 ``dedup_reports_stream``: one row per (nid, report date) within a
@@ -54,9 +55,11 @@ def _overwrite_each_batch(path: str):
     return write
 
 
-def status_fold_stream(spark: SparkSession, log: DataFrame, day: str, name: str = "status_fold") -> str:
-    """ST1: continuous status fold; returns the folder holding the result."""
-    run = _run_dir(spark, name)
+def status_fold_stream(spark: SparkSession, log: DataFrame, day: str, name: str = "status_fold",
+                       root: str | None = None) -> str:
+    """ST1: continuous status fold; returns the folder holding the result.
+    Pass a stable ``root`` to resume from its checkpoint after a restart."""
+    run = root or _run_dir(spark, name)
     out = f"{run}/table"
     q = (status_fold(log, day).writeStream.outputMode("complete")
          .option("checkpointLocation", f"{run}/_checkpoint")
@@ -66,9 +69,9 @@ def status_fold_stream(spark: SparkSession, log: DataFrame, day: str, name: str
 
 
 def dedup_reports_stream(spark: SparkSession, rows: DataFrame, horizon: str = "30 days",
-                         name: str = "dedup_reports") -> str:
-    """ST2: duplicate-report suppression within a horizon."""
-    run = _run_dir(spark, name)
+                         name: str = "dedup_reports", root: str | None = None) -> str:
+    """ST2: duplicate-report suppression within a horizon (resumable with ``root``)."""
+    run = root or _run_dir(spark, name)
     out = f"{run}/table"
     ev = rows.withColumn("event_ts", F.col("received_at").cast("timestamp"))
     d = (ev.withWatermark("event_ts", horizon)
@@ -128,14 +131,15 @@ def latest_upsert_stream(spark: SparkSession, visits: DataFrame, keys=("nid",),
 
 
 def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFrame, cancel_statuses,
-                        name: str = "daily_counts", mode: str = "complete", lateness: str = "1 day") -> str:
+                        name: str = "daily_counts", mode: str = "complete", lateness: str = "1 day",
+                        root: str | None = None) -> str:
     """ST4: cancellations per agent per UTC day (tumbling window, watermark).
 
     ``complete`` rewrites every window each trigger (equals the batch
     count); ``append`` emits a window once the watermark (max event time
     minus ``lateness``) has passed its end, and drops rows later than that.
     """
-    run = _run_dir(spark, name)
+    run = root or _run_dir(spark, name)
     out = f"{run}/table"
     v = visits.filter(F.col("status").isin(list(cancel_statuses)))
     v = joins.left_cast(v, master, "nid", "nid", ["c_comercial_captacion"])

@@ -149,3 +149,18 @@ def test_spanish_dates_property(spark, parts, today):
     vals = [f"{d}{sep}{m}" for d, m, sep in parts]
     got = one_col(spark, vals, lambda c: dates.spanish_day_month(c, today))
     assert got == [py_report_date(v, today) for v in vals]
+
+
+_NUM = st.integers(0, 62)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 12), st.integers(1, 31), st.integers(0, 25), _NUM, _NUM,
+                          st.booleans(), st.sampled_from(["T", " ", "t"]), st.sampled_from(["", ".000Z", "Z", "x"])),
+                min_size=1, max_size=12))
+def test_utc_to_local_property(spark, parts):
+    vals = []
+    for mo, d, h, mi, s, pad, sep, tail in parts:
+        f = (lambda n: f"{n:02d}") if pad else str
+        vals.append(f"2026-{f(mo)}-{f(d)}{sep}{f(h)}:{f(mi)}:{f(s)}{tail}")
+    assert one_col(spark, vals, dates.utc_to_local_hhmm) == [py_hhmm(v) for v in vals]

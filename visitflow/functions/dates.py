@@ -15,7 +15,7 @@ SPANISH_MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio"
                   "agosto", "septiembre", "octubre", "noviembre", "diciembre")
 # ---------------------------------------------------------------------------
 
-ISO_SECONDS = "yyyy-MM-dd'T'H:m:s"
+ISO_SECONDS = "yyyy-M-d'T'H:m:s"
 
 
 def lit_date(d: dt.date | str) -> Column:

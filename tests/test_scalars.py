@@ -164,3 +164,12 @@ def test_utc_to_local_property(spark, parts):
         f = (lambda n: f"{n:02d}") if pad else str
         vals.append(f"2026-{f(mo)}-{f(d)}{sep}{f(h)}:{f(mi)}:{f(s)}{tail}")
     assert one_col(spark, vals, dates.utc_to_local_hhmm) == [py_hhmm(v) for v in vals]
+
+
+_WS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0        　"
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=_WS + "aZé@.", max_size=10), min_size=1, max_size=10))
+def test_strip_matches_python(spark, vals):
+    assert one_col(spark, vals, text.strip) == [v.strip() for v in vals]

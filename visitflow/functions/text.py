@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .keys import col_
 
-# Unicode-aware whitespace: Spark's trim() strips U+0020 only.
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's str.isspace() set: Unicode White_Space plus the separators U+001C-U+001F.
+# Spark's trim() strips U+0020 only.
+_EDGE_WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def strip(c) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import is_real_key, key_string, safe_cast
+from ..functions.text import strip
 
 # Rows a hinted dimension may hold; beyond it the join stays a shuffle join.
 BOUNDED_DIM_ROWS = 10_000
@@ -107,7 +108,7 @@ def lookup_fallback(left: DataFrame, lookup: DataFrame, left_key: str, key_col:
     """``(d.get(k) or '').strip() or default`` (J12); lookup is a bounded dim."""
     lk = bounded_dim(lookup).select(F.col(key_col).alias("_lk"), F.col(value_col).alias("_lv"))
     out = left.join(lk, F.col(left_key) == F.col("_lk"), "left")
-    val = F.nullif(F.regexp_replace(F.col("_lv"), r"(?U)^\s+|\s+$", ""), F.lit(""))
+    val = F.nullif(strip(F.col("_lv")), F.lit(""))
     return out.withColumn(out_col, F.coalesce(val, F.lit(default))).drop("_lk", "_lv")
 
 

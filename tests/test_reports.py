@@ -128,3 +128,11 @@ def test_results_do_not_depend_on_row_order_or_partitioning(t):
     for fn in (R.visits_tomorrow, R.cancelled, R.to_schedule, O.cancelled_digest, O.backlog_agent):
         a, b = fn(t, P), fn(shuffled, P)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, fn.__name__
+
+
+def test_digest_lines_match_digest_bodies(t):
+    bodies = {r["email"]: r["body"] for r in O.cancelled_digest(t, P).collect()}
+    lines = O.cancelled_digest_lines(t, P).collect()
+    assert lines and {r["email"] for r in lines} == set(bodies)
+    assert all(r["line"] in bodies[r["email"]] for r in lines)
+    assert O.cancelled_digest_lines(t, P.with_(as_of=dt.date(2026, 4, 25))).count() == 0   # weekend

@@ -42,6 +42,7 @@ REPORTS = {
     "status_current": R.status_current,
     "visit_reminder": O.visit_reminder,
     "cancelled_digest": O.cancelled_digest,
+    "cancelled_digest_lines": O.cancelled_digest_lines,
     "backlog_team": O.backlog_team,
     "backlog_agent": O.backlog_agent,
     "team_lead_digest": O.team_lead_digest,

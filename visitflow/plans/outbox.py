@@ -276,6 +276,25 @@ def cancelled_digest(t: Tables, p: Params) -> DataFrame:
         body.alias("body"))
 
 
+def cancelled_digest_lines(t: Tables, p: Params) -> DataFrame:
+    """R14 as message lines instead of one body per agent: one row per
+    cancellation line, ``(email, seccion, fecha, nid, line)``, for agents that
+    get a digest.  The result is range-sorted by (email, section, date, key),
+    so even an agent with a third of all cancellations is split over many
+    tasks; a mailer streams the lines in order.  Same gates as the digest."""
+    rows = cancelled_rows(t, p)
+    new = F.col("tipo") == "nueva"
+    agents = rows.filter(new).select(F.col("email").alias("_agent")).distinct()
+    out = rows.join(agents, F.col("email") == F.col("_agent"), "left_semi")
+    if p.is_weekend and not p.force_weekend:
+        out = out.filter(F.lit(False))
+    line = F.when(new, _fmt(DIGEST_NEW_LINE, nid=F.col("nid"), day=F.col("fecha"))) \
+        .otherwise(_fmt(DIGEST_PENDING_LINE, nid=F.col("nid"), day=F.col("fecha")))
+    out = out.select("email", F.when(new, F.lit("nuevas")).otherwise(F.lit("pendientes")).alias("seccion"),
+                     "fecha", "nid", line.alias("line"))
+    return out.orderBy("email", "seccion", "fecha", "nid")
+
+
 # ---------------------------------------------------------------- R17 -----
 def team_lead_digest(t: Tables, p: Params, backlog: DataFrame | None = None) -> DataFrame:
     """Per team with any action: lead mail (fallback default) and message.

@@ -674,3 +674,17 @@ SELECT 'equipo' AS nivel, equipo AS clave, por_agendar, por_agendar_2025, cancel
 UNION ALL
 SELECT 'comercial', comercial, por_agendar, por_agendar_2025, canceladas, juzgado, equipo FROM a""", ROLES_BACKLOG)(
     lambda spark, sf: O.backlog_levels(tables(spark, sf), P_MTD))
+
+
+register("outbox_cancelled_digest_lines", f"""
+WITH r AS (SELECT * FROM (SELECT v.nid, {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS email,
+             CASE WHEN v.modified_date >= {q(P_MTD.new_since)} THEN 'nueva' ELSE 'pendiente' END AS tipo,
+             CASE WHEN v.fecha_inicio IS NOT NULL AND v.fecha_inicio <> '' THEN split_part(v.fecha_inicio, 'T', 1) ELSE '' END
+               AS fecha
+           FROM {_ur(P_MTD)} v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
+           WHERE v.status IN ('P', 'O') AND v.modified_date >= {q(P_MTD.month_start)}) WHERE email <> '' AND email <> 'nan')
+SELECT email, CASE WHEN tipo = 'nueva' THEN 'nuevas' ELSE 'pendientes' END AS seccion, fecha, nid,
+  CASE WHEN tipo = 'nueva' THEN '  - NID ' || nid || ' (estaba agendado para ' || fecha || ')'
+       ELSE '  - NID ' || nid || ' (agendado para ' || fecha || ')' END AS line
+FROM r WHERE email IN (SELECT email FROM r WHERE tipo = 'nueva')""", ("visit_log", "property_master"))(
+    lambda spark, sf: O.cancelled_digest_lines(tables(spark, sf), P_MTD))

@@ -39,13 +39,13 @@ def _position(digest: Column, i: int, bits: int) -> Column:
 
 
 def repeat_filter(digests: DataFrame, column: str = "text_sha256", max_bits: int = 1 << 27,
-                  bits_per_row: int = 16) -> tuple[DataFrame, int]:
-    """Table (bucket, bitmap) of the positions marked at least twice, and the number of bits."""
+                  bits_per_row: int = 16, times: int = 2) -> tuple[DataFrame, int]:
+    """Table (bucket, bitmap) of the positions marked at least ``times`` times, and the number of bits."""
     rows, bits = digests.count(), ROW_BITS
     while bits < min(max_bits, rows * bits_per_row):
         bits *= 2
     marks = digests.select(F.explode(F.array(*[_position(F.col(column), i, bits) for i in range(HASHES)])).alias("position"))
-    twice = marks.groupBy("position").count().where("count > 1")
+    twice = marks.groupBy("position").count().where(F.col("count") >= times)
     table = (twice.groupBy(F.shiftright("position", 15).cast("int").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.col("position").bitwiseAND(ROW_BITS - 1)).alias("bitmap")))
     return staged(table, "exact-filter"), bits
@@ -55,16 +55,16 @@ def may_repeat(df: DataFrame, table: DataFrame, bits: int, column: str = "text_s
     """Add ``flag``: false only for rows whose hash occurs once."""
     test = F.lit(True)
     for i in range(HASHES):
-        at = f"_at{i}"
+        at = f"__at{i}"
         df = df.withColumn(at, _position(F.col(column), i, bits))
         # at most max_bits / ROW_BITS rows of 4 kB
-        df = df.join(F.broadcast(table.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bitmap").alias(f"_bitmap{i}"))),
-                     F.shiftright(F.col(at), 15).cast("int") == F.col(f"_bucket{i}"), "left")
+        df = df.join(F.broadcast(table.select(F.col("bucket").alias(f"__bucket{i}"), F.col("bitmap").alias(f"__bitmap{i}"))),
+                     F.shiftright(F.col(at), 15).cast("int") == F.col(f"__bucket{i}"), "left")
         bit = F.col(at).bitwiseAND(ROW_BITS - 1).cast("int")
-        byte = F.conv(F.hex(F.col(f"_bitmap{i}").substr(F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        byte = F.conv(F.hex(F.col(f"__bitmap{i}").substr(F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
         test = test & F.coalesce(_bit(byte, bit), F.lit(False))
     df = df.withColumn(flag, test)
-    return df.drop(*[f"{n}{i}" for i in range(HASHES) for n in ("_at", "_bucket", "_bitmap")])
+    return df.drop(*[f"{n}{i}" for i in range(HASHES) for n in ("__at", "__bucket", "__bitmap")])
 
 
 def _bit(byte: Column, bit: Column) -> Column:

@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, sharding
+from . import exact, mixing, near_text, packing, quality, sharding
+
+#: Vocabulary of the packing query.
+VOCABULARY = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.groups(_table(spark, sf_dir, "documents"))
+
+
+def op3_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
 
@@ -23,5 +34,16 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op7_exact_dedup, op9_virtual_slots)}
+def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(VOCABULARY))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op7_exact_dedup, op9_virtual_slots, op10_vector_packing)}
 ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE}

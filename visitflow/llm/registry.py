@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, near_text, packing, quality, sharding
+from . import exact, mixing, near_text, near_vectors, packing, quality, sharding
 
 #: Vocabulary of the packing query.
 VOCABULARY = "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(_table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def vocabulary() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op7_exact_dedup, op9_virtual_slots, op10_vector_packing)}
+    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op7_exact_dedup, op9_virtual_slots, op10_vector_packing)}
 ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE}

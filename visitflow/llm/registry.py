@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, near_text, near_vectors, packing, quality, sharding
+from . import exact, mixing, near_text, near_vectors, packing, quality, sharding, warc
 
 #: Vocabulary of the packing query.
 VOCABULARY = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolve_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def vocabulary() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op7_exact_dedup, op9_virtual_slots, op10_vector_packing)}
-ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE}
+    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op7_exact_dedup, op8_revisits, op9_virtual_slots, op10_vector_packing)}
+ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE, "op8_revisits": warc.ORACLE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, near_text, near_vectors, packing, quality, sharding, warc
+from . import exact, mixing, near_text, near_vectors, packing, quality, sharding, substrings, warc
 
 #: Vocabulary of the packing query.
 VOCABULARY = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op5_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.groups(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents")).drop("runs")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(_table(spark, sf_dir, "documents"))
 
@@ -53,5 +57,5 @@ def vocabulary() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op7_exact_dedup, op8_revisits, op9_virtual_slots, op10_vector_packing)}
+    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op6_deep_shallow, op7_exact_dedup, op8_revisits, op9_virtual_slots, op10_vector_packing)}
 ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE, "op8_revisits": warc.ORACLE}

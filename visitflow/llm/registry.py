@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing, near_text, near_vectors, packing, quality, sharding, substrings, warc
+from . import exact, mixing, near_text, near_vectors, packing, quality, scoring, sharding, substrings, warc
 
 #: Vocabulary of the packing query.
 VOCABULARY = "word_bpe_49k.json"
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.groups(_table(spark, sf_dir, "documents"))
 
@@ -57,5 +61,5 @@ def vocabulary() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op6_deep_shallow, op7_exact_dedup, op8_revisits, op9_virtual_slots, op10_vector_packing)}
+    op1_masked_likelihood, op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op6_deep_shallow, op7_exact_dedup, op8_revisits, op9_virtual_slots, op10_vector_packing)}
 ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE, "op8_revisits": warc.ORACLE}

@@ -87,8 +87,11 @@ def rebalanced_map(current: DataFrame, sizes: DataFrame, shards: int) -> DataFra
     now = now.withColumn("over", over).withColumn("leaves", (F.sum("slot_bytes").over(w) <= F.col("over")) & (F.col("slot_bytes") > 0))
     # one row: at most ``slots`` entries
     state = now.groupBy().agg(F.array_sort(F.collect_list(F.struct((-F.col("slot_bytes")).alias("w"), "virtual_slot", "shard", "leaves"))).alias("s"))
-    load = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda k: F.aggregate(
-        F.filter("s", lambda x: (x["shard"] == k) & ~x["leaves"]), F.lit(0).cast("long"), lambda a, x: a - x["w"]))
+
+    def stays(k: int) -> Column:
+        return F.aggregate(F.filter("s", lambda x: (x["shard"] == k) & ~x["leaves"]), F.lit(0).cast("long"), lambda a, x: a - x["w"])
+
+    load = F.array(*[stays(k) for k in range(shards)])
     placed = state.select(F.filter("s", lambda x: x["leaves"]).alias("s"), load.alias("load"))
     placed = placed.select("s", F.aggregate("s", F.struct("load", F.array().cast("array<int>").alias("to")), _to_lightest)["to"].alias("to"))
     moves = (placed.select(F.explode(F.arrays_zip("s", "to")).alias("z"))

@@ -16,6 +16,7 @@ MASTER = ("nid bigint, c_comercial_captacion string, c_equipo_seller string, tel
 CRM = ("nid bigint, pipeline string, dealstage string, hubspot_owner_id string, equipo_sellers string, "
        "fecha_desistio_inmobiliaria timestamp_ntz")
 T = "Inmobiliaria"
+KIND = {"visit_types": (T,), "visit_categories": (T,), "report_sender": "r@example.com"}
 
 
 def ts(s):

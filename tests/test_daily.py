@@ -4,9 +4,11 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from tests.fixtures import domain_tables
+from tests.fixtures import KIND, domain_tables
 from tests.test_operators import HTML
 from visitflow.operators.extract import report_rows
 from visitflow.params import Params
@@ -49,24 +51,23 @@ def test_daily_cli(spark, scratch):
         json.dump(locations, f)
     out = os.path.join(scratch, "out")
     daily.main(["--roles", roles, "--as-of", "2026-04-23", "--out", out, "--links", f"{links}:Bogotá",
-                "--followup", f"{follow}:Ciudades"])
-    assert sorted(os.listdir(out)) == sorted(list(daily.REPORTS) + ["backlog_levels"])
+                "--followup", f"{follow}:Ciudades", "--visit-type", "Inmobiliaria", "--visit-category", "Inmobiliaria",
+                "--sender", "r@example.com"])
+    assert sorted(os.listdir(out)) == sorted([*daily.REPORTS, "backlog_levels", "report_rows"])
     from visitflow.plans import outbox as O
-    p = Params(as_of=dt.date(2026, 4, 23))
+    p = Params(as_of=dt.date(2026, 4, 23), **KIND)
     for name, fn in (("backlog_team", O.backlog_team), ("backlog_agent", O.backlog_agent)):
         got = spark.read.parquet(os.path.join(out, name))
         assert got.exceptAll(fn(t, p)).count() == 0 and fn(t, p).exceptAll(got).count() == 0
     got = {r["nid"] for r in spark.read.parquet(os.path.join(out, "visits_tomorrow")).collect()}
-    assert got == {r["nid"] for r in R.visits_tomorrow(t, Params(as_of=dt.date(2026, 4, 23))).collect()}
+    assert got == {r["nid"] for r in R.visits_tomorrow(t, Params(as_of=dt.date(2026, 4, 23), **KIND)).collect()}
     assert spark.read.parquet(os.path.join(out, "links")).count() == 1
     cancelled = {r["nid"] for r in spark.read.parquet(os.path.join(out, "cancelled")).collect()}
-    assert cancelled == {r["nid"] for r in R.cancelled(t, Params(as_of=dt.date(2026, 4, 23))).collect()} == {"10000002"}
+    assert cancelled == {r["nid"] for r in R.cancelled(t, Params(as_of=dt.date(2026, 4, 23), **KIND)).collect()} == {"10000002"}
 
 
-def test_status_log_order_from_timestamp(spark):
-    rows = [("1", "perm", "ps:a", None, dt.datetime(2026, 4, 1, 10)),
-            ("1", "perm", "ps:b", None, dt.datetime(2026, 4, 1, 9))]
-    df = spark.createDataFrame(rows, "nid string, fecha string, estado string, usuario string, timestamp timestamp_ntz")
-    log = conform(df, "status_log")
-    from visitflow.operators.status import status_fold
-    assert status_fold(log, "2026-04-02").first()["value"] == "a"      # the later write wins
+def test_status_log_needs_its_sequence(spark):
+    df = spark.createDataFrame([("1", "perm", "ps:a", None, dt.datetime(2026, 4, 1, 10))],
+                               "nid string, fecha string, estado string, usuario string, timestamp timestamp_ntz")
+    with pytest.raises(ValueError, match="no seq"):
+        conform(df, "status_log")

@@ -117,7 +117,7 @@ def test_html_report_rows(spark):
     assert got == [("10000001", "Bogotá", "Ana & Luis", True, None, "23 de abril"),
                    ("10000002", "Cali", "PedroP.", False, "Cliente no estaba", "23 de abril"),
                    ("10000004", "Medellín", "y", True, None, "23 de abril")]
-    assert html_rows(docs, "html").filter("doc_id = 2 or doc_id = 3").count() == 0
+    assert html_rows(docs, "html", keep=["doc_id"]).filter("doc_id = 2 or doc_id = 3").count() == 0
 
 
 def _write(path, text):
@@ -159,8 +159,8 @@ def test_scan_csv_typed(spark, scratch):
 def test_status_append_sink(spark, scratch):
     path = os.path.join(scratch, "log")
     df = spark.createDataFrame([("1", "perm", "ps:listo", None)], "nid string, fecha string, estado string, usuario string")
-    sinks.status_append(df, path)
-    sinks.status_append(df, path)
+    sinks.status_append(df, path, ["nid"])
+    sinks.status_append(df, path, ["nid"])
     back = spark.read.parquet(path)
     assert back.count() == 2 and rows(back, "usuario") == [("",), ("",)]
 
@@ -219,28 +219,74 @@ NESTED = """<p>reporte del registro fotográfico del 2 de mayo</p>
 <tr><td>10000002</td><td>Bogotá</td><td><table><tr><td>x</td></tr></table>Luis</td><td>No</td></tr></table>"""
 
 
-def test_tree_fallback_equals_native_on_flat_tables(spark):
-    from visitflow.operators.extract import html_rows_tree
-    docs = spark.createDataFrame([(1, HTML), (2, None), (3, "<p>sin tabla</p>")], "doc_id bigint, html string")
-    native = html_rows(docs, "html", keep=["doc_id"])
-    tree = html_rows_tree(docs, "html", keep=["doc_id"])
-    assert rows(native, "doc_id", "row_pos", F.array_join("cells", "|")) == rows(tree, "doc_id", "row_pos",
-                                                                              F.array_join("cells", "|"))
-
-
-def test_tree_fallback_nested_and_unclosed(spark):
-    from visitflow.operators.extract import html_rows_tree
+def test_nested_tables_and_omitted_end_tags(spark):
     docs = spark.createDataFrame([(1, NESTED)], "doc_id bigint, html string")
-    got = [(r["row_pos"], r["cells"]) for r in html_rows_tree(docs, "html", min_cells=1, keep=["doc_id"])
-           .orderBy("row_pos").collect()]
+    got = [(r["row_pos"], r["cells"]) for r in html_rows(docs, "html", min_cells=1, keep=["doc_id"]).orderBy("row_pos").collect()]
     # unclosed cells nest inside each other; the nested table's row and cell count as descendants
     assert got[0] == (0, ["10000001CaliAnaSI", "CaliAnaSI", "AnaSI", "SI"])
     assert got[1] == (1, ["10000002", "Bogotá", "xLuis", "x", "No"])
     assert got[2] == (2, ["x"])
 
 
-def test_report_rows_tree_mode(spark):
-    docs = spark.createDataFrame([(1, "r@example.com", None, HTML)],
-                                 "doc_id bigint, sender string, received_at timestamp_ntz, html string")
-    cols = ("nid", "ciudad_correo", "fotografo", "completado", "motivo", "fecha_reporte")
-    assert rows(report_rows(docs, tree=True), *cols) == rows(report_rows(docs), *cols)
+def test_layout_table_and_entities(spark):
+    inner = "<tr><td>10000007</td><td>Bogot&aacute; &#38; Ch&#237;a</td><td>Ana&nbsp;</td><td>s&#105;</td></tr>"
+    html = f"<p>reporte del registro fotográfico del 3 de marzo</p><table><tr><td><table>{inner}{inner.replace('07', '08')}</table></td></tr></table>"
+    docs = spark.createDataFrame([(1, None, html)], "doc_id bigint, received_at timestamp_ntz, html string")
+    got = rows(report_rows(docs), "nid", "ciudad_correo", "fotografo", "completado", "fecha_reporte", "row_pos")
+    assert got == [("10000007", "Bogotá & Chía", "Ana", True, "3 de marzo", 1), ("10000008", "Bogotá & Chía", "Ana", True, "3 de marzo", 2)]
+
+
+def test_read_roles_parses_landed_reports(spark, scratch):
+    from visitflow.sources.roles import read_roles
+    path = os.path.join(scratch, "mails")
+    spark.createDataFrame([(1, "r@example.com", None, NESTED)], "doc_id bigint, sender string, received_at timestamp_ntz, html string").write.parquet(path)
+    t = read_roles(spark, {"photo_report": path})
+    assert rows(t.report_rows, "nid", "ciudad_correo", "resultado") == [("10000002", "Bogotá", "x")]
+
+
+ODD = 'nid,Motivo,Observaciones\n1,m,"linea 1\nlinea 2"\n2,m,"dijo ""no"", y ya"\n3,m,"a, b"\n'
+
+
+def test_cells_as_spreadsheets_write_them(spark, scratch):
+    p = _write(os.path.join(scratch, "odd.csv"), ODD)
+    got = rows(sheets.lookup_reasons([(sheets.read_sheet(spark, p), "B")]), "nid", "observaciones")
+    assert got == [("1", "linea 1\nlinea 2"), ("2", 'dijo "no", y ya'), ("3", "a, b")]
+    typed = scan_csv_typed(spark, p, {"nid": "bigint"})
+    assert rows(typed, "nid", "Observaciones") == [(1, "linea 1\nlinea 2"), (2, 'dijo "no", y ya'), (3, "a, b")]
+    log = _write(os.path.join(scratch, "log.csv"), 'NID ,Fecha,estado\n1,perm,"pc:a, ""b""\nc"\n2,"x,y"\n')
+    assert rows(sheets.read_status_log(spark, log), "nid", "estado") == [("1", 'pc:a, "b"\nc'), ("2", None)]
+    assert rows(sheets.read_status_log_positional(spark, log), "nid", "estado") == [("1", 'pc:a, "b"\nc')]
+
+
+def test_last_write_wins_follows_files_and_lines(spark, scratch):
+    """The later file of a tab is the smaller one; scans pack files by size."""
+    tab = os.path.join(scratch, "tab")
+    os.makedirs(tab)
+    _write(os.path.join(tab, "part-0.csv"), "nid,link publicacion\n" + "".join(f"{i},http://old/{i}\n" for i in range(3000)) + "7,http://mid/7\n")
+    _write(os.path.join(tab, "part-1.csv"), "nid,link publicacion\n5,http://new/5\n")
+    got = dict(rows(sheets.lookup_links([(sheets.read_sheet(spark, tab), "A")]), "nid", "link"))
+    assert got["5"] == "http://new/5" and got["7"] == "http://mid/7" and len(got) == 3000
+    plain = spark.createDataFrame([("1", "http://a")], "nid string, `link publicacion` string")
+    import pytest
+    with pytest.raises(ValueError, match="no row order"):
+        sheets.lookup_links([(plain, "A")])
+
+
+def test_append_keeps_the_order_of_its_rows(spark, scratch):
+    path = os.path.join(scratch, "log")
+    schema = "nid string, fecha string, estado string, usuario string, at int"
+    first = spark.createDataFrame([("1", "perm", f"ps:{i}", None, i) for i in range(50)], schema).repartition(4)
+    sinks.status_append(first, path, ["at"])
+    log = spark.read.parquet(path)
+    assert rows(status_fold(log, "d"), "value") == [("49",)] and log.select("seq").distinct().count() == 50
+    sinks.status_append(spark.createDataFrame([("1", "perm", "ps:z", None, 0)], schema), path, ["at"])
+    assert rows(status_fold(spark.read.parquet(path), "d"), "value") == [("z",)]
+
+
+def test_text_keys_without_a_number_do_not_meet_in_one_partition(spark):
+    left = spark.createDataFrame([(f"x{i}",) for i in range(400)] + [("7",), ("07",), (" 7",), (None,)], "k string")
+    right = spark.createDataFrame([(7, "a")], "k bigint, v string")
+    assert rows(joins.left_cast(left, right, "k", "k", ["v"]).filter("v IS NOT NULL"), "k") == [("7",)]
+    assert rows(joins.left_safecast_on(left, right, "k", "k", None, ["v"]).filter("v IS NOT NULL"), "k") == [(" 7",), ("07",), ("7",)]
+    keys = left.select(joins.spread_key(left, "k").alias("s"))
+    assert keys.filter("s IS NULL").count() == 0 and keys.distinct().count() >= 400

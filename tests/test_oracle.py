@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as E
 from scripts.oracle_check import TABLES, digest
+from visitflow.plans import registry
 
 SF = "/root/testdata/sf0.001"
-KEYS = [k for k in E.oracle_sql() if not k.startswith("stream_")]
+KEYS = [k for k in registry.ORACLES if not k.startswith("stream_")]
 
 
 @pytest.fixture(scope="module")

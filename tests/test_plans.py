@@ -1,8 +1,10 @@
 """Physical-plan checks over every registered query (planned, not executed)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from visitflow.plans import registry
 
 SF = "/root/testdata/sf0.001"
 BANNED = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF")
@@ -15,7 +17,7 @@ def plan_text(df):
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for k, fn in E.queries().items():
+    for k, fn in registry.QUERIES.items():
         if k.startswith("stream_"):
             continue
         out[k] = plan_text(fn(spark, SF))
@@ -75,3 +77,52 @@ def test_bucketed_roles_remove_shuffles(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_month_filter_lies_below_the_ranking(spark):
+    """Only this month's rows are ranked, and the filter reaches the scan."""
+    from visitflow.plans import outbox as O
+    from visitflow.plans import registry as r
+    text = plan_text(O.cancelled_rows(r.tables(spark, SF), r.P_MTD))
+    window, scan = text.index("Window"), text.index("orders.parquet")
+    assert window < text.rindex("Filter", 0, scan) and "2001-07-01" in text[window:]
+
+
+def test_a_day_ranks_only_its_keys(spark):
+    from visitflow.plans import reports as R
+    from visitflow.plans import registry as r
+    text = plan_text(R.latest_visits(r.tables(spark, SF), r.P_ORD, only=F.col("fecha_fin").startswith("2001-07-02")))
+    assert text.index("Window") < text.index("LeftSemi")
+
+
+def test_one_pass_over_the_visits_for_status_and_finished(spark):
+    from visitflow.plans import reports as R
+    from visitflow.plans import registry as r
+    text = plan_text(R.visit_state(r.tables(spark, SF), r.P_REP))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+
+
+def test_no_list_of_a_group_is_gathered(plans):
+    bad = [k for k, p in plans.items() if "collect_list" in p or "collect_set" in p]
+    assert bad == []
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    from visitflow.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -9,7 +9,7 @@ from visitflow.operators.extract import report_rows
 from visitflow.params import Params
 from visitflow.plans import outbox as O
 from visitflow.plans import reports as R
-from tests.fixtures import domain_tables
+from tests.fixtures import KIND, domain_tables
 from tests.test_operators import HTML
 
 AS_OF = dt.date(2026, 4, 23)
@@ -25,7 +25,7 @@ def t(spark):
     return tables
 
 
-P = Params(as_of=AS_OF)
+P = Params(as_of=AS_OF, **KIND)
 
 
 def test_r1_visits_tomorrow(t):
@@ -64,7 +64,9 @@ def test_r13_reminder_keeps_stale_rows(t):
 def test_r14_digest_gates(t):
     out = O.cancelled_digest(t, P).collect()
     assert [(r["email"], r["n_nuevas"], r["n_pendientes"]) for r in out] == [("agent1@example.com", 1, 0)]
-    assert "NID 10000004 (estaba agendado para 2026-04-22)" in out[0]["body"]
+    lines = [r["line"] for r in O.cancelled_digest_lines(t, P).collect()]
+    assert lines == ["  - NID 10000004 (estaba agendado para 2026-04-22)"] and out[0]["pending_head"] == ""
+    assert out[0]["head"].startswith("Hola Sched One,") and out[0]["tail"].endswith(P.signature)
     assert O.cancelled_digest(t, P.with_(as_of=dt.date(2026, 4, 25))).count() == 0        # Saturday
     assert O.cancelled_digest(t, P.with_(as_of=dt.date(2026, 5, 1))).count() == 0         # first of month
 
@@ -91,15 +93,18 @@ def test_r17_r18_outbox(t, spark):
 
 
 def test_r19_summary(t):
-    b = {r["bucket"]: r["count"] for r in O.confirmation_buckets(t, P).collect()}
-    assert b == {"confirmadas": 0, "sin_confirmar": 1, "canceladas": 1}
+    b = O.confirmation_buckets(t, P).first().asDict()
+    assert b == {"confirmadas": 0, "sin_confirmar": 1, "canceladas": 1, "total": 2}
     s = O.confirmation_summary(t, P).first()
-    assert s["subject"].endswith("0 confirmadas, 1 canceladas") and "--- CONFIRMADAS (0) ---\n  Ninguna" in s["body"]
+    assert s["subject"].endswith("0 confirmadas, 1 canceladas") and s["head_confirmadas"] == "--- CONFIRMADAS (0) ---\n"
+    lines = [(r["bucket"], r["line"]) for r in O.confirmation_summary_lines(t, P).collect()]
+    assert [x for x, _ in lines] == ["confirmadas", "sin_confirmar", "canceladas"] and lines[0][1] == "  Ninguna"
 
 
 def test_r20_notices(t):
     out = O.cancellation_notices(t, P).collect()
     assert [r["nid"] for r in out] == ["10000008"] and out[0]["subject"] == "CANCELADA 360"
+    assert out[0]["to"] == ", ".join(P.notice_emails)
 
 
 def test_r3_court_candidates(t):
@@ -130,9 +135,52 @@ def test_results_do_not_depend_on_row_order_or_partitioning(t):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, fn.__name__
 
 
-def test_digest_lines_match_digest_bodies(t):
-    bodies = {r["email"]: r["body"] for r in O.cancelled_digest(t, P).collect()}
+def test_digest_lines_go_to_the_agents_of_the_digest(t):
+    agents = {r["email"]: r["n_nuevas"] + r["n_pendientes"] for r in O.cancelled_digest(t, P).collect()}
     lines = O.cancelled_digest_lines(t, P).collect()
-    assert lines and {r["email"] for r in lines} == set(bodies)
-    assert all(r["line"] in bodies[r["email"]] for r in lines)
+    assert lines and {e: sum(r["email"] == e for r in lines) for e in agents} == agents
     assert O.cancelled_digest_lines(t, P.with_(as_of=dt.date(2026, 4, 25))).count() == 0   # weekend
+
+
+def test_r3_drops_opinions_without_a_master_row(t):
+    from visitflow.plans.bindings import Tables
+    t2 = Tables(t)
+    t2["property_master"] = t.property_master.filter("nid <> 10000004")
+    assert R.court_candidates(t2, P).count() == 0
+    # the backlog counts keep such opinions
+    assert sum(r["juzgado"] for r in O.backlog_team(t2, P).collect()) == sum(r["juzgado"] for r in O.backlog_team(t, P).collect())
+
+
+def test_order_of_the_listings(t, spark):
+    from visitflow.plans.bindings import driver_params, driver_tables
+    d = driver_tables(spark, "/root/testdata/sf0.001")
+
+    def newest_first(df, column):
+        got = [(r[column], r["nid"]) for r in df.collect()]
+        assert len(got) > 1 and [x for x, _ in got] == sorted((x for x, _ in got), reverse=True)
+
+    newest_first(R.court_candidates(d, driver_params(dt.date(2024, 7, 15))), "fecha_desfavorable")
+    p = driver_params(dt.date(2026, 4, 23))
+    newest_first(R.to_schedule(d, p), "fecha_captacion")
+    newest_first(R.to_publish_no_photos(d, p), "fecha_captacion")
+    newest_first(R.published_links(d, p), "fecha_publicacion")
+    teams = [r["equipo"] for r in O.team_lead_digest(d, driver_params(dt.date(2001, 7, 20))).collect()]
+    assert len(teams) > 1 and teams == sorted(teams)
+    dates = R.report_dates(d, p).collect()
+    seen = {r["fecha_reporte"]: r["m"] for r in R.report_window(d.report_rows, p, 30).groupBy("fecha_reporte").agg(
+        F.min(F.struct("received_at", "doc_id")).alias("m")).collect()}
+    assert [r[0] for r in dates] == sorted(seen, key=lambda k: tuple(seen[k]))
+
+
+@pytest.mark.parametrize("key,order", [("sort_nulls", lambda r: (r["fecha"] is not None, r["fecha"] or "", r["nid"])),
+                                       ("sort_group_key", lambda r: r["equipo"])])
+def test_sorted_keys(spark, key, order):
+    from visitflow.plans import registry
+    got = registry.QUERIES[key](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) > 1 and got == sorted(got, key=order)
+
+
+def test_sort_default_blank(spark):
+    from visitflow.plans import registry
+    got = [((r["equipo_sellers"] or ""), r["nid"]) for r in registry.QUERIES["sort_default_blank"](spark, "/root/testdata/sf0.001").collect()]
+    assert [x for x, _ in got] == sorted((x for x, _ in got), reverse=True) and len({x for x, _ in got}) > 1

@@ -173,3 +173,19 @@ _WS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0        　"
 @given(st.lists(st.text(alphabet=_WS + "aZé@.", max_size=10), min_size=1, max_size=10))
 def test_strip_matches_python(spark, vals):
     assert one_col(spark, vals, text.strip) == [v.strip() for v in vals]
+
+
+def test_local_time_in_a_zone_with_clock_changes(spark):
+    vals = ["2026-03-08T05:00:00.000Z", "2026-03-08T07:30:00", "2026-11-01T05:30:00", "2026-03-08T12:00:00"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one_col(spark, vals, dates.utc_to_local_hhmm) == [py_hhmm(v) for v in vals]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_calendar_strings(spark):
+    df = spark.createDataFrame([(dt.date(2026, 2, 28),)], "d date")
+    assert tuple(df.select(dates.iso("d"), dates.tomorrow("d"), dates.yesterday("d"), dates.month_start("d")).first()) == (
+        "2026-02-28", "2026-03-01", "2026-02-27", "2026-02-01")

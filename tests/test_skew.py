@@ -1,6 +1,7 @@
 """The pre-aggregated card choice of R5 equals the plain join-then-filter form,
 including a hot property that holds a large share of all cards."""
 
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def naive_choice(t, p, photos):
 
 def engine_choice(t, p, photos):
     cd = t.property_master.select("nid").join(photos, "nid", "left")
-    c = cd.join(R._card_choice(t, p), F.col("nid") == F.col("card_nid"), "left")
+    c = cd.join(R._card_choice(t, p, t.listing_card), F.col("nid") == F.col("card_nid"), "left")
     c = c.withColumn("best", F.when(F.coalesce("p_360", F.lit(False)), F.col("best_not_live"))
                      .otherwise(F.col("best_any")))
     c = c.filter(F.col("card_nid").isNull() | F.col("best").isNotNull())
@@ -50,7 +51,7 @@ def test_card_choice_matches_naive_form_under_skew(spark):
     t["listing_card"] = spark.createDataFrame(cards, "id bigint, nid bigint, active int")
     t["listing_state"] = spark.createDataFrame(states, "property_card_id bigint, current_state_id int")
     photos = spark.createDataFrame([(n, n % 3 == 0) for n in nids if n % 2], "nid bigint, p_360 boolean")
-    p = Params()
+    p = Params(as_of=dt.date(2026, 4, 23), visit_types=(), visit_categories=(), report_sender="")
     a, b = naive_choice(t, p, photos), engine_choice(t, p, photos)
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -2,73 +2,109 @@
 
 import os
 
+from pyspark.sql import functions as F
 
 from visitflow.operators.latest import latest_per_key
-from visitflow.plans.bindings import bind_visit_log
+from visitflow.plans.bindings import bind_visit_log, driver_tables
 from visitflow.streaming import streams as S
 
 SF = "/root/testdata/sf0.001"
 
 
+def files(spark, df, scratch, conditions, name="in"):
+    """One parquet file for each condition, read by the stream in this order."""
+    flat = os.path.join(scratch, name)
+    os.makedirs(flat)
+    for i, cond in enumerate(conditions):
+        part = os.path.join(scratch, f"{name}-{i}")
+        df.filter(cond).coalesce(1).write.parquet(part)
+        f = next(x for x in os.listdir(part) if x.endswith(".parquet"))
+        os.link(os.path.join(part, f), os.path.join(flat, f"f{i}.parquet"))
+        os.utime(os.path.join(flat, f"f{i}.parquet"), (1_700_000_000 + i, 1_700_000_000 + i))
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(flat)
+
+
+def same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_latest_upsert_over_many_batches(spark, scratch):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
-    src = os.path.join(scratch, "orders")
     # three files with overlapping keys: later files may hold older rows
-    for i, cond in enumerate(["o_orderstatus = 'O'", "o_orderstatus = 'P'", "o_orderstatus = 'F'"]):
-        orders.filter(cond).coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
-    files = [os.path.join(src, d, f) for d in sorted(os.listdir(src)) for f in os.listdir(os.path.join(src, d))
-             if f.endswith(".parquet")]
-    flat = os.path.join(scratch, "flat")
-    os.makedirs(flat)
-    for i, f in enumerate(files):
-        os.link(f, os.path.join(flat, f"f{i}.parquet"))
-    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(flat)
+    stream = files(spark, orders, scratch, ["o_orderstatus = 'O'", "o_orderstatus = 'P'", "o_orderstatus = 'F'"])
     out = S.latest_upsert_stream(spark, bind_visit_log(stream), root=os.path.join(scratch, "run"))
-    assert out.endswith("v=2")
-    got = spark.read.parquet(out).select("nid", "record_id")
+    assert S.versions(spark, out) == [0, 1, 2]
     exp = latest_per_key(bind_visit_log(orders), "nid", "modified_date", "record_id").select("nid", "record_id")
-    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
-
+    assert same(S.read_keyed(spark, out).select("nid", "record_id"), exp)
+    assert S.vacuum(spark, out) > 0
+    assert same(S.read_keyed(spark, out).select("nid", "record_id"), exp)
 
-def test_daily_counts_stream_equals_batch(spark):
-    import __spark_entry__ as E
-    got = E.queries()["stream_daily_counts"](spark, SF)
-    assert got.count() > 0
-    assert set(got.columns) == {"dia", "agente", "canceladas"}
 
-
-def test_upsert_batch_replay_is_idempotent(spark, scratch):
+def test_upsert_batch_rewrites_only_the_buckets_it_touches(spark, scratch):
     rows = "nid string, modified_date string, record_id bigint, status string"
-    b0 = spark.createDataFrame([("1", "2026-04-01", 1, "A"), ("2", "2026-04-01", 2, "A")], rows)
-    b1 = spark.createDataFrame([("1", "2026-04-03", 3, "B"), ("2", "2026-03-01", 4, "C")], rows)
     root = os.path.join(scratch, "versions")
     upsert = S.upsert_batch(spark, root)
-    upsert(b0, 0)
-    upsert(b1, 1)
-    first = sorted(tuple(r) for r in spark.read.parquet(f"{root}/v=1").collect())
-    upsert(b1, 1)  # the same micro-batch again, as after a failed attempt
-    again = sorted(tuple(r) for r in spark.read.parquet(f"{root}/v=1").collect())
-    assert first == again == [("1", "2026-04-03", 3, "B"), ("2", "2026-04-01", 2, "A")]
+    upsert(spark.createDataFrame([(str(i), "2026-04-01", i, "A") for i in range(200)], rows), 0)
+    batch = spark.createDataFrame([("1", "2026-04-03", 900, "B"), ("2", "2026-03-01", 901, "C")], rows)
+    upsert(batch, 1)
+    written = [d for d in os.listdir(f"{root}/v=1") if d.startswith("bucket=")]
+    assert 1 <= len(written) <= 2 < len([d for d in os.listdir(f"{root}/v=0") if d.startswith("bucket=")])
+    first = sorted(tuple(r) for r in S.read_keyed(spark, root).collect())
+    upsert(batch, 1)  # the same micro-batch again, as after a failed attempt
+    assert first == sorted(tuple(r) for r in S.read_keyed(spark, root).collect())
+    assert ("1", "2026-04-03", 900, "B") in first and ("2", "2026-04-01", 2, "A") in first and len(first) == 200
+
+
+def test_status_fold_over_files_in_any_order(spark, scratch):
+    from visitflow.operators.status import status_fold
+    from visitflow.plans.bindings import bind_status_log
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    stream = files(spark, events, scratch, ["event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 1"])
+    out = S.status_fold_stream(spark, bind_status_log(stream), "2001-07-02", root=os.path.join(scratch, "run"))
+    assert len(S.versions(spark, out)) == 3
+    got = S.current_values(spark, out, ["nid", "kind"])
+    assert same(got, status_fold(bind_status_log(events), "2001-07-02")) and got.count() > 0
+
+
+def test_daily_counts_over_files_in_any_order(spark, scratch):
+    t = driver_tables(spark, SF)
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    # newest first
+    stream = files(spark, orders, scratch, ["year(o_orderdate) >= 1999", "year(o_orderdate) between 1997 and 1998", "year(o_orderdate) < 1997"])
+    out = S.daily_counts_stream(spark, bind_visit_log(stream), t.property_master, ["P", "O"], root=os.path.join(scratch, "run"))
+    batch = S._cancellations(bind_visit_log(orders), t.property_master, ["P", "O"])
+    exp = batch.groupBy(F.substring("modified_date", 1, 10).alias("dia"), "agente").count()
+    assert same(S.daily_counts(spark, out), exp.withColumnRenamed("count", "canceladas"))
 
 
-def test_daily_counts_append_mode_emits_closed_windows_only(spark, scratch):
-    from visitflow.plans.bindings import driver_tables
+def test_closed_windows_only(spark, scratch):
     t = driver_tables(spark, SF)
-    src = os.path.join(scratch, "orders")
-    spark.read.parquet(f"{SF}/orders.parquet").write.parquet(src)
-    orders = spark.read.parquet(src)
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+
+    def run(closed, name):
+        stream = files(spark, orders, scratch, ["TRUE"], name)
+        return S.daily_counts_stream(spark, bind_visit_log(stream), t.property_master, ["P", "O"], closed_only=closed)
+
+    whole = S.daily_counts(spark, run(False, "a"))
+    closed = spark.read.parquet(run(True, "b"))
+    last_day = whole.agg({"dia": "max"}).first()[0]
+    # emitted windows are final (equal to the whole result); the newest ones stay open
+    assert 0 < closed.count() < whole.count()
+    assert closed.exceptAll(whole).isEmpty() and closed.filter(closed.dia == last_day).isEmpty()
 
-    def run(mode):
-        stream = spark.readStream.schema(orders.schema).parquet(src)
-        path = S.daily_counts_stream(spark, bind_visit_log(stream), t.property_master, ["P", "O"], mode=mode)
-        return spark.read.parquet(path)
 
-    complete, append = run("complete"), run("append")
-    last_day = complete.agg({"dia": "max"}).first()[0]
-    # emitted windows are final (equal to the complete result); the newest ones stay open
-    assert 0 < append.count() < complete.count()
-    assert append.exceptAll(complete).count() == 0
-    assert append.filter(append.dia == last_day).count() == 0
+def test_late_reports_are_set_aside(spark, scratch):
+    import datetime as dt
+    day = dt.datetime(2026, 4, 1)
+    rows = [(f"{i % 40}", f"{i % 7} de abril", day + dt.timedelta(days=i % 90), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "nid string, fecha_reporte string, received_at timestamp_ntz, i int")
+    # newest first: the rows of the last file lie behind the horizon
+    stream = files(spark, df, scratch, ["i % 90 >= 60", "i % 90 between 30 and 59", "i % 90 < 30"])
+    run = S.dedup_reports_stream(spark, stream, root=os.path.join(scratch, "run"))
+    assert same(S.deduplicated(spark, run), df.select("nid", "fecha_reporte").distinct())
+    late = S._read_versions(spark, f"{run}/late").count()
+    kept = S._read_versions(spark, f"{run}/kept")
+    assert late > 0 and kept.select("nid", "fecha_reporte").distinct().count() == kept.count()
 
 
 def test_dedup_stream_resumes_from_its_checkpoint(spark, scratch):
@@ -80,8 +116,9 @@ def test_dedup_stream_resumes_from_its_checkpoint(spark, scratch):
 
     def run():
         stream = spark.readStream.schema(pages.schema).parquet(src)
-        return spark.read.parquet(S.dedup_reports_stream(spark, driver_report_rows(stream), root=root))
+        return S.deduplicated(spark, S.dedup_reports_stream(spark, driver_report_rows(stream), root=root))
 
     first = run().count()
     assert first > 0
     assert run().count() == first          # restart with no new input: nothing is processed twice
+    assert len(S.versions(spark, f"{root}/kept")) == 1

@@ -2,7 +2,7 @@
 
     from visitflow import Params, read_roles, reports, outbox
     t = read_roles(spark, {"visit_log": "db.visits", "property_master": "db.master", ...})
-    reports.visits_tomorrow(t, Params(as_of=datetime.date(2026, 4, 23))).show()
+    reports.visits_tomorrow(t, Params(as_of=datetime.date(2026, 4, 23), visit_types=("...",), visit_categories=("...",), report_sender="...")).show()
 """
 
 from .params import Params  # noqa: F401

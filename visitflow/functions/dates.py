@@ -13,9 +13,10 @@ from .text import strip
 # --- fixed values: Spanish month names, in calendar order ----------------
 SPANISH_MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio",
                   "agosto", "septiembre", "octubre", "noviembre", "diciembre")
+DAY_MONTH = r"^(\d+)\s+de\s+([a-záéíóúñ]+)"
 # ---------------------------------------------------------------------------
 
-ISO_SECONDS = "yyyy-M-d'T'H:m:s"
+ISO_SECONDS = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def lit_date(d: dt.date | str) -> Column:
@@ -41,21 +42,21 @@ def days_back(as_of: dt.date, n: int) -> Column:
     return F.date_sub(lit_date(as_of), n)
 
 
-def iso(d: dt.date) -> str:
-    return d.isoformat()
+def iso(c) -> Column:
+    """A date as ``yyyy-MM-dd`` (F10: calendar strings)."""
+    return F.date_format(F.to_date(col_(c)), "yyyy-MM-dd")
 
 
-def tomorrow_str(as_of: dt.date) -> str:
-    """F10 calendar strings."""
-    return (as_of + dt.timedelta(days=1)).isoformat()
+def tomorrow(c) -> Column:
+    return iso(F.date_add(col_(c), 1))
 
 
-def yesterday_str(as_of: dt.date) -> str:
-    return (as_of - dt.timedelta(days=1)).isoformat()
+def yesterday(c) -> Column:
+    return iso(F.date_sub(col_(c), 1))
 
 
-def month_start_str(as_of: dt.date) -> str:
-    return as_of.replace(day=1).isoformat()
+def month_start(c) -> Column:
+    return iso(F.trunc(col_(c), "MM"))
 
 
 def business_lookback_days(as_of_col) -> Column:
@@ -71,14 +72,18 @@ def utc_to_local_hhmm(c, offset_hours: int = -5) -> Column:
     """UTC ISO text -> ``hh:mm AM/PM`` at ``offset_hours``.
 
     '' when null or without ``T``; when the first 19 characters do not parse,
-    the first 5 characters after the first ``T``.
+    the first 5 characters after the first ``T``.  The time carries no zone, so
+    the session's zone and its clock changes do not matter.
     """
     c = col_(c)
-    ts = F.try_to_timestamp(F.substring(c, 1, 19), F.lit(ISO_SECONDS))
-    local = ts + F.make_interval(hours=F.lit(offset_hours))
+    head = F.substring(c, 1, 19)
+    ts = F.when(head.rlike(ISO_SECONDS), head.try_cast("timestamp_ntz"))
+    local = ts + F.make_dt_interval(hours=F.lit(offset_hours))
+    hour, minute = F.hour(local), F.minute(local)
+    text = F.format_string("%02d:%02d %s", (hour + 11) % 12 + 1, minute, F.when(hour < 12, "AM").otherwise("PM"))
     fallback = F.substring(F.split_part(c, F.lit("T"), F.lit(2)), 1, 5)
     return (F.when(c.isNull() | ~c.contains("T"), F.lit(""))
-            .otherwise(F.coalesce(F.date_format(local, "hh:mm a"), fallback)))
+            .otherwise(F.coalesce(F.when(local.isNotNull(), text), fallback)))
 
 
 def _sorted_letters(c: Column) -> Column:
@@ -95,9 +100,8 @@ def spanish_day_month(c, as_of: dt.date, future_slack_days: int = 2) -> Column:
     non-leap year).
     """
     low = strip(F.lower(col_(c)))
-    pat = r"^(\d+)\s+de\s+([a-záéíóúñ]+)"
-    day = F.regexp_extract(low, pat, 1).try_cast("int")
-    name = F.nullif(F.regexp_extract(low, pat, 2), F.lit(""))
+    day = F.regexp_extract(low, DAY_MONTH, 1).try_cast("int")
+    name = F.nullif(F.regexp_extract(low, DAY_MONTH, 2), F.lit(""))
     names = F.array(*[F.lit(m) for m in SPANISH_MONTHS])
     keys = F.array(*[F.lit("".join(sorted(m))) for m in SPANISH_MONTHS])
     month = F.coalesce(F.nullif(F.array_position(names, name), F.lit(0)),

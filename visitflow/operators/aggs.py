@@ -39,11 +39,11 @@ def having(df: DataFrame, pred: Column) -> DataFrame:
     return df.filter(pred)
 
 
-def collect_sorted(item: Column, pred: Column | None = None) -> Column:
-    """Deterministic per-key list (A10): ``collect_list`` is order-free, so the
-    array is sorted; with ``pred`` only matching rows are collected."""
-    v = item if pred is None else F.when(pred, item)
-    return F.array_sort(F.collect_list(v))
+def ranked_items(df: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """Per-key lists as rows (A10): each item of a key, sorted over the keys and
+    items.  A range sort deals one key of any size over many tasks; no list is
+    gathered."""
+    return df.select(*keys, item).orderBy(*keys, item)
 
 
 def global_flag(df: DataFrame, pred: Column) -> Column:
@@ -58,10 +58,3 @@ def row_total(*cols) -> Column:
     for c in cols:
         out = out + F.coalesce(col_(c), F.lit(0)).cast("bigint")
     return out
-
-
-def status_buckets(df: DataFrame, bucket: Column, names: Sequence[str]) -> DataFrame:
-    """Counts per bucket with every bucket present, plus ``total``."""
-    aggs = [count_if(bucket == F.lit(n)).alias(n) for n in names]
-    out = df.agg(*aggs)
-    return out.withColumn("total", sum((F.col(n) for n in names[1:]), F.col(names[0])))

@@ -2,8 +2,6 @@
 
 No operator forces a broadcast of data that grows with the input: AQE turns
 a shuffle join into a broadcast only after it has measured the built side.
-``bounded_dim`` is the single place a hint is added, for fixed lookup tables
-whose size is checked.
 """
 
 from __future__ import annotations
@@ -13,33 +11,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import is_real_key, key_string, safe_cast
+from ..functions.keys import canonical_long, safe_cast
 from ..functions.text import strip
 
-# Rows a hinted dimension may hold; beyond it the join stays a shuffle join.
-BOUNDED_DIM_ROWS = 10_000
 
+def spread_key(left: DataFrame, key) -> Column:
+    """Numeric join key of a text key: the number it spells, else a negative
+    number that differs from row to row, so rows without a number are dealt
+    over all partitions and not to the one of null."""
+    k = F.col(key) if isinstance(key, str) else key
+    apart = -1 - F.pmod(F.xxhash64(*left.columns), F.lit(1 << 62))
+    return F.coalesce(safe_cast(k), apart)
 
-def bounded_dim(dim: DataFrame, max_rows: int = BOUNDED_DIM_ROWS) -> DataFrame:
-    """Broadcast hint for a lookup whose row count is known to be small.
 
-    Only in-memory local relations (``createDataFrame`` on a short list) are
-    sized here without running a job; anything read from storage is left to
-    AQE, which measures it at run time.
-    """
-    plan = dim._jdf.queryExecution().optimizedPlan()
-    if plan.nodeName() == "LocalRelation" and plan.data().size() <= max_rows:
-        return F.broadcast(dim)
-    return dim
+def _with_right(left: DataFrame, right: DataFrame, left_key: str, right_key: str, match: Column,
+                right_cols: Sequence[str] | None, prefix: str) -> DataFrame:
+    r = right.withColumn("_jk", F.col(right_key))
+    if right_cols is not None:
+        r = r.select("_jk", *[F.col(c).alias(prefix + c) for c in right_cols])
+    keyed = left.withColumn("_lk", spread_key(left, left_key)).withColumn("_ok", match)
+    return keyed.join(r, (F.col("_lk") == F.col("_jk")) & F.col("_ok"), "left").drop("_lk", "_ok", "_jk")
 
 
 def left_cast(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               right_cols: Sequence[str] | None = None, prefix: str = "") -> DataFrame:
-    """``LEFT JOIN r ON l.k = CAST(r.k AS STRING)``."""
-    r = right.withColumn("_jk", key_string(right_key))
-    if right_cols is not None:
-        r = r.select("_jk", *[F.col(c).alias(prefix + c) for c in right_cols])
-    return left.join(r, F.col(left_key) == F.col("_jk"), "left").drop("_jk")
+    """``LEFT JOIN r ON l.k = CAST(r.k AS STRING)`` for an integral ``r.k``.
+
+    The join runs on the number, so the right side keeps the partitioning and
+    bucketing of its key; only a text that is exactly the number's decimal
+    form matches, as with the cast."""
+    return _with_right(left, right, left_key, right_key, canonical_long(left_key).isNotNull(), right_cols, prefix)
 
 
 def left_safecast_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -51,10 +52,7 @@ def left_safecast_on(left: DataFrame, right: DataFrame, left_key: str, right_key
     is applied to the right side before the join, where it reaches the scan.
     """
     r = right if right_pred is None else right.filter(right_pred)
-    r = r.withColumn("_jk", F.col(right_key))
-    if right_cols is not None:
-        r = r.select("_jk", *[F.col(c).alias(prefix + c) for c in right_cols])
-    return left.join(r, safe_cast(left_key) == F.col("_jk"), "left").drop("_jk")
+    return _with_right(left, r, left_key, right_key, safe_cast(left_key).isNotNull(), right_cols, prefix)
 
 
 def semi(left: DataFrame, keys: DataFrame, left_key, key_col: str) -> DataFrame:
@@ -105,8 +103,8 @@ def lookup_default(left: DataFrame, lookup: DataFrame, left_key: str, key_col: s
 
 def lookup_fallback(left: DataFrame, lookup: DataFrame, left_key: str, key_col: str,
                     value_col: str, out_col: str, default: str) -> DataFrame:
-    """``(d.get(k) or '').strip() or default`` (J12); lookup is a bounded dim."""
-    lk = bounded_dim(lookup).select(F.col(key_col).alias("_lk"), F.col(value_col).alias("_lv"))
+    """``(d.get(k) or '').strip() or default``."""
+    lk = lookup.select(F.col(key_col).alias("_lk"), F.col(value_col).alias("_lv"))
     out = left.join(lk, F.col(left_key) == F.col("_lk"), "left")
     val = F.nullif(strip(F.col("_lv")), F.lit(""))
     return out.withColumn(out_col, F.coalesce(val, F.lit(default))).drop("_lk", "_lv")
@@ -139,7 +137,3 @@ def merge_metrics(parts: Sequence[DataFrame], key, metrics: Sequence[str],
     for c in carry:
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit("")))
     return out
-
-
-def real_keys(df: DataFrame, key: str) -> DataFrame:
-    return df.filter(is_real_key(key))

@@ -16,11 +16,6 @@ def union_all(dfs: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame
     return out
 
 
-def key_set(df: DataFrame, key: str) -> DataFrame:
-    """Distinct non-null keys."""
-    return df.select(key).filter(F.col(key).isNotNull()).distinct()
-
-
 def except_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in ``other``."""
     return df.join(other.select(F.col(key).alias("_xk")), F.col(key) == F.col("_xk"), "left_anti")
@@ -29,8 +24,3 @@ def except_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
 def split_by(df: DataFrame, flag: str) -> tuple[DataFrame, DataFrame]:
     """One labelled frame, two filtered views."""
     return df.filter(F.col(flag)), df.filter(~F.col(flag))
-
-
-def top_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
-    """First N after a total sort (O4): TakeOrderedAndProject, no global sort."""
-    return df.orderBy(*order).limit(n)

@@ -43,7 +43,7 @@ def _entries(day: str) -> Column:
     """Array of (kind, value) entries one log row contributes."""
     est, fecha = F.col("estado"), F.col("fecha")
     p = F.substring(est, 1, 3)
-    v = F.substring(est, 4, 1 << 30)
+    v = F.substr(est, F.lit(4))
     daily = fecha == F.lit(day)
     perm = fecha == F.lit(PERM_SCOPE)
 

@@ -1,19 +1,19 @@
 """Report parameters.
 
-Every constant that the original reports hard-code is a field here, with the
-original value as default.  Reports take a ``Params`` and never read the
-clock: ``as_of`` is the day the report is run for.
+Constants that the original reports hard-code are fields here, with the
+original value as default.  The day, the tracked visit kind and the sender of
+the reports have no default: without them a report would run on an empty or
+unfiltered input.  Reports never read the clock.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values: defaults that must equal the original reports ----------
 PIPELINE_ID = "803674753"
 LOST_STAGE = "1182117639"
-VISIT_TYPE = "Inmobiliaria"
 SCHEDULED_STATUSES = ("Agendado", "Cerrado")
 REMINDER_STATUSES = ("Agendado",)
 CANCEL_STATUSES_REPORT = ("Cancelado", "No realizada")
@@ -48,11 +48,12 @@ CANCELLED = "cancelada"
 
 @dataclass(frozen=True)
 class Params:
-    as_of: dt.date = field(default_factory=dt.date.today)
+    as_of: dt.date
+    visit_types: tuple
+    visit_categories: tuple
+    report_sender: str
     pipeline_id: str = PIPELINE_ID
     lost_stage: str = LOST_STAGE
-    visit_types: tuple = (VISIT_TYPE,)
-    visit_categories: tuple = (VISIT_TYPE,)
     scheduled_statuses: tuple = SCHEDULED_STATUSES
     reminder_statuses: tuple = REMINDER_STATUSES
     cancel_statuses_report: tuple = CANCEL_STATUSES_REPORT
@@ -83,16 +84,12 @@ class Params:
     future_slack_days: int = 2
     utc_offset_hours: int = -5
     no_team_label: str = NO_TEAM_LABEL
-    # Visit-day filter; ``None`` means "tomorrow" (as_of + 1) as an ISO date.
-    visit_day_prefix: str | None = None
-    report_sender: str | None = None
-    # Status-log day; ``None`` means tomorrow, like the visit day.
-    status_day: str | None = None
     subject_text: str = "Fotos cliente"
     portal_url: str = "https://portal.example.com"
     signature: str = "Equipo Inmobiliaria"
     lead_default_email: str = "leads@example.com"
     coordinator_email: str = "coordination@example.com"
+    notice_emails: tuple = ("coordination@example.com", "operations@example.com")
     max_messages: int | None = None
     force_weekend: bool = False
     confirmed_label: str = CONFIRMED
@@ -107,11 +104,13 @@ class Params:
 
     @property
     def day_prefix(self) -> str:
-        return self.visit_day_prefix if self.visit_day_prefix is not None else self.tomorrow.isoformat()
+        """The visit day: ISO timestamps of tomorrow start with it."""
+        return self.tomorrow.isoformat()
 
     @property
     def status_day_str(self) -> str:
-        return self.status_day if self.status_day is not None else self.tomorrow.isoformat()
+        """The status-log day."""
+        return self.tomorrow.isoformat()
 
     @property
     def month_start(self) -> str:

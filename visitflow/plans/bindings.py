@@ -11,21 +11,26 @@ benchmark scale.  ``oracle_roles.py`` restates every binding in DuckDB SQL.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.extract import html_rows
+from ..functions.dates import SPANISH_MONTHS
+from ..operators.extract import report_rows
 from ..params import Params
+from ..session import checkpoint_path
+from ..sources.sheets import with_order
 
 # Driver keys are offset so property ids look like real 8-digit NIDs (the
 # subject-key regex needs 8+ digits).
 KEY_OFFSET = 10_000_000
 
-# --- fixed values: month names used to write report-date sentences --------
-REPORT_MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio",
-                 "agosto", "septiembre", "octubre", "noviembre", "diciembre")
-# ---------------------------------------------------------------------------
+# Days of the visit and status logs, from this one on: any day of the four
+# weeks has rows in both.
+FIRST_DAY, DAYS = "2001-07-01", 28
+# Keys that no property has: some deals and opinions carry them.
+UNKNOWN_OFFSET = 9_000_000
 
 ROLES = ("visit_log", "property_master", "crm_deal", "crm_deal_raw", "listing_card",
          "listing_image", "listing_state", "process_history", "clearance_tower",
@@ -38,6 +43,8 @@ class Tables(dict):
 
     ``raw(name)`` reads a source table the roles were bound from, for the
     few operators that work on a source directly (HTML pages, documents).
+    A role may be given as a function without arguments; it is bound when it
+    is first read.
     """
 
     spark = None
@@ -46,6 +53,12 @@ class Tables(dict):
     def raw(self, name: str) -> DataFrame:
         return _read(self.spark, self.source_dir, name)
 
+    def __getitem__(self, name):
+        value = super().__getitem__(name)
+        if callable(value):
+            value = self[name] = value()
+        return value
+
     def __getattr__(self, name):
         try:
             return self[name]
@@ -53,6 +66,11 @@ class Tables(dict):
             raise AttributeError(name) from e
 
 
+def _day(number: F.Column) -> F.Column:
+    """One of the ``DAYS`` days of the visit and status logs."""
+    return _date_plus(FIRST_DAY, number % DAYS)
+
+
 def _iso(c) -> F.Column:
     return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z"))
 
@@ -107,17 +125,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Roles of one scale folder, each bound when it is first read."""
     r = lambda n: _read(spark, sf_dir, n)
-    orders, customer, nation = r("orders"), r("customer"), r("nation")
-    supplier, lineitem, events = r("supplier"), r("lineitem"), r("events")
-    part, pages, documents = r("part"), r("pages"), r("documents")
     t = Tables()
     t.spark, t.source_dir = spark, sf_dir
+    bal, sbal, v = F.col("c_acctbal"), F.col("s_acctbal"), F.col("value")
+    lang = F.col("lang")
+    did = (F.col("doc_id") + F.lit(KEY_OFFSET)).cast("string")
 
-    t["visit_log"] = bind_visit_log(orders)
-
-    bal = F.col("c_acctbal")
-    t["property_master"] = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+    t["visit_log"] = lambda: bind_visit_log(r("orders"))
+    t["property_master"] = lambda: r("customer").join(r("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         _key("c_custkey").alias("nid"),
         F.concat(F.lit(" Agent_"), F.col("c_nationkey").cast("string"), F.lit("@Example.com")).alias("c_comercial_captacion"),
         F.col("c_mktsegment").alias("c_equipo_seller"),
@@ -131,9 +148,8 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.col("c_mktsegment").alias("c_tipo_contrato_firmado"),
     )
 
-    sbal = F.col("s_acctbal")
-    t["crm_deal"] = supplier.select(
-        _key("s_suppkey").alias("nid"),
+    t["crm_deal"] = lambda: r("supplier").select(
+        F.when(F.col("s_suppkey") % 10 == 9, F.col("s_suppkey") + UNKNOWN_OFFSET).otherwise(_key("s_suppkey")).cast("bigint").alias("nid"),
         F.when(sbal >= 0, F.lit("P1")).otherwise(F.lit("P0")).alias("pipeline"),
         F.col("s_nationkey").cast("string").alias("dealstage"),
         F.when(F.col("s_nationkey") == 5, F.lit(""))
@@ -142,32 +158,31 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.when(sbal > 5000, F.lit("CRM_TEAM")).when(sbal > 2000, F.lit("")).alias("equipo_sellers"),
         F.when(sbal > 9000, _ts("2025-03-01 00:00:00")).alias("fecha_desistio_inmobiliaria"),
     )
-    t["crm_deal_raw"] = supplier.select(
+    t["crm_deal_raw"] = lambda: r("supplier").select(
         _key("s_suppkey").alias("nid"),
         F.when(F.col("s_nationkey") == 3, F.lit("NPH")).when(F.col("s_nationkey") == 4, F.lit(""))
         .alias("flag_inmueble_nph"),
     )
-    t["listing_card"] = orders.select(
+    t["listing_card"] = lambda: r("orders").select(
         F.col("o_orderkey").alias("id"), _key("o_custkey").alias("nid"),
         F.when(F.col("o_orderstatus") == "F", F.lit(0)).otherwise(F.lit(1)).alias("active"))
-    t["listing_image"] = lineitem.select(
+    t["listing_image"] = lambda: r("lineitem").select(
         F.col("l_orderkey").alias("property_card_id"),
         F.col("l_quantity").cast("int").alias("source_image_id"),
         F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).alias("deleted_at"))
-    t["listing_state"] = lineitem.select(
+    t["listing_state"] = lambda: r("lineitem").select(
         F.col("l_orderkey").alias("property_card_id"),
         F.col("l_linenumber").alias("current_state_id"),
         F.col("l_shipdate").alias("date_publication"))
 
-    v = F.col("value")
-    t["process_history"] = events.select(
+    t["process_history"] = lambda: r("events").select(
         _key("user_id").alias("nid"),
         F.when(v < 100, F.lit("pipeA")).when(v < 200, F.lit("pipeB")).otherwise(F.lit("pipeC")).alias("pipe_id"),
         F.col("event_type").alias("phase_name"),
         F.col("ts").alias("first_time_in_phase"),
         F.col("event_id").alias("record_id"))
-    t["clearance_tower"] = events.select(
-        _key("user_id").alias("nid"),
+    t["clearance_tower"] = lambda: r("events").select(
+        F.when(F.col("event_id") % 10 == 0, F.col("user_id") + UNKNOWN_OFFSET).otherwise(_key("user_id")).cast("bigint").alias("nid"),
         F.col("event_type").alias("v_concepto_del_defensor_de_familia"),
         F.col("ts").alias("v_fecha_concepto_del_defensor_de_familia"),
         F.concat(F.lit("Client "), F.col("user_id").cast("string")).alias("v_nombre_cliente_1"),
@@ -175,23 +190,22 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.col("event_type").alias("v_flag_desistidos_patrimonio"),
         F.col("ts").alias("v_fecha_inicio_fase_actual_patrimonio_de_familia"),
         F.col("event_id").alias("record_id"))
-    t["intake_detail"] = customer.select(
+    t["intake_detail"] = lambda: r("customer").select(
         _key("c_custkey").alias("nid"),
         F.when(bal >= 1000, F.col("c_mktsegment")).alias("estado_patrimonio"),
         F.when(bal > 7000, _ts("2026-05-01 00:00:00")).alias("date_publication"))
-    t["seller_intake"] = part.select(_key("p_partkey").alias("nid"),
+    t["seller_intake"] = lambda: r("part").select(_key("p_partkey").alias("nid"),
                                      F.col("p_brand").alias("gravamenes_del_apartamento"))
-    t["seller_form"] = part.select(
+    t["seller_form"] = lambda: r("part").select(
         _key("p_partkey").alias("nid_1"),
         F.when(F.col("p_size") > 40, F.lit("")).otherwise(F.col("p_name")).alias("nombre_de_edificio_conjunto"))
 
-    t["status_log"] = bind_status_log(events)
+    t["status_log"] = lambda: bind_status_log(r("events"))
 
-    t["report_rows"] = driver_report_rows(pages)
+    t["photo_report"] = lambda: bind_photo_reports(r("pages"))
+    t["report_rows"] = lambda: landed(report_rows(t.photo_report, keep=("doc_id", "sender", "received_at")), "report_rows")
 
-    lang = F.col("lang")
-    did = (F.col("doc_id") + F.lit(KEY_OFFSET)).cast("string")
-    t["photo_subject"] = documents.select(
+    t["photo_subject"] = lambda: r("documents").select(
         F.col("doc_id").alias("msg_id"),
         _date_plus("2026-02-01", F.col("doc_id") % 90).alias("received_at"),
         F.when(lang == "es", F.concat(F.lit("Fotos cliente ("), did, F.lit(")")))
@@ -201,34 +215,47 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     pid = (F.col("page_id") + F.lit(KEY_OFFSET)).cast("string")
     url = F.col("url")
-    tab_a = pages.select(pid.alias("NID"), url.alias("Link Publicación"))
-    tab_b = pages.filter(url.contains("/en/")).select(
-        pid.alias("nid"),
-        F.when(url.contains("#"), F.lit("NO APLICA")).otherwise(F.regexp_replace(url, "^http:", "https:"))
-        .alias(" link publicacion "))
-    t["link_tabs"] = [(tab_a, "Bogotá"), (tab_b, "Ciudades")]
+    secure = F.when(url.contains("#"), F.lit("NO APLICA")).otherwise(F.regexp_replace(url, "^http:", "https:"))
+
+    def link_tabs():
+        pages = with_order(r("pages"), "page_id")
+        return [(pages.select(pid.alias("NID"), url.alias("Link Publicación"), "__seq"), "Bogotá"),
+                (pages.select(pid.alias("nid"), secure.alias(" link publicacion "), "__seq"), "Ciudades")]
 
+    t["link_tabs"] = link_tabs
     nch = F.col("n_chars")
     estado = (F.when(nch < 500, F.lit("Publicado")).when(nch < 2000, F.lit(" PUBLICADA "))
               .otherwise(F.lit("No publicado")))
-    tab_c = documents.filter(lang == "es").select(
-        did.alias("NID"), F.col("source").alias("Motivo"), F.col("lang").alias("Observaciones"),
-        estado.alias("Estado Publicación"))
-    tab_d = documents.filter(lang != "es").select(
-        did.alias("nid"), F.col("source").alias("Razón"), estado.alias("estado publicacion"))
-    t["followup_tabs"] = [(tab_c, "Bogotá"), (tab_d, "Ciudades")]
 
+    def followup_tabs():
+        documents = with_order(r("documents"), "doc_id")
+        tab_c = documents.filter(lang == "es").select(
+            did.alias("NID"), F.col("source").alias("Motivo"), F.col("lang").alias("Observaciones"),
+            estado.alias("Estado Publicación"), "__seq")
+        tab_d = documents.filter(lang != "es").select(
+            did.alias("nid"), F.col("source").alias("Razón"), estado.alias("estado publicacion"), "__seq")
+        return [(tab_c, "Bogotá"), (tab_d, "Ciudades")]
+
+    t["followup_tabs"] = followup_tabs
     seg = F.col("c_mktsegment")
-    t["team_lead"] = customer.filter(seg != "FURNITURE").select(seg.alias("equipo")).distinct().select(
+    # teams of deals and properties without a team have no lead
+    t["team_lead"] = lambda: r("customer").select(seg.alias("equipo")).distinct().select(
         "equipo",
         F.when(F.col("equipo") == "HOUSEHOLD", F.lit(" "))
         .otherwise(F.concat(F.lower("equipo"), F.lit("-lead@example.com"))).alias("email"))
     return t
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a parsed input once to the shared folder, so that a report can read it several times."""
+    path = checkpoint_path(df.sparkSession, f"landed/{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bind_visit_log(orders: DataFrame) -> DataFrame:
     """``visit_log`` role from ``orders`` (batch or streaming)."""
-    start = F.col("o_orderdate") + F.make_dt_interval(secs=F.floor("o_totalprice").cast("int"))
+    start = _day(F.col("o_custkey") + F.col("o_orderkey") % 3) + F.make_dt_interval(secs=F.floor("o_totalprice").cast("int") % 80_000)
     return orders.select(
         (F.col("o_custkey") + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
         F.col("o_orderstatus").alias("status"),
@@ -254,11 +281,12 @@ def bind_status_log(events: DataFrame) -> DataFrame:
     """``status_log`` role from ``events`` (batch or streaming)."""
     v = F.col("value")
     et = F.col("event_type")
+    person = F.col("user_id") * 10 + F.col("event_id") % 10
     return events.select(
-        (F.col("user_id") + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
+        (person + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
         F.when(et.isin("purchase", "signup"), F.lit("perm"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("fecha"),
-        F.when(et == "view", F.when(v < 170, F.lit("confirmada")).otherwise(F.lit("cancelada")))
+        .otherwise(F.date_format(_day(person), "yyyy-MM-dd")).alias("fecha"),
+        F.when(et == "view", F.when(F.col("event_id") % 2 == 0, F.lit("confirmada")).otherwise(F.lit("cancelada")))
         .when(et == "click", F.lit("wa:1"))
         .when(et == "error", F.when(v < 30, F.lit("cc:desistido")).otherwise(F.lit("cc:llamado")))
         .when(et == "purchase", F.when(v < 20, F.lit("ps:")).otherwise(F.lit("ps:listo")))
@@ -270,26 +298,33 @@ def bind_status_log(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"))
 
 
-def driver_report_rows(pages: DataFrame) -> DataFrame:
-    """Visit-report rows out of the driver's web pages: each page is one
-    report, its first list holds the rows (one link per row).  The page id
-    is the property key, so one key repeats across a page's rows."""
-    items = html_rows(pages, "html", container="ul", row_tag="li", cell_tag="a", min_cells=1,
-                      keep=["page_id", "url"])
-    months = F.array(*[F.lit(m) for m in REPORT_MONTHS])
+def bind_photo_reports(pages: DataFrame) -> DataFrame:
+    """``photo_report`` documents from the driver's web pages (batch or
+    streaming): each page is one mail with a date sentence and a table; the
+    items of the page's first list are the table's rows, entities and inner
+    tags included.  Every fifth table lies in a layout table, every third
+    leaves out the cells' end tags of its last column."""
     pid = F.col("page_id")
+    months = F.array(*[F.lit(m) for m in SPANISH_MONTHS])
     fecha = F.concat((pid % 31 + 1).cast("string"), F.lit(" de "), F.element_at(months, (pid % 12 + 1).cast("int")))
-    cell0 = F.col("cells")[0]
-    return items.select(
-        F.col("page_id").alias("doc_id"),
+    items = F.regexp_extract_all(F.regexp_extract("html", r"(?is)<ul\b[^>]*>(.*?)</ul\s*>", 1), F.lit(r"(?is)<li\b[^>]*>.*?<a\b[^>]*>(.*?)</a\s*>.*?</li\s*>"), 1)
+    end = F.when(pid % 3 == 0, F.lit("")).otherwise(F.lit("</td>"))
+
+    def row(item, place):
+        outcome = F.when(place == 0, F.lit(" si ")).otherwise(item)
+        return F.concat(F.lit("<tr><td>"), (pid + F.lit(KEY_OFFSET)).cast("string"), F.lit("</td><td>"), item, F.lit("</td><td>Foto "),
+                        place.cast("string"), F.lit("</td><td>"), outcome, end, F.lit("</tr>"))
+
+    table = F.concat(F.lit("<table>"), F.array_join(F.transform(items, row), ""), F.lit("</table>"))
+    table = F.when(pid % 5 == 0, F.concat(F.lit("<table><tr><td>"), table, F.lit("</td></tr></table>"))).otherwise(table)
+    return pages.select(
+        pid.alias("doc_id"),
         F.when(F.col("url").startswith("https"), F.lit("reports@example.com"))
         .otherwise(F.lit("noreply@example.org")).alias("sender"),
         _date_plus("2026-03-01", pid % 60).alias("received_at"),
-        fecha.alias("fecha_reporte"),
-        F.col("row_pos"),
-        (pid + F.lit(KEY_OFFSET)).cast("string").alias("nid"),
-        cell0.alias("ciudad_correo"),
-        F.concat(F.lit("Foto "), F.col("row_pos").cast("string")).alias("fotografo"),
-        F.when(F.col("row_pos") == 0, F.lit("SI")).otherwise(cell0).alias("resultado"),
-    ).withColumn("completado", F.col("row_pos") == 0) \
-     .withColumn("motivo", F.when(F.col("row_pos") != 0, F.col("resultado")))
+        F.concat(F.lit("<p>Adjunto el reporte del registro fotográfico del "), fecha, F.lit(".</p>"), table).alias("html"))
+
+
+def driver_report_rows(pages: DataFrame) -> DataFrame:
+    """Rows parsed out of ``bind_photo_reports``."""
+    return report_rows(bind_photo_reports(pages), keep=("doc_id", "sender", "received_at"))

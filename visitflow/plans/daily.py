@@ -1,8 +1,9 @@
 """Daily run: every report and outbox for one ``as_of``, written as tables.
 
     python -m visitflow.plans.daily --roles roles.json --as-of 2026-04-23 --out <folder> \
+        --visit-type KIND --visit-category KIND --sender reports@... \
         [--links a.csv:Bogotá --links b.csv:Ciudades] [--followup ...] [--only report ...] \
-        [--bucketed-db name --buckets 512]
+        [--lookback-days 30] [--force-weekend] [--first-messages N] [--bucketed-db name --buckets 512]
 
 ``roles.json`` maps role names (FIXTURES.md) to parquet paths or catalog
 tables.  Each report is written to ``<out>/<report>`` (parquet, overwrite):
@@ -20,6 +21,7 @@ import json
 from pyspark.sql import SparkSession
 
 from ..params import Params
+from ..sources.sinks import outbox_rows
 from ..sources.roles import read_roles
 from . import outbox as O
 from . import reports as R
@@ -49,10 +51,13 @@ REPORTS = {
     "agent_digest": O.agent_digest,
     "confirmation_buckets": O.confirmation_buckets,
     "confirmation_summary": O.confirmation_summary,
+    "confirmation_summary_lines": O.confirmation_summary_lines,
     "cancellation_notices": O.cancellation_notices,
 }
 
 
+# Messages written as outbox rows (to, subject, ...): name -> recipient column.
+OUTBOX = {"visit_reminder": "email", "team_lead_digest": "email", "agent_digest": "email"}
 BACKLOG = ("backlog_team", "backlog_agent", "team_lead_digest", "agent_digest")
 
 
@@ -64,23 +69,28 @@ def run_daily(t: Tables, p: Params, out_dir: str, only=None) -> dict[str, str]:
     tables and their messages are derived from the written table.
     """
     out_dir = out_dir.rstrip("/")
-    written = {}
+    spark, written = t.spark or SparkSession.getActiveSession(), {}
 
     def write(name, df):
         df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         written[name] = f"{out_dir}/{name}"
 
     wanted = [n for n in REPORTS if not only or n in only]
+    if "report_rows" in t:
+        # several reports read the parsed mails; they are parsed once
+        write("report_rows", t["report_rows"])
+        t = Tables(t)
+        t["report_rows"] = spark.read.parquet(written["report_rows"])
     if any(n in BACKLOG for n in wanted):
         write("backlog_levels", O.backlog_levels(t, p))
-        spark = t.spark or SparkSession.getActiveSession()
         levels = spark.read.parquet(written["backlog_levels"])
         team, agent = O.team_from_levels(levels), O.agent_from_levels(levels)
         derived = {"backlog_team": team, "backlog_agent": agent,
                    "team_lead_digest": O.team_lead_digest(t, p, backlog=team),
                    "agent_digest": O.agent_digest(t, p, backlog=agent)}
     for name in wanted:
-        write(name, derived[name] if name in BACKLOG else REPORTS[name](t, p))
+        df = derived[name] if name in BACKLOG else REPORTS[name](t, p)
+        write(name, outbox_rows(df, OUTBOX[name]) if name in OUTBOX else df)
     return written
 
 
@@ -97,6 +107,12 @@ def main(argv=None) -> None:
     ap.add_argument("--roles", required=True)
     ap.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--visit-type", action="append", required=True)
+    ap.add_argument("--visit-category", action="append", required=True)
+    ap.add_argument("--sender", required=True)
+    ap.add_argument("--lookback-days", type=int, help="of completed and cancelled reports")
+    ap.add_argument("--force-weekend", action="store_true")
+    ap.add_argument("--first-messages", type=int)
     ap.add_argument("--links", action="append")
     ap.add_argument("--followup", action="append")
     ap.add_argument("--only", nargs="*")
@@ -109,7 +125,11 @@ def main(argv=None) -> None:
     t = read_roles(spark, locations, _tabs(a.links), _tabs(a.followup))
     if a.bucketed_db:
         t = materialize_roles(spark, t, a.bucketed_db, a.buckets)
-    run_daily(t, Params(as_of=a.as_of), a.out, a.only)
+    p = Params(as_of=a.as_of, visit_types=tuple(a.visit_type), visit_categories=tuple(a.visit_category), report_sender=a.sender,
+               force_weekend=a.force_weekend, max_messages=a.first_messages)
+    if a.lookback_days is not None:
+        p = p.with_(completed_lookback_days=a.lookback_days, cancelled_lookback_days=a.lookback_days)
+    run_daily(t, p, a.out, a.only)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ needed CTEs (dependencies included).
 
 from __future__ import annotations
 
-from .bindings import KEY_OFFSET
+from .bindings import KEY_OFFSET, UNKNOWN_OFFSET
 
 K = KEY_OFFSET
 
@@ -15,8 +15,8 @@ ROLE_SQL: dict[str, str] = {
     "visit_log": f"""
   SELECT CAST(o_custkey + {K} AS VARCHAR) AS nid, o_orderstatus AS status,
          o_orderpriority AS visit_type, o_orderpriority AS visit_category,
-         strftime(o_orderdate + to_seconds(CAST(FLOOR(o_totalprice) AS BIGINT)), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS fecha_inicio,
-         strftime(o_orderdate + to_seconds(CAST(FLOOR(o_totalprice) AS BIGINT)) + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS fecha_fin,
+         strftime(DATE '2001-07-01' + CAST((o_custkey + o_orderkey % 3) % 28 AS INTEGER) + to_seconds(CAST(FLOOR(o_totalprice) AS BIGINT) % 80000), '%Y-%m-%dT%H:%M:%S') || '.000Z' AS fecha_inicio,
+         strftime(DATE '2001-07-01' + CAST((o_custkey + o_orderkey % 3) % 28 AS INTEGER) + to_seconds(CAST(FLOOR(o_totalprice) AS BIGINT) % 80000) + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS fecha_fin,
          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS modified_date,
          o_orderpriority AS ciudad_muni, o_orderstatus AS zona,
          'Calle ' || CAST(o_orderkey AS VARCHAR) AS direccion,
@@ -40,7 +40,7 @@ ROLE_SQL: dict[str, str] = {
          c_mktsegment AS c_tipo_contrato_firmado
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "crm_deal": f"""
-  SELECT CAST(s_suppkey + {K} AS BIGINT) AS nid,
+  SELECT CAST(CASE WHEN s_suppkey % 10 = 9 THEN s_suppkey + {UNKNOWN_OFFSET} ELSE s_suppkey + {K} END AS BIGINT) AS nid,
          CASE WHEN s_acctbal >= 0 THEN 'P1' ELSE 'P0' END AS pipeline,
          CAST(s_nationkey AS VARCHAR) AS dealstage,
          CASE WHEN s_nationkey = 5 THEN '' ELSE 'Owner_' || CAST(s_nationkey AS VARCHAR) || '@example.com' END AS hubspot_owner_id,
@@ -69,7 +69,7 @@ ROLE_SQL: dict[str, str] = {
          event_type AS phase_name, ts AS first_time_in_phase, event_id AS record_id
   FROM events""",
     "clearance_tower": f"""
-  SELECT CAST(user_id + {K} AS BIGINT) AS nid,
+  SELECT CAST(CASE WHEN event_id % 10 = 0 THEN user_id + {UNKNOWN_OFFSET} ELSE user_id + {K} END AS BIGINT) AS nid,
          event_type AS v_concepto_del_defensor_de_familia,
          ts AS v_fecha_concepto_del_defensor_de_familia,
          'Client ' || CAST(user_id AS VARCHAR) AS v_nombre_cliente_1,
@@ -89,10 +89,10 @@ ROLE_SQL: dict[str, str] = {
   SELECT CAST(p_partkey + {K} AS BIGINT) AS nid_1,
          CASE WHEN p_size > 40 THEN '' ELSE p_name END AS nombre_de_edificio_conjunto FROM part""",
     "status_log": f"""
-  SELECT CAST(user_id + {K} AS VARCHAR) AS nid,
-         CASE WHEN event_type IN ('purchase', 'signup') THEN 'perm' ELSE strftime(ts, '%Y-%m-%d') END AS fecha,
+  SELECT CAST(user_id * 10 + event_id % 10 + {K} AS VARCHAR) AS nid,
+         CASE WHEN event_type IN ('purchase', 'signup') THEN 'perm' ELSE strftime(DATE '2001-07-01' + CAST((user_id * 10 + event_id % 10) % 28 AS INTEGER), '%Y-%m-%d') END AS fecha,
          CASE event_type
-           WHEN 'view' THEN CASE WHEN value < 170 THEN 'confirmada' ELSE 'cancelada' END
+           WHEN 'view' THEN CASE WHEN event_id % 2 = 0 THEN 'confirmada' ELSE 'cancelada' END
            WHEN 'click' THEN 'wa:1'
            WHEN 'error' THEN CASE WHEN value < 30 THEN 'cc:desistido' ELSE 'cc:llamado' END
            WHEN 'purchase' THEN CASE WHEN value < 20 THEN 'ps:' ELSE 'ps:listo' END
@@ -112,17 +112,18 @@ ROLE_SQL: dict[str, str] = {
             lambda s: regexp_replace(replace(replace(replace(replace(replace(replace(s, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
                                 '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')), ''))) AS cl
     FROM pages)""",
+    # every fifth report lies in a layout table, whose row counts as row 0
     "report_rows": f"""
   SELECT page_id AS doc_id,
          CASE WHEN starts_with(url, 'https') THEN 'reports@example.com' ELSE 'noreply@example.org' END AS sender,
          CAST(DATE '2026-03-01' + CAST(page_id % 60 AS INTEGER) AS TIMESTAMP) AS received_at,
          CAST(page_id % 31 + 1 AS VARCHAR) || ' de ' ||
            ['enero','febrero','marzo','abril','mayo','junio','julio','agosto','septiembre','octubre','noviembre','diciembre'][CAST(page_id % 12 + 1 AS INTEGER)] AS fecha_reporte,
-         row_pos, CAST(page_id + {K} AS VARCHAR) AS nid, cells[1] AS ciudad_correo,
+         row_pos + CASE WHEN page_id % 5 = 0 THEN 1 ELSE 0 END AS row_pos, CAST(page_id + {K} AS VARCHAR) AS nid, cells[1] AS ciudad_correo,
          'Foto ' || CAST(row_pos AS VARCHAR) AS fotografo,
-         CASE WHEN row_pos = 0 THEN 'SI' ELSE cells[1] END AS resultado,
-         row_pos = 0 AS completado,
-         CASE WHEN row_pos <> 0 THEN cells[1] END AS motivo
+         CASE WHEN row_pos = 0 THEN 'si' ELSE cells[1] END AS resultado,
+         row_pos = 0 OR upper(cells[1]) = 'SI' AS completado,
+         CASE WHEN NOT (row_pos = 0 OR upper(cells[1]) = 'SI') THEN cells[1] END AS motivo
   FROM page_items WHERE len(cells) >= 1""",
     "photo_subject": f"""
   SELECT doc_id AS msg_id,
@@ -139,7 +140,7 @@ ROLE_SQL: dict[str, str] = {
   SELECT CAST(page_id + {K} AS VARCHAR) AS nid,
          CASE WHEN contains(url, '#') THEN 'NO APLICA' ELSE regexp_replace(url, '^http:', 'https:') END AS link,
          1 AS tab_order, page_id AS row_order
-  FROM pages WHERE contains(url, '/en/')""",
+  FROM pages""",
     "followup_rows": f"""
   SELECT CAST(doc_id + {K} AS VARCHAR) AS nid, source AS motivo, lang AS observaciones,
          CASE WHEN n_chars < 500 THEN 'Publicado' WHEN n_chars < 2000 THEN ' PUBLICADA ' ELSE 'No publicado' END AS estado,
@@ -152,7 +153,7 @@ ROLE_SQL: dict[str, str] = {
   FROM documents WHERE lang <> 'es'""",
     "team_lead": """
   SELECT equipo, CASE WHEN equipo = 'HOUSEHOLD' THEN ' ' ELSE lower(equipo) || '-lead@example.com' END AS email
-  FROM (SELECT DISTINCT c_mktsegment AS equipo FROM customer WHERE c_mktsegment <> 'FURNITURE')""",
+  FROM (SELECT DISTINCT c_mktsegment AS equipo FROM customer)""",
 }
 
 DEPENDS = {"report_rows": ("page_items",)}

@@ -1,9 +1,9 @@
 """Backlog aggregates (R15, R16) and message outbox tables.
 
 A message is a row ``(to, subject, body, ...)``; delivery is out of scope.
-Message bodies are built with ``concat``/``array_join`` on the executors.
-Per-recipient lists (A10) are bounded by one agent's backlog or one day of
-visits, never by the whole table.
+Message bodies are built with ``concat`` on the executors.  A message that
+lists rows is a table of its lines in order (``section``, ``line``): a range
+sort deals a message of any size over many tasks, and a mailer streams it.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from ..functions.keys import is_real_key
 from ..functions.text import coalesce_nonblank, falsy_chain, has_at, iso_date_part, lower_trim, not_contains_ci
 from ..operators import joins, rules
 from ..operators.aggs import any_value, count_if, global_flag, row_total
-from ..operators.status import day_status
+from ..operators.status import day_status, status_fold
 from ..params import Params
+from ..sources.sinks import outbox_rows
 from . import reports as R
 from .bindings import Tables
 
@@ -51,7 +52,9 @@ SUMMARY_SUBJECT = "Resumen visitas 360 para manana {day} - {c} confirmadas, {x}
 SUMMARY_HEAD = "Hola,\n\nResumen de visitas 360 agendadas para manana {day}:\n\nTotal: {n} visitas\n\n"
 SUMMARY_SECTIONS = (("confirmadas", "CONFIRMADAS"), ("sin_confirmar", "SIN CONFIRMAR"),
                     ("canceladas", "CANCELADAS"))
-SUMMARY_NONE = "  Ninguna\n\n"
+SUMMARY_SECTION = "--- {t} ({n}) ---\n"
+SUMMARY_NONE = "  Ninguna"
+SUMMARY_TAIL = "Saludos,\n{s}"
 NOTICE_SUBJECT = "CANCELADA 360"
 NOTICE_BODY = ("La visita 360 del NID {nid} agendada para el {day} fue cancelada por el cliente.\n\n"
                "Ciudad: {city}\nComercial: {agent}\n")
@@ -81,8 +84,6 @@ def _fmt(template: str, **parts) -> Column:
 def _to_schedule_base(t: Tables, p: Params) -> DataFrame:
     """Rows counted as "to schedule" (patrimony rule v1).  Every side input
     is keyed on the numeric property key, so the master is shuffled once."""
-    b = R.visits_by_numeric_key(R.latest_visits(t, p, by_category=True, real_keys=False),
-                                [F.col("status").alias("b_status")]).withColumnRenamed("nid", "b_nid")
     fc = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_client)
     gs = t.seller_intake.groupBy(F.col("nid").alias("gs_nid")).agg(
         any_value("gravamenes_del_apartamento").alias("gravamen"))
@@ -94,9 +95,7 @@ def _to_schedule_base(t: Tables, p: Params) -> DataFrame:
     base = base.filter(not_contains_ci("cd_ciudad", p.excluded_city_substrings))
     base = joins.exists_flag(base, fc, "nid", "nid", "has_fc")
     base = base.filter(rules.publication_ok("cd_date_publication", "has_fc", p.publication_cutoff))
-    base = joins.not_in(base, R.done_keys(t, p), "nid", "nid")
-    base = base.join(b, F.col("nid") == F.col("b_nid"), "left")
-    base = base.filter(F.col("b_nid").isNull() | ~F.col("b_status").isin(list(p.scheduled_statuses)))
+    base = R.without_open_visit(base, t, p)
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
     base = base.join(gs, F.col("nid") == F.col("gs_nid"), "left")
     return base.filter(rules.patrimony_v1("d_estado", "gravamen", p.patrimony_ok, p.encumbrance_deny))
@@ -104,8 +103,7 @@ def _to_schedule_base(t: Tables, p: Params) -> DataFrame:
 
 def _cancelled_base(t: Tables, p: Params) -> DataFrame:
     """Latest visit per key cancelled this month, property not withdrawn or sold."""
-    v = R.latest_visits(t, p).filter(F.col("status").isin(list(p.cancel_statuses_digest))
-                                     & (F.col("modified_date") >= F.lit(p.month_start)))
+    v = R.latest_visits(t, p, since=p.month_start).filter(F.col("status").isin(list(p.cancel_statuses_digest)))
     j = R.with_master_crm(v.select("nid"), t, p)
     return j.filter(F.col("cd_fecha_desistio_inmobiliaria").isNull() & F.col("cd_v_fecha_venta").isNull())
 
@@ -226,9 +224,8 @@ def visit_reminder(t: Tables, p: Params) -> DataFrame:
 # ---------------------------------------------------------------- R14 -----
 def cancelled_rows(t: Tables, p: Params) -> DataFrame:
     """Cancelled this month per key with agent mail and new/pending type."""
-    v = R.latest_visits(t, p).filter(F.col("status").isin(list(p.cancel_statuses_digest)))
+    v = R.latest_visits(t, p, since=p.month_start).filter(F.col("status").isin(list(p.cancel_statuses_digest)))
     j = joins.left_cast(v, t.property_master, "nid", "nid", ["c_comercial_captacion"])
-    j = j.filter(F.col("modified_date") >= F.lit(p.month_start))
     j = j.withColumn("tipo", F.when(F.col("modified_date") >= F.lit(p.new_since), F.lit("nueva"))
                      .otherwise(F.lit("pendiente")))
     j = j.withColumn("email", falsy_chain("c_comercial_captacion", "email_agendador"))
@@ -239,49 +236,36 @@ def cancelled_rows(t: Tables, p: Params) -> DataFrame:
 
 
 def cancelled_digest(t: Tables, p: Params) -> DataFrame:
-    """One message per agent with at least one new cancellation.
+    """Head of one message per agent with at least one new cancellation (R14):
+    recipient, counts, subject, and the texts around the lines of
+    ``cancelled_digest_lines``.
 
     Nothing is sent on weekends unless forced, nor when there is no new
     cancellation at all; the gate is a scalar subquery, not a driver count.
     """
     rows = cancelled_rows(t, p)
     new = F.col("tipo") == "nueva"
-    item = F.struct(F.col("fecha"), F.col("nid"))
     per = rows.groupBy("email").agg(
         F.min(F.nullif(F.col("nombre_agendador"), F.lit(""))).alias("_n"),
-        F.array_sort(F.collect_list(F.when(new, item))).alias("nuevas"),
-        F.array_sort(F.collect_list(F.when(~new, item))).alias("pendientes"))
-    per = per.withColumn("nombre", F.coalesce("_n", "email")).drop("_n")
-    per = per.filter(F.size("nuevas") > 0)
+        count_if(new).alias("n_nuevas"), count_if(~new).alias("n_pendientes"))
+    per = per.withColumn("nombre", F.coalesce("_n", "email")).drop("_n").filter(F.col("n_nuevas") > 0)
     if p.is_weekend and not p.force_weekend:
         per = per.filter(F.lit(False))
     per = per.filter(global_flag(rows, new))
-
-    def lines(arr: str, template: str) -> Column:
-        return F.array_join(F.transform(arr, lambda e: _fmt(template, nid=e["nid"], day=e["fecha"])), "\n")
-
-    body = F.concat(
-        _fmt(DIGEST_HEAD, name=F.col("nombre")), lines("nuevas", DIGEST_NEW_LINE), F.lit("\n\n"),
-        F.when(F.size("pendientes") > 0,
-               F.concat(F.lit(DIGEST_PENDING_HEAD), lines("pendientes", DIGEST_PENDING_LINE), F.lit("\n\n")))
-        .otherwise(F.lit("")),
-        _fmt(DIGEST_TAIL, url=p.portal_url, sign=p.signature))
     return per.select(
-        "email", "nombre",
-        F.size("nuevas").cast("bigint").alias("n_nuevas"),
-        F.size("pendientes").cast("bigint").alias("n_pendientes"),
-        lines("nuevas", "{nid}|{day}").alias("nuevas"),
-        lines("pendientes", "{nid}|{day}").alias("pendientes"),
-        _fmt(DIGEST_SUBJECT, n=F.size("nuevas")).alias("subject"),
-        body.alias("body"))
+        "email", "nombre", "n_nuevas", "n_pendientes",
+        _fmt(DIGEST_SUBJECT, n=F.col("n_nuevas")).alias("subject"),
+        _fmt(DIGEST_HEAD, name=F.col("nombre")).alias("head"),
+        F.when(F.col("n_pendientes") > 0, F.lit(DIGEST_PENDING_HEAD)).otherwise(F.lit("")).alias("pending_head"),
+        _fmt(DIGEST_TAIL, url=p.portal_url, sign=p.signature).alias("tail"))
 
 
 def cancelled_digest_lines(t: Tables, p: Params) -> DataFrame:
-    """R14 as message lines instead of one body per agent: one row per
-    cancellation line, ``(email, seccion, fecha, nid, line)``, for agents that
-    get a digest.  The result is range-sorted by (email, section, date, key),
-    so even an agent with a third of all cancellations is split over many
-    tasks; a mailer streams the lines in order.  Same gates as the digest."""
+    """The lines of the R14 messages, in order: one row per cancellation,
+    ``(email, seccion, fecha, nid, line)``, for agents that get a digest.  The
+    result is range-sorted by (email, section, date, key), so even an agent
+    with a third of all cancellations is split over many tasks.  Same gates as
+    the digest."""
     rows = cancelled_rows(t, p)
     new = F.col("tipo") == "nueva"
     agents = rows.filter(new).select(F.col("email").alias("_agent")).distinct()
@@ -302,7 +286,7 @@ def team_lead_digest(t: Tables, p: Params, backlog: DataFrame | None = None) ->
     b = backlog if backlog is not None else backlog_team(t, p)
     b = b.filter(row_total("por_agendar", "canceladas", "juzgado") > 0)
     b = joins.lookup_fallback(b, t.team_lead, "equipo", "equipo", "email", "email", p.lead_default_email)
-    return b.select(
+    return b.orderBy("equipo").select(
         "equipo", "email", *METRICS,
         _fmt(LEAD_SUBJECT, team=F.col("equipo")).alias("subject"),
         _fmt(LEAD_BODY, team=F.col("equipo"), a=F.col("por_agendar"), b=F.col("por_agendar_2025"),
@@ -337,8 +321,7 @@ def agent_digest(t: Tables, p: Params, backlog: DataFrame | None = None) -> Data
 # ---------------------------------------------------------------- R19 -----
 def confirmation_rows(t: Tables, p: Params) -> DataFrame:
     """Tomorrow's scheduled visits with their confirmation bucket."""
-    v = R.latest_visits(t, p).filter(F.col("status").isin(list(p.reminder_statuses))
-                                     & F.col("fecha_fin").startswith(p.day_prefix))
+    v = R.latest_visits(t, p, only=F.col("status").isin(list(p.reminder_statuses)) & F.col("fecha_fin").startswith(p.day_prefix))
     j = joins.left_cast(v, t.property_master, "nid", "nid", ["c_comercial_captacion"])
     st = day_status(t.status_log, p.status_day_str).withColumnRenamed("nid", "st_nid")
     j = j.join(st, F.col("nid") == F.col("st_nid"), "left")
@@ -353,49 +336,51 @@ def confirmation_rows(t: Tables, p: Params) -> DataFrame:
 
 
 def confirmation_buckets(t: Tables, p: Params) -> DataFrame:
-    """Counts and sorted lines per bucket, every bucket present."""
+    """Counts per bucket in one row, every bucket present, and the total."""
     rows = confirmation_rows(t, p)
-    per = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("count"),
-                                     F.array_sort(F.collect_list("line")).alias("lines"))
-    names = t.visit_log.sparkSession.createDataFrame([(b,) for b, _ in SUMMARY_SECTIONS], "bucket string")
-    out = joins.bounded_dim(names).join(per, "bucket", "left")
-    return out.select("bucket", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-                      F.coalesce("lines", F.array().cast("array<string>")).alias("lines"))
+    names = [b for b, _ in SUMMARY_SECTIONS]
+    counts = rows.agg(*[count_if(F.col("bucket") == b).alias(b) for b in names])
+    return counts.withColumn("total", row_total(*names))
 
 
 def confirmation_summary(t: Tables, p: Params) -> DataFrame:
-    """The coordinator's one message for tomorrow (R19).  Its size is one
-    day of visits; bucket counts come from a partial aggregate."""
-    rows = confirmation_rows(t, p)
-    counts = rows.agg(*[count_if(F.col("bucket") == b).alias(b) for b, _ in SUMMARY_SECTIONS],
-                      *[F.array_sort(F.collect_list(F.when(F.col("bucket") == b, F.col("line")))).alias("l_" + b)
-                        for b, _ in SUMMARY_SECTIONS])
+    """Head of the coordinator's one message for tomorrow (R19): recipient,
+    counts, subject, and the texts around ``confirmation_summary_lines``."""
+    counts = confirmation_buckets(t, p)
     day = p.day_prefix
-    total = sum((F.col(b) for b, _ in SUMMARY_SECTIONS[1:]), F.col(SUMMARY_SECTIONS[0][0]))
-    sections = []
-    for b, title in SUMMARY_SECTIONS:
-        sections.append(_fmt("--- {t} ({n}) ---\n", t=title, n=F.col(b)))
-        sections.append(F.when(F.col(b) > 0, F.concat(
-            F.array_join(F.transform("l_" + b, lambda x: F.concat(F.lit("  "), x)), "\n"), F.lit("\n\n")))
-            .otherwise(F.lit(SUMMARY_NONE)))
-    body = F.concat(_fmt(SUMMARY_HEAD, day=day, n=total), *sections, _fmt("Saludos,\n{s}", s=p.signature))
     return counts.select(
         F.lit(p.coordinator_email).alias("to"),
         _fmt(SUMMARY_SUBJECT, day=day, c=F.col("confirmadas"), x=F.col("canceladas")).alias("subject"),
-        body.alias("body"),
+        _fmt(SUMMARY_HEAD, day=day, n=F.col("total")).alias("head"),
+        *[_fmt(SUMMARY_SECTION, t=title, n=F.col(b)).alias("head_" + b) for b, title in SUMMARY_SECTIONS],
+        _fmt(SUMMARY_TAIL, s=p.signature).alias("tail"),
         *[F.col(b).cast("bigint").alias(b) for b, _ in SUMMARY_SECTIONS])
 
 
+def confirmation_summary_lines(t: Tables, p: Params) -> DataFrame:
+    """The lines of the R19 message in order, ``(pos, bucket, line)``; an empty
+    section has one line that says so."""
+    rows = confirmation_rows(t, p)
+    names = [b for b, _ in SUMMARY_SECTIONS]
+    counts = confirmation_buckets(t, p)
+    none = counts.select(F.explode(F.array(*[F.when(F.col(b) == 0, F.lit(b)) for b in names])).alias("bucket"))
+    none = none.filter(F.col("bucket").isNotNull()).select("bucket", F.lit(SUMMARY_NONE).alias("line"))
+    lines = rows.select("bucket", F.concat(F.lit("  "), "line").alias("line")).unionByName(none)
+    pos = F.array_position(F.array(*[F.lit(b) for b in names]), F.col("bucket")).cast("int")
+    return lines.select(pos.alias("pos"), "bucket", "line").orderBy("pos", "line")
+
+
 # ---------------------------------------------------------------- R20 -----
 def cancellation_notices(t: Tables, p: Params) -> DataFrame:
-    """One notice per visit of tomorrow whose shared status is cancelled."""
-    from ..operators.status import status_fold
+    """One notice per visit of tomorrow whose shared status is cancelled, to a
+    fixed pair of recipients (R20): ``(to, subject, body, nid)``."""
     st = status_fold(t.status_log, p.status_day_str)
     cancelled = st.filter((F.col("kind") == "visita") & (F.col("value") == F.lit(p.cancelled_label))).select("nid")
     visits = R.visits_tomorrow(t, p)
     j = visits.join(cancelled, "nid", "left_semi")
-    return j.select(
+    notice = j.select(
         "nid",
         F.lit(NOTICE_SUBJECT).alias("subject"),
         _fmt(NOTICE_BODY, nid=F.col("nid"), day=F.col("fecha_fin"), city=F.col("ciudad"),
              agent=F.col("c_comercial_captacion")).alias("body"))
+    return outbox_rows(notice, fixed_to=", ".join(p.notice_emails))

@@ -3,36 +3,32 @@
 Every callable takes ``(spark, sf_dir)``, binds the driver tables to roles
 and runs one library operator or report over whole tables.  Every oracle is
 independent DuckDB SQL over the same parquet files (role CTEs from
-``oracle_roles``).  Outputs use text dates and bigint counts so both engines
-agree on types.
+``oracle_roles``), written from the rule: one CTE per rule, key sets as
+``EXISTS``, the latest row of a key as ``DISTINCT ON``.  Outputs use text dates
+and bigint counts so both engines agree on types.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..params import NO_INFO_LABEL, NO_VISIT_LABEL
 from . import outbox as O
 from . import reports as R
 from .bindings import Tables, driver_params, driver_tables
 from .oracle_roles import with_roles
-from .sqlfrag import (active_phases, clean, date_text, dlit, falsy, hora, in_list, latest, latest_flag,
-                      nonblank, not_contains, patrimony_v2, photo_set, q, spanish_date, strip, title_or_blank,
-                      unfavourable)
+from .sqlfrag import clean, date_text, dlit, falsy, hora, in_list, nonblank, not_contains, q, spanish_date, strip, title_or_blank
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_TABLES: dict[tuple[int, str], Tables] = {}
-
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    k = (id(spark), sf_dir)
-    if k not in _TABLES:
-        _TABLES[k] = driver_tables(spark, sf_dir)
-    return _TABLES[k]
+    return driver_tables(spark, sf_dir)
 
 
 def register(key: str, sql: str | None = None, roles: tuple = ()):
@@ -49,40 +45,97 @@ def report(key: str, fn, params, sql: str | None = None, roles: tuple = ()):
 
 
 # ------------------------------------------------------------------ params
-P_ORD = driver_params(dt.date(2001, 7, 1), visit_day_prefix="2001-07", status_day="2024-01-15")
+P_ORD = driver_params(dt.date(2001, 7, 1))
 P_MTD = driver_params(dt.date(2001, 7, 20))
-P_EV = driver_params(dt.date(2024, 1, 14))
 P_COURT = driver_params(dt.date(2024, 7, 15))
 P_REP = driver_params(dt.date(2026, 4, 23))
 P_SUBJ = driver_params(dt.date(2026, 3, 15))
 
-# ------------------------------------------------------------- shared SQL
+# ------------------------------------------------------------- shared rules
+
+
+def sql_text(template: str, **parts) -> str:
+    """A message template of ``outbox`` as a DuckDB expression; parts are SQL."""
+    out = []
+    for lit, name, _, _ in string.Formatter().parse(template):
+        if lit:
+            out.append(q(lit))
+        if name is not None:
+            out.append(f"CAST({parts[name]} AS VARCHAR)")
+    return "(" + " || ".join(out) + ")"
+
+
+def newest_visit(p, where: str = "TRUE") -> str:
+    """The latest row of each real key among the tracked visits."""
+    return (f"(SELECT DISTINCT ON (nid) * FROM visit_log WHERE visit_type IN {in_list(p.visit_types)} AND nid <> 'nan' "
+            f"AND nid IS NOT NULL AND {where} ORDER BY nid, modified_date DESC NULLS LAST, record_id DESC)")
+
+
+def deals(p) -> str:
+    return (f"(SELECT nid AS deal_key, hubspot_owner_id AS deal_owner, equipo_sellers AS deal_team, dealstage, "
+            f"fecha_desistio_inmobiliaria AS deal_lost_on FROM crm_deal WHERE pipeline = {q(p.pipeline_id)})")
+
+
+def properties(p, only: str = "TRUE") -> str:
+    """Every property with its deal: ``agent`` and ``crew`` prefer the deal's."""
+    return (f"(SELECT m.*, CAST(m.nid AS VARCHAR) AS txt, deal_key, deal_owner, deal_team, dealstage, deal_lost_on, "
+            f"COALESCE(deal_owner, m.c_comercial_captacion) AS agent, COALESCE(deal_team, m.c_equipo_seller) AS crew "
+            f"FROM property_master m LEFT JOIN {deals(p)} ON deal_key = m.nid WHERE {only})")
+
+
+def running(p) -> str:
+    """Neither withdrawn, sold nor lost."""
+    return (f"fecha_desistio_inmobiliaria IS NULL AND v_fecha_venta IS NULL AND deal_lost_on IS NULL "
+            f"AND dealstage IS DISTINCT FROM {q(p.lost_stage)}")
+
+
+def has_photo(key: str, source: int, live: bool = False) -> str:
+    kept = " AND img.deleted_at IS NULL" if live else ""
+    return (f"EXISTS (SELECT 1 FROM listing_card crd, listing_image img WHERE crd.nid = {key} AND img.property_card_id = crd.id "
+            f"AND img.source_image_id = {source}{kept})")
 
 
-def _master_crm_join(alias_key: str, p) -> str:
-    return (f"LEFT JOIN property_master cd ON {alias_key} = CAST(cd.nid AS VARCHAR) "
-            f"LEFT JOIN crm_deal h ON TRY_CAST({alias_key} AS BIGINT) = h.nid AND h.pipeline = {q(p.pipeline_id)}")
+NEWEST_FLAG = ("(SELECT DISTINCT ON (nid) nid AS flag_key, v_flag_desistidos_patrimonio AS flag FROM clearance_tower "
+               "ORDER BY nid, v_fecha_inicio_fase_actual_patrimonio_de_familia DESC NULLS LAST, record_id DESC)")
 
 
-def _ur(p, where_extra: str = "TRUE", by_category: bool = False, real: bool = True) -> str:
-    kind, kinds = ("visit_category", p.visit_categories) if by_category else ("visit_type", p.visit_types)
-    w = f"{kind} IN {in_list(kinds)} AND {where_extra}"
-    if real:
-        w += " AND nid <> 'nan' AND nid IS NOT NULL"
-    return latest("visit_log", w)
+def patrimony_allows(p) -> str:
+    return (f"(flag IS NOT DISTINCT FROM {q(p.flag_done)} OR (c_tipo_contrato_firmado IS DISTINCT FROM {q(p.patrimony_contract)} "
+            f"AND flag IS DISTINCT FROM {q(p.flag_in_process)}))")
+
+
+def bad_opinions(p) -> str:
+    """The latest unfavourable opinion of each key within the lookback."""
+    return (f"(SELECT DISTINCT ON (nid) nid AS k, CAST(v_fecha_concepto_del_defensor_de_familia AS DATE) AS on_day, "
+            f"v_nombre_cliente_1 AS client, v_numero_telefonico_cliente_1 AS phone FROM clearance_tower "
+            f"WHERE lower(v_concepto_del_defensor_de_familia) = {q(p.unfavourable)} "
+            f"AND CAST(v_fecha_concepto_del_defensor_de_familia AS DATE) >= CAST({dlit(p.as_of)} - INTERVAL {p.opinion_lookback_months} MONTH AS DATE) "
+            f"ORDER BY nid, v_fecha_concepto_del_defensor_de_familia DESC, record_id DESC)")
+
+
+def in_court(p) -> str:
+    """Keys whose latest phase in a court pipe is still open."""
+    return (f"(SELECT nid AS k FROM (SELECT DISTINCT ON (nid) nid, phase_name FROM process_history WHERE pipe_id IN {in_list(p.court_pipes)} "
+            f"ORDER BY nid, first_time_in_phase DESC NULLS LAST, record_id DESC) WHERE phase_name NOT IN {in_list(p.closed_phases)})")
+
+
+def window_of(p, days: int) -> str:
+    return f"CAST(received_at AS DATE) >= {dlit(p.as_of)} - INTERVAL {days} DAY AND sender = {q(p.report_sender)}"
 
 
 # ----------------------------------------------------------------- R1
 def _r1_sql(p) -> str:
     return f"""
 SELECT {clean('v.nid')} AS nid, {clean('v.fecha_fin')} AS fecha_fin, {hora('v.fecha_inicio')} AS hora,
-  {falsy(clean('COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion)'), clean('v.email_agendador'))} AS c_comercial_captacion,
+  {falsy(clean('COALESCE(deal_owner, m.c_comercial_captacion)'), clean('v.email_agendador'))} AS c_comercial_captacion,
   {clean('v.nombre_agendador')} AS nombre_agendador, {title_or_blank(clean('v.ciudad_muni'))} AS ciudad,
   {clean('v.zona')} AS zona, {clean('v.direccion')} AS direccion, {clean('v.torre_apto')} AS torre_apto,
   {clean('v.conjunto')} AS conjunto, {clean('v.visit_type')} AS visit_type, {clean('v.visit_category')} AS visit_category,
-  {clean('cd.tel_fono_del_cliente_1')} AS telefono_cliente, {clean('COALESCE(h.equipo_sellers, cd.c_equipo_seller)')} AS equipo
-FROM {_ur(p)} v {_master_crm_join('v.nid', p)}
-WHERE v.status IN {in_list(p.scheduled_statuses)} AND starts_with(v.fecha_fin, {q(p.day_prefix)})"""
+  {clean('m.tel_fono_del_cliente_1')} AS telefono_cliente, {clean('COALESCE(deal_team, m.c_equipo_seller)')} AS equipo
+FROM {newest_visit(p)} v LEFT JOIN property_master m ON CAST(m.nid AS VARCHAR) = v.nid
+LEFT JOIN {deals(p)} ON deal_key = TRY_CAST(v.nid AS BIGINT)
+WHERE v.status IN {in_list(p.scheduled_statuses)} AND starts_with(v.fecha_fin, {q(p.day_prefix)})
+ORDER BY v.fecha_inicio NULLS FIRST, v.nid"""
 
 
 report("report_visits_tomorrow", R.visits_tomorrow, P_ORD, _r1_sql(P_ORD),
@@ -90,80 +143,49 @@ report("report_visits_tomorrow", R.visits_tomorrow, P_ORD, _r1_sql(P_ORD),
 
 
 # ----------------------------------------------------------------- R2
-def _master_by_key_sql(p) -> str:
-    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY m_comercial ASC NULLS FIRST,
-      m_telefono ASC NULLS FIRST, m_direccion ASC NULLS FIRST, m_ciudad ASC NULLS FIRST, m_equipo ASC NULLS FIRST) AS _rn
-    FROM (SELECT CAST(cd.nid AS VARCHAR) AS nid, COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion) AS m_comercial,
-            cd.tel_fono_del_cliente_1 AS m_telefono, cd.direccion AS m_direccion, cd.ciudad AS m_ciudad,
-            COALESCE(h.equipo_sellers, cd.c_equipo_seller) AS m_equipo
-          FROM property_master cd LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = {q(p.pipeline_id)}))
-    WHERE _rn = 1)"""
-
-
-def _window(p, days: int) -> str:
-    s = f"CAST(received_at AS DATE) >= {dlit(p.as_of)} - INTERVAL {days} DAY"
-    if p.report_sender is not None:
-        s += f" AND sender = {q(p.report_sender)}"
-    return s
-
-
 def _r2_sql(p) -> str:
+    iso = "contains(modified_date, 'T')"
     return f"""
-WITH rws AS (SELECT *, {spanish_date('fecha_reporte', p.as_of)} AS report_date FROM report_rows
-             WHERE {_window(p, p.cancelled_lookback_days)} AND NOT completado),
-newest AS (SELECT nid, max(report_date) AS last_report FROM rws GROUP BY nid),
-lst AS {latest('visit_log', f"visit_type IN {in_list(p.visit_types)} AND nid IN (SELECT nid FROM rws)")},
-st AS (SELECT l.nid, l.status, l.fecha_inicio, n.last_report,
-         CASE WHEN contains(l.modified_date, 'T') THEN CAST(try_strptime(split_part(l.modified_date, 'T', 1), '%Y-%m-%d') AS DATE) END AS mod_date,
-         CASE WHEN contains(l.modified_date, 'T') THEN split_part(l.modified_date, 'T', 1) ELSE COALESCE(l.modified_date, '') END AS ultima
-       FROM lst l LEFT JOIN newest n ON l.nid = n.nid),
-real AS (SELECT * FROM st WHERE COALESCE(status IN {in_list(p.cancel_statuses_report)}, FALSE)
-         OR COALESCE(status IS DISTINCT FROM {q(p.done_status)} AND last_report IS NOT NULL AND mod_date IS NOT NULL
-                     AND last_report > mod_date, FALSE)),
-kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nid, fecha_reporte
-                  ORDER BY received_at ASC NULLS FIRST, doc_id, row_pos) AS _rn
-         FROM rws WHERE nid IN (SELECT nid FROM real)
-           AND nid NOT IN (SELECT nid FROM {photo_set(p.photo_professional, False, True)})) WHERE _rn = 1),
-prof AS {photo_set(p.photo_professional, True, True)}
-SELECT k.nid,
-  {title_or_blank("COALESCE(NULLIF(m.m_ciudad, ''), NULLIF(k.ciudad_correo, ''))")} AS ciudad,
-  k.fotografo, k.motivo AS motivo_cancelacion, COALESCE(m.m_comercial, '') AS c_comercial_captacion,
-  COALESCE(m.m_telefono, '') AS telefono_cliente, COALESCE(m.m_direccion, '') AS direccion, k.fecha_reporte,
-  COALESCE(CASE WHEN r.fecha_inicio IS NOT NULL AND contains(r.fecha_inicio, 'T')
-           THEN split_part(r.fecha_inicio, 'T', 1) || ' ' || {hora('r.fecha_inicio')} ELSE '' END, '') AS fecha_agendada,
-  COALESCE(m.m_equipo, '') AS equipo, COALESCE(r.ultima, '') AS ultima_actualizacion,
-  k.nid IN (SELECT nid FROM prof) AS tiene_fotos_profesionales
-FROM kept k LEFT JOIN real r ON k.nid = r.nid LEFT JOIN {_master_by_key_sql(p)} m ON k.nid = m.nid"""
+WITH told AS (SELECT *, {spanish_date('fecha_reporte', p.as_of)} AS report_day FROM report_rows
+              WHERE {window_of(p, p.cancelled_lookback_days)} AND NOT completado),
+state AS (SELECT nid, status, fecha_inicio,
+            CASE WHEN {iso} THEN CAST(try_strptime(split_part(modified_date, 'T', 1), '%Y-%m-%d') AS DATE) END AS changed_on,
+            CASE WHEN {iso} THEN split_part(modified_date, 'T', 1) ELSE COALESCE(modified_date, '') END AS changed_text
+          FROM (SELECT DISTINCT ON (nid) * FROM visit_log WHERE visit_type IN {in_list(p.visit_types)}
+                ORDER BY nid, modified_date DESC NULLS LAST, record_id DESC)),
+off AS (SELECT s.* FROM state s JOIN (SELECT nid, max(report_day) AS newest FROM told GROUP BY nid) t USING (nid)
+        WHERE s.status IN {in_list(p.cancel_statuses_report)}
+           OR (s.status IS DISTINCT FROM {q(p.done_status)} AND t.newest > s.changed_on)),
+one AS (SELECT DISTINCT ON (nid, fecha_reporte) * FROM told ORDER BY nid, fecha_reporte, received_at, doc_id, row_pos),
+who AS (SELECT DISTINCT ON (txt) txt, agent, tel_fono_del_cliente_1 AS phone, direccion AS street, ciudad AS town, crew FROM {properties(p)}
+        ORDER BY txt, agent NULLS FIRST, phone NULLS FIRST, street NULLS FIRST, town NULLS FIRST, crew NULLS FIRST)
+SELECT one.nid, {title_or_blank("COALESCE(NULLIF(town, ''), NULLIF(one.ciudad_correo, ''))")} AS ciudad,
+  one.fotografo, one.motivo AS motivo_cancelacion, COALESCE(agent, '') AS c_comercial_captacion,
+  COALESCE(phone, '') AS telefono_cliente, COALESCE(street, '') AS direccion, one.fecha_reporte,
+  CASE WHEN contains(off.fecha_inicio, 'T') THEN split_part(off.fecha_inicio, 'T', 1) || ' ' || {hora('off.fecha_inicio')} ELSE '' END AS fecha_agendada,
+  COALESCE(crew, '') AS equipo, COALESCE(changed_text, '') AS ultima_actualizacion,
+  {has_photo('TRY_CAST(one.nid AS BIGINT)', p.photo_professional, True)} AS tiene_fotos_profesionales
+FROM one JOIN off USING (nid) LEFT JOIN who ON who.txt = one.nid
+WHERE NOT {has_photo('TRY_CAST(one.nid AS BIGINT)', p.photo_professional)}"""
 
 
 report("report_cancelled", R.cancelled, P_REP, _r2_sql(P_REP),
        ("report_rows", "visit_log", "listing_card", "listing_image", "property_master", "crm_deal"))
-
-
-def _report_dates_sql(p) -> str:
-    return f"""SELECT fecha_reporte FROM report_rows WHERE {_window(p, p.cancelled_lookback_days)} AND fecha_reporte <> ''
-GROUP BY fecha_reporte"""
-
-
-report("agg_distinct_ordered", R.report_dates, P_REP, _report_dates_sql(P_REP), ("report_rows",))
+report("agg_distinct_ordered", R.report_dates, P_REP, f"""
+SELECT fecha_reporte FROM report_rows WHERE {window_of(P_REP, P_REP.cancelled_lookback_days)} AND fecha_reporte <> ''
+GROUP BY fecha_reporte ORDER BY min((received_at, doc_id))""", ("report_rows",))
 
 
 # ----------------------------------------------------------------- R3
 def _r3_sql(p) -> str:
     return f"""
-WITH d AS (SELECT * FROM {unfavourable(p)} u
-           WHERE nid IN (SELECT CAST(nid AS VARCHAR) FROM crm_deal WHERE pipeline = {q(p.pipeline_id)} AND nid IS NOT NULL)
-             AND nid NOT IN (SELECT nid FROM {active_phases(p)} WHERE nid IS NOT NULL)),
-o AS (SELECT d.nid, {date_text('d.fecha_desfavorable')} AS fecha_desfavorable, {date_text('cd.c_fecha_captacion')} AS fecha_captacion,
-        {clean('COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion)')} AS comercial,
-        {clean('COALESCE(h.equipo_sellers, cd.c_equipo_seller)')} AS equipo, {title_or_blank('cd.ciudad')} AS ciudad,
-        {clean('COALESCE(d.telefono_plano, cd.tel_fono_del_cliente_1)')} AS telefono_cliente,
-        {clean('d.nombre_cliente_plano')} AS nombre_cliente, {date_text('cd.v_fecha_venta')} AS fecha_venta,
-        {date_text('cd.fecha_desistio_inmobiliaria')} AS fecha_desistio
-      FROM d {_master_crm_join('d.nid', p)})
-SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY fecha_desfavorable, fecha_captacion,
-   comercial, equipo, ciudad, telefono_cliente, nombre_cliente, fecha_venta, fecha_desistio) AS _rn FROM o WHERE nid <> '')
-WHERE _rn = 1"""
+SELECT DISTINCT ON (o.k) m.txt AS nid, {date_text('o.on_day')} AS fecha_desfavorable, {date_text('m.c_fecha_captacion')} AS fecha_captacion,
+  {clean('m.agent')} AS comercial, {clean('m.crew')} AS equipo, {title_or_blank('m.ciudad')} AS ciudad,
+  {clean('COALESCE(o.phone, m.tel_fono_del_cliente_1)')} AS telefono_cliente, {clean('o.client')} AS nombre_cliente,
+  {date_text('m.v_fecha_venta')} AS fecha_venta, {date_text('m.fecha_desistio_inmobiliaria')} AS fecha_desistio
+FROM {bad_opinions(p)} o JOIN {properties(p, 'deal_key IS NOT NULL')} m ON m.nid = o.k
+WHERE o.k NOT IN (SELECT k FROM {in_court(p)} WHERE k IS NOT NULL)
+ORDER BY o.k, fecha_captacion, comercial, equipo, ciudad"""
 
 
 report("report_court_candidates", R.court_candidates, P_COURT, _r3_sql(P_COURT),
@@ -171,50 +193,38 @@ report("report_court_candidates", R.court_candidates, P_COURT, _r3_sql(P_COURT),
 
 
 # ----------------------------------------------------------------- R4
-def _active_where(p, captured: bool = True) -> str:
-    s = ("cd.fecha_desistio_inmobiliaria IS NULL AND h.fecha_desistio_inmobiliaria IS NULL "
-         f"AND cd.v_fecha_venta IS NULL AND (h.dealstage IS NULL OR h.dealstage <> {q(p.lost_stage)})")
-    return ("cd.c_fecha_captacion IS NOT NULL AND " + s) if captured else s
+def _visits_of_category(p) -> str:
+    return (f"(SELECT nid AS visit_key, arg_max(status, (modified_date, record_id)) AS last_status, bool_or(status = {q(p.done_status)}) AS finished "
+            f"FROM visit_log WHERE visit_category IN {in_list(p.visit_categories)} AND nid IS NOT NULL GROUP BY nid)")
+
+
+def _open_for_visit(p) -> str:
+    return f"(visit_key IS NULL OR (NOT finished AND last_status NOT IN {in_list(p.scheduled_statuses)}))"
+
+
+def _published_late(p, key: str = "m.nid") -> str:
+    return (f"(m.date_publication IS NULL OR ({has_photo(key, p.photo_client)} "
+            f"AND CAST(m.date_publication AS DATE) >= {dlit(p.publication_cutoff)}))")
 
 
 def _r4_sql(p) -> str:
-    done = (f"(SELECT DISTINCT nid FROM visit_log WHERE visit_category IN {in_list(p.visit_categories)} "
-            f"AND status = {q(p.done_status)} AND nid IS NOT NULL)")
     return f"""
-WITH b AS {_ur(p, by_category=True, real=False)},
-fc AS {photo_set(p.photo_client)},
-cn AS (SELECT CAST(nid_1 AS VARCHAR) AS nid, min(nombre_de_edificio_conjunto) AS conjunto FROM seller_form
-       WHERE nid_1 IS NOT NULL AND nombre_de_edificio_conjunto IS NOT NULL AND nombre_de_edificio_conjunto <> '' GROUP BY 1),
-fl AS (SELECT CAST(nid AS VARCHAR) AS nid, min(CAST(first_time_in_phase AS DATE)) AS fecha_levant FROM process_history
-       WHERE pipe_id IN {in_list(p.patrimony_pipes)} AND phase_name IN {in_list(p.final_phases)} AND nid IS NOT NULL GROUP BY 1),
-o AS (
-SELECT COALESCE(CAST(cd.nid AS VARCHAR), '') AS nid,
-  COALESCE(COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion), '') AS comercial,
-  {title_or_blank('cd.ciudad')} AS ciudad, COALESCE(cn.conjunto, '') AS conjunto,
-  COALESCE(COALESCE(h.equipo_sellers, cd.c_equipo_seller), '') AS equipo,
-  {date_text('cd.c_fecha_captacion')} AS fecha_captacion,
-  {date_text(f"CASE WHEN d.estado_patrimonio = {q(p.patrimony_lifted)} THEN fl.fecha_levant END")} AS fecha_levantamiento,
-  COALESCE(cd.tel_fono_del_cliente_1, '') AS telefono_cliente,
-  COALESCE(NULLIF(b.status, ''), 'Sin visita') AS ultimo_status,
-  CASE WHEN fc.nid IS NOT NULL THEN 'Publicado sin fotos profesionales' ELSE 'Sin publicar' END AS tipo_fotos,
-  cd.c_fecha_captacion AS _cap
-FROM property_master cd
-LEFT JOIN b ON CAST(cd.nid AS VARCHAR) = b.nid
-LEFT JOIN intake_detail d ON cd.nid = d.nid
-LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = {q(p.pipeline_id)}
-LEFT JOIN fc ON cd.nid = fc.nid
-LEFT JOIN {latest_flag()} epa ON epa.nid = CAST(cd.nid AS VARCHAR)
-LEFT JOIN cn ON CAST(cd.nid AS VARCHAR) = cn.nid
-LEFT JOIN fl ON CAST(cd.nid AS VARCHAR) = fl.nid
-WHERE {_active_where(p)}
-  AND (cd.date_publication IS NULL OR (fc.nid IS NOT NULL AND CAST(cd.date_publication AS DATE) >= {dlit(p.publication_cutoff)}))
-  AND CAST(cd.nid AS VARCHAR) NOT IN {done}
-  AND (b.nid IS NULL OR b.status NOT IN {in_list(p.scheduled_statuses)})
-  AND {patrimony_v2(p)}
-  AND {not_contains('cd.ciudad', p.excluded_city_substrings)})
-SELECT * EXCLUDE (_rn, _cap) FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY _cap DESC NULLS LAST, comercial,
-  ciudad, conjunto, equipo, fecha_captacion, fecha_levantamiento, telefono_cliente, ultimo_status, tipo_fotos) AS _rn FROM o)
-WHERE _rn = 1"""
+WITH building AS (SELECT nid_1 AS k, min(nombre_de_edificio_conjunto) AS name FROM seller_form
+                  WHERE nombre_de_edificio_conjunto <> '' GROUP BY nid_1),
+lifted AS (SELECT nid AS k, min(CAST(first_time_in_phase AS DATE)) AS on_day FROM process_history
+           WHERE pipe_id IN {in_list(p.patrimony_pipes)} AND phase_name IN {in_list(p.final_phases)} GROUP BY nid),
+due AS (
+SELECT m.txt AS nid, COALESCE(m.agent, '') AS comercial, {title_or_blank('m.ciudad')} AS ciudad, COALESCE(building.name, '') AS conjunto,
+  COALESCE(m.crew, '') AS equipo, {date_text('m.c_fecha_captacion')} AS fecha_captacion,
+  {date_text(f"CASE WHEN d.estado_patrimonio = {q(p.patrimony_lifted)} THEN lifted.on_day END")} AS fecha_levantamiento,
+  COALESCE(m.tel_fono_del_cliente_1, '') AS telefono_cliente, COALESCE(NULLIF(last_status, ''), {q(NO_VISIT_LABEL)}) AS ultimo_status,
+  CASE WHEN {has_photo('m.nid', p.photo_client)} THEN {q(R.CLIENT_PHOTOS_LABEL)} ELSE {q(R.UNPUBLISHED_LABEL)} END AS tipo_fotos,
+  m.c_fecha_captacion AS captured
+FROM {properties(p, running(p))} m LEFT JOIN {_visits_of_category(p)} ON visit_key = m.txt LEFT JOIN {NEWEST_FLAG} ON flag_key = m.nid
+LEFT JOIN intake_detail d ON d.nid = m.nid LEFT JOIN building ON building.k = m.nid LEFT JOIN lifted ON lifted.k = m.nid
+WHERE m.c_fecha_captacion IS NOT NULL AND {not_contains('m.ciudad', p.excluded_city_substrings)} AND {_published_late(p)}
+  AND {_open_for_visit(p)} AND {patrimony_allows(p)})
+SELECT DISTINCT ON (nid) * EXCLUDE (captured) FROM due ORDER BY nid, captured DESC NULLS LAST, comercial, ciudad, conjunto, equipo"""
 
 
 ROLES_R4 = ("visit_log", "listing_card", "listing_image", "seller_form", "process_history", "property_master",
@@ -224,9 +234,8 @@ report("report_to_schedule", R.to_schedule, P_REP, _r4_sql(P_REP), ROLES_R4)
 
 # ----------------------------------------------------------------- R5
 def _links_sql() -> str:
-    return ("(SELECT nid, link FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY tab_order DESC, row_order DESC) AS _rn "
-            f"FROM (SELECT {strip('nid')} AS nid, {strip('link')} AS link, tab_order, row_order FROM link_rows) "
-            "WHERE nid <> '' AND starts_with(lower(link), 'http')) WHERE _rn = 1)")
+    return (f"(SELECT DISTINCT ON (nid) nid, link FROM (SELECT {strip('nid')} AS nid, {strip('link')} AS link, tab_order, row_order FROM link_rows) "
+            "WHERE nid <> '' AND starts_with(lower(link), 'http') ORDER BY nid, tab_order DESC, row_order DESC)")
 
 
 def _published_sql() -> str:
@@ -235,45 +244,31 @@ def _published_sql() -> str:
 
 
 def _r5_sql(p) -> str:
-    rd = spanish_date("fecha_reporte", p.as_of)
+    day = spanish_date("fecha_reporte", p.as_of)
+    town = "COALESCE(NULLIF(m.ciudad, ''), told.town, '')"
+    photos = f"CASE WHEN pictured THEN {q(R.CLIENT_PHOTOS_LABEL)} ELSE {q(R.UNPUBLISHED_LABEL)} END"
+    card = f"CASE WHEN u.id IS NULL THEN {q(R.WITHOUT_CMS)} ELSE {q(R.WITH_CMS)} END"
     return f"""
-WITH rws AS (SELECT * FROM report_rows WHERE {_window(p, p.completed_lookback_days)} AND completado),
-keys AS (SELECT DISTINCT nid FROM rws WHERE nid <> ''),
-rep AS (SELECT nid,
-          COALESCE(arg_max(fecha_reporte, ({rd}, fecha_reporte)) FILTER (WHERE fecha_reporte <> ''), '') AS fecha_recorrido,
-          arg_max(ciudad_correo, (received_at, doc_id, row_pos)) FILTER (WHERE COALESCE(ciudad_correo, '') <> '') AS ciudad_correo
-        FROM rws GROUP BY nid),
-base AS (
-SELECT CAST(cd.nid AS VARCHAR) AS nid, COALESCE(COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion), '') AS comercial,
-  cd.ciudad AS _city, COALESCE(COALESCE(h.equipo_sellers, cd.c_equipo_seller), '') AS equipo,
-  CASE WHEN pc.id IS NULL THEN 'Sin CMS' ELSE 'Con CMS' END AS ficha_cms, COALESCE(d.estado_patrimonio, '') AS patrimonio,
-  CASE WHEN fc.nid IS NOT NULL THEN 'Publicado sin fotos profesionales' ELSE 'Sin publicar' END AS tipo_fotos,
-  pc.id AS pc_id, ps.current_state_id AS ps_state
-FROM property_master cd
-LEFT JOIN listing_card pc ON cd.nid = pc.nid
-LEFT JOIN listing_state ps ON pc.id = ps.property_card_id
-LEFT JOIN intake_detail d ON cd.nid = d.nid
-LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = {q(p.pipeline_id)}
-LEFT JOIN {photo_set(p.photo_client, True)} fc ON cd.nid = fc.nid
-LEFT JOIN {photo_set(p.photo_professional, True)} f360 ON cd.nid = f360.nid
-LEFT JOIN {latest_flag()} epa ON CAST(cd.nid AS VARCHAR) = epa.nid
-WHERE CAST(cd.nid AS VARCHAR) IN (SELECT nid FROM keys)
-  AND {_active_where(p, captured=False)}
-  AND COALESCE(pc.active, 1) <> 0 AND COALESCE(ps.current_state_id, 0) NOT IN {in_list(p.dead_states)}
-  AND (NOT (COALESCE(pc.active, 0) = 1 AND COALESCE(ps.current_state_id, 0) = {p.live_state}) OR f360.nid IS NULL)
-  AND {patrimony_v2(p)}
-  AND CAST(cd.nid AS VARCHAR) NOT IN {_published_sql()}),
-one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY pc_id ASC NULLS FIRST, ps_state ASC NULLS FIRST,
-          comercial, equipo, patrimonio) AS _rn FROM base) WHERE _rn = 1)
-SELECT o.nid, o.comercial,
-  CASE WHEN COALESCE(NULLIF(o._city, ''), r.ciudad_correo, '') = '' THEN ''
-       ELSE {title_or_blank("COALESCE(NULLIF(o._city, ''), r.ciudad_correo, '')")} END AS ciudad,
-  o.equipo, COALESCE(r.fecha_recorrido, '') AS fecha_recorrido, '360 Finalizado (correo)' AS status_bubble, o.ficha_cms,
-  o.patrimonio, 'Con 360' AS visita_360, o.tipo_fotos,
-  CASE WHEN o.patrimonio <> '' THEN o.patrimonio || ', ' ELSE '' END || CASE WHEN o.ficha_cms <> '' THEN o.ficha_cms || ', ' ELSE '' END
-    || o.tipo_fotos AS estado_actual,
-  COALESCE(l.link, '') AS link_publicacion
-FROM one o LEFT JOIN rep r ON o.nid = r.nid LEFT JOIN {_links_sql()} l ON o.nid = l.nid"""
+WITH told AS (SELECT nid, COALESCE(arg_max(fecha_reporte, ({day}, fecha_reporte)) FILTER (WHERE fecha_reporte <> ''), '') AS seen_on,
+                arg_max(ciudad_correo, (received_at, doc_id, row_pos)) FILTER (WHERE ciudad_correo <> '') AS town
+              FROM report_rows WHERE {window_of(p, p.completed_lookback_days)} AND completado AND nid <> '' GROUP BY nid),
+shown AS (SELECT c.nid AS k, c.id, st.current_state_id AS state, c.active = 1 AND st.current_state_id = {p.live_state} AS live
+          FROM listing_card c LEFT JOIN listing_state st ON st.property_card_id = c.id
+          WHERE c.nid IS NOT NULL),
+usable AS (SELECT k, id, state, COALESCE(live, FALSE) AS live FROM shown JOIN listing_card c USING (id)
+           WHERE c.active IS DISTINCT FROM 0 AND COALESCE(state, 0) NOT IN {in_list(p.dead_states)})
+SELECT DISTINCT ON (m.txt) m.txt AS nid, COALESCE(m.agent, '') AS comercial,
+  CASE WHEN {town} = '' THEN '' ELSE {title_or_blank(town)} END AS ciudad, COALESCE(m.crew, '') AS equipo, told.seen_on AS fecha_recorrido,
+  {q(R.BUBBLE_DONE_LABEL)} AS status_bubble, {card} AS ficha_cms,
+  COALESCE(d.estado_patrimonio, '') AS patrimonio, {q(R.WITH_360_LABEL)} AS visita_360, {photos} AS tipo_fotos,
+  concat_ws(', ', NULLIF(d.estado_patrimonio, ''), {card}, {photos}) AS estado_actual, COALESCE(l.link, '') AS link_publicacion
+FROM told JOIN (SELECT r.*, {has_photo('r.nid', p.photo_client, True)} AS pictured, {has_photo('r.nid', p.photo_professional, True)} AS toured
+  FROM {properties(p, running(p))} r) m ON m.txt = told.nid LEFT JOIN {NEWEST_FLAG} ON flag_key = m.nid
+LEFT JOIN intake_detail d ON d.nid = m.nid LEFT JOIN {_links_sql()} l ON l.nid = m.txt
+LEFT JOIN usable u ON u.k = m.nid AND NOT (u.live AND m.toured)
+WHERE {patrimony_allows(p)} AND m.txt NOT IN {_published_sql()}
+  AND (u.id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM shown s WHERE s.k = m.nid))
+ORDER BY m.txt, u.id, u.state NULLS FIRST"""
 
 
 ROLES_R5 = ("report_rows", "property_master", "listing_card", "listing_state", "intake_detail", "crm_deal",
@@ -291,20 +286,13 @@ def _subject_keys_sql(p) -> str:
 
 def _r6_sql(p) -> str:
     return f"""
-SELECT CAST(cd.nid AS VARCHAR) AS nid, COALESCE(COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion), '') AS comercial,
-  {title_or_blank('cd.ciudad')} AS ciudad, COALESCE(COALESCE(h.equipo_sellers, cd.c_equipo_seller), '') AS equipo,
-  {date_text('cd.c_fecha_captacion')} AS fecha_captacion, COALESCE(cd.tel_fono_del_cliente_1, '') AS telefono_cliente,
-  COALESCE(NULLIF(d.estado_patrimonio, ''), 'Sin info') AS patrimonio
-FROM property_master cd
-LEFT JOIN intake_detail d ON cd.nid = d.nid
-LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = {q(p.pipeline_id)}
-LEFT JOIN {photo_set(p.photo_client)} fc ON cd.nid = fc.nid
-LEFT JOIN {photo_set(p.photo_professional)} f360 ON cd.nid = f360.nid
-LEFT JOIN {latest_flag()} epa ON epa.nid = CAST(cd.nid AS VARCHAR)
-WHERE CAST(cd.nid AS VARCHAR) IN {_subject_keys_sql(p)}
-  AND cd.fecha_desistio_inmobiliaria IS NULL AND f360.nid IS NULL
-  AND (cd.date_publication IS NULL OR fc.nid IS NOT NULL) AND (d.date_publication IS NULL OR fc.nid IS NOT NULL)
-  AND {patrimony_v2(p)}"""
+WITH told AS (SELECT m.*, {has_photo('m.nid', p.photo_client)} AS pictured FROM {properties(p)} m
+              WHERE m.txt IN {_subject_keys_sql(p)} AND m.fecha_desistio_inmobiliaria IS NULL AND NOT {has_photo('m.nid', p.photo_professional)})
+SELECT txt AS nid, COALESCE(agent, '') AS comercial, {title_or_blank('ciudad')} AS ciudad, COALESCE(crew, '') AS equipo,
+  {date_text('c_fecha_captacion')} AS fecha_captacion, COALESCE(tel_fono_del_cliente_1, '') AS telefono_cliente,
+  COALESCE(NULLIF(d.estado_patrimonio, ''), {q(NO_INFO_LABEL)}) AS patrimonio
+FROM told LEFT JOIN intake_detail d ON d.nid = told.nid LEFT JOIN {NEWEST_FLAG} ON flag_key = told.nid
+WHERE (pictured OR (told.date_publication IS NULL AND d.date_publication IS NULL)) AND {patrimony_allows(p)}"""
 
 
 report("report_to_publish_clientphotos", R.to_publish_client_photos, P_SUBJ, _r6_sql(P_SUBJ),
@@ -314,20 +302,13 @@ report("report_to_publish_clientphotos", R.to_publish_client_photos, P_SUBJ, _r6
 # ----------------------------------------------------------------- R7
 def _r7_sql(p) -> str:
     return f"""
-WITH o AS (
-SELECT COALESCE(CAST(cd.nid AS VARCHAR), '') AS nid, COALESCE(COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion), '') AS comercial,
-  {title_or_blank('cd.ciudad')} AS ciudad, COALESCE(COALESCE(h.equipo_sellers, cd.c_equipo_seller), '') AS equipo,
-  {date_text('cd.c_fecha_captacion')} AS fecha_captacion, COALESCE(cd.tel_fono_del_cliente_1, '') AS telefono_cliente,
-  cd.c_fecha_captacion AS _cap
-FROM property_master cd
-LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = {q(p.pipeline_id)}
-LEFT JOIN {photo_set(p.photo_professional)} f360 ON cd.nid = f360.nid
-LEFT JOIN (SELECT DISTINCT CAST(nid AS VARCHAR) AS nid FROM crm_deal_raw WHERE flag_inmueble_nph IS NOT NULL
-           AND flag_inmueble_nph <> '' AND nid IS NOT NULL) nph ON nph.nid = CAST(cd.nid AS VARCHAR)
-LEFT JOIN {latest_flag()} epa ON epa.nid = CAST(cd.nid AS VARCHAR)
-WHERE {_active_where(p)} AND cd.date_publication IS NULL AND f360.nid IS NULL AND nph.nid IS NULL AND {patrimony_v2(p)})
-SELECT * EXCLUDE (_rn, _cap) FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY _cap DESC NULLS LAST, comercial,
-  ciudad, equipo, fecha_captacion, telefono_cliente) AS _rn FROM o) WHERE _rn = 1"""
+SELECT DISTINCT ON (m.nid) m.txt AS nid, COALESCE(m.agent, '') AS comercial, {title_or_blank('m.ciudad')} AS ciudad, COALESCE(m.crew, '') AS equipo,
+  {date_text('m.c_fecha_captacion')} AS fecha_captacion, COALESCE(m.tel_fono_del_cliente_1, '') AS telefono_cliente
+FROM {properties(p, running(p))} m LEFT JOIN {NEWEST_FLAG} ON flag_key = m.nid
+WHERE m.c_fecha_captacion IS NOT NULL AND m.date_publication IS NULL AND {patrimony_allows(p)}
+  AND NOT {has_photo('m.nid', p.photo_professional)}
+  AND NOT EXISTS (SELECT 1 FROM crm_deal_raw special WHERE special.nid = m.nid AND special.flag_inmueble_nph <> '')
+ORDER BY m.nid, m.c_fecha_captacion DESC, comercial, ciudad, equipo"""
 
 
 report("report_to_publish_nophotos", R.to_publish_no_photos, P_REP, _r7_sql(P_REP),
@@ -337,18 +318,13 @@ report("report_to_publish_nophotos", R.to_publish_no_photos, P_REP, _r7_sql(P_RE
 # ----------------------------------------------------------------- R8
 def _r8_sql(p) -> str:
     return f"""
-WITH pa AS (SELECT DISTINCT CAST(pc.nid AS VARCHAR) AS nid, CAST(ps.date_publication AS DATE) AS fecha_publicacion
-            FROM listing_card pc JOIN listing_state ps ON ps.property_card_id = pc.id
-            WHERE pc.active = 1 AND ps.current_state_id = {p.live_state} AND pc.nid IS NOT NULL),
-o AS (SELECT pa.nid, pa.fecha_publicacion, {clean('COALESCE(h.hubspot_owner_id, cd.c_comercial_captacion)')} AS comercial,
-        {clean('COALESCE(h.equipo_sellers, cd.c_equipo_seller)')} AS equipo, {title_or_blank('cd.ciudad')} AS ciudad
-      FROM pa {_master_crm_join('pa.nid', p)}
-      WHERE pa.nid IN (SELECT CAST(nid AS VARCHAR) FROM crm_deal WHERE pipeline = {q(p.pipeline_id)} AND nid IS NOT NULL)),
-one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY fecha_publicacion DESC NULLS LAST, comercial,
-          equipo, ciudad) AS _rn FROM o) WHERE _rn = 1)
-SELECT one.nid, {date_text('one.fecha_publicacion')} AS fecha_publicacion, one.comercial, one.equipo, one.ciudad,
-  l.link AS link_publicacion
-FROM one JOIN {_links_sql()} l ON one.nid = l.nid"""
+WITH shown AS (SELECT c.nid AS k, max(CAST(st.date_publication AS DATE)) AS newest FROM listing_card c, listing_state st
+               WHERE st.property_card_id = c.id AND c.active = 1 AND st.current_state_id = {p.live_state} GROUP BY c.nid)
+SELECT DISTINCT ON (k) CAST(k AS VARCHAR) AS nid, {date_text('newest')} AS fecha_publicacion,
+  {clean('COALESCE(deal_owner, m.c_comercial_captacion)')} AS comercial, {clean('COALESCE(deal_team, m.c_equipo_seller)')} AS equipo,
+  {title_or_blank('m.ciudad')} AS ciudad, l.link AS link_publicacion
+FROM shown JOIN {deals(p)} ON deal_key = k JOIN {_links_sql()} l ON l.nid = CAST(k AS VARCHAR) LEFT JOIN property_master m ON m.nid = k
+ORDER BY k, comercial, equipo, ciudad"""
 
 
 report("report_published_links", R.published_links, P_REP, _r8_sql(P_REP),
@@ -357,10 +333,9 @@ report("report_published_links", R.published_links, P_REP, _r8_sql(P_REP),
 # ------------------------------------------------------------- R9-R11
 report("lookup_links", R.links_lookup, P_REP, "SELECT * FROM " + _links_sql(), ("link_rows",))
 report("lookup_reasons", R.reasons_lookup, P_REP, f"""
-SELECT nid, motivo, observaciones, fuente FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY tab_order DESC,
-  row_order DESC) AS _rn FROM (SELECT COALESCE({strip('nid')}, '') AS nid, COALESCE({strip('motivo')}, '') AS motivo,
-  COALESCE({strip('observaciones')}, '') AS observaciones, fuente, tab_order, row_order FROM followup_rows) WHERE nid <> '')
-WHERE _rn = 1""", ("followup_rows",))
+SELECT DISTINCT ON (nid) nid, motivo, observaciones, fuente FROM (SELECT COALESCE({strip('nid')}, '') AS nid,
+  COALESCE({strip('motivo')}, '') AS motivo, COALESCE({strip('observaciones')}, '') AS observaciones, fuente, tab_order, row_order
+  FROM followup_rows) WHERE nid <> '' ORDER BY nid, tab_order DESC, row_order DESC""", ("followup_rows",))
 report("lookup_sheet_published", R.sheet_published, P_REP, "SELECT * FROM " + _published_sql(), ("followup_rows",))
 
 
@@ -391,155 +366,117 @@ e AS (
 SELECT nid, kind, arg_max(value, seq) AS value FROM e WHERE kind IS NOT NULL GROUP BY nid, kind"""
 
 
-report("report_status_current", R.status_current, P_EV, _fold_sql(P_EV.status_day_str), ("status_log",))
-report("status_fold", R.status_current, P_EV, _fold_sql(P_EV.status_day_str), ("status_log",))
+report("report_status_current", R.status_current, P_ORD, _fold_sql(P_ORD.status_day_str), ("status_log",))
+report("status_fold", R.status_current, P_MTD, _fold_sql(P_MTD.status_day_str), ("status_log",))
 
 
 # ------------------------------------------------------------ R15/R16
-def _to_schedule_base_sql(p, group: str, extra_cols: str) -> str:
-    done = (f"(SELECT DISTINCT nid FROM visit_log WHERE visit_category IN {in_list(p.visit_categories)} "
-            f"AND status = {q(p.done_status)} AND nid IS NOT NULL)")
+def _backlog_ctes(p) -> str:
+    """todo: properties to schedule; off: cancelled this month; court: opinions
+    to take to court.  Each with the raw team and agent columns."""
+    gone = "m.fecha_desistio_inmobiliaria IS NULL AND m.v_fecha_venta IS NULL"
     return f"""
-SELECT {group}, {extra_cols}
-FROM property_master cd
-LEFT JOIN {_ur(p, by_category=True, real=False)} b ON CAST(cd.nid AS VARCHAR) = b.nid
-LEFT JOIN intake_detail d ON cd.nid = d.nid
-LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = {q(p.pipeline_id)}
-LEFT JOIN {photo_set(p.photo_client)} fc ON cd.nid = fc.nid
-LEFT JOIN (SELECT nid, min(gravamenes_del_apartamento) AS gravamen FROM seller_intake GROUP BY nid) gs ON cd.nid = gs.nid
-WHERE {_active_where(p)}
-  AND (cd.date_publication IS NULL OR (fc.nid IS NOT NULL AND CAST(cd.date_publication AS DATE) >= {dlit(p.publication_cutoff)}))
-  AND CAST(cd.nid AS VARCHAR) NOT IN {done}
-  AND (b.nid IS NULL OR b.status NOT IN {in_list(p.scheduled_statuses)})
-  AND (d.estado_patrimonio IN {in_list(p.patrimony_ok)} OR (d.estado_patrimonio IS NULL
-       AND (gs.gravamen IS NULL OR gs.gravamen NOT IN {in_list(p.encumbrance_deny)})))
-  AND {not_contains('cd.ciudad', p.excluded_city_substrings)}"""
-
-
-def _cancelled_base_sql(p, group: str) -> str:
+todo AS (SELECT m.*, year(m.c_fecha_captacion) <= {p.old_year} AS old
+  FROM {properties(p, running(p))} m LEFT JOIN {_visits_of_category(p)} ON visit_key = m.txt LEFT JOIN intake_detail d ON d.nid = m.nid
+  LEFT JOIN (SELECT nid AS k, min(gravamenes_del_apartamento) AS lien FROM seller_intake GROUP BY nid) s ON s.k = m.nid
+  WHERE m.c_fecha_captacion IS NOT NULL AND {not_contains('m.ciudad', p.excluded_city_substrings)} AND {_published_late(p)} AND {_open_for_visit(p)}
+    AND (d.estado_patrimonio IN {in_list(p.patrimony_ok)}
+         OR (d.estado_patrimonio IS NULL AND (lien IS NULL OR lien NOT IN {in_list(p.encumbrance_deny)})))),
+off AS (SELECT m.c_equipo_seller, m.c_comercial_captacion, deal_team, deal_owner
+  FROM {newest_visit(p, f'modified_date >= {q(p.month_start)}')} v LEFT JOIN property_master m ON CAST(m.nid AS VARCHAR) = v.nid
+  LEFT JOIN {deals(p)} ON deal_key = TRY_CAST(v.nid AS BIGINT) WHERE v.status IN {in_list(p.cancel_statuses_digest)} AND {gone}),
+court AS (SELECT m.c_equipo_seller, m.c_comercial_captacion, deal_team, deal_owner
+  FROM {bad_opinions(p)} o LEFT JOIN property_master m ON m.nid = o.k LEFT JOIN {deals(p)} ON deal_key = o.k
+  WHERE NOT EXISTS (SELECT 1 FROM {in_court(p)} c WHERE c.k = o.k))"""
+
+
+def _backlog_sql(p, key: str, name: str, extra: str, having: str) -> str:
     return f"""
-SELECT {group}, count(*) AS n FROM {_ur(p)} v
-LEFT JOIN property_master cd ON v.nid = CAST(cd.nid AS VARCHAR)
-LEFT JOIN crm_deal h ON TRY_CAST(v.nid AS BIGINT) = h.nid AND h.pipeline = {q(p.pipeline_id)}
-WHERE v.status IN {in_list(p.cancel_statuses_digest)} AND v.modified_date >= {q(p.month_start)}
-  AND cd.fecha_desistio_inmobiliaria IS NULL AND cd.v_fecha_venta IS NULL"""
-
-
-def _court_base_sql(p, group: str) -> str:
-    return f"""
-SELECT {group}, count(*) AS n FROM {unfavourable(p)} d
-LEFT JOIN property_master cd ON CAST(cd.nid AS VARCHAR) = d.nid
-LEFT JOIN crm_deal h ON TRY_CAST(d.nid AS BIGINT) = h.nid AND h.pipeline = {q(p.pipeline_id)}
-WHERE d.nid NOT IN (SELECT nid FROM {active_phases(p)} WHERE nid IS NOT NULL)"""
+WITH {_backlog_ctes(p)},
+counted AS (
+  SELECT {key} AS {name}, 1 AS por_agendar, CAST(COALESCE(old, FALSE) AS INTEGER) AS por_agendar_2025, 0 AS canceladas, 0 AS juzgado, {extra} AS extra FROM todo
+  UNION ALL SELECT {key}, 0, 0, 1, 0, NULL FROM off
+  UNION ALL SELECT {key}, 0, 0, 0, 1, NULL FROM court)
+SELECT {name}, CAST(sum(por_agendar) AS BIGINT) AS por_agendar, CAST(sum(por_agendar_2025) AS BIGINT) AS por_agendar_2025,
+  CAST(sum(canceladas) AS BIGINT) AS canceladas, CAST(sum(juzgado) AS BIGINT) AS juzgado, COALESCE(min(extra), '') AS extra
+FROM counted GROUP BY {name} HAVING {having}"""
 
 
 def _r15_sql(p) -> str:
-    team = nonblank("h.equipo_sellers", "cd.c_equipo_seller", default=p.no_team_label)
-    a = _to_schedule_base_sql(p, f"{team} AS equipo",
-                              f"count(*) AS por_agendar, count(*) FILTER (WHERE year(cd.c_fecha_captacion) <= {p.old_year}) AS por_agendar_2025")
-    return f"""
-WITH a AS ({a} GROUP BY 1), b AS ({_cancelled_base_sql(p, f'{team} AS equipo')} GROUP BY 1),
-c AS ({_court_base_sql(p, f'{team} AS equipo')} GROUP BY 1),
-u AS (SELECT equipo, por_agendar, por_agendar_2025, 0 AS canceladas, 0 AS juzgado FROM a
-      UNION ALL SELECT equipo, 0, 0, n, 0 FROM b UNION ALL SELECT equipo, 0, 0, 0, n FROM c)
-SELECT equipo, CAST(sum(por_agendar) AS BIGINT) AS por_agendar, CAST(sum(por_agendar_2025) AS BIGINT) AS por_agendar_2025,
-  CAST(sum(canceladas) AS BIGINT) AS canceladas, CAST(sum(juzgado) AS BIGINT) AS juzgado FROM u GROUP BY equipo"""
+    team = nonblank("deal_team", "c_equipo_seller", default=p.no_team_label)
+    return f"SELECT * EXCLUDE (extra) FROM ({_backlog_sql(p, team, 'equipo', 'NULL', 'TRUE')})"
 
 
 def _r16_sql(p) -> str:
-    agent = f"lower({strip(nonblank('h.hubspot_owner_id', 'cd.c_comercial_captacion'))})"
-    team = nonblank("h.equipo_sellers", "cd.c_equipo_seller", default="")
-    a = _to_schedule_base_sql(p, f"{agent} AS comercial",
-                              f"min({team}) AS equipo, count(*) AS por_agendar, "
-                              f"count(*) FILTER (WHERE year(cd.c_fecha_captacion) <= {p.old_year}) AS por_agendar_2025")
-    ok = "comercial IS NOT NULL AND comercial <> '' AND contains(comercial, '@')"
-    return f"""
-WITH a AS ({a} GROUP BY 1), b AS ({_cancelled_base_sql(p, f'{agent} AS comercial')} GROUP BY 1),
-c AS ({_court_base_sql(p, f'{agent} AS comercial')} GROUP BY 1),
-u AS (SELECT comercial, por_agendar, por_agendar_2025, 0 AS canceladas, 0 AS juzgado, equipo FROM a WHERE {ok}
-      UNION ALL SELECT comercial, 0, 0, n, 0, NULL FROM b WHERE {ok}
-      UNION ALL SELECT comercial, 0, 0, 0, n, NULL FROM c WHERE {ok})
-SELECT comercial, CAST(sum(por_agendar) AS BIGINT) AS por_agendar, CAST(sum(por_agendar_2025) AS BIGINT) AS por_agendar_2025,
-  CAST(sum(canceladas) AS BIGINT) AS canceladas, CAST(sum(juzgado) AS BIGINT) AS juzgado,
-  COALESCE(max(NULLIF(equipo, '')), '') AS equipo FROM u GROUP BY comercial"""
+    agent = f"lower({strip(nonblank('deal_owner', 'c_comercial_captacion'))})"
+    team = nonblank("deal_team", "c_equipo_seller", default="")
+    return f"SELECT * RENAME (extra AS equipo) FROM ({_backlog_sql(p, agent, 'comercial', team, 'contains(comercial, chr(64))')})"
 
 
 ROLES_BACKLOG = ("visit_log", "property_master", "intake_detail", "crm_deal", "listing_card", "listing_image",
                  "seller_intake", "clearance_tower", "process_history")
 report("report_backlog_team", O.backlog_team, P_MTD, _r15_sql(P_MTD), ROLES_BACKLOG)
 report("report_backlog_agent", O.backlog_agent, P_MTD, _r16_sql(P_MTD), ROLES_BACKLOG)
-report("merge_metrics_full_outer", O.backlog_team, P_MTD, _r15_sql(P_MTD), ROLES_BACKLOG)
 
 
 # ----------------------------------------------------------------- R13
 def _r13_sql(p) -> str:
-    day = p.day_prefix
+    day = q(p.day_prefix)
     return f"""
-WITH vd AS (SELECT nid, min(fecha_inicio) AS fecha_inicio, min(nombre_agendador) AS nombre_agendador,
-              min(email_agendador) AS email_agendador FROM visit_log
-            WHERE starts_with(fecha_fin, {q(day)}) AND nid <> 'nan' AND nid IS NOT NULL
-              AND status IN {in_list(p.reminder_statuses)} AND visit_type IN {in_list(p.visit_types)} GROUP BY nid),
-j AS (SELECT {falsy('c.c_comercial_captacion', 'vd.email_agendador')} AS email, vd.nombre_agendador
-      FROM vd LEFT JOIN property_master c ON vd.nid = CAST(c.nid AS VARCHAR)),
-per AS (SELECT email, count(*) AS cnt, COALESCE(min(NULLIF(nombre_agendador, '')), email) AS nombre FROM j
-        WHERE email <> '' AND email <> 'nan' GROUP BY email)
-SELECT email, nombre, CAST(cnt AS BIGINT) AS count,
-  'Tienes ' || cnt || ' visita(s) 360 agendada(s) para manana {day}' AS subject,
-  'Hola ' || nombre || E',\\n\\nTienes ' || cnt || ' visita(s) 360 agendada(s) para manana {day}.' ||
-  E'\\n\\nIngresa en el siguiente link y escribeles para confirmar la visita:\\n{p.portal_url}\\n\\n' ||
-  'Utiliza los botones de WhatsApp para escribirles y usa los botones de Confirmar y Cancelar para informar al coordinador.' ||
-  E'\\n\\nSaludos,\\n{p.signature}' AS body
-FROM per"""
+WITH booked AS (SELECT nid, min(nombre_agendador) AS name, min(email_agendador) AS mail FROM visit_log
+                WHERE starts_with(fecha_fin, {day}) AND nid <> 'nan' AND status IN {in_list(p.reminder_statuses)}
+                  AND visit_type IN {in_list(p.visit_types)} GROUP BY nid),
+per AS (SELECT {falsy('m.c_comercial_captacion', 'mail')} AS email, count(*) AS n, min(NULLIF(name, '')) AS name
+        FROM booked LEFT JOIN property_master m ON CAST(m.nid AS VARCHAR) = booked.nid GROUP BY 1)
+SELECT email, COALESCE(name, email) AS nombre, CAST(n AS BIGINT) AS count, {sql_text(O.REMINDER_SUBJECT, n='n', day=day)} AS subject,
+  {sql_text(O.REMINDER_BODY, name='COALESCE(name, email)', n='n', day=day, url=q(p.portal_url), sign=q(p.signature))} AS body
+FROM per WHERE email NOT IN ('', 'nan')"""
 
 
 report("outbox_visit_reminder", O.visit_reminder, P_ORD, _r13_sql(P_ORD), ("visit_log", "property_master"))
 
 
 # ----------------------------------------------------------------- R14
+def _r14_rows(p) -> str:
+    return f"""(SELECT * FROM (SELECT v.nid, {falsy('m.c_comercial_captacion', 'v.email_agendador')} AS email, v.nombre_agendador,
+    v.modified_date >= {q(p.new_since)} AS fresh, CASE WHEN v.fecha_inicio <> '' THEN split_part(v.fecha_inicio, 'T', 1) ELSE '' END AS day
+  FROM {newest_visit(p, f'modified_date >= {q(p.month_start)}')} v LEFT JOIN property_master m ON CAST(m.nid AS VARCHAR) = v.nid
+  WHERE v.status IN {in_list(p.cancel_statuses_digest)}) WHERE email NOT IN ('', 'nan'))"""
+
+
 def _r14_sql(p) -> str:
-    gate = "TRUE" if (not p.is_weekend or p.force_weekend) else "FALSE"
+    sends = "TRUE" if not p.is_weekend or p.force_weekend else "FALSE"
+    return f"""
+WITH per AS (SELECT email, min(NULLIF(nombre_agendador, '')) AS name, count(*) FILTER (WHERE fresh) AS a, count(*) FILTER (WHERE NOT fresh) AS b
+             FROM {_r14_rows(p)} GROUP BY email)
+SELECT email, COALESCE(name, email) AS nombre, CAST(a AS BIGINT) AS n_nuevas, CAST(b AS BIGINT) AS n_pendientes,
+  {sql_text(O.DIGEST_SUBJECT, n='a')} AS subject, {sql_text(O.DIGEST_HEAD, name='COALESCE(name, email)')} AS head,
+  CASE WHEN b > 0 THEN {q(O.DIGEST_PENDING_HEAD)} ELSE '' END AS pending_head,
+  {sql_text(O.DIGEST_TAIL, url=q(p.portal_url), sign=q(p.signature))} AS tail
+FROM per WHERE a > 0 AND {sends}"""
+
+
+def _r14_lines_sql(p) -> str:
     return f"""
-WITH rws AS (
-  SELECT v.nid, {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS email, v.nombre_agendador,
-    CASE WHEN v.modified_date >= {q(p.new_since)} THEN 'nueva' ELSE 'pendiente' END AS tipo,
-    CASE WHEN v.fecha_inicio IS NOT NULL AND v.fecha_inicio <> '' THEN split_part(v.fecha_inicio, 'T', 1) ELSE '' END AS fecha
-  FROM {_ur(p)} v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
-  WHERE v.status IN {in_list(p.cancel_statuses_digest)} AND v.modified_date >= {q(p.month_start)}),
-r AS (SELECT * FROM rws WHERE email <> '' AND email <> 'nan'),
-per AS (SELECT email, COALESCE(min(NULLIF(nombre_agendador, '')), email) AS nombre,
-          list_sort(list({{'fecha': fecha, 'nid': nid}}) FILTER (WHERE tipo = 'nueva')) AS nuevas,
-          list_sort(list({{'fecha': fecha, 'nid': nid}}) FILTER (WHERE tipo <> 'nueva')) AS pendientes
-        FROM r GROUP BY email)
-SELECT email, nombre, CAST(len(COALESCE(nuevas, [])) AS BIGINT) AS n_nuevas,
-  CAST(len(COALESCE(pendientes, [])) AS BIGINT) AS n_pendientes,
-  array_to_string(list_transform(COALESCE(nuevas, []), lambda e: e.nid || '|' || e.fecha), E'\\n') AS nuevas,
-  array_to_string(list_transform(COALESCE(pendientes, []), lambda e: e.nid || '|' || e.fecha), E'\\n') AS pendientes,
-  'Visita(s) cancelada(s) ayer - Reagendar (' || len(nuevas) || ' nueva(s))' AS subject,
-  'Hola ' || nombre || E',\\n\\nLas siguientes visitas que tenias agendadas para ayer fueron canceladas, reagendalas:\\n\\n' ||
-  array_to_string(list_transform(nuevas, lambda e: '  - NID ' || e.nid || ' (estaba agendado para ' || e.fecha || ')'), E'\\n') || E'\\n\\n' ||
-  CASE WHEN len(COALESCE(pendientes, [])) > 0 THEN E'Ademas, tienes estas canceladas de la semana pendientes por reagendar:\\n\\n' ||
-    array_to_string(list_transform(pendientes, lambda e: '  - NID ' || e.nid || ' (agendado para ' || e.fecha || ')'), E'\\n') || E'\\n\\n'
-    ELSE '' END ||
-  E'Ingresa aqui para gestionarlas:\\n{p.portal_url}\\n\\nSaludos,\\n{p.signature}' AS body
-FROM per WHERE len(COALESCE(nuevas, [])) > 0 AND {gate} AND EXISTS (SELECT 1 FROM r WHERE tipo = 'nueva')"""
+WITH r AS {_r14_rows(p)}
+SELECT email, CASE WHEN fresh THEN 'nuevas' ELSE 'pendientes' END AS seccion, day AS fecha, nid,
+  CASE WHEN fresh THEN {sql_text(O.DIGEST_NEW_LINE, nid='nid', day='day')} ELSE {sql_text(O.DIGEST_PENDING_LINE, nid='nid', day='day')} END AS line
+FROM r WHERE email IN (SELECT email FROM r WHERE fresh) ORDER BY email, seccion, fecha, nid"""
 
 
 report("outbox_cancelled_digest", O.cancelled_digest, P_MTD, _r14_sql(P_MTD), ("visit_log", "property_master"))
+report("outbox_cancelled_digest_lines", O.cancelled_digest_lines, P_MTD, _r14_lines_sql(P_MTD), ("visit_log", "property_master"))
 
 
 # ----------------------------------------------------------------- R17
 def _r17_sql(p) -> str:
     return f"""
-WITH b AS ({_r15_sql(p)})
-SELECT b.equipo, COALESCE(NULLIF({strip('tl.email')}, ''), {q(p.lead_default_email)}) AS email,
-  b.por_agendar, b.por_agendar_2025, b.canceladas, b.juzgado,
-  'Resumen Inmobiliaria — equipo ' || b.equipo AS subject,
-  'Hola lider de ' || b.equipo || E',\\n\\n  • Negocios POR AGENDAR: ' || b.por_agendar ||
-  E'\\n      ↳ De 2025 o antes (urgente): ' || b.por_agendar_2025 ||
-  E'\\n  • Canceladas POR REAGENDAR (este mes): ' || b.canceladas || E'\\n  • Candidatos JUZGADO: ' || b.juzgado ||
-  E'\\n\\nPortal: {p.portal_url}\\n\\nSaludos,\\n{p.signature}' AS body
-FROM b LEFT JOIN team_lead tl ON b.equipo = tl.equipo
-WHERE b.por_agendar + b.canceladas + b.juzgado > 0"""
+SELECT b.equipo, COALESCE(NULLIF({strip('lead.email')}, ''), {q(p.lead_default_email)}) AS email,
+  b.por_agendar, b.por_agendar_2025, b.canceladas, b.juzgado, {sql_text(O.LEAD_SUBJECT, team='b.equipo')} AS subject,
+  {sql_text(O.LEAD_BODY, team='b.equipo', a='b.por_agendar', b='b.por_agendar_2025', c='b.canceladas', d='b.juzgado',
+            url=q(p.portal_url), sign=q(p.signature))} AS body
+FROM ({_r15_sql(p)}) b LEFT JOIN team_lead lead ON lead.equipo = b.equipo
+WHERE b.por_agendar + b.canceladas + b.juzgado > 0 ORDER BY b.equipo"""
 
 
 report("outbox_team_lead", O.team_lead_digest, P_MTD, _r17_sql(P_MTD), ROLES_BACKLOG + ("team_lead",))
@@ -547,87 +484,66 @@ report("outbox_team_lead", O.team_lead_digest, P_MTD, _r17_sql(P_MTD), ROLES_BAC
 
 # ----------------------------------------------------------------- R18
 def _r18_sql(p) -> str:
+    def some(n: str, text: str) -> str:
+        return f"CASE WHEN {n} > 0 THEN {text} ELSE '' END"
+
+    todo = f"{sql_text(O.AGENT_TO_SCHEDULE, n='por_agendar')} || {some('por_agendar_2025', sql_text(O.AGENT_OLD, n='por_agendar_2025'))}"
     return f"""
-WITH b AS ({_r16_sql(p)}), t AS (SELECT *, por_agendar + canceladas + juzgado AS total FROM b)
-SELECT comercial AS email, 'Resumen Inmobiliaria — tienes ' || total || ' pendiente(s) por gestionar' AS subject,
-  E'Hola,\\n\\nTe compartimos tu resumen de pendientes:\\n\\n' ||
-  CASE WHEN por_agendar > 0 THEN '  • Negocios POR AGENDAR: ' || por_agendar || E'\\n' ||
-    CASE WHEN por_agendar_2025 > 0 THEN '      ↳ De los cuales ' || por_agendar_2025 ||
-      E' son del 2025 o antes — URGENTE confirmar si desistir o agendar.\\n' ELSE '' END ELSE '' END ||
-  CASE WHEN canceladas > 0 THEN '  • Canceladas POR REAGENDAR (este mes): ' || canceladas || E'\\n' ELSE '' END ||
-  CASE WHEN juzgado > 0 THEN '  • Candidatos para JUZGADO: ' || juzgado || E'\\n' ELSE '' END ||
-  E'\\nIngresa al portal para verlos en detalle por NID y gestionarlos:\\n{p.portal_url}\\n\\nSaludos,\\n{p.signature}' AS body,
+WITH t AS (SELECT *, por_agendar + canceladas + juzgado AS total FROM ({_r16_sql(p)}))
+SELECT comercial AS email, {sql_text(O.AGENT_SUBJECT, n='total')} AS subject,
+  {q(O.AGENT_HEAD)} || {some('por_agendar', todo)} || {some('canceladas', sql_text(O.AGENT_CANCELLED, n='canceladas'))}
+  || {some('juzgado', sql_text(O.AGENT_COURT, n='juzgado'))} || {sql_text(O.AGENT_TAIL, url=q(p.portal_url), sign=q(p.signature))} AS body,
   CAST(total AS BIGINT) AS total
-FROM t WHERE total > 0"""
+FROM t WHERE total > 0 ORDER BY email"""
 
 
 report("outbox_agent_digest", O.agent_digest, P_MTD, _r18_sql(P_MTD), ROLES_BACKLOG)
 
 
 # ----------------------------------------------------------------- R19
-def _day_status_sql(day: str) -> str:
+def _r19_rows(p) -> str:
     nid, fecha, estado = (strip(f"COALESCE({c}, '')") for c in ("nid", "fecha", "estado"))
-    return (f"(SELECT nid, arg_max(estado, seq) AS estado FROM (SELECT {nid} AS nid, {fecha} AS fecha, "
-            f"{estado} AS estado, seq FROM status_log) WHERE fecha = {q(day)} GROUP BY nid)")
+    said = (f"(SELECT {nid} AS k, arg_max({estado}, seq) AS word FROM status_log WHERE {fecha} = {q(p.status_day_str)} GROUP BY 1)")
+    line = "'NID ' || v.nid || ' - ' || COALESCE(v.ciudad_muni, '') || ' - ' || " + falsy('m.c_comercial_captacion', 'v.nombre_agendador')
+    return f"""(SELECT CASE word WHEN {q(p.confirmed_label)} THEN 'confirmadas' WHEN {q(p.cancelled_label)} THEN 'canceladas' ELSE 'sin_confirmar' END AS bucket,
+    {line} AS line FROM {newest_visit(p)} v LEFT JOIN property_master m ON CAST(m.nid AS VARCHAR) = v.nid LEFT JOIN {said} ON k = v.nid
+  WHERE v.status IN {in_list(p.reminder_statuses)} AND starts_with(v.fecha_fin, {q(p.day_prefix)}))"""
 
 
-def _r19_rows_sql(p) -> str:
-    return f"""
-SELECT v.nid, CASE WHEN COALESCE(st.estado, '') = {q(p.confirmed_label)} THEN 'confirmadas'
-                   WHEN COALESCE(st.estado, '') = {q(p.cancelled_label)} THEN 'canceladas' ELSE 'sin_confirmar' END AS bucket,
-  'NID ' || v.nid || ' - ' || COALESCE(v.ciudad_muni, '') || ' - ' || {falsy('c.c_comercial_captacion', 'v.nombre_agendador')} AS line
-FROM {_ur(p)} v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
-LEFT JOIN {_day_status_sql(p.status_day_str)} st ON v.nid = st.nid
-WHERE v.status IN {in_list(p.reminder_statuses)} AND starts_with(v.fecha_fin, {q(p.day_prefix)})"""
+def _r19_buckets_sql(p) -> str:
+    counts = ", ".join(f"count(*) FILTER (WHERE bucket = {q(b)}) AS {b}" for b, _ in O.SUMMARY_SECTIONS)
+    return f"SELECT {counts}, count(*) AS total FROM {_r19_rows(p)}"
 
 
-def _r19_buckets_sql(p) -> str:
+def _r19_sql(p) -> str:
+    heads = ", ".join(f"{sql_text(O.SUMMARY_SECTION, t=q(t), n=b)} AS head_{b}" for b, t in O.SUMMARY_SECTIONS)
+    day = q(p.day_prefix)
     return f"""
-WITH r AS ({_r19_rows_sql(p)}), per AS (SELECT bucket, count(*) AS n, list_sort(list(line)) AS lines FROM r GROUP BY bucket),
-names AS (SELECT * FROM (VALUES ('confirmadas'), ('sin_confirmar'), ('canceladas')) t(bucket))
-SELECT names.bucket, CAST(COALESCE(per.n, 0) AS BIGINT) AS count, COALESCE(per.lines, []) AS lines
-FROM names LEFT JOIN per ON names.bucket = per.bucket"""
+SELECT {q(p.coordinator_email)} AS "to", {sql_text(O.SUMMARY_SUBJECT, day=day, c='confirmadas', x='canceladas')} AS subject,
+  {sql_text(O.SUMMARY_HEAD, day=day, n='total')} AS head, {heads}, {sql_text(O.SUMMARY_TAIL, s=q(p.signature))} AS tail,
+  confirmadas, sin_confirmar, canceladas FROM ({_r19_buckets_sql(p)})"""
 
 
-report("agg_status_buckets", O.confirmation_buckets, P_ORD, _r19_buckets_sql(P_ORD),
-       ("visit_log", "property_master", "status_log"))
+def _r19_lines_sql(p) -> str:
+    names = ", ".join(f"({i}, {q(b)})" for i, (b, _) in enumerate(O.SUMMARY_SECTIONS, 1))
+    return f"""
+SELECT CAST(pos AS INTEGER) AS pos, s.bucket, COALESCE('  ' || line, {q(O.SUMMARY_NONE)}) AS line
+FROM (VALUES {names}) s(pos, bucket) LEFT JOIN {_r19_rows(p)} r ON r.bucket = s.bucket ORDER BY pos, line"""
 
 
-def _r19_sql(p) -> str:
-    secs = []
-    for b, t in (("confirmadas", "CONFIRMADAS"), ("sin_confirmar", "SIN CONFIRMAR"), ("canceladas", "CANCELADAS")):
-        secs.append(f"'--- {t} (' || n_{b} || E') ---\\n' || CASE WHEN n_{b} > 0 THEN "
-                    f"array_to_string(list_transform(l_{b}, lambda x: '  ' || x), E'\\n') || E'\\n\\n' ELSE E'  Ninguna\\n\\n' END")
-    day = p.day_prefix
-    return f"""
-WITH r AS ({_r19_rows_sql(p)}),
-a AS (SELECT count(*) FILTER (WHERE bucket = 'confirmadas') AS n_confirmadas,
-             count(*) FILTER (WHERE bucket = 'sin_confirmar') AS n_sin_confirmar,
-             count(*) FILTER (WHERE bucket = 'canceladas') AS n_canceladas,
-             COALESCE(list_sort(list(line) FILTER (WHERE bucket = 'confirmadas')), []) AS l_confirmadas,
-             COALESCE(list_sort(list(line) FILTER (WHERE bucket = 'sin_confirmar')), []) AS l_sin_confirmar,
-             COALESCE(list_sort(list(line) FILTER (WHERE bucket = 'canceladas')), []) AS l_canceladas FROM r)
-SELECT {q(p.coordinator_email)} AS "to",
-  'Resumen visitas 360 para manana {day} - ' || n_confirmadas || ' confirmadas, ' || n_canceladas || ' canceladas' AS subject,
-  E'Hola,\\n\\nResumen de visitas 360 agendadas para manana {day}:\\n\\nTotal: ' || (n_confirmadas + n_sin_confirmar + n_canceladas)
-   || E' visitas\\n\\n' || {' || '.join(secs)} || E'Saludos,\\n{p.signature}' AS body,
-  CAST(n_confirmadas AS BIGINT) AS confirmadas, CAST(n_sin_confirmar AS BIGINT) AS sin_confirmar,
-  CAST(n_canceladas AS BIGINT) AS canceladas
-FROM a"""
-
-
-report("outbox_confirmation_summary", O.confirmation_summary, P_ORD, _r19_sql(P_ORD),
-       ("visit_log", "property_master", "status_log"))
+ROLES_R19 = ("visit_log", "property_master", "status_log")
+report("agg_status_buckets", O.confirmation_buckets, P_MTD, _r19_buckets_sql(P_MTD), ROLES_R19)
+report("outbox_confirmation_summary", O.confirmation_summary, P_ORD, _r19_sql(P_ORD), ROLES_R19)
+report("outbox_confirmation_lines", O.confirmation_summary_lines, P_ORD, _r19_lines_sql(P_ORD), ROLES_R19)
 
 
 # ----------------------------------------------------------------- R20
 def _r20_sql(p) -> str:
     return f"""
 WITH f AS ({_fold_sql(p.status_day_str)}), r1 AS ({_r1_sql(p)})
-SELECT r1.nid, 'CANCELADA 360' AS subject,
-  'La visita 360 del NID ' || r1.nid || ' agendada para el ' || r1.fecha_fin || E' fue cancelada por el cliente.\\n\\nCiudad: '
-  || r1.ciudad || E'\\nComercial: ' || r1.c_comercial_captacion || E'\\n' AS body
-FROM r1 WHERE r1.nid IN (SELECT nid FROM f WHERE kind = 'visita' AND value = {q(p.cancelled_label)})"""
+SELECT {q(', '.join(p.notice_emails))} AS "to", {q(O.NOTICE_SUBJECT)} AS subject,
+  {sql_text(O.NOTICE_BODY, nid='nid', day='fecha_fin', city='ciudad', agent='c_comercial_captacion')} AS body, nid
+FROM r1 WHERE nid IN (SELECT nid FROM f WHERE kind = 'visita' AND value = {q(p.cancelled_label)})"""
 
 
 report("outbox_cancellation_notice", O.cancellation_notices, P_ORD, _r20_sql(P_ORD),

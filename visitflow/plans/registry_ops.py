@@ -11,20 +11,19 @@ from ..functions import dates as D
 from ..functions import text as T
 from ..functions.keys import is_real_key, key_string, safe_cast
 from ..operators import aggs, filters, joins, latest, rules, sets
-from ..operators.extract import html_rows
+from ..operators.extract import html_rows, report_rows
 from ..operators.status import clean_log, state_upsert
-from ..sources import documents, sheets, sinks, state
 from ..session import checkpoint_path
+from ..sources import documents, sheets, sinks, state
 from ..sources.tables import scan_csv_typed, scan_table
 from ..streaming import streams as S
 from . import outbox as O
 from . import reports as R
 from .bindings import bind_status_log, bind_visit_log, driver_report_rows
-from .registry import (P_COURT, P_EV, P_MTD, P_ORD, P_REP, P_SUBJ, ROLES_BACKLOG, ROLES_R4, _active_where, _fold_sql,
-                       _links_sql, _published_sql, _r4_sql, _r15_sql, _r16_sql, _r17_sql, _subject_keys_sql, _ur,
-                       _window, register, tables)
-from .sqlfrag import (active_phases, clean, dlit, falsy, hora, in_list, latest_flag, nonblank,
-                      not_contains, photo_set, q, spanish_date, strip, title, unfavourable)
+from .registry import (NEWEST_FLAG, P_COURT, P_MTD, P_ORD, P_REP, P_SUBJ, ROLES_BACKLOG, _fold_sql, _links_sql, _published_sql,
+                       _r14_rows, _r15_sql, _r16_sql, _subject_keys_sql, bad_opinions, has_photo, in_court, newest_visit,
+                       patrimony_allows, properties, register, running, sql_text, tables, window_of)
+from .sqlfrag import clean, dlit, falsy, hora, in_list, nonblank, not_contains, q, spanish_date, strip, title
 
 VL = ("visit_log",)
 PM = ("property_master",)
@@ -48,12 +47,24 @@ op("union_tabs_lww",
    .select("nid", "motivo", "fuente"),
    """SELECT nid, motivo, fuente FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY tab_order DESC, row_order DESC)
       AS _rn FROM followup_rows) WHERE _rn = 1""", ("followup_rows",))
-op("scan_status_log", lambda t, sf: clean_log(t.status_log),
+
+
+def _scan_status(t, sf):
+    """The status sheet exported as CSV with drifting headers, read by name."""
+    path = _io_dir(t.spark, "status_log")
+    log = t.status_log.select(F.concat(F.lit(" "), F.col("nid")).alias(sheets.BOM + "NID"), F.col("usuario").alias("Usuario"),
+                              F.concat(F.col("estado"), F.lit("\n")).alias("estado "), F.col("fecha").alias("Fecha"))
+    log.write.options(header=True, escape='"').csv(path)
+    return clean_log(sheets.read_status_log(t.spark, path)).drop("seq")
+
+
+op("scan_status_log", _scan_status,
    f"""SELECT COALESCE({strip('nid')}, '') AS nid, COALESCE({strip('fecha')}, '') AS fecha,
-       COALESCE({strip('estado')}, '') AS estado, seq FROM status_log""", ("status_log",))
+       COALESCE({strip('estado')}, '') AS estado FROM status_log""", ("status_log",))
 op("scan_reports_window",
-   lambda t, sf: R.report_window(t.report_rows, P_REP, P_REP.cancelled_lookback_days).select("doc_id", "row_pos", "nid"),
-   f"SELECT doc_id, row_pos, nid FROM report_rows WHERE {_window(P_REP, 30)}", ("report_rows",))
+   lambda t, sf: documents.scan_reports_window(t.photo_report, P_REP.as_of, 30, P_REP.report_sender).select("doc_id", "sender"),
+   f"""SELECT page_id AS doc_id, 'reports@example.com' AS sender FROM pages WHERE starts_with(url, 'https')
+       AND DATE '2026-03-01' + CAST(page_id % 60 AS INTEGER) >= {dlit(P_REP.as_of)} - INTERVAL 30 DAY""")
 op("subject_filter",
    lambda t, sf: documents.subject_filter(t.photo_subject, P_SUBJ.subject_text, P_SUBJ.as_of, 60).select("msg_id", "subject"),
    f"""SELECT msg_id, subject FROM photo_subject WHERE CAST(received_at AS DATE) >= {dlit(P_SUBJ.as_of)} - INTERVAL 60 DAY
@@ -71,21 +82,28 @@ op("json_state_explode", lambda t, sf: state.json_state_explode(_json_docs(t)),
 
 
 def _upsert(t, sf):
-    log = t.status_log
-    cur = latest.latest_per_key(log.filter(F.substring("estado", 1, 3).isin("pc:", "jz:")), ["fecha", "nid"], "seq")
-    upd = log.filter(F.substring("estado", 1, 3) == "ps:").select(
+    """Every log row is part of the state or an update: 'ps:' rows update what the others left."""
+    update = F.substring("estado", 1, 3) == "ps:"
+    cur = latest.latest_per_key(t.status_log.filter(~update), ["fecha", "nid"], "seq")
+    upd = t.status_log.filter(update).select(
         "fecha", "nid", F.when(F.col("estado") == "ps:", F.lit("")).otherwise(F.col("estado")).alias("estado"), "seq")
     return state_upsert(cur.select("fecha", "nid", "estado"), upd)
 
 
 op("state_upsert_tombstone", _upsert, """
-WITH cur AS (SELECT fecha, nid, estado, -1 AS seq FROM (SELECT *, row_number() OVER (PARTITION BY fecha, nid ORDER BY seq DESC)
-               AS _rn FROM status_log WHERE substring(estado, 1, 3) IN ('pc:', 'jz:')) WHERE _rn = 1),
-upd AS (SELECT fecha, nid, CASE WHEN estado = 'ps:' THEN '' ELSE estado END AS estado, seq FROM status_log
-        WHERE substring(estado, 1, 3) = 'ps:')
-SELECT fecha, nid, estado FROM (SELECT fecha, nid, arg_max(estado, seq) AS estado FROM (SELECT * FROM cur UNION ALL
-  SELECT * FROM upd) GROUP BY fecha, nid) WHERE estado <> ''""", ("status_log",))
-op("json_sink", lambda t, sf: sinks.json_lines(R.links_lookup(t, P_REP)),
+WITH ranked AS (SELECT fecha, nid, starts_with(estado, 'ps:') AS newer, CASE WHEN estado = 'ps:' THEN '' ELSE estado END AS estado, seq FROM status_log)
+SELECT fecha, nid, arg_max(estado, (newer, seq)) AS estado FROM ranked GROUP BY fecha, nid HAVING arg_max(estado, (newer, seq)) <> ''""",
+   ("status_log",))
+
+
+def _json_sink(t, sf):
+    """Written as JSON lines and read back as text."""
+    path = _io_dir(t.spark, "json_sink")
+    sinks.json_sink(R.links_lookup(t, P_REP), path)
+    return t.spark.read.text(path).select(F.col("value").alias("json"))
+
+
+op("json_sink", _json_sink,
    """SELECT '{"nid":"' || nid || '","link":"' || link || '"}' AS json FROM """ + _links_sql(), ("link_rows",))
 
 # --------------------------------------------------- 2.2 projections, filters
@@ -105,8 +123,8 @@ op("filter_in_list",
    lambda t, sf: t.visit_log.filter(filters.in_list("status", ["O", "P"]) & filters.not_in_list("visit_type", ["5-LOW"]))
    .select("nid", "record_id"),
    "SELECT nid, record_id FROM visit_log WHERE status IN ('O', 'P') AND visit_type NOT IN ('5-LOW')", VL)
-op("filter_prefix", lambda t, sf: t.visit_log.filter(filters.starts_with("fecha_fin", "2001-07")).select("nid", "fecha_fin"),
-   "SELECT nid, fecha_fin FROM visit_log WHERE starts_with(fecha_fin, '2001-07')", VL)
+op("filter_prefix", lambda t, sf: t.visit_log.filter(filters.starts_with("fecha_fin", "2001-07-02")).select("nid", "fecha_fin"),
+   "SELECT nid, fecha_fin FROM visit_log WHERE starts_with(fecha_fin, '2001-07-02')", VL)
 op("filter_not_contains",
    lambda t, sf: t.property_master.filter(T.not_contains_ci("ciudad", P_REP.excluded_city_substrings)).select("nid", "ciudad"),
    f"SELECT nid, ciudad FROM property_master WHERE {not_contains('ciudad', P_REP.excluded_city_substrings)}", PM)
@@ -159,10 +177,19 @@ op("if_null",
    "SELECT nid, CAST(CAST(IF(estado_patrimonio = 'MACHINERY', date_publication, NULL) AS DATE) AS VARCHAR) AS fecha "
    "FROM intake_detail", ("intake_detail",))
 
-_BACKLOG_ROLES = ROLES_BACKLOG
-op("drop_zero_groups",
-   lambda t, sf: O.backlog_team(t, P_MTD).filter(aggs.row_total("por_agendar", "canceladas", "juzgado") > 0),
-   f"WITH b AS ({_r15_sql(P_MTD)}) SELECT * FROM b WHERE por_agendar + canceladas + juzgado > 0", _BACKLOG_ROLES)
+
+
+def _states(t):
+    """Per agent: how many properties are sold and how many withdrawn."""
+    return t.property_master.groupBy(T.lower_trim("c_comercial_captacion").alias("comercial")).agg(
+        aggs.count_if(F.col("v_fecha_venta").isNotNull()).alias("vendidos"),
+        aggs.count_if(F.col("fecha_desistio_inmobiliaria").isNotNull()).alias("retirados"))
+
+
+_STATES = f"""SELECT lower({strip('c_comercial_captacion')}) AS comercial, count(v_fecha_venta) AS vendidos,
+  count(fecha_desistio_inmobiliaria) AS retirados FROM property_master GROUP BY 1"""
+op("drop_zero_groups", lambda t, sf: _states(t).filter(aggs.row_total("vendidos", "retirados") > 0),
+   _STATES + " HAVING vendidos + retirados > 0", PM)
 
 # ------------------------------------------------------------------ 2.3 joins
 op("join_left_cast",
@@ -191,8 +218,7 @@ op("join_semi",
 op("join_anti",
    lambda t, sf: joins.anti(t.property_master.select("nid"),
                             rules.photo_keyset(t.listing_card, t.listing_image, P_REP.photo_professional), "nid", "nid"),
-   f"""SELECT cd.nid FROM property_master cd LEFT JOIN {photo_set(P_REP.photo_professional)} f ON cd.nid = f.nid
-       WHERE f.nid IS NULL""", ("property_master", "listing_card", "listing_image"))
+   f"""SELECT cd.nid FROM property_master cd WHERE NOT {has_photo('cd.nid', P_REP.photo_professional)}""", ("property_master", "listing_card", "listing_image"))
 
 
 def _done(t):
@@ -214,8 +240,7 @@ op("join_exists_flag",
    lambda t, sf: joins.exists_flag(t.property_master.select("nid"),
                                    rules.photo_keyset(t.listing_card, t.listing_image, P_REP.photo_client), "nid", "nid",
                                    "tiene_fotos"),
-   f"""SELECT cd.nid, CASE WHEN f.nid IS NOT NULL THEN TRUE ELSE FALSE END AS tiene_fotos FROM property_master cd
-       LEFT JOIN {photo_set(P_REP.photo_client)} f ON cd.nid = f.nid""", ("property_master", "listing_card", "listing_image"))
+   f"""SELECT cd.nid, {has_photo('cd.nid', P_REP.photo_client)} AS tiene_fotos FROM property_master cd""", ("property_master", "listing_card", "listing_image"))
 op("join_anti_set",
    lambda t, sf: joins.anti(t.report_rows.select("doc_id", "row_pos", "nid"), sheets.sheet_published(t.followup_tabs),
                             "nid", "nid"),
@@ -226,11 +251,11 @@ op("join_lookup_default",
    f"""SELECT r.doc_id, r.row_pos, r.nid, COALESCE(l.link, '') AS link_publicacion FROM report_rows r
        LEFT JOIN {_links_sql()} l ON r.nid = l.nid""", ("report_rows", "link_rows"))
 op("join_lookup_fallback",
-   lambda t, sf: joins.lookup_fallback(t.property_master.select(F.col("c_equipo_seller").alias("equipo")).distinct(),
+   lambda t, sf: joins.lookup_fallback(R._base_active(t, P_MTD).select(R.team().alias("equipo")).distinct(),
                                        t.team_lead, "equipo", "equipo", "email", "email", P_MTD.lead_default_email),
    f"""SELECT e.equipo, COALESCE(NULLIF({strip('tl.email')}, ''), {q(P_MTD.lead_default_email)}) AS email
-       FROM (SELECT DISTINCT c_equipo_seller AS equipo FROM property_master) e LEFT JOIN team_lead tl ON e.equipo = tl.equipo""",
-   ("property_master", "team_lead"))
+       FROM (SELECT DISTINCT crew AS equipo FROM {properties(P_MTD)}) e LEFT JOIN team_lead tl ON e.equipo = tl.equipo""",
+   ("property_master", "crm_deal", "team_lead"))
 
 
 def _fanout_first(t, sf):
@@ -246,7 +271,34 @@ SELECT nid, id, CAST(date_publication AS VARCHAR) AS fecha FROM (SELECT pc.nid,
   row_number() OVER (PARTITION BY pc.nid ORDER BY ps.date_publication DESC, pc.id DESC) AS _rn
   FROM listing_card pc JOIN listing_state ps ON pc.id = ps.property_card_id WHERE pc.active = 1 AND ps.current_state_id = 2)
 WHERE _rn = 1""", ("listing_card", "listing_state"))
-register("join_star_chain", _r4_sql(P_REP), ROLES_R4)(lambda spark, sf: R.to_schedule(tables(spark, sf), P_REP))
+
+
+def _star(t, sf):
+    """The master with four side tables, all on the numeric key."""
+    out = R._base_active(t, P_REP).select("nid", F.col("h_dealstage").alias("etapa"), F.col("cd_ciudad").alias("ciudad"))
+    out = out.join(t.intake_detail.select("nid", "estado_patrimonio"), "nid", "left")
+    out = out.join(t.seller_intake.groupBy("nid").agg(aggs.any_value("gravamenes_del_apartamento").alias("gravamen")), "nid", "left")
+    out = out.join(rules.latest_flag(t.clearance_tower, as_string=False), "nid", "left")
+    return out.join(t.listing_card.groupBy("nid").agg(F.count(F.lit(1)).alias("fichas")), "nid", "left")
+
+
+op("join_star_chain", _star, f"""
+SELECT m.nid, dealstage AS etapa, ciudad, estado_patrimonio, (SELECT min(gravamenes_del_apartamento) FROM seller_intake s WHERE s.nid = m.nid) AS gravamen,
+  flag, NULLIF((SELECT count(*) FROM listing_card c WHERE c.nid = m.nid), 0) AS fichas
+FROM {properties(P_REP)} m LEFT JOIN intake_detail d ON d.nid = m.nid LEFT JOIN {NEWEST_FLAG} ON flag_key = m.nid""",
+   ("property_master", "crm_deal", "intake_detail", "seller_intake", "clearance_tower", "listing_card"))
+
+
+def _merge(t, sf):
+    """Visits per key by status, merged from one count per status."""
+    names = {"O": "abiertas", "P": "canceladas", "F": "cerradas"}
+    parts = [t.visit_log.filter(F.col("status") == k).groupBy("nid").agg(F.count(F.lit(1)).alias(n)) for k, n in names.items()]
+    return joins.merge_metrics(parts, "nid", list(names.values()))
+
+
+op("merge_metrics_full_outer", _merge, """
+SELECT nid, count(*) FILTER (WHERE status = 'O') AS abiertas, count(*) FILTER (WHERE status = 'P') AS canceladas,
+  count(*) FILTER (WHERE status = 'F') AS cerradas FROM visit_log GROUP BY nid""", VL)
 
 
 def _reconcile(t, sf):
@@ -261,13 +313,11 @@ def _reconcile(t, sf):
 
 
 op("rule_reconcile_recency", _reconcile, f"""
-WITH rws AS (SELECT * FROM report_rows WHERE {_window(P_REP, 30)} AND NOT completado),
-newest AS (SELECT nid, max({spanish_date('fecha_reporte', P_REP.as_of)}) AS last_report FROM rws GROUP BY nid),
-lst AS (SELECT nid, status, CAST(try_strptime(split_part(modified_date, 'T', 1), '%Y-%m-%d') AS DATE) AS mod_date FROM
-  {_ur(P_REP, "nid IN (SELECT nid FROM rws)", real=False)})
-SELECT l.nid, l.status, CAST(n.last_report AS VARCHAR) AS last_report FROM lst l LEFT JOIN newest n ON l.nid = n.nid
-WHERE COALESCE(l.status IN ('P'), FALSE) OR COALESCE(l.status IS DISTINCT FROM 'F' AND n.last_report IS NOT NULL
-  AND l.mod_date IS NOT NULL AND n.last_report > l.mod_date, FALSE)""", ("report_rows", "visit_log"))
+WITH told AS (SELECT nid, max({spanish_date('fecha_reporte', P_REP.as_of)}) AS newest FROM report_rows
+              WHERE {window_of(P_REP, 30)} AND NOT completado GROUP BY nid)
+SELECT v.nid, v.status, CAST(newest AS VARCHAR) AS last_report FROM told JOIN {newest_visit(P_REP)} v ON v.nid = told.nid
+WHERE v.status = 'P' OR (v.status IS DISTINCT FROM 'F'
+  AND newest > CAST(try_strptime(split_part(v.modified_date, 'T', 1), '%Y-%m-%d') AS DATE))""", ("report_rows", "visit_log"))
 
 # ------------------------------------------------------------ 2.4 aggregates
 op("agg_count", lambda t, sf: aggs.count_by(t.visit_log, ["status"]),
@@ -306,21 +356,13 @@ op("agg_having",
    "SELECT nid, count(*) AS total FROM visit_log GROUP BY nid HAVING count(*) >= 15", VL)
 op("agg_distinct", lambda t, sf: t.visit_log.select("visit_type", "status").distinct(),
    "SELECT DISTINCT visit_type, status FROM visit_log", VL)
-op("agg_collect_by_type",
-   lambda t, sf: O.cancelled_rows(t, P_MTD).groupBy("email").agg(
-       F.array_join(aggs.collect_sorted(F.col("nid"), F.col("tipo") == "nueva"), ",").alias("nuevas"),
-       F.array_join(aggs.collect_sorted(F.col("nid"), F.col("tipo") != "nueva"), ",").alias("pendientes")),
-   f"""SELECT email, COALESCE(array_to_string(list_sort(list(nid) FILTER (WHERE tipo = 'nueva')), ','), '') AS nuevas,
-         COALESCE(array_to_string(list_sort(list(nid) FILTER (WHERE tipo <> 'nueva')), ','), '') AS pendientes
-       FROM (SELECT v.nid, {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS email,
-               CASE WHEN v.modified_date >= {q(P_MTD.new_since)} THEN 'nueva' ELSE 'pendiente' END AS tipo
-             FROM {_ur(P_MTD)} v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
-             WHERE v.status IN ('P', 'O') AND v.modified_date >= {q(P_MTD.month_start)})
-       WHERE email <> '' AND email <> 'nan' GROUP BY email""", ("visit_log", "property_master"))
+op("agg_collect_by_type", lambda t, sf: aggs.ranked_items(O.cancelled_rows(t, P_MTD), ["email", "tipo"], "nid"),
+   f"SELECT email, CASE WHEN fresh THEN 'nueva' ELSE 'pendiente' END AS tipo, nid FROM {_r14_rows(P_MTD)} ORDER BY email, tipo, nid",
+   ("visit_log", "property_master"))
 op("agg_count_py",
    lambda t, sf: O.visit_reminder(t, P_ORD).select("email", "count"),
    f"""SELECT email, count(*) AS count FROM (SELECT {falsy('c.c_comercial_captacion', 'vd.email_agendador')} AS email FROM
-       (SELECT nid, min(email_agendador) AS email_agendador FROM visit_log WHERE starts_with(fecha_fin, '2001-07')
+       (SELECT nid, min(email_agendador) AS email_agendador FROM visit_log WHERE starts_with(fecha_fin, '2001-07-02')
         AND nid <> 'nan' AND nid IS NOT NULL AND status = 'O' AND visit_type IN {in_list(P_ORD.visit_types)} GROUP BY nid) vd
        LEFT JOIN property_master c ON vd.nid = CAST(c.nid AS VARCHAR)) WHERE email <> '' AND email <> 'nan' GROUP BY email""",
    ("visit_log", "property_master"))
@@ -332,15 +374,11 @@ def _gate(t, sf):
 
 
 op("agg_global_gate", _gate, f"""
-WITH r AS (SELECT * FROM (SELECT v.nid, {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS email,
-             CASE WHEN v.modified_date >= {q(P_MTD.new_since)} THEN 'nueva' ELSE 'pendiente' END AS tipo
-           FROM {_ur(P_MTD)} v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
-           WHERE v.status IN ('P', 'O') AND v.modified_date >= {q(P_MTD.month_start)}) WHERE email <> '' AND email <> 'nan')
-SELECT nid, email, tipo FROM r WHERE EXISTS (SELECT 1 FROM r WHERE tipo = 'nueva')""", ("visit_log", "property_master"))
-op("agg_row_total",
-   lambda t, sf: O.backlog_agent(t, P_MTD).select(
-       "comercial", aggs.row_total("por_agendar", "canceladas", "juzgado").alias("total")),
-   f"WITH b AS ({_r16_sql(P_MTD)}) SELECT comercial, por_agendar + canceladas + juzgado AS total FROM b", _BACKLOG_ROLES)
+WITH r AS {_r14_rows(P_MTD)}
+SELECT nid, email, CASE WHEN fresh THEN 'nueva' ELSE 'pendiente' END AS tipo FROM r WHERE (SELECT bool_or(fresh) FROM r)""",
+   ("visit_log", "property_master"))
+op("agg_row_total", lambda t, sf: _states(t).select("comercial", aggs.row_total("vendidos", "retirados").alias("total")),
+   f"SELECT comercial, vendidos + retirados AS total FROM ({_STATES})", PM)
 op("agg_last_nonblank",
    lambda t, sf: t.report_rows.groupBy("nid").agg(
        aggs.last_nonblank("ciudad_correo", F.struct("received_at", "doc_id", "row_pos")).alias("ciudad")),
@@ -350,7 +388,7 @@ op("agg_last_nonblank",
 # --------------------------------------------------------------- 2.5 windows
 op("win_latest_per_key",
    lambda t, sf: R.latest_visits(t, P_ORD).select("nid", "status", "modified_date", "record_id"),
-   f"SELECT nid, status, modified_date, record_id FROM {_ur(P_ORD)}", VL)
+   f"SELECT nid, status, modified_date, record_id FROM {newest_visit(P_ORD)}", VL)
 op("win_latest_phase",
    lambda t, sf: latest.latest_per_key(t.process_history.filter(F.col("pipe_id").isin(list(P_COURT.court_pipes))), "nid",
                                        "first_time_in_phase", "record_id").select("nid", "phase_name"),
@@ -359,10 +397,10 @@ op("win_latest_phase",
 op("win_filter_then_latest",
    lambda t, sf: rules.unfavourable_opinions(t.clearance_tower, P_COURT.as_of, P_COURT.unfavourable, 6).select(
        "nid", F.col("fecha_desfavorable").cast("string").alias("fecha"), "telefono_plano"),
-   f"SELECT nid, CAST(fecha_desfavorable AS VARCHAR) AS fecha, telefono_plano FROM {unfavourable(P_COURT)}",
+   f"SELECT CAST(k AS VARCHAR) AS nid, CAST(on_day AS VARCHAR) AS fecha, phone AS telefono_plano FROM {bad_opinions(P_COURT)}",
    ("clearance_tower",))
 op("win_latest_flag", lambda t, sf: rules.latest_flag(t.clearance_tower),
-   "SELECT * FROM " + latest_flag(), ("clearance_tower",))
+   "SELECT CAST(flag_key AS VARCHAR) AS nid, flag FROM " + NEWEST_FLAG, ("clearance_tower",))
 op("win_dedup_then_filter",
    lambda t, sf: latest.latest_then_filter(t.visit_log.filter(is_real_key("nid")), F.col("status") == "O", "nid",
                                            "modified_date", "record_id").select("nid", "record_id"),
@@ -378,12 +416,10 @@ op("sort_nulls",
 op("sort_default_blank",
    lambda t, sf: t.crm_deal.orderBy(F.coalesce("equipo_sellers", F.lit("")).desc(), "nid").select("nid", "equipo_sellers"),
    "SELECT nid, equipo_sellers FROM crm_deal ORDER BY COALESCE(equipo_sellers, '') DESC, nid", ("crm_deal",))
-op("sort_group_key", lambda t, sf: O.backlog_team(t, P_MTD).orderBy("equipo"),
-   f"WITH b AS ({_r15_sql(P_MTD)}) SELECT * FROM b ORDER BY equipo", _BACKLOG_ROLES)
-op("topn",
-   lambda t, sf: O.agent_digest(t, P_MTD.with_(max_messages=10)).select("email", "total"),
-   f"""WITH b AS ({_r16_sql(P_MTD)}) SELECT comercial AS email, por_agendar + canceladas + juzgado AS total FROM b
-       WHERE por_agendar + canceladas + juzgado > 0 ORDER BY email LIMIT 10""", _BACKLOG_ROLES)
+op("sort_group_key", lambda t, sf: aggs.count_by(t.property_master, [F.col("c_equipo_seller").alias("equipo")]).orderBy("equipo"),
+   "SELECT c_equipo_seller AS equipo, count(*) AS total FROM property_master GROUP BY 1 ORDER BY 1", PM)
+op("topn", lambda t, sf: aggs.count_by(t.visit_log, ["nid"]).orderBy(F.col("total").desc(), "nid").limit(10),
+   "SELECT nid, count(*) AS total FROM visit_log GROUP BY nid ORDER BY total DESC, nid LIMIT 10", VL)
 op("dedup_first",
    lambda t, sf: latest.first_per_key(t.visit_log, ["nid"], [F.col("record_id").asc()]).select("nid", "record_id"),
    "SELECT nid, min(record_id) AS record_id FROM visit_log GROUP BY nid", VL)
@@ -442,9 +478,8 @@ def _days(t):
 
 
 op("fn_calendar",
-   lambda t, sf: _days(t).select(F.col("d").cast("string").alias("dia"), F.date_add("d", 1).cast("string").alias("manana"),
-                                 F.date_sub("d", 1).cast("string").alias("ayer"),
-                                 F.trunc("d", "MM").cast("string").alias("mes")),
+   lambda t, sf: _days(t).select(D.iso("d").alias("dia"), D.tomorrow("d").alias("manana"), D.yesterday("d").alias("ayer"),
+                                 D.month_start("d").alias("mes")),
    """SELECT CAST(d AS VARCHAR) AS dia, CAST(d + 1 AS VARCHAR) AS manana, CAST(d - 1 AS VARCHAR) AS ayer,
       CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS mes FROM (SELECT DISTINCT CAST("timestamp" AS DATE) AS d FROM status_log)""",
    ("status_log",))
@@ -471,10 +506,9 @@ op("fn_title",
    lambda t, sf: t.raw("pages").select(
        "page_id", T.py_title(F.regexp_extract("html", _TITLE_RE, 1)).alias("titulo")),
    f"SELECT page_id, {title(f'regexp_extract(html, {q(_TITLE_RE)}, 1)')} AS titulo FROM pages")
-op("fn_regex_report_date",
-   lambda t, sf: t.raw("documents").select(
-       "doc_id", F.regexp_extract("text", r"(?U)(\d+ de \w+)", 1).alias("fecha")),
-   r"SELECT doc_id, regexp_extract(text, '([0-9]+ de [\pL\pM\pN_]+)', 1) AS fecha FROM documents")
+op("fn_regex_report_date", lambda t, sf: t.photo_report.select("doc_id", T.report_date_text("html").alias("fecha")),
+   "SELECT page_id AS doc_id, CAST(page_id % 31 + 1 AS VARCHAR) || ' de ' || ['enero','febrero','marzo','abril','mayo','junio','julio',"
+   "'agosto','septiembre','octubre','noviembre','diciembre'][CAST(page_id % 12 + 1 AS INTEGER)] AS fecha FROM pages")
 op("fn_regex_subject_key", lambda t, sf: t.photo_subject.select("msg_id", T.subject_key("subject").alias("nid")),
    r"""SELECT msg_id, COALESCE(NULLIF(regexp_extract(subject, '\((\d{8,})\)', 1), ''),
        NULLIF(regexp_extract(subject, '(\d{8,})', 1), '')) AS nid FROM photo_subject""", ("photo_subject",))
@@ -483,8 +517,11 @@ op("fn_spanish_date",
        "fecha_reporte", D.spanish_day_month("fecha_reporte", P_REP.as_of).cast("string").alias("fecha")),
    f"""SELECT fecha_reporte, CAST({spanish_date('fecha_reporte', P_REP.as_of)} AS VARCHAR) AS fecha
        FROM (SELECT DISTINCT fecha_reporte FROM report_rows)""", ("report_rows",))
-register("fn_format_body", f"WITH x AS ({_r17_sql(P_MTD)}) SELECT equipo, body FROM x", _BACKLOG_ROLES + ("team_lead",))(
-    lambda spark, sf: O.team_lead_digest(tables(spark, sf), P_MTD).select("equipo", "body"))
+op("fn_format_body",
+   lambda t, sf: t.visit_log.select("record_id", O._fmt(O.NOTICE_BODY, nid=F.col("nid"), day=F.col("fecha_fin"), city=F.col("ciudad_muni"),
+                                                       agent=F.col("email_agendador")).alias("body")),
+   f"""SELECT record_id, {sql_text(O.NOTICE_BODY, nid='nid', day='fecha_fin', city='ciudad_muni', agent='email_agendador')} AS body
+       FROM visit_log""", VL)
 op("fn_prefix_split",
    lambda t, sf: t.status_log.select("seq", T.prefix_kind("estado").alias("tipo"), T.prefix_value("estado").alias("valor")),
    "SELECT seq, substring(estado, 1, 3) AS tipo, substring(estado, 4) AS valor FROM status_log", ("status_log",))
@@ -508,14 +545,15 @@ op("html_rows",
                                                     F.array_join("cells", "|").alias("cells")),
    "SELECT page_id, CAST(row_pos AS BIGINT) AS row_pos, array_to_string(cells, '|') AS cells FROM page_items WHERE len(cells) >= 1",
    ("page_items",))
-op("report_outcome", lambda t, sf: t.report_rows.select("doc_id", "row_pos", "nid", "completado", "motivo"),
+op("report_outcome", lambda t, sf: report_rows(t.photo_report, keep=("doc_id",)).select("doc_id", "row_pos", "nid", "completado", "motivo"),
    "SELECT doc_id, row_pos, nid, completado, motivo FROM report_rows", ("report_rows",))
-op("report_dated_rows", lambda t, sf: t.report_rows.select("doc_id", "row_pos", "nid", "fecha_reporte"),
+op("report_dated_rows", lambda t, sf: report_rows(t.photo_report, keep=("doc_id",)).select("doc_id", "row_pos", "nid", "fecha_reporte"),
    "SELECT doc_id, row_pos, nid, fecha_reporte FROM report_rows", ("report_rows",))
 op("photo_keyset",
    lambda t, sf: rules.photo_keyset(t.listing_card, t.listing_image, P_REP.photo_professional, exclude_deleted=True,
                                     as_string=True),
-   "SELECT * FROM " + photo_set(P_REP.photo_professional, True, True), ("listing_card", "listing_image"))
+   f"SELECT DISTINCT CAST(c.nid AS VARCHAR) AS nid FROM listing_card c WHERE c.nid IS NOT NULL AND {has_photo('c.nid', P_REP.photo_professional, True)}",
+   ("listing_card", "listing_image"))
 
 
 def _v1(t, sf):
@@ -544,9 +582,7 @@ def _v2(t, sf):
 
 
 op("rule_patrimony_v2", _v2, f"""
-SELECT cd.nid FROM property_master cd LEFT JOIN {latest_flag()} epa ON CAST(cd.nid AS VARCHAR) = epa.nid
-WHERE (epa.flag = {q(P_REP.flag_done)} OR (COALESCE(cd.c_tipo_contrato_firmado, '') <> {q(P_REP.patrimony_contract)}
-  AND COALESCE(epa.flag, '') <> {q(P_REP.flag_in_process)}))""", ("property_master", "clearance_tower"))
+SELECT nid FROM property_master LEFT JOIN {NEWEST_FLAG} ON flag_key = nid WHERE {patrimony_allows(P_REP)}""", ("property_master", "clearance_tower"))
 
 
 def _publication(t, sf):
@@ -556,15 +592,14 @@ def _publication(t, sf):
 
 
 op("rule_publication", _publication, f"""
-SELECT cd.nid FROM property_master cd LEFT JOIN {photo_set(P_REP.photo_client)} fc ON cd.nid = fc.nid
-WHERE cd.date_publication IS NULL OR (fc.nid IS NOT NULL AND CAST(cd.date_publication AS DATE) >= {dlit(P_REP.publication_cutoff)})""",
+SELECT cd.nid FROM property_master cd
+WHERE cd.date_publication IS NULL OR ({has_photo('cd.nid', P_REP.photo_client)} AND CAST(cd.date_publication AS DATE) >= {dlit(P_REP.publication_cutoff)})""",
    ("property_master", "listing_card", "listing_image"))
 op("rule_active_pipeline",
    lambda t, sf: R._base_active(t, P_REP).filter(rules.active_pipeline(
        "cd_c_fecha_captacion", "cd_fecha_desistio_inmobiliaria", "h_fecha_desistio_inmobiliaria", "cd_v_fecha_venta",
        "h_dealstage", P_REP.lost_stage)).select("nid"),
-   f"""SELECT cd.nid FROM property_master cd LEFT JOIN crm_deal h ON cd.nid = h.nid AND h.pipeline = 'P1'
-       WHERE {_active_where(P_REP)}""", ("property_master", "crm_deal"))
+   f"SELECT nid FROM {properties(P_REP, running(P_REP))} WHERE c_fecha_captacion IS NOT NULL", ("property_master", "crm_deal"))
 op("rule_listing_live",
    lambda t, sf: t.listing_card.join(t.listing_state, F.col("id") == F.col("property_card_id"))
    .filter(rules.listing_live("active", "current_state_id", 2)).select("nid").distinct(),
@@ -572,7 +607,7 @@ op("rule_listing_live",
       WHERE pc.active = 1 AND ps.current_state_id = 2""", ("listing_card", "listing_state"))
 op("rule_phase_active",
    lambda t, sf: rules.active_phase_keys(t.process_history, P_COURT.court_pipes, P_COURT.closed_phases),
-   "SELECT * FROM " + active_phases(P_COURT), ("process_history",))
+   f"SELECT CAST(k AS VARCHAR) AS nid FROM {in_court(P_COURT)}", ("process_history",))
 op("first_final_phase",
    lambda t, sf: rules.first_final_phase(t.process_history, P_REP.patrimony_pipes, P_REP.final_phases).select(
        "nid", F.col("fecha_levant").cast("string").alias("fecha_levant")),
@@ -583,76 +618,80 @@ op("first_final_phase",
 # ------------------------------------------------------------ 2.10 streams
 
 
+def _files(spark, sf, name, parts=3):
+    """A driver table as several files of a folder, in no order of time: a stream reads one a trigger."""
+    path = _io_dir(spark, f"stream/{name}")
+    spark.read.parquet(f"{sf}/{name}.parquet").repartition(parts).write.parquet(path)
+    return S.stream_source(spark, path, max_files=1)
+
+
 def _st1(spark, sf):
-    log = bind_status_log(S.stream_source(spark, f"{sf}/events.parquet"))
-    return spark.read.parquet(S.status_fold_stream(spark, log, P_EV.status_day_str))
+    return S.current_values(spark, S.status_fold_stream(spark, bind_status_log(_files(spark, sf, "events")), P_ORD.status_day_str), ["nid", "kind"])
 
 
 def _st2(spark, sf):
-    rows = driver_report_rows(S.stream_source(spark, f"{sf}/pages.parquet"))
-    return spark.read.parquet(S.dedup_reports_stream(spark, rows))
+    return S.deduplicated(spark, S.dedup_reports_stream(spark, driver_report_rows(_files(spark, sf, "pages"))))
 
 
 def _st3(spark, sf):
-    visits = bind_visit_log(S.stream_source(spark, f"{sf}/orders.parquet", max_files=1))
-    return spark.read.parquet(S.latest_upsert_stream(spark, visits)).select("nid", "status", "modified_date", "record_id")
+    out = S.latest_upsert_stream(spark, bind_visit_log(_files(spark, sf, "orders")))
+    return S.read_keyed(spark, out).select("nid", "status", "modified_date", "record_id")
 
 
 def _st4(spark, sf):
-    visits = bind_visit_log(S.stream_source(spark, f"{sf}/orders.parquet"))
-    return spark.read.parquet(S.daily_counts_stream(spark, visits, tables(spark, sf).property_master,
-                                                    P_MTD.cancel_statuses_digest))
+    visits = bind_visit_log(_files(spark, sf, "orders"))
+    return S.daily_counts(spark, S.daily_counts_stream(spark, visits, tables(spark, sf).property_master, P_MTD.cancel_statuses_digest))
 
 
-register("stream_status_fold", _fold_sql(P_EV.status_day_str), ("status_log",))(_st1)
+register("stream_status_fold", _fold_sql(P_ORD.status_day_str), ("status_log",))(_st1)
 register("stream_dedup_reports", "SELECT DISTINCT nid, fecha_reporte FROM report_rows", ("report_rows",))(_st2)
-register("stream_latest_upsert", """SELECT nid, status, modified_date, record_id FROM (SELECT *, row_number() OVER
-  (PARTITION BY nid ORDER BY modified_date DESC, record_id DESC) AS _rn FROM visit_log) WHERE _rn = 1""", VL)(_st3)
+register("stream_latest_upsert", """SELECT DISTINCT ON (nid) nid, status, modified_date, record_id FROM visit_log
+  ORDER BY nid, modified_date DESC, record_id DESC""", VL)(_st3)
 register("stream_daily_counts", f"""
-SELECT strftime(CAST(substring(v.modified_date, 1, 10) AS DATE), '%Y-%m-%d') AS dia,
-  {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS agente, count(*) AS canceladas
-FROM visit_log v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
+SELECT substring(v.modified_date, 1, 10) AS dia, {falsy('m.c_comercial_captacion', 'v.email_agendador')} AS agente, count(*) AS canceladas
+FROM visit_log v LEFT JOIN property_master m ON CAST(m.nid AS VARCHAR) = v.nid
 WHERE v.status IN {in_list(P_MTD.cancel_statuses_digest)} GROUP BY 1, 2""", ("visit_log", "property_master"))(_st4)
 
 # ------------------------------------------------- 2.1 file sources / sinks
 
 
-
 def _io_dir(spark, name):
     return checkpoint_path(spark, f"io/{name}/{uuid.uuid4().hex}")
 
 
+_ODD_TEXT = ("concat(p_brand, ', \"', p_name, '\"\n', p_type)", "p_brand || ', \"' || p_name || '\"' || chr(10) || p_type")
+
+
 def _csv_typed(spark, sf):
-    """The per-agent summary lands as all-string CSV (a CLI export), then
-    is read back with typed, error-tolerant casts."""
+    """Parts as an all-string CSV with quoted commas, quotes and line breaks, read back with typed, error-tolerant casts."""
     path = _io_dir(spark, "csv_typed")
-    b = O.backlog_agent(tables(spark, sf), P_MTD)
-    b.select(*[F.col(c).cast("string") for c in b.columns]).write.option("header", True).csv(path)
-    types = {m: "bigint" for m in O.METRICS}
-    return scan_csv_typed(spark, path, types).select(
-        "comercial", *O.METRICS, F.coalesce("equipo", F.lit("")).alias("equipo"))
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    part.select(F.col("p_partkey").cast("string").alias("clave"), F.col("p_size").cast("string").alias("medida"),
+                F.col("p_type").alias("malo"), F.expr(_ODD_TEXT[0]).alias("nota")).write.options(header=True, escape='"').csv(path)
+    return scan_csv_typed(spark, path, {"clave": "bigint", "medida": "bigint", "malo": "bigint"})
 
 
 def _sheet_bom(spark, sf):
-    """S3: a sheet tab exported with a byte-order mark in its header."""
+    """S3: a sheet tab with a byte-order mark in its header and free text in its cells."""
     path = _io_dir(spark, "sheet_bom")
-    tab = tables(spark, sf).link_tabs[0][0]
-    tab.toDF(sheets.BOM + "NID", "Link Publicación").write.option("header", True).csv(path)
-    return sheets.resolve_header(sheets.read_sheet(spark, path), sheets.LINK_ALIASES, ("nid", "link"))
+    tab = tables(spark, sf).raw("part").select(F.col("p_partkey").cast("string").alias(sheets.BOM + "NID"), F.expr(_ODD_TEXT[0]).alias("Observaciones"))
+    tab.write.options(header=True, escape='"').csv(path)
+    return sheets.resolve_header(sheets.read_sheet(spark, path), sheets.REASON_ALIASES, ("nid",)).select("nid", "observaciones")
 
 
 def _append(spark, sf):
-    """Status rows appended twice to the log folder and read back."""
+    """Status rows appended twice to the log folder; the last row of each key by the log's own sequence."""
     path = _io_dir(spark, "status_append")
     log = tables(spark, sf).status_log
-    sinks.status_append(log.filter(F.col("fecha") == "perm"), path)
-    sinks.status_append(log.filter(F.col("fecha") != "perm"), path)
-    return spark.read.parquet(path).select(*sinks.LOG_COLUMNS)
+    sinks.status_append(log.filter(F.col("fecha") != "perm"), path, ["seq"])
+    sinks.status_append(log.filter(F.col("fecha") == "perm"), path, ["seq"])
+    return latest.latest_per_key(spark.read.parquet(path), ["nid", "fecha"], "seq").select(*sinks.LOG_COLUMNS)
 
 
-register("scan_csv_typed", f"WITH b AS ({_r16_sql(P_MTD)}) SELECT * FROM b", _BACKLOG_ROLES)(_csv_typed)
-register("scan_sheet_bom", "SELECT nid, link FROM link_rows WHERE tab_order = 0", ("link_rows",))(_sheet_bom)
-register("status_append", "SELECT nid, fecha, estado, COALESCE(usuario, '') AS usuario FROM status_log",
+register("scan_csv_typed", f"""SELECT CAST(p_partkey AS BIGINT) AS clave, CAST(p_size AS BIGINT) AS medida, CAST(NULL AS BIGINT) AS malo,
+  {_ODD_TEXT[1]} AS nota FROM part""")(_csv_typed)
+register("scan_sheet_bom", f"SELECT CAST(p_partkey AS VARCHAR) AS nid, {_ODD_TEXT[1]} AS observaciones FROM part")(_sheet_bom)
+register("status_append", """SELECT nid, fecha, arg_max(estado, seq) AS estado, '' AS usuario FROM status_log GROUP BY nid, fecha""",
          ("status_log",))(_append)
 
 
@@ -660,31 +699,16 @@ def _positional(spark, sf):
     """The status sheet exported as CSV, read back by column position."""
     path = _io_dir(spark, "status_positional")
     log = tables(spark, sf).status_log
-    log.select(F.col("nid").alias("NID "), F.col("fecha").alias("Fecha"), F.col("estado").alias("estado"),
-               "usuario").write.option("header", True).csv(path)
+    log.select(F.col("nid").alias("NID "), F.col("fecha").alias("Fecha"), F.concat("estado", F.lit(", \"x\"\ny")).alias("estado"),
+               "usuario").write.options(header=True, escape='"').csv(path)
     return sheets.read_status_log_positional(spark, path).select("nid", "fecha", "estado")
 
 
-register("scan_status_positional", "SELECT nid, fecha, estado FROM status_log", ("status_log",))(_positional)
+register("scan_status_positional", """SELECT nid, fecha, estado || ', "x"' || chr(10) || 'y' AS estado FROM status_log""", ("status_log",))(_positional)
 
 
 register("report_backlog_levels", f"""
-WITH t AS ({_r15_sql(P_MTD)}), a AS ({_r16_sql(P_MTD)})
-SELECT 'equipo' AS nivel, equipo AS clave, por_agendar, por_agendar_2025, canceladas, juzgado, '' AS equipo FROM t
+SELECT 'equipo' AS nivel, equipo AS clave, por_agendar, por_agendar_2025, canceladas, juzgado, '' AS equipo FROM ({_r15_sql(P_MTD)})
 UNION ALL
-SELECT 'comercial', comercial, por_agendar, por_agendar_2025, canceladas, juzgado, equipo FROM a""", ROLES_BACKLOG)(
+SELECT 'comercial', comercial, por_agendar, por_agendar_2025, canceladas, juzgado, equipo FROM ({_r16_sql(P_MTD)})""", ROLES_BACKLOG)(
     lambda spark, sf: O.backlog_levels(tables(spark, sf), P_MTD))
-
-
-register("outbox_cancelled_digest_lines", f"""
-WITH r AS (SELECT * FROM (SELECT v.nid, {falsy('c.c_comercial_captacion', 'v.email_agendador')} AS email,
-             CASE WHEN v.modified_date >= {q(P_MTD.new_since)} THEN 'nueva' ELSE 'pendiente' END AS tipo,
-             CASE WHEN v.fecha_inicio IS NOT NULL AND v.fecha_inicio <> '' THEN split_part(v.fecha_inicio, 'T', 1) ELSE '' END
-               AS fecha
-           FROM {_ur(P_MTD)} v LEFT JOIN property_master c ON v.nid = CAST(c.nid AS VARCHAR)
-           WHERE v.status IN ('P', 'O') AND v.modified_date >= {q(P_MTD.month_start)}) WHERE email <> '' AND email <> 'nan')
-SELECT email, CASE WHEN tipo = 'nueva' THEN 'nuevas' ELSE 'pendientes' END AS seccion, fecha, nid,
-  CASE WHEN tipo = 'nueva' THEN '  - NID ' || nid || ' (estaba agendado para ' || fecha || ')'
-       ELSE '  - NID ' || nid || ' (agendado para ' || fecha || ')' END AS line
-FROM r WHERE email IN (SELECT email FROM r WHERE tipo = 'nueva')""", ("visit_log", "property_master"))(
-    lambda spark, sf: O.cancelled_digest_lines(tables(spark, sf), P_MTD))

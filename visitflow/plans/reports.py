@@ -20,7 +20,7 @@ from ..operators.latest import first_per_key, latest_per_key
 from ..operators.status import status_fold
 from ..params import NO_INFO_LABEL, NO_VISIT_LABEL, Params
 from ..sources import sheets
-from ..sources.documents import since
+from ..sources.documents import scan_reports_window
 from .bindings import Tables
 
 # --- fixed values: labels the original reports print ------------------------
@@ -47,13 +47,35 @@ def _or_blank(c) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def latest_visits(t: Tables, p: Params, by_category: bool = False, real_keys: bool = True) -> DataFrame:
-    """Latest visit-log record per key among the tracked visit kind."""
-    kind, kinds = ("visit_category", p.visit_categories) if by_category else ("visit_type", p.visit_types)
-    v = t.visit_log.filter(F.col(kind).isin(list(kinds)))
-    if real_keys:
-        v = v.filter(is_real_key("nid"))
-    return latest_per_key(v, "nid", "modified_date", tiebreak="record_id")
+def tracked_visits(t: Tables, p: Params) -> DataFrame:
+    return t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types)) & is_real_key("nid"))
+
+
+def latest_visits(t: Tables, p: Params, only: Column | None = None, since: str | None = None) -> DataFrame:
+    """Latest visit-log record per key among the tracked visit kind.
+
+    ``only``: a predicate that the caller applies to the result.  A key whose
+    latest row passes has a row that passes, so only such keys are ranked; the
+    rest of the log is not shuffled.  ``since``: the caller keeps rows modified
+    since then; the ranking column is that date, so older rows are never picked
+    and are left out before the ranking (the filter reaches the scan)."""
+    v = tracked_visits(t, p)
+    if since is not None:
+        v = v.filter(F.col("modified_date") >= F.lit(since))
+    if only is not None:
+        v = joins.semi(v, v.filter(only).select("nid").distinct(), "nid", "nid")
+    last = latest_per_key(v, "nid", "modified_date", tiebreak="record_id")
+    return last if only is None else last.filter(only)
+
+
+def visit_state(t: Tables, p: Params) -> DataFrame:
+    """(b_nid, b_status, b_done) per numeric key of the tracked category: the
+    latest status, and whether any visit was finished, from one aggregate."""
+    v = t.visit_log.filter(F.col("visit_category").isin(list(p.visit_categories)))
+    v = v.select(canonical_long("nid").alias("b_nid"), "status", "modified_date", "record_id").filter(F.col("b_nid").isNotNull())
+    return v.groupBy("b_nid").agg(
+        F.max_by("status", F.struct("modified_date", "record_id")).alias("b_status"),
+        F.coalesce(F.bool_or(F.col("status") == F.lit(p.done_status)), F.lit(False)).alias("b_done"))
 
 
 def crm_in_pipeline(t: Tables, p: Params) -> DataFrame:
@@ -90,8 +112,7 @@ def team(prefix_h: str = "h_", prefix_c: str = "cd_") -> Column:
 def visits_tomorrow(t: Tables, p: Params) -> DataFrame:
     """Tomorrow's visits (R1): latest record per key *then* the status and
     day filters, so a rescheduled visit never shows its stale row."""
-    v = latest_visits(t, p).filter(F.col("status").isin(list(p.scheduled_statuses))
-                                   & F.col("fecha_fin").startswith(p.day_prefix))
+    v = latest_visits(t, p, only=F.col("status").isin(list(p.scheduled_statuses)) & F.col("fecha_fin").startswith(p.day_prefix))
     j = with_master_crm(v, t, p)
     out = j.select(
         clean("nid").alias("nid"),
@@ -112,10 +133,7 @@ def visits_tomorrow(t: Tables, p: Params) -> DataFrame:
 
 # ---------------------------------------------------------------- R2 ------
 def report_window(rows: DataFrame, p: Params, days: int) -> DataFrame:
-    out = since(rows, p.as_of, days)
-    if p.report_sender is not None:
-        out = out.filter(F.col("sender") == F.lit(p.report_sender))
-    return out
+    return scan_reports_window(rows, p.as_of, days, p.report_sender)
 
 
 def cancelled(t: Tables, p: Params) -> DataFrame:
@@ -137,7 +155,7 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
                          [F.col("received_at").asc_nulls_first(), "doc_id", "row_pos"])
     kept = kept.withColumn("last_report", F.max("report_date").over(Window.partitionBy("nid")))
 
-    v = t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types)))
+    v = joins.semi(t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types))), kept.select("nid").distinct(), "nid", "nid")
     last = latest_per_key(v, "nid", "modified_date", tiebreak="record_id")
     mod = F.col("modified_date")
     last = last.select(
@@ -148,16 +166,18 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
     real = kept.join(last, "nid", "inner").filter(
         rules.cancelled_for_real("status", "last_report", "mod_date", p.cancel_statuses_report, p.done_status))
     # one pass over the images: any professional photo drops the row, a live one sets the flag
-    photos = rules.photo_flags(t.listing_card, t.listing_image,
+    # of the cards of reported keys
+    keys = visits_by_numeric_key(kept, []).distinct()
+    photos = rules.photo_flags(joins.semi(t.listing_card, keys, "nid", "nid"), t.listing_image,
                                {"p_any": (p.photo_professional, False), "p_live": (p.photo_professional, True)})
-    photos = photos.select(F.col("nid").cast("string").alias("ph_nid"), "p_any", "p_live")
-    real = real.join(photos, F.col("nid") == F.col("ph_nid"), "left").filter(~F.coalesce("p_any", F.lit(False)))
+    real = joins.left_cast(real, photos, "nid", "nid", ["p_any", "p_live"]).filter(~F.coalesce("p_any", F.lit(False)))
 
     fi = F.col("fecha_inicio")
     fecha_agendada = (F.when(fi.isNotNull() & fi.contains("T"),
                              F.concat(iso_date_part(fi), F.lit(" "), utc_to_local_hhmm(fi, p.utc_offset_hours)))
                       .otherwise(F.lit("")))
-    out = real.join(_master_by_key(t, p), "nid", "left")
+    out = joins.left_cast(real, _master_by_key(t, p, keys), "nid", "nid",
+                          ["m_comercial", "m_telefono", "m_direccion", "m_ciudad", "m_equipo"])
     out = out.withColumn("tiene_fotos_profesionales", F.coalesce("p_live", F.lit(False)))
     city = F.coalesce(F.nullif(F.col("m_ciudad"), F.lit("")), F.nullif(F.col("ciudad_correo"), F.lit("")))
     return out.select(
@@ -184,11 +204,12 @@ def cancelled_keys(last: DataFrame, newest: DataFrame, p: Params) -> DataFrame:
                                                   p.cancel_statuses_report, p.done_status))
 
 
-def _master_by_key(t: Tables, p: Params) -> DataFrame:
-    """Master + CRM per string key, one row per key (a dict keyed by nid)."""
-    cd = t.property_master.select(F.col("nid").cast("string").alias("nid"), *MASTER_COLS)
-    j = joins.left_safecast_on(cd, crm_in_pipeline(t, p), "nid", "nid", None,
-                               ["hubspot_owner_id", "equipo_sellers"], prefix="h_")
+def _master_by_key(t: Tables, p: Params, keys: DataFrame) -> DataFrame:
+    """Master + CRM of the numeric ``keys``, one row per key (a dict keyed by nid)."""
+    cd = joins.semi(t.property_master.select("nid", *MASTER_COLS), keys, "nid", "nid")
+    h = crm_in_pipeline(t, p).select(F.col("nid").alias("_k"), F.col("hubspot_owner_id").alias("h_hubspot_owner_id"),
+                                     F.col("equipo_sellers").alias("h_equipo_sellers"))
+    j = cd.join(h, F.col("nid") == F.col("_k"), "left")
     j = j.select("nid",
                  F.coalesce("h_hubspot_owner_id", "c_comercial_captacion").alias("m_comercial"),
                  F.col("tel_fono_del_cliente_1").alias("m_telefono"),
@@ -215,12 +236,15 @@ def pipeline_keys(t: Tables, p: Params) -> DataFrame:
 
 def court_candidates(t: Tables, p: Params) -> DataFrame:
     """Latest unfavourable opinion within the lookback, in the pipeline,
-    without an active court phase (R3).  Every join is on the numeric key."""
+    without an active court phase (R3), newest opinion first.  Every join is on
+    the numeric key.  The listing prints the master's key, so an opinion about
+    a property without a master row is not listed."""
     d = rules.unfavourable_opinions(t.clearance_tower, p.as_of, p.unfavourable, p.opinion_lookback_months,
                                     as_string=False)
     d = joins.semi(d, crm_in_pipeline(t, p).filter(F.col("nid").isNotNull()).select("nid"), "nid", "nid")
     d = joins.anti(d, rules.active_phase_keys(t.process_history, p.court_pipes, p.closed_phases, as_string=False),
                    "nid", "nid")
+    d = joins.semi(d, t.property_master, "nid", "nid")
     j = with_master_crm(d, t, p, key_is_string=False)
     out = j.select(
         F.col("nid").cast("string").alias("nid"),
@@ -234,14 +258,15 @@ def court_candidates(t: Tables, p: Params) -> DataFrame:
         _date_text("cd_v_fecha_venta").alias("fecha_venta"),
         _date_text("cd_fecha_desistio_inmobiliaria").alias("fecha_desistio"),
     ).filter(F.col("nid") != "")
-    order = [F.col(c).asc() for c in out.columns if c != "nid"]
-    return first_per_key(out, ["nid"], order)
+    order = [F.col("fecha_desfavorable").desc(), *[F.col(c).asc() for c in out.columns if c not in ("nid", "fecha_desfavorable")]]
+    return first_per_key(out, ["nid"], order).orderBy(F.col("fecha_desfavorable").desc(), "nid")
 
 
 # ---------------------------------------------------------------- R4 ------
-def _base_active(t: Tables, p: Params) -> DataFrame:
-    """Master ⟕ CRM deal in the pipeline, with string key ``nid_s``."""
-    cd = t.property_master.select(F.col("nid"), F.col("nid").cast("string").alias("nid_s"),
+def _base_active(t: Tables, p: Params, keys: DataFrame | None = None) -> DataFrame:
+    """Master (of the numeric ``keys``) ⟕ CRM deal in the pipeline, with string key ``nid_s``."""
+    master = t.property_master if keys is None else joins.semi(t.property_master, keys, "nid", "nid")
+    cd = master.select(F.col("nid"), F.col("nid").cast("string").alias("nid_s"),
                                   *[F.col(c).alias("cd_" + c) for c in MASTER_COLS])
     h = crm_in_pipeline(t, p).select(F.col("nid").alias("_hk"), *[F.col(c).alias("h_" + c) for c in CRM_COLS])
     return cd.join(h, F.col("nid") == F.col("_hk"), "left").drop("_hk")
@@ -257,19 +282,17 @@ def visits_by_numeric_key(df: DataFrame, cols) -> DataFrame:
     return df.select(canonical_long("nid").alias("nid"), *cols).filter(F.col("nid").isNotNull())
 
 
-def done_keys(t: Tables, p: Params) -> DataFrame:
-    """Properties with a finished visit of the tracked category (numeric key)."""
-    v = t.visit_log.filter(F.col("visit_category").isin(list(p.visit_categories))
-                           & (F.col("status") == F.lit(p.done_status)))
-    return visits_by_numeric_key(v, []).distinct()
+def without_open_visit(base: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Rows of keyed properties with no finished visit (J7) whose latest visit
+    is not scheduled; adds ``b_status``."""
+    base = base.filter(F.col("nid").isNotNull()).join(visit_state(t, p), F.col("nid") == F.col("b_nid"), "left")
+    return base.filter(F.col("b_nid").isNull() | (~F.col("b_done") & ~F.col("b_status").isin(list(p.scheduled_statuses))))
 
 
 def to_schedule(t: Tables, p: Params) -> DataFrame:
     """Properties to schedule a visit for (R4), one row per key, newest
     capture first (patrimony rule v2).  All side inputs are keyed on the
     numeric property key, so the master is partitioned once for the chain."""
-    b = visits_by_numeric_key(latest_visits(t, p, by_category=True, real_keys=False),
-                              [F.col("status").alias("b_status")]).withColumnRenamed("nid", "b_nid")
     fc = rules.photo_keyset(t.listing_card, t.listing_image, p.photo_client)
     epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
     cn = (t.seller_form.filter(F.col("nid_1").isNotNull() & F.col("nombre_de_edificio_conjunto").isNotNull()
@@ -287,9 +310,7 @@ def to_schedule(t: Tables, p: Params) -> DataFrame:
     base = base.filter(not_contains_ci("cd_ciudad", p.excluded_city_substrings))
     base = _flag(base, fc, "nid", "nid", "has_fc")
     base = base.filter(rules.publication_ok("cd_date_publication", "has_fc", p.publication_cutoff))
-    base = joins.not_in(base, done_keys(t, p), "nid", "nid")
-    base = base.join(b, F.col("nid") == F.col("b_nid"), "left")
-    base = base.filter(F.col("b_nid").isNull() | ~F.col("b_status").isin(list(p.scheduled_statuses)))
+    base = without_open_visit(base, t, p)
     base = base.join(epa, F.col("nid") == F.col("epa_nid"), "left")
     base = base.filter(rules.patrimony_v2("flag", "cd_c_tipo_contrato_firmado", p.flag_done,
                                           p.flag_in_process, p.patrimony_contract))
@@ -312,7 +333,7 @@ def to_schedule(t: Tables, p: Params) -> DataFrame:
     )
     out = first_per_key(out, ["nid"], [F.col("_cap").desc_nulls_last()] +
                         [F.col(c).asc() for c in out.columns if c not in ("nid", "_cap")])
-    return out.drop("_cap")
+    return out.orderBy(F.col("_cap").desc_nulls_last(), "nid").drop("_cap")
 
 
 # ---------------------------------------------------------------- R5 ------
@@ -332,8 +353,8 @@ def _newest_report_text(rows: DataFrame, p: Params) -> DataFrame:
         F.max_by(F.when(city_ok, F.col("ciudad_correo")), F.when(city_ok, seq)).alias("ciudad_correo"))
 
 
-def _card_choice(t: Tables, p: Params) -> DataFrame:
-    """Per key with listing cards: the first card/state row (smallest card
+def _card_choice(t: Tables, p: Params, cards: DataFrame) -> DataFrame:
+    """Per key with listing ``cards``: the first card/state row (smallest card
     id, then state, nulls first) that passes the listing rules, once for a
     key with live professional photos (live rows excluded) and once without.
 
@@ -342,15 +363,14 @@ def _card_choice(t: Tables, p: Params) -> DataFrame:
     all cards), and the partial ``min(struct)`` aggregate shrinks it on every
     map task instead of sending it whole to one join task.
     """
-    pc = t.listing_card.select(F.col("id").alias("pc_id"), F.col("nid").alias("card_nid"),
-                               F.col("active").alias("pc_active"))
+    pc = cards.select(F.col("id").alias("pc_id"), F.col("nid").alias("card_nid"), F.col("active").alias("pc_active"))
     ps = t.listing_state.select(F.col("property_card_id").alias("ps_card"),
                                 F.col("current_state_id").alias("ps_state"))
-    cards = pc.filter(F.col("card_nid").isNotNull()).join(ps, F.col("pc_id") == F.col("ps_card"), "left")
+    states = pc.filter(F.col("card_nid").isNotNull()).join(ps, F.col("pc_id") == F.col("ps_card"), "left")
     row = F.struct(F.col("pc_id"), F.col("ps_state"))
     not_dead = rules.listing_not_dead("pc_active", "ps_state", p.dead_states)
     live = rules.listing_live_coalesced("pc_active", "ps_state", p.live_state)
-    return cards.groupBy("card_nid").agg(F.min(F.when(not_dead, row)).alias("best_any"),
+    return states.groupBy("card_nid").agg(F.min(F.when(not_dead, row)).alias("best_any"),
                                          F.min(F.when(not_dead & ~live, row)).alias("best_not_live"))
 
 
@@ -362,12 +382,15 @@ def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
     # attaches the report columns, so the report documents are parsed once
     rep = _newest_report_text(rows.filter(F.col("nid") != ""), p)
     rep = rep.withColumn("rep_nid", canonical_long("nid")).drop("nid").filter(F.col("rep_nid").isNotNull())
-    photos = rules.photo_flags(t.listing_card, t.listing_image,
+    # cards, their images and states, and the clearance log of reported keys only
+    keys = rep.select(F.col("rep_nid").alias("nid"))
+    cards = joins.semi(t.listing_card, keys, "nid", "nid")
+    photos = rules.photo_flags(cards, t.listing_image,
                                {"p_fc": p.photo_client, "p_360": p.photo_professional}, exclude_deleted=True)
-    epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
+    epa = rules.latest_flag(joins.semi(t.clearance_tower, keys, "nid", "nid"), as_string=False).withColumnRenamed("nid", "epa_nid")
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"))
 
-    base = _base_active(t, p).join(rep, F.col("nid") == F.col("rep_nid"), "inner")
+    base = _base_active(t, p, keys).join(rep, F.col("nid") == F.col("rep_nid"), "inner")
     base = base.filter(rules.active_pipeline(None, "cd_fecha_desistio_inmobiliaria",
                                              "h_fecha_desistio_inmobiliaria", "cd_v_fecha_venta",
                                              "h_dealstage", p.lost_stage))
@@ -379,7 +402,7 @@ def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
                .withColumn("has_360", F.coalesce("p_360", F.lit(False)))
     # A key with cards keeps its best passing card; a key without cards stays with no card;
     # a key whose cards all fail the listing rules is dropped (the row filter of the join).
-    base = base.join(_card_choice(t, p), F.col("nid") == F.col("card_nid"), "left")
+    base = base.join(_card_choice(t, p, cards), F.col("nid") == F.col("card_nid"), "left")
     base = base.withColumn("best", F.when(F.col("has_360"), F.col("best_not_live")).otherwise(F.col("best_any")))
     base = base.filter(F.col("card_nid").isNull() | F.col("best").isNotNull())
     base = base.join(d, F.col("nid") == F.col("d_nid"), "left")
@@ -426,12 +449,13 @@ def subject_keys(t: Tables, p: Params) -> DataFrame:
 def to_publish_client_photos(t: Tables, p: Params) -> DataFrame:
     """Properties from client-photo mails that still need publishing.
     Rows are not deduplicated, as in the original."""
-    photos = rules.photo_flags(t.listing_card, t.listing_image,
+    keys = visits_by_numeric_key(subject_keys(t, p), [])
+    photos = rules.photo_flags(joins.semi(t.listing_card, keys, "nid", "nid"), t.listing_image,
                                {"p_fc": p.photo_client, "p_360": p.photo_professional})
-    epa = rules.latest_flag(t.clearance_tower, as_string=False).withColumnRenamed("nid", "epa_nid")
+    epa = rules.latest_flag(joins.semi(t.clearance_tower, keys, "nid", "nid"), as_string=False).withColumnRenamed("nid", "epa_nid")
     d = t.intake_detail.select(F.col("nid").alias("d_nid"), F.col("estado_patrimonio").alias("d_estado"),
                                F.col("date_publication").alias("d_pub"))
-    base = joins.semi(_base_active(t, p), visits_by_numeric_key(subject_keys(t, p), []), "nid", "nid")
+    base = _base_active(t, p, keys)
     base = base.filter(F.col("cd_fecha_desistio_inmobiliaria").isNull())
     base = base.join(photos.withColumnRenamed("nid", "ph_nid"), F.col("nid") == F.col("ph_nid"), "left")
     base = base.filter(~F.coalesce("p_360", F.lit(False))).withColumn("has_fc", F.coalesce("p_fc", F.lit(False)))
@@ -480,32 +504,32 @@ def to_publish_no_photos(t: Tables, p: Params) -> DataFrame:
         F.col("cd_c_fecha_captacion").alias("_cap"))
     out = first_per_key(out, ["nid"], [F.col("_cap").desc_nulls_last()] +
                         [F.col(c).asc() for c in out.columns if c not in ("nid", "_cap")])
-    return out.drop("_cap")
+    return out.orderBy(F.col("_cap").desc_nulls_last(), "nid").drop("_cap")
 
 
 # ---------------------------------------------------------------- R8 ------
 def published_links(t: Tables, p: Params, links: DataFrame | None = None) -> DataFrame:
-    """Live listings in the pipeline that have a link in the sheet."""
+    """Live listings in the pipeline that have a link in the sheet, newest
+    publication first (R8).  Each key's newest date is picked before the joins."""
     pc = t.listing_card.filter((F.col("active") == 1) & F.col("nid").isNotNull()).select("id", "nid")
     ps = t.listing_state.filter(F.col("current_state_id") == F.lit(p.live_state)) \
         .select("property_card_id", "date_publication")
     pa = (pc.join(ps, F.col("id") == F.col("property_card_id"), "inner")
-          .select(F.col("nid").cast("string").alias("nid"),
-                  F.to_date("date_publication").alias("fecha_publicacion"))
-          .distinct())
-    pa = joins.semi(pa, pipeline_keys(t, p), "nid", "nid")
-    j = with_master_crm(pa, t, p)
+          .groupBy("nid").agg(F.max(F.to_date("date_publication")).alias("fecha_publicacion")))
+    pa = joins.semi(pa, crm_in_pipeline(t, p), "nid", "nid")
+    j = with_master_crm(pa, t, p, key_is_string=False)
     if links is None:
         links = sheets.lookup_links(t.link_tabs)
     out = j.select(
-        "nid", F.col("fecha_publicacion"),
+        F.col("nid").cast("string").alias("nid"), F.col("fecha_publicacion"),
         clean(owner()).alias("comercial"), clean(team()).alias("equipo"),
         title_or_blank("cd_ciudad").alias("ciudad"))
     out = first_per_key(out, ["nid"], [F.col("fecha_publicacion").desc_nulls_last(),
                                        "comercial", "equipo", "ciudad"])
     out = joins.lookup_default(out, links, "nid", "nid", "link", "link_publicacion", required=True)
     out = out.withColumn("fecha_publicacion", _date_text("fecha_publicacion"))
-    return out.select("nid", "fecha_publicacion", "comercial", "equipo", "ciudad", "link_publicacion")
+    out = out.select("nid", "fecha_publicacion", "comercial", "equipo", "ciudad", "link_publicacion")
+    return out.orderBy(F.col("fecha_publicacion").desc(), "nid")
 
 
 # ------------------------------------------------------------ R9-R12 ------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from ..functions.dates import SPANISH_MONTHS
+from ..functions.dates import DAY_MONTH, SPANISH_MONTHS
 
 
 def q(s: str) -> str:
@@ -60,7 +60,7 @@ def dlit(d: dt.date) -> str:
 
 def spanish_date(e: str, as_of: dt.date, slack: int = 2) -> str:
     low = strip(f"lower({e})")
-    pat = "'^(\\d+)\\s+de\\s+([a-záéíóúñ]+)'"
+    pat = q(DAY_MONTH)
     day = f"TRY_CAST(regexp_extract({low}, {pat}, 1) AS INTEGER)"
     name = f"NULLIF(regexp_extract({low}, {pat}, 2), '')"
     names = "[" + ", ".join(q(m) for m in SPANISH_MONTHS) + "]"
@@ -75,47 +75,5 @@ def spanish_date(e: str, as_of: dt.date, slack: int = 2) -> str:
     return f"(CASE WHEN {mk(as_of.year)} > {lim} THEN {mk(as_of.year - 1)} ELSE {mk(as_of.year)} END)"
 
 
-def latest(table: str, where: str = "TRUE", part: str = "nid",
-           order: str = "modified_date DESC NULLS LAST, record_id DESC NULLS LAST", cols: str = "*") -> str:
-    return (f"(SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS _rn "
-            f"FROM {table} WHERE {where}) WHERE _rn = 1)")
-
-
-def photo_set(source: int, exclude_deleted: bool = False, as_string: bool = False) -> str:
-    k = "CAST(pc.nid AS VARCHAR)" if as_string else "pc.nid"
-    d = " AND pi.deleted_at IS NULL" if exclude_deleted else ""
-    return (f"(SELECT DISTINCT {k} AS nid FROM listing_card pc JOIN listing_image pi "
-            f"ON pc.id = pi.property_card_id WHERE pi.source_image_id = {source}{d} AND pc.nid IS NOT NULL)")
-
-
-def latest_flag() -> str:
-    return ("(SELECT CAST(nid AS VARCHAR) AS nid, v_flag_desistidos_patrimonio AS flag FROM "
-            + latest("clearance_tower", "TRUE", "nid",
-                     "v_fecha_inicio_fase_actual_patrimonio_de_familia DESC NULLS LAST, record_id DESC NULLS LAST")
-            + ")")
-
-
-def patrimony_v2(p) -> str:
-    return (f"(epa.flag = {q(p.flag_done)} OR (COALESCE(cd.c_tipo_contrato_firmado, '') <> {q(p.patrimony_contract)} "
-            f"AND COALESCE(epa.flag, '') <> {q(p.flag_in_process)}))")
-
-
 def not_contains(e: str, needles) -> str:
     return " AND ".join(f"NOT contains(lower(COALESCE({e}, '')), {q(n)})" for n in needles) or "TRUE"
-
-
-def active_phases(p) -> str:
-    return ("(SELECT CAST(nid AS VARCHAR) AS nid FROM "
-            + latest("process_history", f"pipe_id IN {in_list(p.court_pipes)}", "nid",
-                     "first_time_in_phase DESC NULLS LAST, record_id DESC NULLS LAST")
-            + f" WHERE phase_name NOT IN {in_list(p.closed_phases)})")
-
-
-def unfavourable(p) -> str:
-    cut = f"{dlit(p.as_of)} - INTERVAL {p.opinion_lookback_months} MONTH"
-    where = (f"lower(v_concepto_del_defensor_de_familia) = {q(p.unfavourable)} "
-             f"AND CAST(v_fecha_concepto_del_defensor_de_familia AS DATE) >= CAST({cut} AS DATE)")
-    return ("(SELECT CAST(nid AS VARCHAR) AS nid, CAST(v_fecha_concepto_del_defensor_de_familia AS DATE) AS fecha_desfavorable, "
-            "v_nombre_cliente_1 AS nombre_cliente_plano, v_numero_telefonico_cliente_1 AS telefono_plano FROM "
-            + latest("clearance_tower", where, "nid",
-                     "v_fecha_concepto_del_defensor_de_familia DESC NULLS LAST, record_id DESC NULLS LAST") + ")")

@@ -38,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...) and
     is used as is.  Only a session without it (tests, local runs) gets a fresh
     scratch folder, registered on the SparkContext (the conf itself cannot be
-    changed at run time).
+    changed at run time); on any other master it raises, because executors
+    would each write to a disk of their own.
     """
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitflow-ckpt-"))
     return sc.getCheckpointDir()
 

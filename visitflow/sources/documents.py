@@ -16,12 +16,9 @@ def since(df: DataFrame, as_of: dt.date, days: int, ts_col: str = "received_at")
     return df.filter(F.to_date(ts_col) >= F.date_sub(lit_date(as_of), days))
 
 
-def scan_reports_window(docs: DataFrame, as_of: dt.date, days: int, sender: str | None = None) -> DataFrame:
+def scan_reports_window(docs: DataFrame, as_of: dt.date, days: int, sender: str) -> DataFrame:
     """Report documents from ``sender`` received in the last ``days``."""
-    out = since(docs, as_of, days)
-    if sender is not None:
-        out = out.filter(F.col("sender") == F.lit(sender))
-    return out
+    return since(docs, as_of, days).filter(F.col("sender") == F.lit(sender))
 
 
 def subject_filter(msgs: DataFrame, text: str, as_of: dt.date, days: int) -> DataFrame:

@@ -3,9 +3,9 @@
 ``read_roles`` maps each role to a parquet path or catalog table, checks
 the columns it needs, and adds the tiebreak columns the reports rank with
 when a source has none: ``record_id`` becomes a content hash of the row
-(``xxhash64``), so the pick is the same on every run and every partitioning;
-the status log's ``seq`` (append order) comes from the writer's server
-timestamp, else from file order.
+(``xxhash64``), so the pick is the same on every run and every partitioning.
+The status log must carry its writer's ``seq``: no content tells the order in
+which two rows of one key were appended.
 """
 
 from __future__ import annotations
@@ -71,19 +71,15 @@ def conform(df: DataFrame, role: str) -> DataFrame:
     missing = [c for c, _ in cols if c not in df.columns]
     if missing:
         raise ValueError(f"{role}: missing columns {missing}")
-    keep = [TIEBREAKS.get(role), "timestamp"] if role == "status_log" else [TIEBREAKS.get(role)]
+    keep = [TIEBREAKS.get(role)]
     out = df.select(*[F.col(c).try_cast(t).alias(c) if dict(df.dtypes)[c] != t else F.col(c)
                       for c, t in cols],
                     *[F.col(c) for c in df.columns if c in keep])
     tb = TIEBREAKS.get(role)
     if tb and tb not in out.columns:
         if role == "status_log":
-            # append order decides the fold: the writer's server timestamp, else file order
-            order = (F.unix_micros(F.col("timestamp").cast("timestamp")) if "timestamp" in df.columns
-                     else F.monotonically_increasing_id())
-            out = out.withColumn(tb, order.cast("bigint"))
-        else:
-            out = out.withColumn(tb, F.xxhash64(*[F.col(c) for c, _ in cols]))
+            raise ValueError("status_log: no seq column; append order decides which status is current")
+        out = out.withColumn(tb, F.xxhash64(*[F.col(c) for c, _ in cols]))
     return out
 
 

@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOG_COLUMNS = ("nid", "fecha", "estado", "usuario")
 
 
-def status_rows(df: DataFrame) -> DataFrame:
-    """Rows as the log writer stores them: null -> '', server timestamp."""
-    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LOG_COLUMNS],
-                     F.current_timestamp().alias("timestamp"))
+def _next_sequence(spark: SparkSession, path: str, fmt: str) -> int:
+    try:
+        last = spark.read.format(fmt).load(path).agg(F.max("seq")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    return 0 if last is None else last + 1
+
+
+def status_rows(df: DataFrame, order: Sequence[str], start: int = 0) -> DataFrame:
+    """Rows as the log writer stores them (S12): null -> '', server timestamp,
+    and ``seq``, which grows from ``start`` in the rows' ``order``."""
+    ordered = df.orderBy(*order).select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LOG_COLUMNS])
+    return ordered.withColumn("timestamp", F.current_timestamp()).withColumn("seq", F.monotonically_increasing_id() + start)
+
 
+def status_append(df: DataFrame, path: str, order: Sequence[str], fmt: str = "parquet") -> None:
+    """Append-only write (S12); existing rows are never rewritten.
 
-def status_append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append-only write; existing rows are never rewritten."""
-    status_rows(df).write.mode("append").format(fmt).save(path)
+    ``order`` names the columns that order the rows of this append (the last of
+    one key wins later).  Sequences continue after the log's largest one; a
+    log has one writer at a time."""
+    start = _next_sequence(df.sparkSession, path, fmt)
+    status_rows(df, order, start).write.mode("append").format(fmt).save(path)
 
 
 def json_lines(df: DataFrame) -> DataFrame:
@@ -30,7 +49,7 @@ def json_sink(df: DataFrame, path: str) -> None:
 
 def outbox_rows(df: DataFrame, to: str = "email", fixed_to: str | None = None) -> DataFrame:
     """Messages as ``(to, subject, body, ...)`` rows (S14): the recipient is
-    the ``to`` column, or ``fixed_to`` for messages with one recipient."""
+    the ``to`` column, or ``fixed_to`` for messages with fixed recipients."""
     rcpt = F.lit(fixed_to) if fixed_to is not None else F.col(to)
     rest = [c for c in df.columns if c not in (to, "subject", "body")]
     return df.select(rcpt.alias("to"), "subject", "body", *rest)

@@ -35,6 +35,6 @@ def scan_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str]) ->
     Unparsable text becomes null instead of failing the job.  No row cap:
     the original's silent 10,000-row truncation is not reproduced.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.options(header=True, inferSchema=False, multiLine=True, quote='"', escape='"').csv(path)
     return raw.select(*[(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c)
                         for c in raw.columns])

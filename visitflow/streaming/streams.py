@@ -1,29 +1,37 @@
 """Structured Streaming twins of the batch folds (ST1-ST4).
 
-The original re-reads whole inputs on every request; here the two inputs
-that are really streams (the status log and the visit log / report rows)
-are read incrementally.  Every stream here runs with
-``trigger(availableNow=True)``, writes its state under the shared checkpoint
-folder (``spark.checkpoint.dir``) and, run to completion, equals its batch
-twin.  Without ``root`` each call starts a fresh run folder; with a stable
-``root`` a restarted stream resumes from its checkpointed offsets and state.
-
-* ST1 ``status_fold_stream``: last value per (nid, kind), complete mode.
-* ST2 ``dedup_reports_stream``: one row per (nid, report date) within a
-  30-day watermark (``dropDuplicatesWithinWatermark``), append mode.
-* ST3 ``latest_upsert_stream``: latest visit record per key kept as a table;
-  every micro-batch writes a new version from (previous version ∪ batch), so
-  a replayed batch id rewrites the same version (idempotent) and lineage is
-  cut at every batch.
-* ST4 ``daily_counts_stream``: cancellations per agent per UTC day, tumbling
-  1-day windows with a watermark, complete mode.
+The original re-reads whole inputs on every request; here the inputs that are
+really streams (the status log, the visit log, report rows) are read
+incrementally with ``trigger(availableNow=True)``.
+
+Output contract.  A stream writes *versions*: the folder ``v=<batch id>`` holds
+what one micro-batch changed and counts once its ``_SUCCESS`` file is there.  No
+version is ever rewritten by a later batch, so a reader never meets a half
+written table, and a batch that runs again after a failure writes the same
+folder again.  Run to completion over the files in any order, every stream
+equals its batch twin.  Without ``root`` each call starts a fresh run folder
+under ``spark.checkpoint.dir``; with a stable ``root`` a restarted stream resumes
+from its checkpointed offsets and state.
+
+* ST1 ``status_fold_stream``: status fold in update mode; a version holds the
+  changed (nid, kind) values.  Read with ``current_values``.
+* ST2 ``dedup_reports_stream``: one row per (nid, report date).  Rows further
+  than ``horizon`` behind the newest row seen so far are late: they are set aside
+  in a side table, never lost.  Read with ``deduplicated``.
+* ST3 ``latest_upsert_stream``: latest visit per key; keys are hashed into buckets,
+  and a version rewrites only the buckets its batch touches.  Read with
+  ``read_keyed``; ``vacuum`` deletes replaced buckets.
+* ST4 ``daily_counts_stream``: cancellations per agent and UTC day; a version holds
+  the counts of its batch, in order of days.  Read with ``daily_counts``.  With
+  ``closed_only`` it emits final windows behind a watermark instead.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import falsy_chain
@@ -32,6 +40,9 @@ from ..operators.latest import latest_per_key
 from ..operators.status import status_fold
 from ..session import checkpoint_path
 
+#: Buckets of the keyed table of ST3.
+BUCKETS = 16
+
 
 def stream_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Parquet file or folder as a stream.  A single file is addressed
@@ -49,114 +60,192 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return checkpoint_path(spark, f"streams/{name}/{uuid.uuid4().hex}")
 
 
-def _overwrite_each_batch(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-    return write
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions below ``root``."""
+    fs, p = _path(spark, root)
+    if not fs.exists(p):
+        return []
+    found = [st.getPath() for st in fs.listStatus(p)]
+    return sorted(int(x.getName()[2:]) for x in found if x.getName().startswith("v=")
+                  and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")))
+
+
+def _read_versions(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
+    """Rows of the complete versions (with their number ``v``); None when there is none."""
+    found = [v for v in versions(spark, root) if below is None or v < below]
+    return spark.read.option("basePath", root).parquet(*[f"{root}/v={v}" for v in found]) if found else None
+
 
+def _write_version(df: DataFrame, root: str, batch_id: int, by: str | None = None) -> None:
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(f"{root}/v={batch_id}")
 
+
+# ---------------------------------------------------------------- ST1 -----
 def status_fold_stream(spark: SparkSession, log: DataFrame, day: str, name: str = "status_fold",
                        root: str | None = None) -> str:
-    """ST1: continuous status fold; returns the folder holding the result.
-    Pass a stable ``root`` to resume from its checkpoint after a restart."""
+    """ST1: continuous status fold; returns the folder of the versions."""
     run = root or _run_dir(spark, name)
-    out = f"{run}/table"
-    q = (status_fold(log, day).writeStream.outputMode("complete")
+    out = f"{run}/versions"
+    q = (status_fold(log, day).writeStream.outputMode("update")
          .option("checkpointLocation", f"{run}/_checkpoint")
-         .foreachBatch(_overwrite_each_batch(out)).trigger(availableNow=True).start())
+         .foreachBatch(lambda batch, i: _write_version(batch, out, i)).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
-def dedup_reports_stream(spark: SparkSession, rows: DataFrame, horizon: str = "30 days",
+def current_values(spark: SparkSession, root: str, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """The newest version's value of each key."""
+    changes = _read_versions(spark, root)
+    return changes.groupBy(*keys).agg(F.max_by(value, "v").alias(value))
+
+
+# ---------------------------------------------------------------- ST2 -----
+def dedup_reports_stream(spark: SparkSession, rows: DataFrame, horizon_days: int = 30,
                          name: str = "dedup_reports", root: str | None = None) -> str:
-    """ST2: duplicate-report suppression within a horizon (resumable with ``root``)."""
+    """ST2: duplicate-report suppression; returns the run folder (``kept`` and ``late``)."""
     run = root or _run_dir(spark, name)
-    out = f"{run}/table"
-    ev = rows.withColumn("event_ts", F.col("received_at").cast("timestamp"))
-    d = (ev.withWatermark("event_ts", horizon)
-         .dropDuplicatesWithinWatermark(["nid", "fecha_reporte"])
-         .select("nid", "fecha_reporte"))
-    q = (d.writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", f"{run}/_checkpoint").option("path", out)
+    keys = ["nid", "fecha_reporte"]
+
+    def dedup(batch: DataFrame, i: int) -> None:
+        batch = batch.select(*keys, F.col("received_at").cast("timestamp_ntz").alias("received_at"))
+        kept = _read_versions(batch.sparkSession, f"{run}/kept", below=i)
+        late = F.lit(False)
+        if kept is not None:
+            newest = kept.agg(F.max("received_at")).scalar()
+            late = F.coalesce(F.col("received_at") < newest - F.make_dt_interval(days=F.lit(horizon_days)), F.lit(False))
+        first = batch.filter(~late).groupBy(*keys).agg(F.min("received_at").alias("received_at"))
+        if kept is not None:
+            first = first.join(kept.select(*keys), keys, "left_anti")
+        _write_version(batch.filter(late), f"{run}/late", i)
+        _write_version(first, f"{run}/kept", i)
+
+    q = (rows.writeStream.option("checkpointLocation", f"{run}/_checkpoint").foreachBatch(dedup)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return run
+
+
+def deduplicated(spark: SparkSession, run: str) -> DataFrame:
+    """Distinct (nid, fecha_reporte): the kept rows, and the late ones that no kept row covers."""
+    keys = ["nid", "fecha_reporte"]
+    return _read_versions(spark, f"{run}/kept").select(*keys).unionByName(
+        _read_versions(spark, f"{run}/late").select(*keys)).distinct()
+
+
+# ---------------------------------------------------------------- ST3 -----
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _newest_buckets(spark: SparkSession, root: str, below: int | None = None) -> dict[int, str]:
+    """Bucket -> folder of its newest version; at most one entry a bucket."""
+    out: dict[int, str] = {}
+    for v in versions(spark, root):
+        if below is None or v < below:
+            fs, p = _path(spark, f"{root}/v={v}")
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if name.startswith("bucket="):
+                    out[int(name[7:])] = f"{root}/v={v}/{name}"
     return out
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        n = st.getPath().getName()
-        if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(n[2:]))
-    return sorted(out)
-
-
-def upsert_batch(spark: SparkSession, versions_root: str, keys=("nid",), by: str = "modified_date",
-                 tiebreak: str = "record_id"):
-    """``foreachBatch`` function of ST3.  Batch ``k`` reads the newest
-    complete version below ``k`` and overwrites ``v=k``; running batch ``k``
-    again (a replay after a failure) writes the same version again."""
+def upsert_batch(spark: SparkSession, root: str, keys=("nid",), by: str = "modified_date",
+                 tiebreak: str = "record_id", buckets: int = BUCKETS):
+    """``foreachBatch`` function of ST3.  Batch ``k`` merges its rows with the
+    newest version below ``k`` of the buckets it touches and writes those
+    buckets as ``v=k``; running batch ``k`` again writes the same version."""
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        prev = [v for v in _versions(spark, versions_root) if v < batch_id]
-        merged = batch
-        if prev:
-            merged = spark.read.parquet(f"{versions_root}/v={prev[-1]}").unionByName(batch)
-        (latest_per_key(merged, list(keys), by, tiebreak)
-         .write.mode("overwrite").parquet(f"{versions_root}/v={batch_id}"))
+        rows = batch.withColumn("bucket", _bucket(list(keys), buckets))
+        touched = {r.bucket for r in rows.select("bucket").distinct().collect()}  # at most ``buckets`` numbers
+        old = [p for b, p in _newest_buckets(spark, root, batch_id).items() if b in touched]
+        if old:
+            before = spark.read.parquet(*old)
+            rows = rows.unionByName(before.withColumn("bucket", _bucket(list(keys), buckets)))
+        _write_version(latest_per_key(rows, list(keys), by, tiebreak), root, batch_id, "bucket")
     return upsert
 
 
 def latest_upsert_stream(spark: SparkSession, visits: DataFrame, keys=("nid",), by: str = "modified_date",
                          tiebreak: str = "record_id", name: str = "latest_upsert",
                          root: str | None = None) -> str:
-    """ST3: keyed latest-record table maintained per micro-batch.
-
-    Version ``v=<batch_id>`` = latest per key over (version before it ∪ batch).
-    Returns the folder of the newest complete version.
-    """
+    """ST3: keyed latest-record table maintained per micro-batch; returns the folder of the versions."""
     run = root or _run_dir(spark, name)
-    tables = f"{run}/versions"
+    out = f"{run}/versions"
     q = (visits.writeStream.option("checkpointLocation", f"{run}/_checkpoint")
-         .foreachBatch(upsert_batch(spark, tables, keys, by, tiebreak)).trigger(availableNow=True).start())
+         .foreachBatch(upsert_batch(spark, out, keys, by, tiebreak)).trigger(availableNow=True).start())
     q.awaitTermination()
-    vs = _versions(spark, tables)
-    return f"{tables}/v={vs[-1]}" if vs else ""
+    return out
+
+
+def read_keyed(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of every bucket."""
+    return spark.read.parquet(*_newest_buckets(spark, root).values())
+
+
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Delete bucket folders that a newer complete version replaced; returns their number.
+    Call it when no reader is on an older version."""
+    newest, gone = set(_newest_buckets(spark, root).values()), 0
+    for v in versions(spark, root):
+        fs, p = _path(spark, f"{root}/v={v}")
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("bucket=") and f"{root}/v={v}/{name}" not in newest:
+                fs.delete(st.getPath(), True)
+                gone += 1
+    return gone
+
+
+# ---------------------------------------------------------------- ST4 -----
+def _cancellations(visits: DataFrame, master: DataFrame, cancel_statuses) -> DataFrame:
+    v = visits.filter(F.col("status").isin(list(cancel_statuses)))
+    v = joins.left_cast(v, master, "nid", "nid", ["c_comercial_captacion"])
+    return v.withColumn("agente", falsy_chain("c_comercial_captacion", "email_agendador"))
 
 
 def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFrame, cancel_statuses,
-                        name: str = "daily_counts", mode: str = "complete", lateness: str = "1 day",
+                        name: str = "daily_counts", closed_only: bool = False, lateness: str = "1 day",
                         root: str | None = None) -> str:
-    """ST4: cancellations per agent per UTC day (tumbling window, watermark).
+    """ST4: cancellations per agent and UTC day; returns the folder of the result.
 
-    ``complete`` rewrites every window each trigger (equals the batch
-    count); ``append`` emits a window once the watermark (max event time
-    minus ``lateness``) has passed its end, and drops rows later than that.
-    """
+    By default each batch adds its own counts, so no window stays in memory and
+    no row is too late.  ``closed_only`` emits a day once the watermark (newest
+    event time minus ``lateness``) has passed its end, and drops rows later than that."""
     run = root or _run_dir(spark, name)
+    md = F.col("modified_date")
+    if not closed_only:
+        out = f"{run}/versions"
+
+        def count(batch: DataFrame, i: int) -> None:
+            c = _cancellations(batch, master, cancel_statuses).groupBy(F.substring(md, 1, 10).alias("dia"), "agente")
+            # in order of days, so that a reader of a day skips most of a version
+            _write_version(c.agg(F.count(F.lit(1)).alias("canceladas")).repartitionByRange("dia").sortWithinPartitions("dia"), out, i)
+
+        (visits.writeStream.option("checkpointLocation", f"{run}/_checkpoint").foreachBatch(count)
+         .trigger(availableNow=True).start().awaitTermination())
+        return out
     out = f"{run}/table"
-    v = visits.filter(F.col("status").isin(list(cancel_statuses)))
-    v = joins.left_cast(v, master, "nid", "nid", ["c_comercial_captacion"])
+    v = _cancellations(visits, master, cancel_statuses)
     # ISO text with a zone designator -> an instant, whatever the session time zone;
     # tumbling windows are aligned to UTC days, and the day label is the UTC date text
-    md = F.col("modified_date")
     v = v.withColumn("event_ts", F.coalesce(F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")),
                                             F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))))
-    v = v.withColumn("agente", falsy_chain("c_comercial_captacion", "email_agendador"))
     agg = (v.withWatermark("event_ts", lateness)
            .groupBy(F.window("event_ts", "1 day").alias("w"), "agente")
            .agg(F.min(F.substring(md, 1, 10)).alias("dia"), F.count(F.lit(1)).alias("canceladas")))
-    agg = agg.select("dia", "agente", F.col("canceladas").cast("bigint").alias("canceladas"))
-    w = agg.writeStream.outputMode(mode).option("checkpointLocation", f"{run}/_checkpoint")
-    if mode == "complete":
-        w = w.foreachBatch(_overwrite_each_batch(out))
-    else:
-        w = w.format("parquet").option("path", out)
-    w.trigger(availableNow=True).start().awaitTermination()
+    (agg.select("dia", "agente", F.col("canceladas").cast("bigint").alias("canceladas"))
+     .writeStream.outputMode("append").option("checkpointLocation", f"{run}/_checkpoint")
+     .format("parquet").option("path", out).trigger(availableNow=True).start().awaitTermination())
     return out
+
+
+def daily_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Counts per day and agent over all versions."""
+    return _read_versions(spark, root).groupBy(F.col("dia").cast("string").alias("dia"), "agente").agg(F.sum("canceladas").alias("canceladas"))

@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its rows are
 written as Parquet in the shared folder and read back as the next stage's
-``docs``.  All stages but the last return the columns of ``documents``.
+``docs``.  All stages but the last return the columns of ``documents``, further
+columns included.
+
+Defined results: a null or empty text passes the classifier by its score, counts
+as the empty text for exact copies, links with nothing as a near copy, has no
+tokens to weigh (it stays with its cell's probability), and packs as its closing
+id; rows that repeat with their id leave one; a null id stays null; an empty table
+gives empty results.
 """
 
 from __future__ import annotations

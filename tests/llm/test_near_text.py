@@ -73,7 +73,7 @@ def test_components_match_brute_force(spark, monkeypatch, leaf):
 
 
 def test_awkward_rows(spark):
-    out = near_text.groups(cluttered(docs(spark)))
+    out = near_text.groups(cluttered(docs(spark)), trees=4)
     assert out.count() == len(awkward())
     check(out, awkward())
     alone = out.where("doc_id IS NULL AND n_shingles = 0").collect()
@@ -81,25 +81,25 @@ def test_awkward_rows(spark):
 
 
 def test_empty_table(spark):
-    assert near_text.groups(docs(spark, [])).count() == 0
+    assert near_text.groups(docs(spark, []), trees=4).count() == 0
 
 
 def test_only_empty_texts(spark):
-    out = near_text.groups(docs(spark, [(1, "", "en", "a", 0), (2, None, "en", "a", 0)]))
+    out = near_text.groups(docs(spark, [(1, "", "en", "a", 0), (2, None, "en", "a", 0)]), trees=4)
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out.collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
 def test_one_id_with_several_texts_links_them(spark):
     rng = random.Random(2)
     a, b = " ".join(words(rng, 30)), " ".join(words(rng, 30))
-    out = near_text.groups(docs(spark, [(1, a, "en", "a", 1), (2, b, "en", "a", 1), (5, a, "en", "a", 1), (5, b, "en", "a", 1)]))
+    out = near_text.groups(docs(spark, [(1, a, "en", "a", 1), (2, b, "en", "a", 1), (5, a, "en", "a", 1), (5, b, "en", "a", 1)]), trees=4)
     assert {(r.doc_id, r.component_id) for r in out.collect()} == {(1, 1), (2, 1), (5, 1)}
 
 
 def test_dedup_keeps_one_of_each_group_and_all_columns(spark):
     rows = corpus(seed=3, clusters=3, copies=12, alone=40)
     df = cluttered(docs(spark, rows))
-    out = near_text.dedup(df, width=5)
+    out = near_text.dedup(df, width=5, trees=8)
     want = {d for d, (_, c) in brute(rows, 5).items() if d == c}
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} == want
 

@@ -18,7 +18,7 @@ def shared_root(spark: SparkSession) -> str:
     (one machine); any other master raises."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file:" + tempfile.mkdtemp(prefix="visitflow-llm-")
         spark.sparkContext.setCheckpointDir(root)

@@ -26,7 +26,7 @@ from .common import SPACE, staged
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 12
 #: Target share of a level: its own share to this power, normalised (1: as is, 0: all levels alike).
-TEMPER = 0.7
+TEMPER = 0.9
 
 
 def topic_of(text: Column) -> Column:

@@ -49,7 +49,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local["):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitflow-ckpt-"))
     return sc.getCheckpointDir()

@@ -19,6 +19,12 @@ task's number in its upper bits.
 
 from __future__ import annotations
 
+import gc
+import itertools
+import operator
+import string
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -29,11 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END = 2
+ENDING = END.to_bytes(4, "little")
+SIGNS = string.punctuation.encode()
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "loss_tokens long, sequence_segments int")
 BLOCK = 1 << 20
-#: Words whose ids a task remembers.
+#: Words, and parts of words, whose ids a Python worker remembers.
 MEMO = 400_000
+MEMO_PARTS = 800_000
+#: Characters of text that are encoded together.
+CHUNK = 1 << 20
 
 
 def blocks(data: bytes) -> Iterator[bytes]:
@@ -49,38 +60,81 @@ def blocks(data: bytes) -> Iterator[bytes]:
 
 
 class WordIds:
-    """Token ids of texts; white space always ends a token of this vocabulary, so words are encoded once."""
+    """Token ids of texts.
+
+    White space always ends a token of this vocabulary, and so does a change
+    from letters to signs; letter case does not count.  Words are therefore
+    encoded once, and a word of letters followed by ASCII signs is put together
+    from its two parts."""
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.memo: dict[bytes, bytes] = {}
+        #: ids that close a word
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closes[i] = bool(suffix) and token.endswith(suffix)
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _letters(self, cores: list[bytes]) -> None:
+        """Encode runs of letters together: each ends at its first id that closes a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(cores).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+        if len(ends) == len(cores):
+            self._store(cores, ids, ends)
+        else:
+            self._any(cores)
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.memo) + len(words) > MEMO:
-            self.memo.clear()
+    def _any(self, words: list[bytes]) -> None:
         got = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-        of = np.array([-1 if w is None else w for w in got.word_ids], np.int64)
-        ids = np.array(got.ids, "<u4").tobytes()
-        ends = np.searchsorted(of, np.arange(len(words)), "right") * 4
-        start = 0
-        for w, end in zip(words, ends.tolist(), strict=True):
-            self.memo[w] = ids[start:end]
-            start = end
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids with the closing id."""
-        out = []
-        for block in blocks((text or "").encode("utf-8", "replace")):
-            words = block.split()
-            new = [w for w in set(words) if w not in self.memo]
-            if new:
-                self.learn(new)
-                if len(self.memo) < len(set(words)) or any(w not in self.memo for w in words):  # the memo was cleared
-                    self.learn(list(set(words)))
-            out += map(self.memo.__getitem__, words)
-        return b"".join(out) + END.to_bytes(4, "little")
+        of = np.array([-1 if i is None else i for i in got.word_ids], np.int64)
+        self._store(words, np.array(got.ids, "<u4"), np.searchsorted(of, np.arange(len(words)), "right") * 4)
+
+    def _store(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        data, ends = ids.tobytes(), ends.tolist()
+        self.parts.update(zip(words, map(data.__getitem__, map(slice, [0, *ends], ends))))
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.words) + len(words) > MEMO:
+            self.words.clear()
+        if len(self.parts) > MEMO_PARTS:
+            self.parts.clear()
+        cores, tails, others = [], [], []
+        for w in words:
+            core = w.rstrip(SIGNS)
+            tails.append(w[len(core):])
+            if core.isalpha():  # ASCII letters
+                cores.append(core.lower())
+                continue
+            text = core.decode()
+            if not (text.isalpha() and text.lower().isalpha()):  # lower case of some letters adds a sign
+                core, tails[-1] = w, b""
+                others.append(w)
+            cores.append(core)
+        parts = self.parts
+        parts[b""] = b""
+        if new := [x for x in {*others, *tails} if x not in parts]:
+            self._any(new)
+        if new := [x for x in {*cores} if x not in parts]:
+            self._letters(new)
+        self.words.update(zip(words, map(operator.concat, map(parts.__getitem__, cores), map(parts.__getitem__, tails))))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, with the closing id."""
+        split = [[block.split() for block in blocks((t or "").encode("utf-8", "replace"))] for t in texts]
+        found = [[list(map(self.words.get, words)) for words in text] for text in split]
+        gaps = [(words, ids, [i for i, x in enumerate(ids) if x is None])
+                for text, got in zip(split, found, strict=True) for words, ids in zip(text, got, strict=True) if None in ids]
+        if gaps:
+            self.learn({words[i] for words, _, at in gaps for i in at})
+            find = self.words.__getitem__
+            for words, ids, at in gaps:
+                for i in at:
+                    ids[i] = find(words[i])
+        return [b"".join(itertools.chain(*got, [ENDING])) for got in found]
 
 
 def pack(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int], cut: bool = False) -> list[list[tuple[int, int, int]]]:
@@ -146,11 +200,33 @@ def powers(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
         yield here
 
 
+def worker_coder(definition: str) -> WordIds:
+    """The coder of this Python worker: later tasks of the worker find its words."""
+    held = sys.modules.setdefault("visitflow_packing_worker", types.ModuleType("visitflow_packing_worker"))
+    if getattr(held, "definition", None) != definition:
+        held.definition, held.coder = definition, WordIds(definition)
+    return held.coder
+
+
+def coded(coder: WordIds, batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+    """(doc_id, ids) of a batch, some texts at a time."""
+    keys, texts, held = [], [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        keys.append(doc_id)
+        texts.append(text.as_py())
+        held += len(texts[-1] or "")
+        if held >= CHUNK:
+            yield from zip(keys, coder.encode(texts), strict=True)
+            keys, texts, held = [], [], 0
+    yield from zip(keys, coder.encode(texts), strict=True)
+
+
 def _packed(definition, limits: tuple[int, int, int], pool: int):
     most = limits[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(definition.value)
+        gc.disable()  # the memo's many small objects hold no cycles
+        coder = worker_coder(definition.value)
         base = TaskContext.get().partitionId() << 32
         count = 0
         rows: list[tuple] = []
@@ -191,8 +267,7 @@ def _packed(definition, limits: tuple[int, int, int], pool: int):
                 items[:] = [(items[i][0], items[i][1] + s, items[i][2][4 * s:4 * (s + n)], items[i][3]) for i, s, n in rest]
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = coder.encode(text.as_py())
+            for doc_id, ids in coded(coder, batch):
                 total, start = len(ids) // 4, 0
                 while total - start >= most and most - (start == 0) <= limits[2]:
                     items.append((doc_id, start, ids[4 * start:4 * (start + most)], total))
@@ -206,6 +281,7 @@ def _packed(definition, limits: tuple[int, int, int], pool: int):
                 if len(rows) >= 10_000:
                     yield flush()
         settle(True)
+        gc.enable()
         yield flush()
 
     return run

@@ -7,16 +7,25 @@ positions of the minwise tokens, and classes that agree there go to one child.
 A position is agreed on with the probability of the similarity, and deeper nodes
 branch 1 / 0.8 ways per position, so similar pairs meet in some node of some
 tree however deep it grows.  A node of at most ``LEAF`` classes is compared
-exhaustively.  A larger one compares its members with one pivot; it ends where
-all are close to the pivot and branches on otherwise.
+exhaustively.  A larger one compares its members with ``PIVOTS`` of them.
+Members close to pivots that share close members form the node's core, which is
+one component.  If at most ``LEAF`` members stay outside, these are compared
+with the whole node and it ends; else it branches on.
+
+Trees are grown in two rounds.  Nodes of the first ``FIRST_TREES`` return the
+likeliest pairs that would join their members, not all pairs.  Once these are
+confirmed, a node of a later tree ends where its members already are one
+component, its core is its largest component, and all pairs of different
+components that may be links are returned.
 
 Nodes compare minwise tokens only.  Every pair that may reach the threshold is
-then confirmed on full sets, in two steps: first the pairs with a pivot, then
-those pairs whose documents are not yet in one component.  A pair that is left
-out lies in one component already, so components lose nothing by it.
+then confirmed on full sets, in steps: the pairs of the first round, then one
+pair for each two components that a pair may join, then all pairs whose classes
+are still in different components.  A pair that is left out lies
+in one component already, so components lose nothing by it.
 
 Recall: a pair at 0.8 that meets no common large node is missed with 0.2 **
-trees; the estimate that opens confirmation lies five deviations below.
+(trees - FIRST_TREES); the estimate that opens confirmation lies 3.6 deviations below.
 
 Defined results: null and empty texts have no set and link with nothing.  Rows
 with one id are one document, linked if any of its texts is.  A null id gets a
@@ -25,9 +34,11 @@ null component and is kept.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +50,15 @@ from .exact import may_repeat, repeat_filter
 TOKENS = 64
 LEAF = 64
 #: Share of equal minwise tokens from which a pair is confirmed on full sets.
-MAYBE = 0.55
-#: Share from which a member counts as close to its node's pivot.
-CLOSE = 0.9
+MAYBE = 0.62
+#: Share from which a member counts as close to a pivot.
+CLOSE = 0.875
+PIVOTS = 8
+FIRST_TREES = 4
+#: Positions in which the children of a large node agree.
+DEEPER = 4
+#: Members of a large node that one comparison holds, about.
+PART = 1024
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 20
@@ -146,94 +163,246 @@ def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            sets = [shingler.shingles(_bytes(t)).view(np.int64) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"])
+            for s in range(0, batch.num_rows, 500):
+                part = batch.slice(s, 500)
+                sets = [shingler.shingles(_bytes(t)).view(np.int64) for t in part.column(1)]
+                yield pa.record_batch([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"])
 
     return run
 
 
-def _agreement(a: Column, b: Column) -> Column:
-    """Share of equal minwise tokens."""
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / TOKENS
+PAIRS = "a long, b long, share float, first boolean"
 
 
-def _leaf_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by node -> pairs of a node that agree enough; a node has at most LEAF rows."""
-    node, ids, rows = None, [], []
+def _pair_batch(found: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
+    cols = zip(*found, strict=True) if found else [()] * len(names)
+    return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    def compare() -> list[tuple[int, int, bool]]:
-        order = np.argsort(ids, kind="stable")
-        m, v = np.stack([rows[i] for i in order]), [ids[i] for i in order]
-        out = []
-        for i in range(len(v) - 1):
-            share = (m[i + 1:] == m[i]).mean(1)
-            out += [(v[i], v[i + 1 + int(j)], i == 0) for j in np.flatnonzero(share >= MAYBE)]
-        return out
 
+def _by_node(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """Rows sorted by their first ``keys`` columns -> (key, its rows), one key at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        found = []
-        for n, i, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            if n != node:
-                if len(ids) > 1:
-                    found += compare()
-                node, ids, rows = n, [], []
-            ids.append(i)
-            rows.append(tokens.values.to_numpy())
-        a, b, p = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(p, pa.bool_())], ["a", "b", "pivot"])
-    found = compare() if len(ids) > 1 else []
-    a, b, p = zip(*found, strict=True) if found else ((), (), ())
-    yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(p, pa.bool_())], ["a", "b", "pivot"])
+        cols = [batch.column(i).to_numpy() for i in range(keys)]
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in cols:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            key = tuple(int(c[s]) for c in cols)
+            if key != last and held:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+def _matrix(table: pa.Table) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in table.column("tokens").chunks]).reshape(table.num_rows, TOKENS)
+
+
+def _forest(share: np.ndarray) -> list[tuple[int, int]]:
+    """The likeliest pairs that join all rows that pairs of at least MAYBE can join."""
+    n = len(share)
+    best, link, seen, out = np.full(n, -1.0), np.zeros(n, np.int64), np.zeros(n, bool), []
+    for _ in range(n):
+        i = int(np.where(seen, -2.0, best).argmax())
+        if best[i] >= MAYBE:
+            out.append((i, int(link[i])))
+        seen[i] = True
+        nearer = ~seen & (share[i] > best)
+        best[nearer], link[nearer] = share[i][nearer], i
+    return out
+
+
+def _leaf_pairs(forest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (node, id, comp, tokens) sorted by node -> pairs that agree enough and lie in different
+        components: a forest of them, or all.  A node has at most LEAF rows."""
+        names, kinds = ["a", "b", "share", "first"], [pa.int64(), pa.int64(), pa.float32(), pa.bool_()]
+        out: list[tuple] = []
+        for _, rows in _by_node(batches, 1):
+            ids, comp, m = rows.column("id").to_pylist(), rows.column("comp").to_numpy(), _matrix(rows)
+            share = np.stack([(m == x).mean(1) for x in m])
+            share[comp[:, None] == comp[None, :]] = -1.0
+            hits = _forest(share) if forest else np.argwhere(np.triu(share, 1) >= MAYBE).tolist()
+            out += [(ids[i], ids[j], float(share[i, j]), forest) for i, j in hits]
+            if len(out) >= 20_000:
+                yield _pair_batch(out, names, kinds)
+                out = []
+        yield _pair_batch(out, names, kinds)
+
+    return run
+
+
+def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, part, rank, id, tokens) sorted by (node, part); rank >= 0 is a pivot, -1 a member.
+
+    A member gives one row with the bits of its close pivots, and a row for the pivot that it agrees with best.  For
+    two pivots that share close members, one such member is paired with both."""
+    names = ["node", "id", "close", "other", "share", "first"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float32(), pa.bool_()]
+    out: list[tuple] = []
+    for (node, _), rows in _by_node(batches, 2):
+        rank, ids, m = rows.column("rank").to_numpy(), rows.column("id").to_numpy(), _matrix(rows)
+        pivots = np.flatnonzero(rank >= 0)
+        pivots = pivots[np.argsort(rank[pivots], kind="stable")]
+        members = np.flatnonzero(rank < 0)
+        share = np.stack([(m[members] == m[p]).mean(1) for p in pivots], 1)
+        bits = ((share >= CLOSE) << np.arange(len(pivots))).sum(1)
+        own = ids[members][:, None] == ids[pivots][None, :]
+        # the pair that is confirmed first: the earliest close pivot, else the best one
+        rated = np.where(own, -1.0, np.where(share >= CLOSE, 2.0 - np.arange(len(pivots)) / 100, share))
+        best = rated.argmax(1)
+        for i, k in enumerate(members.tolist()):
+            out.append((node, int(ids[k]), int(bits[i]), None, None, None))
+            if share[i, best[i]] >= MAYBE and not own[i, best[i]]:
+                out.append((node, int(ids[k]), None, int(ids[pivots[best[i]]]), float(share[i, best[i]]), True))
+        for j in range(len(pivots)):
+            for k in range(j):
+                both = np.where(own[:, j] | own[:, k], -1.0, np.minimum(share[:, j], share[:, k]))
+                i = int(both.argmax()) if len(both) else 0
+                if len(both) and both[i] >= CLOSE:
+                    out += [(node, int(ids[members[i]]), None, int(ids[pivots[x]]), float(share[i, x]), True) for x in (j, k)]
+        if len(out) >= 20_000:
+            yield _pair_batch(out, names, kinds)
+            out = []
+    yield _pair_batch(out, names, kinds)
+
+
+def _core(rows: pd.DataFrame) -> pd.DataFrame:
+    """(node, close, n) of one node, at most 2 ** PIVOTS rows -> the bits of its core and the number outside."""
+    bits, n = rows["close"].to_numpy(), rows["n"].to_numpy()
+    best, inside = 0, -1
+    for k in range(PIVOTS):
+        core = 1 << k
+        while True:
+            wider = core | int(np.bitwise_or.reduce(bits[(bits & core) != 0], initial=0))
+            if wider == core:
+                break
+            core = wider
+        size = int(n[(bits & core) != 0].sum())
+        if size > inside:
+            best, inside = core, size
+    return pd.DataFrame({"node": [rows["node"].iloc[0]], "core": [best], "outside": [int(n.sum()) - inside]})
+
+
+def _with_outside(forest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (node, part, rank, id, comp, tokens) sorted by (node, part); rank 0 stands outside the core, -1
+        is any member -> each outsider's best pair of the part, or all its pairs, of different components."""
+        names, kinds = ["a", "b", "share", "first"], [pa.int64(), pa.int64(), pa.float32(), pa.bool_()]
+        out: list[tuple] = []
+        for _, rows in _by_node(batches, 2):
+            rank, ids, comp, m = rows.column("rank").to_numpy(), rows.column("id").to_numpy(), rows.column("comp").to_numpy(), _matrix(rows)
+            members = np.flatnonzero(rank < 0)
+            for k in np.flatnonzero(rank >= 0).tolist():
+                share = np.where(comp[members] == comp[k], -1.0, (m[members] == m[k]).mean(1))
+                hits = np.flatnonzero(share >= MAYBE)
+                if forest and len(hits):
+                    hits = [int(share.argmax())]
+                out += [(int(ids[k]), int(ids[members[j]]), float(share[j]), forest) for j in hits]
+            if len(out) >= 20_000:
+                yield _pair_batch(out, names, kinds)
+                out = []
+        yield _pair_batch(out, names, kinds)
+
+    return run
 
 
 def _token(at: Column) -> Column:
     return F.element_at("tokens", (F.pmod(at, F.lit(TOKENS)) + 1).cast("int"))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def _parts(n: Column) -> Column:
+    return F.ceil(n / PART).cast("int")
+
+
+def _side_by_side(members: DataFrame, few: DataFrame) -> DataFrame:
+    """Members (node, id, comp, n, tokens) in parts of a node, with the few (also rank) in each part."""
+    a = members.select("node", F.pmod(F.xxhash64("id"), _parts(F.col("n"))).cast("int").alias("part"), F.lit(-1).alias("rank"), "id", "comp", "tokens")
+    b = few.select("node", F.explode(F.sequence(F.lit(0), _parts(F.col("n")) - 1)).alias("part"), "rank", "id", "comp", "tokens")
+    return a.unionByName(b).repartition("node", "part").sortWithinPartitions("node", "part")
+
+
+def _cores_by_pivots(members: DataFrame, pivots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with ``inside`` (the core) and ``outside`` (number of the others), and the pairs met."""
+    seen = staged(_side_by_side(members, pivots).mapInArrow(
+        _with_pivots, "node long, id long, close int, other long, share float, first boolean"), "near-seen")
+    pairs = seen.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b"), "share", "first")
+    rated = seen.where("close IS NOT NULL").select("node", "id", "close")
+    # one row a node
+    cores = rated.groupBy("node", "close").agg(F.count(F.lit(1)).alias("n")).groupBy("node").applyInPandas(
+        lambda rows: _core(rows), "node long, core int, outside long")
+    rated = members.join(rated, ["node", "id"]).join(cores, "node")
+    return staged(rated.withColumn("inside", F.col("close").bitwiseAND(F.col("core")) != 0).drop("close", "core"), "near-rated"), pairs
+
 
+def _cores_by_components(members: DataFrame) -> DataFrame:
+    sizes = members.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
+    cores = sizes.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("core"), (F.first("n") - F.max("k")).alias("outside"))
+    rated = members.join(cores, "node")
+    return staged(rated.withColumn("inside", F.col("comp") == F.col("core")).drop("core"), "near-rated")
 
-def candidate_pairs(classes: DataFrame, trees: int, max_depth: int = 64) -> tuple[DataFrame, DataFrame]:
-    """``classes`` (id, tokens) -> pairs (a, b) with a pivot, and the other pairs met in leaves."""
+
+def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None = None, max_depth: int = 64) -> DataFrame:
+    """``classes`` (id, tokens) -> pairs (a, b, share, first) that some node of the
+    trees compares and that may be links.  ``comps`` (id, component_id): components
+    known so far; pairs inside one are left out."""
     # the root of each tree picks one position; the position is part of the child's name
-    nodes = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(t), _token(F.xxhash64(F.lit(t)))) for t in range(trees)])).alias("node")).select("node", "id")
-    leaves, with_pivot = [], []
+    nodes = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(t), _token(F.xxhash64(F.lit(t)))) for t in trees])).alias("node"))
+    known = None if comps is None else comps.select("id", F.col("component_id").alias("comp"))
+    if known is not None:
+        nodes = nodes.join(known, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    else:
+        nodes = nodes.withColumn("comp", F.col("id"))
+    leaves, found = [], []
     for _ in range(max_depth):
-        nodes = staged(nodes, "near-nodes")
+        nodes = staged(nodes.select("node", "id", "comp"), "near-nodes")
         salt = F.pmod("node", F.lit(4))
-        sized = with_group(nodes, ["node"], F.col("id"),
-                           {"n": F.count(F.lit(1)), "p": F.min(F.struct(F.xxhash64("id", salt).alias("h"), "id"))},
-                           {"n": F.sum("n"), "p": F.min("p")})
-        sized = staged(sized.where("n > 1").select("node", "id", "n", F.col("p.id").alias("pivot")), "near-sized")
-        leaves.append(sized.where(F.col("n") <= LEAF).select("node", "id"))
+        pick = {f"p{k}": F.min(F.struct(F.xxhash64("id", salt, F.lit(k)).alias("h"), "id")) for k in range(PIVOTS if known is None else 0)}
+        first = {"n": F.count(F.lit(1)), "lo": F.min("comp"), "hi": F.max("comp")} | pick
+        last = {"n": F.sum("n"), "lo": F.min("lo"), "hi": F.max("hi")} | {k: F.min(k) for k in pick}
+        sized = with_group(nodes, ["node"], F.col("id"), first, last).where("lo <> hi")
+        sized = staged(sized.select("node", "id", "comp", "n", F.array(*[F.col(f"{k}.id") for k in pick]).cast("array<long>").alias("pivots")), "near-sized")
+        leaves.append(sized.where(F.col("n") <= LEAF).select("node", "id", "comp"))
         large = sized.where(F.col("n") > LEAF)
         if large.isEmpty():
             break
-        # each member against the pivot, once for all nodes of all trees that share it
-        met = large.where("id <> pivot").select("id", "pivot").distinct()
-        met = met.join(classes, "id").join(classes.select(F.col("id").alias("pivot"), F.col("tokens").alias("other")), "pivot")
-        met = staged(met.select("id", "pivot", _agreement(F.col("tokens"), F.col("other")).alias("share")).where(F.col("share") >= MAYBE), "near-met")
-        with_pivot.append(_ordered(met.select(F.col("id").alias("a"), F.col("pivot").alias("b"))))
-        close = met.where(F.col("share") >= CLOSE).select("id", "pivot", F.lit(True).alias("close"))
-        seen = large.join(close, ["id", "pivot"], "left").select("node", "id", (F.coalesce("close", F.lit(False)) | (F.col("id") == F.col("pivot"))).alias("close"))
-        seen = with_group(staged(seen, "near-seen"), ["node"], F.col("id"), {"done": F.bool_and("close")}, {"done": F.bool_and("done")})
-        # deeper children agree in two positions; 25 of 16 children a node on average: 1 / 0.8 a position
-        pick = lambda k: F.when(F.lit(k == 0) | (F.pmod(F.xxhash64("node", F.lit(97)), F.lit(16)) < 9),
-                                F.xxhash64("node", F.lit(k), _token(F.xxhash64("node", F.lit(2 * k))), _token(F.xxhash64("node", F.lit(2 * k + 1)))))
-        nodes = (seen.where("NOT done").join(classes, "id")
-                 .select("id", F.explode(F.array_compact(F.array(pick(0), pick(1)))).alias("node")).select("node", "id"))
+        members = staged(large.drop("pivots").join(classes, "id"), "near-large")
+        if known is None:
+            pivots = (large.groupBy("node").agg(F.first("n").alias("n"), F.first("pivots").alias("pivots"))
+                      .select("node", "n", F.posexplode(F.array_distinct("pivots")).alias("rank", "id")).join(classes, "id"))
+            rated, met = _cores_by_pivots(members, pivots.withColumn("comp", F.col("id")))
+            found.append(met)
+        else:
+            rated = _cores_by_components(members)
+        ends = rated.where(F.col("outside").between(1, LEAF))
+        found.append(_side_by_side(ends, ends.where("NOT inside").withColumn("rank", F.lit(0))).mapInArrow(_with_outside(known is None), PAIRS))
+
+        def child(k: int) -> Column:
+            # 1 / 0.8 children a position on average
+            at = [_token(F.xxhash64("node", F.lit(DEEPER * k + i))) for i in range(DEEPER)]
+            return F.when(F.lit(k) < F.floor(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1000)) / 1000 + 1.25 ** DEEPER), F.xxhash64("node", F.lit(k), *at))
+
+        nodes = (rated.where(F.col("outside") > LEAF)
+                 .select("id", "comp", F.explode(F.array_compact(F.array(*[child(k) for k in range(math.ceil(1.25 ** DEEPER))]))).alias("node")))
     else:
         raise RuntimeError("nodes stay large; raise max_depth")
     met = leaves[0]
     for more in leaves[1:]:
         met = met.unionByName(more)
-    found = met.join(classes, "id").select("node", "id", "tokens").repartition("node").sortWithinPartitions("node", "id")
-    found = staged(found.mapInArrow(_leaf_pairs, "a long, b long, pivot boolean"), "near-leaves")
-    first = found.where("pivot").select("a", "b")
-    for more in with_pivot:
-        first = first.unionByName(more)
-    return staged(first.distinct(), "near-first"), staged(found.where("NOT pivot").select("a", "b").distinct(), "near-second")
+    small = met.join(classes, "id").select("node", "id", "comp", "tokens").repartition("node").sortWithinPartitions("node")
+    pairs = small.mapInArrow(_leaf_pairs(known is None), PAIRS)
+    for more in found:
+        pairs = pairs.unionByName(more)
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "share", "first")
+    return staged(ordered.groupBy("a", "b").agg(F.max("share").alias("share"), F.max("first").alias("first")), "near-pairs")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -246,13 +415,39 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
+    """Pairs whose ends are not in one component yet, with their components."""
     for end in ("a", "b"):
         pairs = pairs.join(comps.select(F.col("id").alias(end), F.col("component_id").alias(f"c{end}")), end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-    return pairs.where("ca <> cb").select("a", "b")
+    return pairs.where("ca <> cb")
 
 
-def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 16) -> DataFrame:
+def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame, comps: DataFrame | None, width: int,
+            percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links confirmed with those that the trees bring, and their components."""
+    pairs = candidate_pairs(classes, trees, comps)
+    if comps is not None and pairs.isEmpty():
+        return links, comps
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-wanted")
+    # a filter of the wanted ids drops the other texts before they shuffle
+    table, bits = repeat_filter(wanted, "doc_id", times=1)
+    some = may_repeat(docs.select(F.col("doc_id").cast("long"), "text"), table, bits, "doc_id").where("may_repeat").select("doc_id", "text")
+    sets = staged(some.join(wanted, "doc_id").mapInArrow(_sets(width), "id long, items array<long>"), "near-sets")
+    if comps is None:
+        links = staged(links.unionByName(confirmed(pairs, sets, percent)), "near-links")
+        return links, connected(links)
+    # one pair for each two components, the likeliest; then all pairs that are still apart
+    apart = staged(_apart(pairs, comps), "near-apart")
+    tops = apart.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(F.max_by(F.struct("a", "b"), F.struct("share", "a", "b")).alias("p"))
+    for rest in (tops.select("p.a", "p.b"), None):
+        rest = staged(_apart(apart.select("a", "b"), comps).select("a", "b") if rest is None else rest, "near-rest")
+        if rest.isEmpty():
+            break
+        links = staged(links.unionByName(confirmed(rest, sets, percent)), "near-links")
+        comps = connected(links)
+    return links, comps
+
+
+def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 12) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``."""
     rows = staged(sketches(docs, width), "near-sketches")
     member = staged(with_group(rows.select("doc_id", "n_shingles", "fp1", "fp2"), ["fp1", "fp2", "n_shingles"], F.col("doc_id"),
@@ -260,28 +455,20 @@ def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 16)
     leads = member.where("n_shingles > 0 AND doc_id = rep").select("doc_id", "fp1").distinct()
     classes = staged(rows.join(leads, ["doc_id", "fp1"], "left_semi").dropDuplicates(["doc_id", "fp1"])
                      .select(F.col("doc_id").alias("id"), "tokens"), "near-classes")
-    first, second = candidate_pairs(classes, trees)
-    wanted = staged(first.unionByName(second).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-wanted")
-    # a filter of the wanted ids drops the other texts before they shuffle
-    table, bits = repeat_filter(wanted, "doc_id", times=1)
-    some = may_repeat(docs.select(F.col("doc_id").cast("long"), "text"), table, bits, "doc_id").where("may_repeat").select("doc_id", "text")
-    sets = staged(some.join(wanted, "doc_id").mapInArrow(_sets(width), "id long, items array<long>"), "near-sets")
     # an id with several texts links the classes of all of them
     several = member.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     own = member.where("n_shingles > 0").join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
-    links = staged(confirmed(first, sets, percent).unionByName(own), "near-links")
-    comps = connected(links)
-    rest = staged(_apart(second, comps), "near-rest")
-    if not rest.isEmpty():
-        more = staged(confirmed(rest, sets, percent), "near-more")
-        comps = connected(links.unionByName(more))
+    links, comps, cut = staged(own, "near-links"), None, min(FIRST_TREES, trees)
+    for grown in (range(cut), range(cut, trees)):
+        if len(grown):
+            links, comps = _extend(docs, classes, grown, links, comps, width, percent)
     out = member.withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")))
     out = out.join(comps.select(F.col("id").alias("rep"), "component_id"), "rep", "left")
     component = F.coalesce("component_id", "rep")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def dedup(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 16) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 12) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id.
 
     A filter of the dropped ids lets most texts pass without a shuffle."""

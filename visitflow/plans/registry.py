@@ -28,7 +28,11 @@ ORACLES: dict[str, str] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return driver_tables(spark, sf_dir)
+    """Roles of a folder, bound once a session; they are kept on the session object and end with it."""
+    held = spark.__dict__.setdefault("_visitflow_tables", {})
+    if sf_dir not in held:
+        held[sf_dir] = driver_tables(spark, sf_dir)
+    return held[sf_dir]
 
 
 def register(key: str, sql: str | None = None, roles: tuple = ()):

@@ -43,6 +43,26 @@ def test_links_and_components(spark, monkeypatch, block, window):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out.values())
 
 
+def dense():
+    """One cluster of 1,500 different vectors, in which pairs lie on both sides of the threshold."""
+    return clustered(seed=3, clusters=1, size=1_500, alone=500, noise=0.2)
+
+
+@pytest.mark.parametrize("tile", [4096, 100])
+def test_a_cluster_wider_than_all_windows_together(spark, monkeypatch, tile):
+    monkeypatch.setattr(nv, "BLOCK", 64)
+    monkeypatch.setattr(nv, "TILE", tile)
+    window, rows = 8, dense()
+    passes = nv.passes_for(len(rows), 0.95, window, 0.99)
+    out = {r.vec_id: r for r in nv.groups(spark.createDataFrame(rows, SCHEMA), window=window).collect()}
+    links, label = brute(rows)
+    got = np.array([out[i].n_links for i in range(len(rows))])
+    assert links.max() > 2 * 2 * window * passes
+    assert (got <= links).all() and got.sum() >= 0.99 * links.sum()
+    assert (np.array([out[i].component_id for i in range(len(rows))]) == label).mean() >= 0.99
+    print("recall", got.sum() / links.sum(), "passes", passes, "most links", links.max(), "of", links.sum())
+
+
 def test_awkward_vectors(spark):
     rows = [(1, None, 0), (2, [0.0, 0.0], 0), (3, [1.0, None], 0), (4, [float("nan"), 1.0], 0), (5, [float("inf"), 1.0], 0), (6, [], 0),
             (7, [1.0, 1.0], 0), (8, [2.0, 2.0], 0), (9, [1.0, 1.0, 0.0], 0), (None, [1.0, 1.0], 0), (8, [2.0, 2.0], 0), (10, [-1.0, -1.0], 0)]

@@ -7,14 +7,17 @@ long prefix in some pass and lie close there.  Compared pairs at or above the
 threshold are links; passes unite by connected components.
 
 Equal vectors are one class and take part once, with their number as a weight.
-A pass is cut into blocks of ``BLOCK`` ranks plus the window that follows, so a
-task's work does not depend on how vectors cluster.  Rows carry their ranks in
-all passes, so a pair counts only in the first pass that compares it; a block
-returns link counts and a spanning forest of its links, never the pairs.
-
-The number of passes grows with the table so that a pair at the threshold is
-compared with probability ``recall``.  Neighbours in dense clusters wider than
-the window are found by several passes; ``n_links`` counts the links found.
+A pass is cut into blocks of ``BLOCK`` ranks plus the window that follows.  A
+window is saturated where more vectors share the hash prefix that the recall
+counts on than it holds: such a run is compared as a whole, cut into tiles of
+``TILE`` vectors, each two of them a task's unit of work.  Rows carry their ranks
+and runs in all passes, so a pair counts only in the first pass that compares
+it; a unit returns link counts and a spanning forest of its links, never the pairs.
+
+The number of passes grows with the table so that a pair at the threshold shares
+that prefix in some pass, and so is compared, with probability ``recall`` however
+dense its surroundings are.  The work of a run grows with the square of its
+size; ``n_links`` counts the links found.
 
 Defined results: null vectors, zero vectors and vectors with null or non-finite
 components link with nothing and are kept; vectors of different length do not
@@ -38,6 +41,8 @@ from .components import connected
 
 BITS = 64
 BLOCK = 2048
+#: Vectors of a saturated run that one comparison holds on each side.
+TILE = 4096
 
 
 def passes_for(rows: int, threshold: float, window: int, recall: float, least: int = 8, most: int = 96) -> int:
@@ -50,6 +55,11 @@ def passes_for(rows: int, threshold: float, window: int, recall: float, least: i
     return min(most, max(least, math.ceil(math.log(1 - recall) / math.log(1 - met)) if met < 1 else least))
 
 
+def prefix_bits(rows: int, window: int) -> int:
+    """Hashes that a run shares; no more than ``passes_for`` counts on, so all pairs that it expects to meet do."""
+    return min(BITS - 1, int(max(0.0, math.log2(max(1, rows) / window))) + 1)
+
+
 def _hashes(batch: np.ndarray, seed: int, first: int, last: int) -> np.ndarray:
     """Sort keys (rows x passes) as signed longs in the hashes' lexicographic order."""
     out = np.empty((len(batch), last - first), np.int64)
@@ -93,21 +103,26 @@ def _keyed(passes: int, seed: int):
     return run
 
 
-def _ranks(classes: DataFrame, passes: int, seed: int) -> DataFrame:
-    """(id, ranks): the place of each class in the order of every pass.
+def _ranks(classes: DataFrame, passes: int, bits: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(id, ranks, runs): the place of each class in the order of every pass, and its hash prefix there;
+    and (pass, dim, run, start, n): the first place and the size of each run of one prefix.
 
     The id is part of the range key, so equal hashes are dealt over partitions too."""
     spark = classes.sparkSession
     keyed = classes.select("id", "dim", "embedding").mapInArrow(_keyed(passes, seed), "pass int, dim int, key long, id long")
     order = ["pass", "dim", "key", "id"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = staged(keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("pass", "id", F.monotonically_increasing_id().alias("at")), "vec-order")
+    placed = staged(keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                    .select("pass", "dim", F.shiftright("key", BITS - bits).alias("run"), "id", F.monotonically_increasing_id().alias("at")), "vec-order")
     part = F.shiftright("at", 33)
     # one row a partition of the sort
     starts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     starts = starts.select("part", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-    ranked = placed.withColumn("part", part).join(F.broadcast(starts), "part").select("pass", "id", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("rank"))
-    return ranked.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pass", "rank"))), lambda x: x["rank"]).alias("ranks"))
+    ranked = placed.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("rank", F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1))
+    runs = ranked.groupBy("pass", "dim", "run").agg(F.min("rank").alias("start"), F.count(F.lit(1)).alias("n"))
+    sorted_ = F.array_sort(F.collect_list(F.struct("pass", "rank", "run")))
+    placed_in = ranked.groupBy("id").agg(sorted_.alias("all"))
+    return placed_in.select("id", F.col("all.rank").alias("ranks"), F.col("all.run").alias("runs")), runs
 
 
 def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -128,7 +143,7 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def _compare(window: int, threshold: float):
     def links(rows: dict[str, np.ndarray]) -> Iterator[tuple]:
-        rank, which, size, dim, ids, ranks, x = (rows[k] for k in ("rank", "pass", "size", "dim", "id", "ranks", "x"))
+        rank, which, size, dim, ids, ranks, runs, x = (rows[k] for k in ("rank", "pass", "size", "dim", "id", "ranks", "runs", "x"))
         main = int(rows["main"].sum())
         m = len(rank)
         counts, label = np.zeros(m, np.int64), np.arange(m)
@@ -140,41 +155,82 @@ def _compare(window: int, threshold: float):
             ok = (rank[j] > rank[i]) & (rank[j] - rank[i] <= window) & (which[i] == which[j]) & (dim[i] == dim[j])
             i, j = i[ok], j[ok]
             # a pair that an earlier pass has compared was counted there
-            far = np.abs(ranks[i] - ranks[j]) > window
+            far = (np.abs(ranks[i] - ranks[j]) > window) & (runs[i] != runs[j])
             fresh = (far | (np.arange(ranks.shape[1]) >= which[i][:, None])).all(1)
             i, j = i[fresh], j[fresh]
             counts += np.bincount(i, size[j], m).astype(np.int64) + np.bincount(j, size[i], m).astype(np.int64)
             _unite(label, i, j)
-        for k in np.flatnonzero(counts):
-            yield int(ids[k]), None, int(counts[k])
-        for k in np.flatnonzero(label != np.arange(m)):
-            yield int(ids[k]), int(ids[label[k]]), 0
+        yield from _found(ids, counts, label)
+
+    return _by_unit(links, 1)
+
+
+def _compare_tiles(window: int, threshold: float):
+    """Pairs of one run that lie further apart than the window: those of two tiles, or of one with itself."""
+
+    def links(rows: dict[str, np.ndarray]) -> Iterator[tuple]:
+        rank, size, ids, ranks, runs, x, tile = (rows[k] for k in ("rank", "size", "id", "ranks", "runs", "x", "tile"))
+        p, m = int(rows["pass"][0]), len(rank)
+        counts, label = np.zeros(m, np.int64), np.arange(m)
+        left, right = np.flatnonzero(tile == rows["u"][0]), np.flatnonzero(tile == rows["v"][0])
+        # neighbours of earlier runs side by side: a chunk then skips what these have compared
+        left = left[np.lexsort(runs[left, :p].T[::-1])] if p else left
+        for s in range(0, len(left), 256):
+            i, new = left[s:s + 256], np.ones(len(right), bool)
+            for q in range(p):
+                if (runs[i, q] == runs[i[0], q]).all():
+                    new &= runs[right, q] != runs[i[0], q]
+            j = right[new]
+            hit = (x[i] @ x[j].T >= threshold) & (rank[j] - rank[i][:, None] > window)
+            for q in range(p):
+                if not hit.any():
+                    break
+                hit &= (runs[i, q][:, None] != runs[j, q]) & (np.abs(ranks[i, q][:, None] - ranks[j, q]) > window)
+            # a vector stands once on a side, so no place is added to twice
+            counts[i] += hit @ size[j]
+            counts[j] += size[i] @ hit
+            a, b = np.nonzero(hit & (label[i][:, None] != label[j]))
+            _unite(label, i[a], j[b])
+        yield from _found(ids, counts, label)
+
+    return _by_unit(links, 3)
+
+
+def _found(ids: np.ndarray, counts: np.ndarray, label: np.ndarray) -> Iterator[tuple]:
+    for k in np.flatnonzero(counts):
+        yield int(ids[k]), None, int(counts[k])
+    for k in np.flatnonzero(label != np.arange(len(label))):
+        yield int(ids[k]), int(ids[label[k]]), 0
+
+
+def _by_unit(links, keys: int):
+    """Rows sorted by their first ``keys`` columns -> the links of each unit of equal keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(parts)
-            cols = {k: t.column(k).to_numpy() for k in ("rank", "pass", "size", "dim", "id", "main")}
+            cols = {k: t.column(k).to_numpy() for k in t.column_names if k not in ("embedding", "ranks", "runs")}
             vectors = t.column("embedding").to_pylist()
             x = np.zeros((len(vectors), int(cols["dim"].max())))
             for k, v in enumerate(vectors):
                 x[k, :len(v)] = v
             x /= np.sqrt((x * x).sum(1, keepdims=True))
-            cols |= {"x": x, "ranks": np.array(t.column("ranks").to_pylist(), np.int64)}
+            cols |= {"x": x} | {k: np.array(t.column(k).to_pylist(), np.int64) for k in ("ranks", "runs")}
             out = list(links(cols))
             a, b, n = zip(*out, strict=True) if out else ((), (), ())
             return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
-        block, held = None, []
+        unit, held = None, []
         for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            units = np.stack([batch.column(k).to_numpy() for k in range(keys)], 1)
+            cuts = [0, *(np.flatnonzero((units[1:] != units[:-1]).any(1)) + 1).tolist(), len(units)]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if s == e:
                     continue
-                if blocks[s] != block and held:
+                if held and (units[s] != unit).any():
                     yield flush(held)
                     held = []
-                block = blocks[s]
+                unit = units[s]
                 held.append(batch.slice(s, e - s))
         if held:
             yield flush(held)
@@ -192,14 +248,27 @@ def groups(vectors: DataFrame, threshold: float = 0.95, window: int = 512, recal
     leads = (member.where("dim > 0 AND vec_id = rep").groupBy(F.col("rep").alias("id"))
              .agg(F.min(F.struct("fp1", "fp2", "row", "size", "dim")).alias("lead")).select("id", "lead.row", "lead.size", "lead.dim"))
     classes = staged(leads.join(prints.select("row", "embedding"), "row").select("id", "dim", "size", "embedding"), "vec-classes")
-    passes = passes_for(classes.count(), threshold, window, recall)
-    rows = classes.join(_ranks(classes, passes, seed), "id")
+    total = classes.count()
+    passes = passes_for(total, threshold, window, recall)
+    places, runs = _ranks(classes, passes, prefix_bits(total, window), seed)
+    placed = staged(classes.join(places, "id"), "vec-placed")
     rank, block = F.col("rank"), F.floor(F.col("rank") / BLOCK).cast("long")
-    rows = rows.select("*", F.posexplode("ranks").alias("pass", "rank"))
+    rows = placed.select("*", F.posexplode("ranks").alias("pass", "rank"))
     # the first ranks of a block also end the block before
-    rows = rows.select("*", F.explode(F.when((rank % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))).alias("block"))
-    rows = rows.select("block", "rank", "pass", (F.col("block") == block).alias("main"), "id", "size", "dim", "ranks", "embedding")
-    found = staged(rows.repartition("block").sortWithinPartitions("block", "rank").mapInArrow(_compare(window, threshold), "a long, b long, n long"), "vec-links")
+    near = rows.select("*", F.explode(F.when((rank % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))).alias("block"))
+    near = near.select("block", "rank", "pass", (F.col("block") == block).alias("main"), "id", "size", "dim", "ranks", "runs", "embedding")
+    links = "a long, b long, n long"
+    found = staged(near.repartition("block").sortWithinPartitions("block", "rank").mapInArrow(_compare(window, threshold), links), "vec-links")
+    # runs that no window holds; at most passes * rows / window of them
+    wide = staged(runs.where(F.col("n") > window + 1), "vec-wide")
+    if not wide.isEmpty():
+        tile, last = F.floor((rank - F.col("start")) / TILE).cast("int"), F.floor((F.col("n") - 1) / TILE).cast("int")
+        far = rows.withColumn("run", F.element_at("runs", F.col("pass") + 1)).join(wide, ["pass", "dim", "run"])
+        far = far.select("*", tile.alias("tile"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+        far = far.select("start", F.least("tile", "other").alias("u"), F.greatest("tile", "other").alias("v"), "tile", "rank", "pass", "id", "size", "dim", "ranks", "runs", "embedding")
+        unit = ["start", "u", "v"]
+        more = far.repartition(*unit).sortWithinPartitions(*unit, "rank").mapInArrow(_compare_tiles(window, threshold), links)
+        found = found.unionByName(staged(more, "vec-far-links"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     comps = connected(found.where("b IS NOT NULL").select("a", "b"))
     out = member.withColumn("rep", F.when(F.col("dim") > 0, F.col("rep")).otherwise(F.col("vec_id")))

@@ -72,6 +72,34 @@ def test_components_match_brute_force(spark, monkeypatch, leaf):
     check(near_text.groups(docs(spark, rows)), rows)
 
 
+def test_pairs_at_the_threshold_meet_in_deep_trees(spark, monkeypatch):
+    """Three of five tokens are common to all, so nodes stay large for some levels; pairs are planted at 0.8."""
+    monkeypatch.setattr(near_text, "LEAF", 2)
+    rng, rows = random.Random(3), []
+    for i in range(0, 400, 2):
+        first = [k if rng.random() < 0.6 else rng.getrandbits(40) for k in range(near_text.TOKENS)]
+        rows += [(i, first), (i + 1, [t if t == k or rng.random() < 0.5 else rng.getrandbits(40) for k, t in enumerate(first)])]
+    agree = {i: sum(map(int.__eq__, rows[i][1], rows[i + 1][1])) / near_text.TOKENS for i in range(0, 400, 2)}
+    classes = spark.createDataFrame(rows, "id long, tokens array<long>").coalesce(1).cache()
+    none = spark.createDataFrame([], "id long, component_id long")
+    got = near_text.candidate_pairs(classes, range(4, 12), none)
+    pairs, level = got if isinstance(got, tuple) else (got, None)
+    found = {(r.a, r.b) for r in pairs.select("a", "b").collect()}
+    want = [i for i, share in agree.items() if share >= near_text.MAYBE]
+    met = sum((i, i + 1) in found for i in want)
+    print("met", met, "of", len(want), "level", level)
+    assert len(want) >= 190 and met >= 0.995 * len(want)
+
+
+def test_trees_grow_with_the_levels_and_the_recall():
+    n = [near_text.trees_for(level, 0.99) for level in range(8)]
+    assert n == sorted(n) and n[0] < n[7] <= 8
+    assert all(near_text.missed(level, k) <= 0.01 < near_text.missed(level, k - 1) for level, k in enumerate(n))
+    assert near_text.trees_for(3, 0.999) > near_text.trees_for(3, 0.99)
+    with pytest.raises(ValueError, match="minwise"):
+        near_text.trees_for(0, 0.999999)
+
+
 def test_awkward_rows(spark):
     out = near_text.groups(cluttered(docs(spark)), trees=4)
     assert out.count() == len(awkward())

@@ -5,8 +5,8 @@ Documents with one set are one class; a class takes part once.  Each of
 ``trees`` independent trees branches the classes recursively: a node picks
 positions of the minwise tokens, and classes that agree there go to one child.
 A position is agreed on with the probability of the similarity, and deeper nodes
-branch 1 / 0.8 ways per position, so similar pairs meet in some node of some
-tree however deep it grows.  A node of at most ``LEAF`` classes is compared
+branch on ``DEEPER`` positions, ``WAYS`` ways each time (1 / 0.8 a position in the
+first round).  A node of at most ``LEAF`` classes is compared
 exhaustively.  A larger one compares its members with ``PIVOTS`` of them.
 Members close to pivots that share close members form the node's core, which is
 one component.  If at most ``LEAF`` members stay outside, these are compared
@@ -24,8 +24,12 @@ pair for each two components that a pair may join, then all pairs whose classes
 are still in different components.  A pair that is left out lies
 in one component already, so components lose nothing by it.
 
-Recall: a pair at 0.8 that meets no common large node is missed with 0.2 **
-(trees - FIRST_TREES); the estimate that opens confirmation lies 3.6 deviations below.
+Recall: at 1 / 0.8 ways a pair at 0.8 shares one child on average, and its chance to
+stay together falls with every level (0.71, 0.56, 0.47 after one to three), faster
+for the half of such pairs that agree in fewer tokens.  Later trees therefore
+branch ``WAYS`` ways a node.  ``missed`` is the share of pairs at the threshold that the later
+trees miss at a level; trees are added until it meets ``recall`` at the deepest
+level that they have reached.  The trees of the first round are not counted.
 
 Defined results: null and empty texts have no set and link with nothing.  Rows
 with one id are one document, linked if any of its texts is.  A null id gets a
@@ -57,6 +61,8 @@ PIVOTS = 8
 FIRST_TREES = 4
 #: Positions in which the children of a large node agree.
 DEEPER = 4
+#: Children of a large node in later trees; a pair at 0.8 shares two of them on average.
+WAYS = 5
 #: Members of a large node that one comparison holds, about.
 PART = 1024
 
@@ -350,10 +356,33 @@ def _cores_by_components(members: DataFrame) -> DataFrame:
     return staged(rated.withColumn("inside", F.col("comp") == F.col("core")).drop("core"), "near-rated")
 
 
-def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None = None, max_depth: int = 64) -> DataFrame:
+def missed(level: int, trees: int, similarity: float = 0.8) -> float:
+    """Bound of the share of pairs of this similarity that no node of the trees compares, if these end at ``level``
+    or above: the mean over the number of minwise tokens in which a pair agrees."""
+    total = 0.0
+    for k in range(TOKENS + 1):
+        share = k / TOKENS
+        meet, chance = 1.0, math.comb(TOKENS, k) * similarity ** k * (1 - similarity) ** (TOKENS - k)
+        for _ in range(level):
+            meet = 1 - (1 - share ** DEEPER * meet) ** WAYS
+        total += chance * ((1 - share * meet) ** trees if share >= MAYBE else 1.0)
+    return total
+
+
+def trees_for(level: int, recall: float, similarity: float = 0.8) -> int:
+    """Trees after which at most 1 - ``recall`` of the pairs at the threshold are missed."""
+    if missed(0, 1 << 20, similarity) > 1 - recall:
+        raise ValueError(f"{TOKENS} minwise tokens do not reach a recall of {recall}")
+    trees = 1
+    while missed(level, trees, similarity) > 1 - recall:
+        trees += 1
+    return trees
+
+
+def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None = None, max_depth: int = 64) -> tuple[DataFrame, int]:
     """``classes`` (id, tokens) -> pairs (a, b, share, first) that some node of the
-    trees compares and that may be links.  ``comps`` (id, component_id): components
-    known so far; pairs inside one are left out."""
+    trees compares and that may be links, and the deepest level with a node.
+    ``comps`` (id, component_id): components known so far; pairs inside one are left out."""
     # the root of each tree picks one position; the position is part of the child's name
     nodes = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(t), _token(F.xxhash64(F.lit(t)))) for t in trees])).alias("node"))
     known = None if comps is None else comps.select("id", F.col("component_id").alias("comp"))
@@ -361,9 +390,12 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
         nodes = nodes.join(known, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     else:
         nodes = nodes.withColumn("comp", F.col("id"))
-    leaves, found = [], []
-    for _ in range(max_depth):
+    leaves, found, deepest, ways = [], [], 0, 1.25 ** DEEPER if known is None else WAYS
+    for level in range(max_depth):
         nodes = staged(nodes.select("node", "id", "comp"), "near-nodes")
+        if level and nodes.isEmpty():
+            break
+        deepest = level
         salt = F.pmod("node", F.lit(4))
         pick = {f"p{k}": F.min(F.struct(F.xxhash64("id", salt, F.lit(k)).alias("h"), "id")) for k in range(PIVOTS if known is None else 0)}
         first = {"n": F.count(F.lit(1)), "lo": F.min("comp"), "hi": F.max("comp")} | pick
@@ -386,12 +418,12 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
         found.append(_side_by_side(ends, ends.where("NOT inside").withColumn("rank", F.lit(0))).mapInArrow(_with_outside(known is None), PAIRS))
 
         def child(k: int) -> Column:
-            # 1 / 0.8 children a position on average
+            # ``ways`` children on average
             at = [_token(F.xxhash64("node", F.lit(DEEPER * k + i))) for i in range(DEEPER)]
-            return F.when(F.lit(k) < F.floor(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1000)) / 1000 + 1.25 ** DEEPER), F.xxhash64("node", F.lit(k), *at))
+            return F.when(F.lit(k) < F.floor(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1000)) / 1000 + ways), F.xxhash64("node", F.lit(k), *at))
 
         nodes = (rated.where(F.col("outside") > LEAF)
-                 .select("id", "comp", F.explode(F.array_compact(F.array(*[child(k) for k in range(math.ceil(1.25 ** DEEPER))]))).alias("node")))
+                 .select("id", "comp", F.explode(F.array_compact(F.array(*[child(k) for k in range(math.ceil(ways))]))).alias("node")))
     else:
         raise RuntimeError("nodes stay large; raise max_depth")
     met = leaves[0]
@@ -402,7 +434,7 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
     for more in found:
         pairs = pairs.unionByName(more)
     ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "share", "first")
-    return staged(ordered.groupBy("a", "b").agg(F.max("share").alias("share"), F.max("first").alias("first")), "near-pairs")
+    return staged(ordered.groupBy("a", "b").agg(F.max("share").alias("share"), F.max("first").alias("first")), "near-pairs"), deepest
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -422,11 +454,11 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame, comps: DataFrame | None, width: int,
-            percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links confirmed with those that the trees bring, and their components."""
-    pairs = candidate_pairs(classes, trees, comps)
+            percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """Links confirmed with those that the trees bring, their components, and the trees' deepest level."""
+    pairs, level = candidate_pairs(classes, trees, comps)
     if comps is not None and pairs.isEmpty():
-        return links, comps
+        return links, comps, level
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-wanted")
     # a filter of the wanted ids drops the other texts before they shuffle
     table, bits = repeat_filter(wanted, "doc_id", times=1)
@@ -434,7 +466,7 @@ def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame,
     sets = staged(some.join(wanted, "doc_id").mapInArrow(_sets(width), "id long, items array<long>"), "near-sets")
     if comps is None:
         links = staged(links.unionByName(confirmed(pairs, sets, percent)), "near-links")
-        return links, connected(links)
+        return links, connected(links), level
     # one pair for each two components, the likeliest; then all pairs that are still apart
     apart = staged(_apart(pairs, comps), "near-apart")
     tops = apart.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(F.max_by(F.struct("a", "b"), F.struct("share", "a", "b")).alias("p"))
@@ -444,11 +476,13 @@ def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame,
             break
         links = staged(links.unionByName(confirmed(rest, sets, percent)), "near-links")
         comps = connected(links)
-    return links, comps
+    return links, comps, level
+
 
+def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 12, recall: float = 0.99) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``.
 
-def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 12) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row for each row of ``docs``."""
+    ``trees`` is the least number; more are grown until a pair at the threshold is compared with probability ``recall``."""
     rows = staged(sketches(docs, width), "near-sketches")
     member = staged(with_group(rows.select("doc_id", "n_shingles", "fp1", "fp2"), ["fp1", "fp2", "n_shingles"], F.col("doc_id"),
                                {"rep": F.min("doc_id")}, {"rep": F.min("rep")}).select("doc_id", "n_shingles", "fp1", "rep"), "near-members")
@@ -458,10 +492,13 @@ def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 12)
     # an id with several texts links the classes of all of them
     several = member.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     own = member.where("n_shingles > 0").join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
-    links, comps, cut = staged(own, "near-links"), None, min(FIRST_TREES, trees)
-    for grown in (range(cut), range(cut, trees)):
-        if len(grown):
-            links, comps = _extend(docs, classes, grown, links, comps, width, percent)
+    links, cut, deepest = staged(own, "near-links"), min(FIRST_TREES, trees), 0
+    links, comps, _ = _extend(docs, classes, range(cut), links, None, width, percent)
+    grown, wanted = cut, max(trees, cut + trees_for(0, recall, percent / 100))
+    while grown < wanted:
+        links, comps, level = _extend(docs, classes, range(grown, wanted), links, comps, width, percent)
+        deepest = max(deepest, level)
+        grown, wanted = wanted, max(wanted, cut + trees_for(deepest, recall, percent / 100))
     out = member.withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")))
     out = out.join(comps.select(F.col("id").alias("rep"), "component_id"), "rep", "left")
     component = F.coalesce("component_id", "rep")

@@ -11,7 +11,6 @@ benchmark scale.  ``oracle_roles.py`` restates every binding in DuckDB SQL.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import SPANISH_MONTHS
 from ..operators.extract import report_rows
 from ..params import Params
-from ..session import checkpoint_path
+from ..session import landed
 from ..sources.sheets import with_order
 
 # Driver keys are offset so property ids look like real 8-digit NIDs (the
@@ -246,13 +245,6 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return t
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """Write a parsed input once to the shared folder, so that a report can read it several times."""
-    path = checkpoint_path(df.sparkSession, f"landed/{name}/{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def bind_visit_log(orders: DataFrame) -> DataFrame:
     """``visit_log`` role from ``orders`` (batch or streaming)."""
     start = _day(F.col("o_custkey") + F.col("o_orderkey") % 3) + F.make_dt_interval(secs=F.floor("o_totalprice").cast("int") % 80_000)

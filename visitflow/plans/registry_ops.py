@@ -12,6 +12,7 @@ from ..functions import text as T
 from ..functions.keys import is_real_key, key_string, safe_cast
 from ..operators import aggs, filters, joins, latest, rules, sets
 from ..operators.extract import html_rows, report_rows
+from ..operators.positions import with_position
 from ..operators.status import clean_log, state_upsert
 from ..session import checkpoint_path
 from ..sources import documents, sheets, sinks, state
@@ -409,15 +410,20 @@ op("win_dedup_then_filter",
 
 # ------------------------------------------------ 2.6 sorts, limits, set ops
 op("sort_nulls",
-   lambda t, sf: t.property_master.orderBy(F.col("date_publication").asc_nulls_first(), "nid").select(
-       "nid", F.col("date_publication").cast("string").alias("fecha")),
-   "SELECT nid, CAST(date_publication AS VARCHAR) AS fecha FROM property_master ORDER BY date_publication ASC NULLS FIRST, nid",
-   PM)
+   lambda t, sf: with_position(t.property_master.select("nid", "date_publication"), [F.col("date_publication").asc_nulls_first(), "nid"])
+   .select("pos", "nid", F.col("date_publication").cast("string").alias("fecha")).orderBy("pos"),
+   """SELECT row_number() OVER (ORDER BY date_publication ASC NULLS FIRST, nid) - 1 AS pos, nid, CAST(date_publication AS VARCHAR) AS fecha
+      FROM property_master ORDER BY pos""", PM)
 op("sort_default_blank",
-   lambda t, sf: t.crm_deal.orderBy(F.coalesce("equipo_sellers", F.lit("")).desc(), "nid").select("nid", "equipo_sellers"),
-   "SELECT nid, equipo_sellers FROM crm_deal ORDER BY COALESCE(equipo_sellers, '') DESC, nid", ("crm_deal",))
-op("sort_group_key", lambda t, sf: aggs.count_by(t.property_master, [F.col("c_equipo_seller").alias("equipo")]).orderBy("equipo"),
-   "SELECT c_equipo_seller AS equipo, count(*) AS total FROM property_master GROUP BY 1 ORDER BY 1", PM)
+   lambda t, sf: with_position(t.crm_deal.select("nid", "equipo_sellers"), [F.coalesce("equipo_sellers", F.lit("")).desc(), "nid"])
+   .select("pos", "nid", "equipo_sellers").orderBy("pos"),
+   """SELECT row_number() OVER (ORDER BY COALESCE(equipo_sellers, '') DESC, nid) - 1 AS pos, nid, equipo_sellers FROM crm_deal ORDER BY pos""",
+   ("crm_deal",))
+op("sort_group_key",
+   lambda t, sf: with_position(aggs.count_by(t.property_master, [F.col("c_equipo_seller").alias("equipo")]), ["equipo"])
+   .select("pos", "equipo", "total").orderBy("pos"),
+   """SELECT row_number() OVER (ORDER BY c_equipo_seller NULLS FIRST) - 1 AS pos, c_equipo_seller AS equipo, count(*) AS total
+      FROM property_master GROUP BY c_equipo_seller ORDER BY pos""", PM)
 op("topn", lambda t, sf: aggs.count_by(t.visit_log, ["nid"]).orderBy(F.col("total").desc(), "nid").limit(10),
    "SELECT nid, count(*) AS total FROM visit_log GROUP BY nid ORDER BY total DESC, nid LIMIT 10", VL)
 op("dedup_first",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}"
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: it is computed once, and lost executors cost no recomputation."""
+    path = checkpoint_path(df.sparkSession, f"landed/{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, merkle, mixing, near_text, near_vectors, packing, quality, scoring, sharding, substrings, urls, warc
+from . import alignment, exact, merkle, mixing, near_text, near_vectors, packing, quality, scoring, sharding, substrings, urls, warc
 
 #: Vocabulary of the packing query.
 VOCABULARY = "word_bpe_49k.json"
+#: Vocabularies of the alignment query.
+BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,18 +60,22 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_VOCABULARY))
+
+
 def op13_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(VOCABULARY))
+    return str(public_tokenizers.path(name))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_masked_likelihood, op2_chosen_path, op3_bradley_terry, op4_source_mixing, op5_sorted_projections, op6_deep_shallow, op7_exact_dedup, op8_revisits, op9_virtual_slots, op10_vector_packing,
-    op11_merkle_manifest, op13_redirect_filter)}
+    op11_merkle_manifest, op12_tokenizer_alignment, op13_redirect_filter)}
 ORACLES = {"op4_source_mixing": mixing.ORACLE, "op7_exact_dedup": exact.ORACLE, "op8_revisits": warc.ORACLE,
            "op11_merkle_manifest": merkle.ORACLE, "op13_redirect_filter": urls.ORACLE}

@@ -167,7 +167,7 @@ def test_order_of_the_listings(t, spark):
     teams = [r["equipo"] for r in O.team_lead_digest(d, driver_params(dt.date(2001, 7, 20))).collect()]
     assert len(teams) > 1 and teams == sorted(teams)
     dates = R.report_dates(d, p).collect()
-    seen = {r["fecha_reporte"]: r["m"] for r in R.report_window(d.report_rows, p, 30).groupBy("fecha_reporte").agg(
+    seen = {r["fecha_reporte"]: r["m"] for r in R.report_window(d, p, 30).groupBy("fecha_reporte").agg(
         F.min(F.struct("received_at", "doc_id")).alias("m")).collect()}
     assert [r[0] for r in dates] == sorted(seen, key=lambda k: tuple(seen[k]))
 

@@ -11,6 +11,7 @@ benchmark scale.  ``oracle_roles.py`` restates every binding in DuckDB SQL.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import SPANISH_MONTHS
 from ..operators.extract import report_rows
 from ..params import Params
-from ..session import landed
+from ..session import checkpoint_path
+from ..sources.mailbox import Mailbox
 from ..sources.sheets import with_order
 
 # Driver keys are offset so property ids look like real 8-digit NIDs (the
@@ -48,6 +50,13 @@ class Tables(dict):
 
     spark = None
     source_dir = None
+    #: Parsed report mails; without one, reports filter the role ``report_rows``.
+    mailbox: Mailbox | None = None
+
+    def __init__(self, *args, **kw):
+        super().__init__(*args, **kw)
+        if args and isinstance(args[0], Tables):
+            self.spark, self.source_dir, self.mailbox = args[0].spark, args[0].source_dir, args[0].mailbox
 
     def raw(self, name: str) -> DataFrame:
         return _read(self.spark, self.source_dir, name)
@@ -202,7 +211,8 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     t["status_log"] = lambda: bind_status_log(r("events"))
 
     t["photo_report"] = lambda: bind_photo_reports(r("pages"))
-    t["report_rows"] = lambda: landed(report_rows(t.photo_report, keep=("doc_id", "sender", "received_at")), "report_rows")
+    t.mailbox = Mailbox(spark, checkpoint_path(spark, f"mails/{uuid.uuid4().hex}"))
+    t["report_rows"] = lambda: t.mailbox.every(t.photo_report)
 
     t["photo_subject"] = lambda: r("documents").select(
         F.col("doc_id").alias("msg_id"),

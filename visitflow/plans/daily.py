@@ -3,7 +3,8 @@
     python -m visitflow.plans.daily --roles roles.json --as-of 2026-04-23 --out <folder> \
         --visit-type KIND --visit-category KIND --sender reports@... \
         [--links a.csv:Bogotá --links b.csv:Ciudades] [--followup ...] [--only report ...] \
-        [--lookback-days 30] [--force-weekend] [--first-messages N] [--bucketed-db name --buckets 512]
+        [--lookback-days 30] [--force-weekend] [--first-messages N] [--bucketed-db name --buckets 512] \
+        [--mails <folder of parsed mails, kept from day to day; default: <out>/report_rows>]
 
 ``roles.json`` maps role names (FIXTURES.md) to parquet paths or catalog
 tables.  Each report is written to ``<out>/<report>`` (parquet, overwrite):
@@ -76,7 +77,7 @@ def run_daily(t: Tables, p: Params, out_dir: str, only=None) -> dict[str, str]:
         written[name] = f"{out_dir}/{name}"
 
     wanted = [n for n in REPORTS if not only or n in only]
-    if "report_rows" in t:
+    if "report_rows" in t and t.mailbox is None:
         # several reports read the parsed mails; they are parsed once
         write("report_rows", t["report_rows"])
         t = Tables(t)
@@ -116,13 +117,14 @@ def main(argv=None) -> None:
     ap.add_argument("--links", action="append")
     ap.add_argument("--followup", action="append")
     ap.add_argument("--only", nargs="*")
+    ap.add_argument("--mails")
     ap.add_argument("--bucketed-db")
     ap.add_argument("--buckets", type=int, default=512)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("visitflow-daily").getOrCreate()
     with open(a.roles, encoding="utf-8") as f:
         locations = json.load(f)
-    t = read_roles(spark, locations, _tabs(a.links), _tabs(a.followup))
+    t = read_roles(spark, locations, _tabs(a.links), _tabs(a.followup), a.mails or f"{a.out.rstrip('/')}/report_rows")
     if a.bucketed_db:
         t = materialize_roles(spark, t, a.bucketed_db, a.buckets)
     p = Params(as_of=a.as_of, visit_types=tuple(a.visit_type), visit_categories=tuple(a.visit_category), report_sender=a.sender,

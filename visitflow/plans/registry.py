@@ -27,12 +27,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _listing(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of a folder's entries."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Roles of a folder, bound once a session; they are kept on the session object and end with it."""
-    held = spark.__dict__.setdefault("_visitflow_tables", {})
-    if sf_dir not in held:
-        held[sf_dir] = driver_tables(spark, sf_dir)
-    return held[sf_dir]
+    """Roles of a folder, bound once a session and again when the folder's files change; they are kept on the session
+    object and end with it."""
+    held, now = spark.__dict__.setdefault("_visitflow_tables", {}), _listing(spark, sf_dir)
+    if held.get(sf_dir, (None,))[0] != now:
+        held[sf_dir] = now, driver_tables(spark, sf_dir)
+    return held[sf_dir][1]
 
 
 def register(key: str, sql: str | None = None, roles: tuple = ()):

@@ -304,7 +304,7 @@ SELECT nid, count(*) FILTER (WHERE status = 'O') AS abiertas, count(*) FILTER (W
 
 def _reconcile(t, sf):
     p = P_REP
-    rows = R.report_window(t.report_rows, p, 30).filter(~F.col("completado"))
+    rows = R.report_window(t, p, 30).filter(~F.col("completado"))
     newest = rows.groupBy("nid").agg(F.max(D.spanish_day_month("fecha_reporte", p.as_of)).alias("last_report"))
     v = joins.semi(t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types))), rows.select("nid"), "nid", "nid")
     last = latest.latest_per_key(v, "nid", "modified_date", tiebreak="record_id")

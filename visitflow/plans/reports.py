@@ -132,8 +132,11 @@ def visits_tomorrow(t: Tables, p: Params) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R2 ------
-def report_window(rows: DataFrame, p: Params, days: int) -> DataFrame:
-    return scan_reports_window(rows, p.as_of, days, p.report_sender)
+def report_window(t: Tables, p: Params, days: int) -> DataFrame:
+    """Rows of the report mails of the last ``days``: with a mailbox only the window's mails are read and parsed."""
+    if t.mailbox is not None:
+        return t.mailbox.window(t.photo_report, p.as_of, days, p.report_sender)
+    return scan_reports_window(t.report_rows, p.as_of, days, p.report_sender)
 
 
 def cancelled(t: Tables, p: Params) -> DataFrame:
@@ -149,7 +152,7 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
     (key, report) and carry their key's newest report date (a window over
     the few reports of one key), then meet the latest visit per key.
     """
-    rows = report_window(t.report_rows, p, p.cancelled_lookback_days).filter(~F.col("completado"))
+    rows = report_window(t, p, p.cancelled_lookback_days).filter(~F.col("completado"))
     rows = rows.withColumn("report_date", spanish_day_month("fecha_reporte", p.as_of, p.future_slack_days))
     kept = first_per_key(rows, ["nid", "fecha_reporte"],
                          [F.col("received_at").asc_nulls_first(), "doc_id", "row_pos"])
@@ -222,7 +225,7 @@ def _master_by_key(t: Tables, p: Params, keys: DataFrame) -> DataFrame:
 
 def report_dates(t: Tables, p: Params) -> DataFrame:
     """Distinct report-date texts, in order of first appearance."""
-    rows = report_window(t.report_rows, p, p.cancelled_lookback_days).filter(F.col("fecha_reporte") != "")
+    rows = report_window(t, p, p.cancelled_lookback_days).filter(F.col("fecha_reporte") != "")
     return (rows.groupBy("fecha_reporte")
             .agg(F.min(F.struct("received_at", "doc_id")).alias("first_seen"))
             .orderBy("first_seen").select("fecha_reporte"))
@@ -377,7 +380,7 @@ def _card_choice(t: Tables, p: Params, cards: DataFrame) -> DataFrame:
 def to_publish(t: Tables, p: Params, links: DataFrame | None = None,
                published: DataFrame | None = None) -> DataFrame:
     """Visited (report says done) properties still to publish."""
-    rows = report_window(t.report_rows, p, p.completed_lookback_days).filter(F.col("completado"))
+    rows = report_window(t, p, p.completed_lookback_days).filter(F.col("completado"))
     # one row per reported key; joining it (inner) both restricts to reported keys and
     # attaches the report columns, so the report documents are parsed once
     rep = _newest_report_text(rows.filter(F.col("nid") != ""), p)

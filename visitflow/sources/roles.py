@@ -10,13 +10,15 @@ which two rows of one key were appended.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.extract import report_rows
 from ..plans.bindings import Tables
+from ..session import checkpoint_path
+from .mailbox import Mailbox
 from .sheets import read_sheet
 from .tables import scan_table
 
@@ -84,19 +86,22 @@ def conform(df: DataFrame, role: str) -> DataFrame:
 
 
 def read_roles(spark: SparkSession, locations: Mapping[str, str],
-               link_tabs: Sequence[tuple[str, str]] = (), followup_tabs: Sequence[tuple[str, str]] = ()) -> Tables:
+               link_tabs: Sequence[tuple[str, str]] = (), followup_tabs: Sequence[tuple[str, str]] = (),
+               mail_folder: str | None = None) -> Tables:
     """Tables from ``role -> parquet path or catalog table`` plus sheet tabs
     given as ``(csv path, label)`` in priority order (later wins).
 
-    Landed report mails can be given as ``photo_report`` documents; their
-    rows (``report_rows``) are then extracted from the HTML on the executors.
+    Report mails can be given as ``photo_report`` documents; their rows
+    (``report_rows``) are then parsed on the executors and kept below ``mail_folder``,
+    where the next run finds them (default: a folder of this run).
     """
     t = Tables()
     t.spark = spark
     for role, loc in locations.items():
         t[role] = conform(scan_table(spark, loc), role)
     if "photo_report" in t and "report_rows" not in t:
-        t["report_rows"] = report_rows(t["photo_report"], keep=("doc_id", "sender", "received_at"))
+        t.mailbox = Mailbox(spark, mail_folder or checkpoint_path(spark, f"mails/{uuid.uuid4().hex}"))
+        t["report_rows"] = lambda: t.mailbox.every(t.photo_report)
     t["link_tabs"] = [(read_sheet(spark, p), lbl) for p, lbl in link_tabs]
     t["followup_tabs"] = [(read_sheet(spark, p), lbl) for p, lbl in followup_tabs]
     return t

@@ -26,7 +26,7 @@ def plain(coder, text):
     if not text:
         return None
     want = (" " + text).encode()
-    a, b = coder.a.encode(" " + text, add_special_tokens=False).ids, coder.b.encode(text)
+    a, b = coder.a.slow.encode(" " + text, add_special_tokens=False).ids, coder.b.encode(text)
     if b"".join(coder.bytes_a[i] for i in a) != want or b"".join(coder.bytes_b[i] for i in b) != want:
         return None
     ends = []
@@ -69,22 +69,38 @@ def texts():
     return ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(1, 12))) for _ in range(120)]
 
 
-def test_pieces_equal_whole_texts(coder):
-    for text, pieces in zip(texts(), coder.pieces(texts()), strict=True):
-        got = plain(coder, text)
-        assert (pieces is None) == (got is None)
+def check_pieces(coder, held):
+    pieces, lengths = coder.numbers(held)
+    at = 0
+    for text, n in zip(held, lengths.tolist(), strict=True):
+        got, own = plain(coder, text), pieces[at:at + n]
+        at += n
+        assert (n == 0) == (got is None)
         if got:
-            assert sum(x.a for x in pieces) == len(got[0]) and sum(x.b for x in pieces) == len(got[1])
-            assert ";".join(x.text for x in pieces) == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in got[3])
-            assert sorted(p for x in pieces for p in x.pairs.tolist()) == sorted(got[0][i] * coder.width + got[1][j] for i, j in got[2])
+            assert coder.sizes[own].sum(0).tolist() == [len(got[0]), len(got[1]), len(got[3])]
+            assert ";".join(coder.texts[i] for i in own) == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in got[3])
+            pairs, of = coder.links(own)
+            assert sorted(pairs.tolist()) == sorted(got[0][i] * coder.width + got[1][j] for i, j in got[2]) and of.sum() == len(pairs)
+    assert at == len(pieces)
+
+
+def test_pieces_equal_whole_texts(coder):
+    assert coder.a.fast is not None
+    check_pieces(coder, [*texts(), None, "", " ", "a ", " a", "a\n", "\n b", "x  y", "x \u3000y"])
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(max_size=30))
-def test_any_text(coder, text):
-    got, (pieces,) = plain(coder, text), coder.pieces([text])
-    assert (pieces is None) == (got is None)
-    assert not got or ";".join(x.text for x in pieces) == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in got[3])
+@given(st.lists(st.text(max_size=30), max_size=4))
+def test_any_texts(coder, held):
+    check_pieces(coder, held)
+
+
+@pytest.mark.parametrize("fast", [True, False])
+def test_long_runs_and_the_definitions_own_encoder(fast):
+    own = A.Aligner(open(PATHS[0], encoding="utf-8").read(), open(PATHS[1], "rb").read())
+    if not fast:
+        own.a.fast = None
+    check_pieces(own, ["q" * 5_000 + " a", "ab" * 3_000, *texts()[:30]])
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 5, 1_000, 40_000])
@@ -107,6 +123,7 @@ def test_equals_plain_loops(spark, coder, round_pairs):
 def test_long_texts_many_runs_and_a_deep_tree(spark, coder, monkeypatch):
     monkeypatch.setattr(A, "RUN_PAIRS", 50)
     monkeypatch.setattr(A, "MEMO", 500)
+    monkeypatch.setattr(A, "CHUNK", 300)
     monkeypatch.setattr(A, "FAN", 2)
     rows = [(i, t * 3, "en", "s", 1) for i, t in enumerate(texts()[:60])] + [(100, "word " * 3_000, "en", "s", 1), (101, "q" * 9_000, "en", "s", 1)]
     got = A.align_documents(docs(spark, rows).repartition(9), *PATHS)

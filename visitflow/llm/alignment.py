@@ -20,7 +20,8 @@ at most ``ROUND_PAIRS`` pairs (12 bytes each on the driver, 8 in a task, and the
 document's sums: one round for a corpus of up to 8 million distinct pairs, at most 192 for any.
 
 Encoding.  Both vocabularies never join what comes before a space that follows and precedes other than white space with
-what comes after: the texts are cut there, and a piece is aligned once per worker while its memory holds it.
+what comes after: the texts are cut there, and a piece is aligned once per worker while its memory holds it, together
+with the other new pieces of some texts.
 
 Defined results: null and empty texts, and texts whose tokens of either vocabulary do not give back the space and the
 text, have no tokens; repeated rows count one by one; a null id stays null; an empty table gives no rows.
@@ -29,9 +30,13 @@ text, have no tokens; repeated rows count one by one; a null id stays null; an e
 from __future__ import annotations
 
 import hashlib
+import itertools
+import json
+import os
 import re
 import sys
 import types
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,11 +54,17 @@ FAN = 16
 RUN_PAIRS = 1 << 21
 #: Pairs of one lookup round.
 ROUND_PAIRS = 1 << 23
-#: Characters of remembered pieces, and the longest one remembered.
-MEMO, LONGEST = 1 << 21, 64
+#: Characters and number of remembered pieces.
+MEMO, PIECES = 1 << 23, 400_000
+#: Characters of a piece from which it is encoded by itself.
+LONG = 2_000
 #: Characters of text that are aligned together.
 CHUNK = 1 << 20
 
+# --- fixed values: how byte-level vocabularies of this kind cut texts, and separators of groups as text -------
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SEPARATORS = np.array([",", "|", ";", "\n"], object)
+# ----------------------------------------------------------------------------------------------------------------
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -78,114 +89,185 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Piece:
-    """An aligned piece of text: numbers of ids, the pair of each link, the distinct pairs, and the groups."""
-
-    __slots__ = ("a", "b", "pairs", "distinct", "groups", "text")
-
-    def __init__(self, a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int], width: int):
-        i = j = from_i = from_j = 0
-        end_a, end_b, pairs, groups = sizes_a[a[0]], sizes_b[b[0]], [], []
-        while True:
-            # the tokens at i and j overlap; the one that ends first gives way
-            pairs.append(a[i] * width + b[j])
-            here = end_a - end_b
-            if here <= 0:
-                i += 1
-                end_a += sizes_a[a[i]] if i < len(a) else 0
-            if here >= 0:
-                j += 1
-                end_b += sizes_b[b[j]] if j < len(b) else 0
-            if here == 0:
-                groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-                from_i, from_j = i, j
-                if i == len(a):
-                    break
-        self.a, self.b, self.groups, self.text = len(a), len(b), len(groups), ";".join(groups)
-        self.pairs = np.array(pairs, np.int64)
-        once = set(pairs)
-        self.distinct = self.pairs if len(once) == len(pairs) else np.array([*once], np.int64)
+class Encoder:
+    """Ids of a byte-level vocabulary, of many pieces at once.
+
+    Where the ids of merged tokens ascend in the order of their merges, an encoder by ranks gives the same ids as the
+    definition's own, several times faster; pieces with a very long run go to the latter in any case."""
+
+    def __init__(self, definition: str):
+        from tokenizers import Tokenizer
+
+        self.slow = Tokenizer.from_str(definition)
+        self.slow.encode_special_tokens = True
+        model, chars = json.loads(definition)["model"], byte_characters()
+        self.bytes = [b""] * self.slow.get_vocab_size()
+        for token, i in self.slow.get_vocab().items():
+            self.bytes[i] = bytes(chars[c] for c in token) if all(c in chars for c in token) else token.encode()
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        self.fast = None
+        if merged == sorted(merged) and max(model["vocab"][c] for c in chars) < merged[0]:
+            import tiktoken
+
+            ranks = {self.bytes[i]: i for token, i in model["vocab"].items() if all(c in chars for c in token) and i <= merged[-1]}
+            self.fast = tiktoken.Encoding("by ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _one(self, piece: str) -> list[int]:
+        if self.fast is None or len(piece) > LONG:
+            return self.slow.encode(piece, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(piece)
+
+    def encode(self, pieces: list[str]) -> list[int]:
+        """Ids of all pieces, one after the other; each starts with a space and other than white space."""
+        out, plain = [], []
+        for p in pieces:
+            if p[-1].isspace() or len(p) > LONG:  # what follows would be joined with its end
+                if plain:
+                    out += self._one("".join(plain)) if self.fast is None else self.fast.encode_ordinary("".join(plain))
+                    plain = []
+                out += self._one(p)
+            else:
+                plain.append(p)
+        if plain:
+            out += self._one("".join(plain)) if self.fast is None else self.fast.encode_ordinary("".join(plain))
+        return out
 
 
 class Aligner:
-    """Both vocabularies; ``a_json`` is a byte-level definition, ``b_model`` a piece model with byte fallback."""
+    """Both vocabularies, and the pieces that they were aligned on; ``a_json`` is a byte-level definition, ``b_model``
+    a piece model with byte fallback.
+
+    Pieces have numbers.  Of piece ``i`` are held: numbers of ids and groups (``sizes[i]``), the pairs of its links
+    (``pairs[starts[i]:starts[i + 1]]``) and its groups as text.  A full memory is emptied as a whole, between chunks."""
 
     def __init__(self, a_json: str, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True
+        self.a = Encoder(a_json)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        chars = byte_characters()
-        self.bytes_a = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
-            self.bytes_a[i] = bytes(chars[c] for c in token) if all(c in chars for c in token) else token.encode()
-        self.bytes_b = []
+        self.bytes_a, self.bytes_b = self.a.bytes, []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.size_a, self.size_b = [*map(len, self.bytes_a)], [*map(len, self.bytes_b)]
+        self.size_a, self.size_b = np.array([*map(len, self.bytes_a)]), np.array([*map(len, self.bytes_b)])
+        self.text_a, self.text_b = (np.array([*map(str, range(len(x)))], object) for x in (self.bytes_a, self.bytes_b))
         #: no piece goes on after white space, so texts may be cut before a space
         self.cuts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
         self.width = len(self.bytes_b)
-        self.memo: dict[str, Piece | None] = {}
-        self.held = 0
+        #: grows whenever the memory is emptied
+        self.generation = 0
+        self._empty()
+
+    def _empty(self) -> None:
+        self.generation += 1
+        self.memo: dict[str, int] = {}
+        self.held, self.count = 0, 0
+        self.sizes, self.starts, self.pairs = np.zeros((1024, 3), np.int64), np.zeros(1025, np.int64), np.zeros(8192, np.int64)
+        self.texts: list[str] = []
+
+    def _store(self, pieces: list[str], sizes: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, texts: list[str]) -> None:
+        n, at = self.count, int(self.starts[self.count])
+        while len(self.sizes) < n + len(pieces):
+            self.sizes, self.starts = np.concatenate([self.sizes, np.zeros_like(self.sizes)]), np.concatenate([self.starts, np.zeros(len(self.sizes), np.int64)])
+        while len(self.pairs) < at + len(pairs):
+            self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
+        self.sizes[n:n + len(pieces)] = sizes
+        self.starts[n + 1:n + 1 + len(pieces)] = at + np.cumsum(lengths)
+        self.pairs[at:at + len(pairs)] = pairs
+        self.texts += texts
+        self.memo.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.count += len(pieces)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Align new pieces, all at once: their tokens lie on one line of bytes."""
+        if not pieces:
+            return
+        spaced = [" " + p for p in pieces]
+        bytes_of = [x.encode("utf-8", "replace") for x in spaced]
+        ids_b = self.b.encode(pieces, num_threads=1)
+        whole = b"".join(bytes_of)
+        flat_b = [*itertools.chain.from_iterable(ids_b)]
+        flat_a = self.a.encode(spaced)
+        if b"".join(map(self.bytes_b.__getitem__, flat_b)) != whole or b"".join(map(self.bytes_a.__getitem__, flat_a)) != whole:
+            good = [b"".join(map(self.bytes_b.__getitem__, y)) == z and b"".join(map(self.bytes_a.__getitem__, self.a.encode([x]))) == z
+                    for x, y, z in zip(spaced, ids_b, bytes_of, strict=True)]
+            if all(good):
+                raise RuntimeError("pieces do not encode alike alone and together")
+            self.memo.update((p, -1) for p, ok in zip(pieces, good, strict=True) if not ok)
+            return self._learn([p for p, ok in zip(pieces, good, strict=True) if ok])
+        a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        end_a, end_b = self.size_a[a].cumsum(), self.size_b[b].cumsum()
+        end = np.cumsum([*map(len, bytes_of)])
+        # between two neighbouring ends lie one token of each, and they overlap nowhere else
+        both = np.union1d(end_a, end_b)
+        pairs = a[np.searchsorted(end_a, both)] * self.width + b[np.searchsorted(end_b, both)]
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        last = [np.searchsorted(x, end, "right") for x in (end_a, end_b, common, both)]
+        if not (common[last[2] - 1] == end).all():
+            raise RuntimeError("a token of both vocabularies goes on behind a piece")
+        sizes = [np.diff(x, prepend=0) for x in last]
+        # tokens group by group, those of A first, each followed by its separator
+        group = np.concatenate([np.searchsorted(common, end_a), np.searchsorted(common, end_b)])
+        side = np.concatenate([np.zeros(len(a), np.int64), np.ones(len(b), np.int64)])
+        order = np.argsort(2 * group + side, kind="stable")
+        group, side = group[order], side[order]
+        words = np.empty(2 * len(order), object)
+        words[::2] = np.concatenate([self.text_a[a], self.text_b[b]])[order]
+        closes = np.zeros(len(common), bool)
+        closes[last[2] - 1] = True
+        new_group = np.concatenate([group[1:] != group[:-1], [True]])
+        new_side = np.concatenate([side[1:] != side[:-1], [True]])
+        words[1::2] = SEPARATORS[np.where(new_group, np.where(closes[group], 3, 2), np.where(new_side, 1, 0))]
+        texts = "".join(words.tolist()).split("\n")
+        self._store(pieces, np.stack(sizes[:3], 1), sizes[3], pairs, texts[:-1])
+
+    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts, and how many each text has (none: a text without tokens)."""
+        if self.held > MEMO or self.count > PIECES:
+            self._empty()
+        cut = [[] if not t else _CUT.split(t) if self.cuts else [t] for t in texts]
+        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(cut)) if p not in self.memo]
+        self._learn(new)
+        self.held += sum(map(len, new))
+        lengths = np.array([*map(len, cut)], np.int64)
+        got = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(lengths.sum()))
+        of = np.repeat(np.arange(len(cut)), lengths)
+        bad = np.zeros(len(cut), bool)
+        bad[of[got < 0]] = True
+        return got[~bad[of]], np.where(bad, 0, lengths)
 
-    def _piece(self, a: list[int], b: list[int], want: bytes) -> Piece | None:
-        if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
-            return None
-        return Piece(a, b, self.size_a, self.size_b, self.width)
+    def links(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of the pieces' links, one piece after the other, and how many each has."""
+        n = self.starts[pieces + 1] - self.starts[pieces]
+        at = np.repeat(self.starts[pieces] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        return self.pairs[at], n
 
-    def _learn(self, pieces: list[str]) -> list[Piece | None]:
-        spaced = [" " + p for p in pieces]
-        got_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
-        got_b = self.b.encode(pieces, num_threads=1)
-        return [self._piece(x, y, p.encode("utf-8", "replace")) for x, y, p in zip(got_a, got_b, spaced, strict=True)]
 
-    def pieces(self, texts: list[str | None]) -> list[list[Piece] | None]:
-        """The aligned pieces of each text; None for a text without tokens."""
-        cut = [[] if not t else _CUT.split(t) if self.cuts else [t] for t in texts]
-        new = {p for words in cut for p in words if p not in self.memo}
-        if self.held > MEMO:
-            self.memo.clear()
-            self.held = 0
-            new = {p for words in cut for p in words}
-        fresh = dict(zip(new, self._learn([*new]), strict=True)) if new else {}
-        kept = {p: x for p, x in fresh.items() if len(p) <= LONGEST}
-        self.memo.update(kept)
-        self.held += sum(map(len, kept)) + 8 * len(kept)
-        find = {**fresh, **self.memo} if len(fresh) != len(kept) else self.memo
-        out = []
-        for words in cut:
-            got = [find[p] for p in words]
-            out.append(got if got and None not in got else None)
-        return out
+def worker_module() -> types.ModuleType:
+    """What this Python worker keeps for its later tasks."""
+    return sys.modules.setdefault("visitflow_alignment_worker", types.ModuleType("visitflow_alignment_worker"))
 
 
 def worker_aligner(a_json: str, b_model: bytes) -> Aligner:
-    """The aligner of this Python worker: later tasks of the worker find its pieces."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    held = sys.modules.setdefault("visitflow_alignment_worker", types.ModuleType("visitflow_alignment_worker"))
+    held = worker_module()
     if getattr(held, "definition", None) != (a_json, b_model):
         held.definition, held.aligner = (a_json, b_model), Aligner(a_json, b_model)
     return held.aligner
 
 
-def aligned(aligner: Aligner, batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, list[Piece] | None]]]:
-    """(doc_id, pieces) of the rows, some texts at a time."""
+def aligned(aligner: Aligner, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray]]:
+    """Some rows at a time: their columns but the text, the numbers of their pieces, and how many pieces each has."""
     keys, texts, held = [], [], 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for *key, text in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns - 1)], batch.column(batch.num_columns - 1), strict=True):
             keys.append(key)
             texts.append(text.as_py())
             held += len(texts[-1] or "")
             if held >= CHUNK:
-                yield [*zip(keys, aligner.pieces(texts), strict=True)]
+                yield keys, *aligner.numbers(texts)
                 keys, texts, held = [], [], 0
-    yield [*zip(keys, aligner.pieces(texts), strict=True)]
+    yield keys, *aligner.numbers(texts)
 
 
 # ------------------------------------------------------------ runs of counts
@@ -217,18 +299,20 @@ def _runs(vocabularies):
                                     pa.array([x.tobytes() for x in np.split(c, cuts)] if starts else [], pa.binary())],
                                    ["bucket", "node", "pairs", "counts"])
 
-        for chunk in aligned(aligner, batches):
-            for _, pieces in chunk:
-                if pieces:
-                    own = np.unique(np.concatenate([x.distinct for x in {id(x): x for x in pieces}.values()]))
-                    fresh.append(own)
-                    waiting += len(own)
-                if waiting > RUN_PAIRS:
-                    pairs, counts = _added(np.concatenate([pairs, *fresh]), np.concatenate([counts, np.ones(waiting, np.int64)]))
-                    fresh, waiting = [], 0
-                    if len(pairs) > RUN_PAIRS:
-                        yield emit()
-                        pairs, counts = pairs[:0], counts[:0]
+        for _, pieces, lengths in aligned(aligner, batches):
+            # pieces of a text once, then pairs of a text once
+            row = np.unique(np.repeat(np.arange(len(lengths)), lengths) * aligner.count + pieces)
+            found, n = aligner.links(row % max(1, aligner.count))
+            most = len(aligner.bytes_a) * aligner.width
+            own = np.unique(np.repeat(row // max(1, aligner.count), n) * most + found) % most
+            fresh.append(own)
+            waiting += len(own)
+            if waiting > RUN_PAIRS:
+                pairs, counts = _added(np.concatenate([pairs, *fresh]), np.concatenate([counts, np.ones(waiting, np.int64)]))
+                fresh, waiting = [], 0
+                if len(pairs) > RUN_PAIRS:
+                    yield emit()
+                    pairs, counts = pairs[:0], counts[:0]
         pairs, counts = _added(np.concatenate([pairs, *fresh]), np.concatenate([counts, np.ones(waiting, np.int64)]))
         yield emit()
 
@@ -434,47 +518,57 @@ class Counts:
         return out, mine
 
 
-ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
-#: Pieces whose counts a task remembers.
-LOOKED = 200_000
+ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+
+
+class Looked:
+    """Sums over the links of an aligner's pieces, looked up once a piece: counts, and links at their A id's best."""
+
+    def __init__(self, counts: Counts):
+        self.counts, self.generation, self.upto = counts, -1, 0
+        self.sums = np.zeros((0, 2), np.int64)
+
+    def follow(self, aligner: Aligner) -> np.ndarray:
+        if self.generation != aligner.generation:
+            self.generation, self.upto = aligner.generation, 0
+        if len(self.sums) < len(aligner.sizes):
+            self.sums = np.concatenate([self.sums, np.zeros((len(aligner.sizes) - len(self.sums), 2), np.int64)])
+        if self.upto < aligner.count:
+            starts = aligner.starts[self.upto:aligner.count + 1]
+            pairs = aligner.pairs[starts[0]:starts[-1]]
+            got, mine = self.counts.of(pairs)
+            best = mine & (got == self.counts.best[pairs // self.counts.width])
+            # every piece has a link
+            self.sums[self.upto:aligner.count] = np.add.reduceat(np.stack([best, got], 1), starts[:-1] - starts[0])
+            self.upto = aligner.count
+        return self.sums
+
+
+def worker_lookups(table, token: str) -> Looked:
+    held = worker_module()
+    if getattr(held, "token", None) != token:
+        held.token, held.looked = token, Looked(Counts(*table.value))
+    return held.looked
 
 
-def _lookups(vocabularies, table):
+def _lookups(vocabularies, table, token: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, counts = worker_aligner(*vocabularies.value), Counts(*table.value)
-        known: dict[Piece, tuple[int, int]] = {}
-        keys: list[int] = []
-
-        def learn(pieces: list[Piece]) -> None:
-            pairs = np.concatenate([x.pairs for x in pieces])
-            got, mine = counts.of(pairs)
-            best = mine & (got == counts.best[pairs // counts.width])
-            at = np.cumsum([0, *[len(x.pairs) for x in pieces[:-1]]])
-            known.update(zip(pieces, zip(np.add.reduceat(got, at).tolist(), np.add.reduceat(best.astype(np.int64), at).tolist(), strict=True), strict=True))
-
-        def texts() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keys.extend(batch.column(2).to_pylist())
-                yield batch
-
-        for chunk in aligned(aligner, texts()):
-            if len(known) > LOOKED:
-                known.clear()
-            if new := [*{x for _, pieces in chunk for x in pieces or [] if x not in known}]:
-                learn(new)
-            rows = []
-            for row, (doc_id, pieces) in zip(keys, chunk, strict=False):
-                if not pieces:
-                    rows.append((row, doc_id, 0, 0, 0, 0, 0, 0, ""))
-                    continue
-                looked = [known[x] for x in pieces]
-                digest = hashlib.sha256(";".join([x.text for x in pieces]).encode()).hexdigest()
-                rows.append((row, doc_id, sum([x.a for x in pieces]), sum([x.b for x in pieces]), sum([x.groups for x in pieces]),
-                             sum([len(x.pairs) for x in pieces]), sum([b for _, b in looked]), sum([c for c, _ in looked]), digest))
-            del keys[:len(chunk)]
-            names = [f.split()[0] for f in ALIGNED.split(", ")]
-            columns = zip(*rows, strict=True) if rows else [()] * len(names)
-            yield pa.record_batch([pa.array(c, pa.string() if n == "groups_sha256" else pa.int64()) for n, c in zip(names, columns, strict=True)], names)
+        aligner, looked = worker_aligner(*vocabularies.value), worker_lookups(table, token)
+        names = [f.split()[0] for f in ALIGNED.split(", ")]
+        for keys, pieces, lengths in aligned(aligner, batches):
+            own = looked.follow(aligner)[pieces]
+            per_piece = np.concatenate([aligner.sizes[pieces], (aligner.starts[pieces + 1] - aligner.starts[pieces])[:, None], own], 1)
+            sums = np.zeros((len(lengths), 6), np.int64)
+            full = np.flatnonzero(lengths)
+            ends = np.cumsum(lengths)
+            if len(full):
+                sums[full] = np.add.reduceat(per_piece, (ends - lengths)[full])
+            texts, digests = aligner.texts, []
+            at = pieces.tolist()
+            for e, n in zip(ends.tolist(), lengths.tolist(), strict=True):
+                digests.append(hashlib.sha256(";".join([texts[i] for i in at[e - n:e]]).encode()).hexdigest() if n else "")
+            columns = [[k[0] for k in keys], [k[1] for k in keys], *sums.T]
+            yield pa.record_batch([*[pa.array(c, pa.int64()) for c in columns], pa.array(digests, pa.string())], names)
 
     return run
 
@@ -496,12 +590,12 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, round_pairs: int
     for r in tops:
         best[r.a] = r.n
     rounds = -(-(table.agg(F.sum("n")).first()[0] or 1) // round_pairs)
-    texts = _texts(docs).withColumn("row", F.monotonically_increasing_id())
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
     parts = []
     for k in range(rounds):
         # at most round_pairs pairs, but for the spread of the buckets' sizes
         rows = [tuple(r) for r in table.where(F.col("bucket") % rounds == k).select("bucket", "n", "sizes", "bits", "pairs", "counts").collect()]
-        parts.append(texts.mapInArrow(_lookups(vocabularies, sc.broadcast((rows, best, width))), ALIGNED))
+        parts.append(texts.mapInArrow(_lookups(vocabularies, sc.broadcast((rows, best, width)), uuid.uuid4().hex), ALIGNED))
     if rounds == 1:
         return parts[0].drop("row")
     out = staged(parts[0], "align-round")

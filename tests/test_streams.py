@@ -1,5 +1,6 @@
-"""Stream twins equal their batch twins; the keyed upsert survives many batches."""
+"""Stream twins equal their batch twins, over many batches, restarts, late rows and streams without rows."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -28,31 +29,28 @@ def same(a, b):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def batches(spark, run, part="main"):
+    """Committed micro-batches of a query."""
+    return len([x for x in os.listdir(os.path.join(run, "checkpoints", part, "commits")) if x.isdigit()])
+
+
 def test_latest_upsert_over_many_batches(spark, scratch):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     # three files with overlapping keys: later files may hold older rows
-    stream = files(spark, orders, scratch, ["o_orderstatus = 'O'", "o_orderstatus = 'P'", "o_orderstatus = 'F'"])
-    out = S.latest_upsert_stream(spark, bind_visit_log(stream), root=os.path.join(scratch, "run"))
-    assert S.versions(spark, out) == [0, 1, 2]
-    exp = latest_per_key(bind_visit_log(orders), "nid", "modified_date", "record_id").select("nid", "record_id")
-    assert same(S.read_keyed(spark, out).select("nid", "record_id"), exp)
-    assert S.vacuum(spark, out) > 0
-    assert same(S.read_keyed(spark, out).select("nid", "record_id"), exp)
-
-
-def test_upsert_batch_rewrites_only_the_buckets_it_touches(spark, scratch):
-    rows = "nid string, modified_date string, record_id bigint, status string"
-    root = os.path.join(scratch, "versions")
-    upsert = S.upsert_batch(spark, root)
-    upsert(spark.createDataFrame([(str(i), "2026-04-01", i, "A") for i in range(200)], rows), 0)
-    batch = spark.createDataFrame([("1", "2026-04-03", 900, "B"), ("2", "2026-03-01", 901, "C")], rows)
-    upsert(batch, 1)
-    written = [d for d in os.listdir(f"{root}/v=1") if d.startswith("bucket=")]
-    assert 1 <= len(written) <= 2 < len([d for d in os.listdir(f"{root}/v=0") if d.startswith("bucket=")])
-    first = sorted(tuple(r) for r in S.read_keyed(spark, root).collect())
-    upsert(batch, 1)  # the same micro-batch again, as after a failed attempt
-    assert first == sorted(tuple(r) for r in S.read_keyed(spark, root).collect())
-    assert ("1", "2026-04-03", 900, "B") in first and ("2", "2026-04-01", 2, "A") in first and len(first) == 200
+    visits = bind_visit_log(files(spark, orders, scratch, ["o_orderstatus = 'O'", "o_orderstatus = 'P'", "o_orderstatus = 'F'"]))
+    run = S.latest_upsert_stream(spark, visits, root=os.path.join(scratch, "run"))
+    assert batches(spark, run) == 3
+    exp = latest_per_key(bind_visit_log(orders), "nid", "modified_date", "record_id")
+    assert same(S.read_keyed(spark, run, visits.schema), exp)
+
+
+def test_latest_rows_with_nulls_and_ties(spark, scratch):
+    schema = "nid string, modified_date string, record_id bigint, status string"
+    rows = [("1", "b", 1, "x"), ("1", "b", 2, "y"), ("1", "a", 9, "z"), ("2", None, 5, "n"), ("2", None, 4, "m"), (None, "c", 1, None), ("3", "a", 1, None)]
+    df = spark.createDataFrame(rows, schema)
+    stream = files(spark, df, scratch, ["record_id = 2 OR nid = '2'", "record_id <> 2 AND (nid IS NULL OR nid <> '2')"])
+    run = S.latest_upsert_stream(spark, stream, root=os.path.join(scratch, "run"))
+    assert same(S.read_keyed(spark, run, df.schema), latest_per_key(df, "nid", "modified_date", "record_id"))
 
 
 def test_status_fold_over_files_in_any_order(spark, scratch):
@@ -60,51 +58,112 @@ def test_status_fold_over_files_in_any_order(spark, scratch):
     from visitflow.plans.bindings import bind_status_log
     events = spark.read.parquet(f"{SF}/events.parquet")
     stream = files(spark, events, scratch, ["event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 1"])
-    out = S.status_fold_stream(spark, bind_status_log(stream), "2001-07-02", root=os.path.join(scratch, "run"))
-    assert len(S.versions(spark, out)) == 3
-    got = S.current_values(spark, out, ["nid", "kind"])
-    assert same(got, status_fold(bind_status_log(events), "2001-07-02")) and got.count() > 0
-
-
-def test_daily_counts_over_files_in_any_order(spark, scratch):
-    t = driver_tables(spark, SF)
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-    # newest first
-    stream = files(spark, orders, scratch, ["year(o_orderdate) >= 1999", "year(o_orderdate) between 1997 and 1998", "year(o_orderdate) < 1997"])
-    out = S.daily_counts_stream(spark, bind_visit_log(stream), t.property_master, ["P", "O"], root=os.path.join(scratch, "run"))
-    batch = S._cancellations(bind_visit_log(orders), t.property_master, ["P", "O"])
-    exp = batch.groupBy(F.substring("modified_date", 1, 10).alias("dia"), "agente").count()
-    assert same(S.daily_counts(spark, out), exp.withColumnRenamed("count", "canceladas"))
-
-
-def test_closed_windows_only(spark, scratch):
-    t = driver_tables(spark, SF)
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-
-    def run(closed, name):
-        stream = files(spark, orders, scratch, ["TRUE"], name)
-        return S.daily_counts_stream(spark, bind_visit_log(stream), t.property_master, ["P", "O"], closed_only=closed)
-
-    whole = S.daily_counts(spark, run(False, "a"))
-    closed = spark.read.parquet(run(True, "b"))
-    last_day = whole.agg({"dia": "max"}).first()[0]
-    # emitted windows are final (equal to the whole result); the newest ones stay open
-    assert 0 < closed.count() < whole.count()
-    assert closed.exceptAll(whole).isEmpty() and closed.filter(closed.dia == last_day).isEmpty()
+    run = S.status_fold_stream(spark, bind_status_log(stream), "2001-07-02", root=os.path.join(scratch, "run"))
+    got = S.current_values(spark, run)
+    assert batches(spark, run) == 3 and same(got, status_fold(bind_status_log(events), "2001-07-02")) and got.count() > 0
+
+
+def test_many_batches_leave_bounded_state(spark, scratch):
+    """A read opens the newest snapshot and the few changes after it, not one file per batch."""
+    schema = "nid string, fecha string, estado string, seq bigint"
+    log = spark.createDataFrame([(str(i % 5), "perm", f"ps:{i}", i) for i in range(40)], schema)
+    stream = files(spark, log, scratch, [f"seq = {i}" for i in range(40)])
+    held = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.minBatchesToRetain", "spark.sql.shuffle.partitions",
+                                                   "spark.sql.streaming.stateStore.maintenanceInterval")}
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "4")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        run = S.status_fold_stream(spark, log_stream := stream, "2026-04-01", root=os.path.join(scratch, "run"))
+        assert log_stream.isStreaming and batches(spark, run) <= 40
+        got = {r.nid: r.value for r in S.current_values(spark, run).collect()}
+        assert got == {str(i): f"ps:{35 + i}"[3:] for i in range(5)}
+        offsets = [x for x in os.listdir(os.path.join(run, "checkpoints/main/offsets")) if x.isdigit()]
+        assert len(offsets) <= 6  # the engine forgets the batches before
+    finally:
+        for k, v in held.items():
+            if v is not None:
+                spark.conf.set(k, v)
+            else:
+                spark.conf.unset(k)
+
+
+def counts(spark, orders, master):
+    out = S.cancellations(bind_visit_log(orders), master, ["P", "O"])
+    return out.groupBy("dia", "agente").agg(F.count(F.lit(1)).alias("canceladas"))
+
+
+def test_daily_counts_as_the_log_grows(spark, scratch):
+    """One run a part: days close behind the watermark, the rest stays open, and late files still count."""
+    master, orders = driver_tables(spark, SF).property_master, spark.read.parquet(f"{SF}/orders.parquet")
+    src, run = os.path.join(scratch, "in"), os.path.join(scratch, "run")
+    parts = [("year(o_orderdate) <= 1995", 1995), ("year(o_orderdate) between 1996 and 1997", 1997), ("year(o_orderdate) > 1997", 2005)]
+    seen = []
+    for cond, year in parts:
+        orders.filter(cond).write.mode("append").parquet(src)
+        S.daily_counts_stream(spark, bind_visit_log(S.stream_source(spark, src)), master, ["P", "O"], dt.date(year, 12, 31), 3_000, root=run)
+        seen.append(cond)
+        assert same(S.daily_counts(spark, run), counts(spark, orders.filter(" OR ".join(f"({c})" for c in seen)), master))
+    closed = S.closed_counts(spark, run)
+    whole = S.daily_counts(spark, run)
+    # closed days are final, and the newest ones are open
+    assert closed.count() < whole.count() and closed.exceptAll(whole).isEmpty()
+
+
+def test_closed_days_are_the_batch_twin_of_them(spark, scratch):
+    master = driver_tables(spark, SF).property_master
+    day = dt.datetime(2026, 4, 1, 10)
+    schema = spark.read.parquet(f"{SF}/orders.parquet").schema
+    base = spark.read.parquet(f"{SF}/orders.parquet").first().asDict() | {"o_orderstatus": "P"}
+    rows = [base | {"o_orderkey": i, "o_custkey": i % 4, "o_orderdate": type(base["o_orderdate"])(2026, 4, 1) + dt.timedelta(days=i % 20)
+                    if not isinstance(base["o_orderdate"], dt.datetime) else day + dt.timedelta(days=i % 20)} for i in range(100)]
+    df = spark.createDataFrame(rows, schema)
+    stream = files(spark, df, scratch, ["o_orderkey % 20 < 12", "o_orderkey % 20 >= 12"])
+    run = S.daily_counts_stream(spark, bind_visit_log(stream), master, ["P"], dt.date(2026, 4, 20), 25, root=os.path.join(scratch, "a"))
+    whole = S.cancellations(bind_visit_log(df), master, ["P"]).groupBy("dia", "agente").agg(F.count(F.lit(1)).alias("canceladas"))
+    assert S.closed_counts(spark, run).isEmpty() and same(S.daily_counts(spark, run), whole)
+    # four days later: 25 days before the newest row lies the first day's end
+    late = spark.createDataFrame([base | {"o_orderkey": 900, "o_custkey": 1, "o_orderdate": rows[19]["o_orderdate"] + dt.timedelta(days=15)},
+                                  base | {"o_orderkey": 901, "o_custkey": 1, "o_orderdate": rows[0]["o_orderdate"] - dt.timedelta(days=9)}], schema)
+    late.coalesce(1).write.parquet(os.path.join(scratch, "more"))
+    f = next(x for x in os.listdir(os.path.join(scratch, "more")) if x.endswith(".parquet"))
+    os.link(os.path.join(scratch, "more", f), os.path.join(scratch, "in", "f9.parquet"))
+    again = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(scratch, "in"))
+    S.daily_counts_stream(spark, bind_visit_log(again), master, ["P"], dt.date(2026, 5, 5), 25, root=run)
+    every = S.cancellations(bind_visit_log(df.unionByName(late)), master, ["P"]).groupBy("dia", "agente").agg(F.count(F.lit(1)).alias("canceladas"))
+    closed = S.closed_counts(spark, run)
+    assert same(S.daily_counts(spark, run), every) and not closed.isEmpty()
+    assert same(closed, whole.filter(whole.dia <= closed.agg({"dia": "max"}).first()[0]))
+    assert S._appended(spark, run, "late", "dia string, agente string").count() == 1
+
+
+def reports(spark, n=300):
+    day = dt.datetime(2026, 4, 1)
+    rows = [(f"{i % 40}", f"{i % 7} de abril", None if i == 7 else day + dt.timedelta(days=i % 90), i) for i in range(n)]
+    return spark.createDataFrame(rows, "nid string, fecha_reporte string, received_at timestamp_ntz, i int")
 
 
 def test_late_reports_are_set_aside(spark, scratch):
-    import datetime as dt
-    day = dt.datetime(2026, 4, 1)
-    rows = [(f"{i % 40}", f"{i % 7} de abril", day + dt.timedelta(days=i % 90), i) for i in range(300)]
-    df = spark.createDataFrame(rows, "nid string, fecha_reporte string, received_at timestamp_ntz, i int")
+    df = reports(spark)
     # newest first: the rows of the last file lie behind the horizon
     stream = files(spark, df, scratch, ["i % 90 >= 60", "i % 90 between 30 and 59", "i % 90 < 30"])
-    run = S.dedup_reports_stream(spark, stream, root=os.path.join(scratch, "run"))
+    run = S.dedup_reports_stream(spark, stream, dt.date(2026, 6, 20), root=os.path.join(scratch, "run"))
+    assert same(S.deduplicated(spark, run), df.select("nid", "fecha_reporte").distinct())
+    kept, late = S.reports_of(spark, run, "kept"), S.reports_of(spark, run, "late")
+    recent = df.filter("received_at >= timestamp_ntz'2026-05-22'")
+    # a row without a time is late; times after the run's day (2026-06-20) count as that day
+    assert late.count() == df.count() - recent.count() and same(kept.select("nid", "fecha_reporte"), recent.select("nid", "fecha_reporte").distinct())
+
+
+def test_dedup_forgets_what_lies_behind_the_horizon(spark, scratch):
+    """The state holds the keys of the horizon, not of the whole past."""
+    df, src, run = reports(spark, 4_000).filter("received_at IS NOT NULL"), os.path.join(scratch, "in"), os.path.join(scratch, "run")
+    df = df.withColumn("nid", F.col("i").cast("string"))
+    for k in range(9):
+        df.filter(f"i % 90 between {10 * k} and {10 * k + 9}").write.mode("append").parquet(src)
+        S.dedup_reports_stream(spark, S.stream_source(spark, src), dt.date(2026, 4, 1) + dt.timedelta(days=10 * k + 9), 10, root=run)
+    held = spark.read.format("statestore").load(f"{run}/checkpoints/kept").count()
+    assert 0 < held < 0.4 * df.count() and S.reports_of(spark, run, "late").count() == 0
     assert same(S.deduplicated(spark, run), df.select("nid", "fecha_reporte").distinct())
-    late = S._read_versions(spark, f"{run}/late").count()
-    kept = S._read_versions(spark, f"{run}/kept")
-    assert late > 0 and kept.select("nid", "fecha_reporte").distinct().count() == kept.count()
 
 
 def test_dedup_stream_resumes_from_its_checkpoint(spark, scratch):
@@ -116,9 +175,24 @@ def test_dedup_stream_resumes_from_its_checkpoint(spark, scratch):
 
     def run():
         stream = spark.readStream.schema(pages.schema).parquet(src)
-        return S.deduplicated(spark, S.dedup_reports_stream(spark, driver_report_rows(stream), root=root))
+        return S.deduplicated(spark, S.dedup_reports_stream(spark, driver_report_rows(stream), dt.date(2026, 4, 23), root=root))
 
     first = run().count()
+    kept = S.reports_of(spark, root, "kept").count()
     assert first > 0
-    assert run().count() == first          # restart with no new input: nothing is processed twice
-    assert len(S.versions(spark, f"{root}/kept")) == 1
+    # restart with no new input: nothing is processed twice
+    assert run().count() == first and S.reports_of(spark, root, "kept").count() == kept
+
+
+def test_streams_without_rows_read_as_empty(spark, scratch):
+    master, empty = driver_tables(spark, SF).property_master, os.path.join(scratch, "empty")
+    os.makedirs(empty)
+    orders = spark.read.parquet(f"{SF}/orders.parquet").schema
+    visits = bind_visit_log(spark.readStream.schema(orders).parquet(empty))
+    log = spark.readStream.schema("nid string, fecha string, estado string, seq bigint").parquet(empty)
+    rows = spark.readStream.schema("nid string, fecha_reporte string, received_at timestamp_ntz").parquet(empty)
+    at = dt.date(2026, 4, 1)
+    assert S.read_keyed(spark, S.latest_upsert_stream(spark, visits), visits.schema).count() == 0
+    assert S.current_values(spark, S.status_fold_stream(spark, log, "2026-04-01")).count() == 0
+    assert S.deduplicated(spark, S.dedup_reports_stream(spark, rows, at)).count() == 0
+    assert S.daily_counts(spark, S.daily_counts_stream(spark, visits, master, ["P"], at)).count() == 0

@@ -30,6 +30,7 @@ PERM_SCOPE = "perm"
 WITHDRAWN = "desistido"
 KINDS = ("visita", "whatsapp", "cancelContacto", "cancelDesistido", "pubEstado",
          "pubComentario", "sfEstado", "sfComentario", "fcEstado", "fcComentario", "juzgado")
+FLAG_KINDS = ("whatsapp", "cancelDesistido")
 # ---------------------------------------------------------------------------
 
 
@@ -65,17 +66,31 @@ def _entries(day: str) -> Column:
     return F.filter(items, lambda e: e.isNotNull())
 
 
-def status_fold(log: DataFrame, day: str) -> DataFrame:
-    """Current shared status in long form ``(nid, kind, value)``.
+def status_entries(log: DataFrame, day: str) -> DataFrame:
+    """(nid, seq, kind, value): what each log row says, batch or streaming.
 
-    Daily kinds read rows dated ``day``; permanent kinds read rows dated
-    ``'perm'``.  Last write (highest ``seq``) wins per (nid, kind).
-    """
+    Daily kinds read rows dated ``day``; permanent kinds read rows dated ``'perm'``."""
     rows = clean_log(log).filter((F.col("nid") != "") & (F.col("estado") != ""))
     rows = rows.filter(F.col("fecha").isin(day, PERM_SCOPE))
-    ex = rows.select("nid", "seq", F.explode(_entries(day)).alias("e"))
-    return (ex.groupBy("nid", F.col("e.kind").alias("kind"))
-            .agg(F.max_by(F.col("e.value"), F.col("seq")).alias("value")))
+    return rows.select("nid", "seq", F.explode(_entries(day)).alias("e")).select("nid", "seq", "e.kind", "e.value")
+
+
+def status_fold(log: DataFrame, day: str) -> DataFrame:
+    """Current shared status in long form ``(nid, kind, value)`` (B1 / R12): the
+    last write (highest ``seq``) wins per (nid, kind)."""
+    return status_entries(log, day).groupBy("nid", "kind").agg(F.max_by("value", "seq").alias("value"))
+
+
+def status_wide(log: DataFrame, day: str) -> DataFrame:
+    """Current shared status, one row per key with a column per kind (R12): the
+    original's eleven maps.  Where a map lacks the key the column is null; flags are true or null.
+
+    One conditional aggregate per kind: the log is shuffled once, pre-aggregated."""
+    def column(kind: str) -> Column:
+        last = F.max_by("value", F.when(F.col("kind") == kind, F.col("seq")))
+        return (last == "true" if kind in FLAG_KINDS else last).alias(kind)
+
+    return status_entries(log, day).groupBy("nid").agg(*[column(k) for k in KINDS])
 
 
 def day_status(log: DataFrame, day: str) -> DataFrame:

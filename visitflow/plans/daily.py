@@ -43,6 +43,7 @@ REPORTS = {
     "reasons": R.reasons_lookup,
     "sheet_published": R.sheet_published,
     "status_current": R.status_current,
+    "status_wide": R.status_wide,
     "visit_reminder": O.visit_reminder,
     "cancelled_digest": O.cancelled_digest,
     "cancelled_digest_lines": O.cancelled_digest_lines,

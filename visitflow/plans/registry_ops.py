@@ -3,6 +3,7 @@ tables, each with an independent DuckDB oracle."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -632,21 +633,30 @@ def _files(spark, sf, name, parts=3):
 
 
 def _st1(spark, sf):
-    return S.current_values(spark, S.status_fold_stream(spark, bind_status_log(_files(spark, sf, "events")), P_ORD.status_day_str), ["nid", "kind"])
+    return S.current_values(spark, S.status_fold_stream(spark, bind_status_log(_files(spark, sf, "events")), P_ORD.status_day_str))
 
 
 def _st2(spark, sf):
-    return S.deduplicated(spark, S.dedup_reports_stream(spark, driver_report_rows(_files(spark, sf, "pages"))))
+    return S.deduplicated(spark, S.dedup_reports_stream(spark, driver_report_rows(_files(spark, sf, "pages")), P_REP.as_of))
 
 
 def _st3(spark, sf):
-    out = S.latest_upsert_stream(spark, bind_visit_log(_files(spark, sf, "orders")))
-    return S.read_keyed(spark, out).select("nid", "status", "modified_date", "record_id")
+    visits = bind_visit_log(_files(spark, sf, "orders"))
+    return S.read_keyed(spark, S.latest_upsert_stream(spark, visits), visits.schema).select("nid", "status", "modified_date", "record_id")
 
 
 def _st4(spark, sf):
-    visits = bind_visit_log(_files(spark, sf, "orders"))
-    return S.daily_counts(spark, S.daily_counts_stream(spark, visits, tables(spark, sf).property_master, P_MTD.cancel_statuses_digest))
+    """The log as it grows: three parts in order of time, a run after each, and at each run the part before is closed."""
+    orders, path = spark.read.parquet(f"{sf}/orders.parquet"), _io_dir(spark, "stream/orders")
+    run, day = f"{path}/run", F.to_date("o_orderdate")
+    first, last = orders.agg(F.min(day), F.max(day)).first()
+    part = (last - first) // 3 + dt.timedelta(days=1)
+    for k in range(3):
+        begin, end = first + k * part, first + (k + 1) * part
+        orders.filter((day >= F.lit(begin)) & (day < F.lit(end))).write.mode("append").parquet(f"{path}/in")
+        S.daily_counts_stream(spark, bind_visit_log(S.stream_source(spark, f"{path}/in")), tables(spark, sf).property_master, P_MTD.cancel_statuses_digest,
+                              end - dt.timedelta(days=1), part.days, root=run)
+    return S.daily_counts(spark, run)
 
 
 register("stream_status_fold", _fold_sql(P_ORD.status_day_str), ("status_log",))(_st1)

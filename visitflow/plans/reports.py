@@ -554,3 +554,8 @@ def sheet_published(t: Tables, p: Params) -> DataFrame:
 def status_current(t: Tables, p: Params) -> DataFrame:
     """Long (nid, kind, value) form of the shared status."""
     return status_fold(t.status_log, p.status_day_str)
+
+
+def status_wide(t: Tables, p: Params) -> DataFrame:
+    """R12 as the original answers it: one column for each of its eleven maps."""
+    return status.status_wide(t.status_log, p.status_day_str)

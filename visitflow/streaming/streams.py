@@ -2,47 +2,51 @@
 
 The original re-reads whole inputs on every request; here the inputs that are
 really streams (the status log, the visit log, report rows) are read
-incrementally with ``trigger(availableNow=True)``.
-
-Output contract.  A stream writes *versions*: the folder ``v=<batch id>`` holds
-what one micro-batch changed and counts once its ``_SUCCESS`` file is there.  No
-version is ever rewritten by a later batch, so a reader never meets a half
-written table, and a batch that runs again after a failure writes the same
-folder again.  Run to completion over the files in any order, every stream
-equals its batch twin.  Without ``root`` each call starts a fresh run folder
-under ``spark.checkpoint.dir``; with a stable ``root`` a restarted stream resumes
-from its checkpointed offsets and state.
-
-* ST1 ``status_fold_stream``: status fold in update mode; a version holds the
-  changed (nid, kind) values.  Read with ``current_values``.
-* ST2 ``dedup_reports_stream``: one row per (nid, report date).  Rows further
-  than ``horizon`` behind the newest row seen so far are late: they are set aside
-  in a side table, never lost.  Read with ``deduplicated``.
-* ST3 ``latest_upsert_stream``: latest visit per key; keys are hashed into buckets,
-  and a version rewrites only the buckets its batch touches.  Read with
-  ``read_keyed``; ``vacuum`` deletes replaced buckets.
-* ST4 ``daily_counts_stream``: cancellations per agent and UTC day; a version holds
-  the counts of its batch, in order of days.  Read with ``daily_counts``.  With
-  ``closed_only`` it emits final windows behind a watermark instead.
+incrementally with ``trigger(availableNow=True)``, once per run.
+
+Results live where the engine keeps them.  A fold's current values are the state
+of its aggregate, read back with the state data source: the engine folds its change
+files into snapshots and deletes old ones, so a read costs the same after ten
+batches and after ten thousand.  Final rows go to a parquet file sink, whose log makes
+each batch visible once and as a whole.  Work per micro-batch is that of its rows,
+whatever came before.  Without ``root`` each call starts a fresh run folder under
+``spark.checkpoint.dir``; with a stable ``root`` a restarted stream resumes.
+
+* ST1 ``status_fold_stream``, read with ``current_values``.
+* ST2 ``dedup_reports_stream``: duplicates within a horizon are dropped by the
+  engine's watermark, which also forgets keys behind it.  Read with ``deduplicated``.
+* ST3 ``latest_upsert_stream``: latest row per key, read with ``read_keyed``.
+* ST4 ``daily_counts_stream``: tumbling days behind a watermark.  ``daily_counts`` adds
+  up the closed days, the open ones and what came late; ``closed_counts`` are the
+  closed days alone.
+
+Late rows (ST2, ST4).  A run has a day, ``as_of``, which never goes back.  Rows that are
+older than the horizon on that day, or without a time, are set aside in a stream of
+their own; newer times count as ``as_of``.  The watermark can then never pass
+a row that is not set aside, so no row is lost, in whatever order files come.
+
+State is held by key in ``spark.sql.shuffle.partitions`` partitions, fixed by the first
+run of a folder; for large state set ``spark.sql.streaming.stateStore.providerClass``
+to the RocksDB provider.  A stream that has seen no row reads as an empty table.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from ..functions.text import falsy_chain
 from ..operators import joins
-from ..operators.latest import latest_per_key
-from ..operators.status import status_fold
+from ..operators.status import status_entries
 from ..session import checkpoint_path
 
-#: Buckets of the keyed table of ST3.
-BUCKETS = 16
-
 
 def stream_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Parquet file or folder as a stream.  A single file is addressed
@@ -60,192 +64,161 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return checkpoint_path(spark, f"streams/{name}/{uuid.uuid4().hex}")
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def _checkpoint(run: str, part: str = "main") -> str:
+    return f"{run}/checkpoints/{part}"
+
+
+def _run(writer: DataStreamWriter, run: str, part: str = "main") -> None:
+    """Process what is there and wait for it."""
+    writer.option("checkpointLocation", _checkpoint(run, part)).trigger(availableNow=True).start().awaitTermination()
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete versions below ``root``."""
-    fs, p = _path(spark, root)
-    if not fs.exists(p):
-        return []
-    found = [st.getPath() for st in fs.listStatus(p)]
-    return sorted(int(x.getName()[2:]) for x in found if x.getName().startswith("v=")
-                  and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")))
+def _append(rows: DataFrame, run: str, part: str) -> None:
+    _run(rows.writeStream.outputMode("append").format("parquet").option("path", f"{run}/{part}"), run, part)
 
 
-def _read_versions(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
-    """Rows of the complete versions (with their number ``v``); None when there is none."""
-    found = [v for v in versions(spark, root) if below is None or v < below]
-    return spark.read.option("basePath", root).parquet(*[f"{root}/v={v}" for v in found]) if found else None
+def _appended(spark: SparkSession, run: str, part: str, schema: StructType | str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(f"{run}/{part}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
-def _write_version(df: DataFrame, root: str, batch_id: int, by: str | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(by) if by else writer).parquet(f"{root}/v={batch_id}")
+def _state(spark: SparkSession, run: str, part: str = "main") -> DataFrame | None:
+    """Keys and values of an aggregate's state as of the last batch; None before the first."""
+    try:
+        rows = spark.read.format("statestore").load(_checkpoint(run, part))
+    except SparkRuntimeException as e:
+        if not (e.getCondition() or "").startswith("STDS_COMMITTED_BATCH_UNAVAILABLE"):
+            raise
+        return None
+    return rows.select("key", "value")
+
+
+def _values(state: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The state with its values' fields, one for each aggregate, named ``names``."""
+    return state.select("key", "value.*").toDF("key", *names)
 
 
 # ---------------------------------------------------------------- ST1 -----
+STATUS = "nid string, kind string, value string"
+
+
 def status_fold_stream(spark: SparkSession, log: DataFrame, day: str, name: str = "status_fold",
                        root: str | None = None) -> str:
-    """ST1: continuous status fold; returns the folder of the versions."""
+    """ST1: continuous status fold; returns the run folder."""
     run = root or _run_dir(spark, name)
-    out = f"{run}/versions"
-    q = (status_fold(log, day).writeStream.outputMode("update")
-         .option("checkpointLocation", f"{run}/_checkpoint")
-         .foreachBatch(lambda batch, i: _write_version(batch, out, i)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
+    fold = status_entries(log, day).groupBy("nid", "kind").agg(F.max(F.struct("seq", "value")).alias("last"))
+    _run(fold.writeStream.outputMode("update").format("noop"), run)
+    return run
 
 
-def current_values(spark: SparkSession, root: str, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """The newest version's value of each key."""
-    changes = _read_versions(spark, root)
-    return changes.groupBy(*keys).agg(F.max_by(value, "v").alias(value))
+def current_values(spark: SparkSession, run: str) -> DataFrame:
+    """(nid, kind, value): the last value of each key."""
+    state = _state(spark, run)
+    if state is None:
+        return spark.createDataFrame([], STATUS)
+    return _values(state, ["last"]).select("key.nid", "key.kind", "last.value")
 
 
 # ---------------------------------------------------------------- ST2 -----
-def dedup_reports_stream(spark: SparkSession, rows: DataFrame, horizon_days: int = 30,
+REPORT_KEYS = ["nid", "fecha_reporte"]
+
+
+def _split_late(rows: DataFrame, at: Column, as_of: dt.date, horizon_days: int) -> tuple[DataFrame, DataFrame]:
+    """(on time, late): the rows on time carry ``event_time``, ``at`` up to the end of ``as_of``."""
+    end = F.lit(dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time()).isoformat() + "Z").cast("timestamp")
+    first = end - F.make_dt_interval(days=F.lit(horizon_days))
+    timed = rows.withColumn("event_time", F.when(at.isNotNull(), F.least(at, end)))
+    recent = F.coalesce(F.col("event_time") >= first, F.lit(False))
+    return timed.filter(recent), timed.filter(~recent).drop("event_time")
+
+
+def dedup_reports_stream(spark: SparkSession, rows: DataFrame, as_of: dt.date, horizon_days: int = 30,
                          name: str = "dedup_reports", root: str | None = None) -> str:
     """ST2: duplicate-report suppression; returns the run folder (``kept`` and ``late``)."""
     run = root or _run_dir(spark, name)
-    keys = ["nid", "fecha_reporte"]
-
-    def dedup(batch: DataFrame, i: int) -> None:
-        batch = batch.select(*keys, F.col("received_at").cast("timestamp_ntz").alias("received_at"))
-        kept = _read_versions(batch.sparkSession, f"{run}/kept", below=i)
-        late = F.lit(False)
-        if kept is not None:
-            newest = kept.agg(F.max("received_at")).scalar()
-            late = F.coalesce(F.col("received_at") < newest - F.make_dt_interval(days=F.lit(horizon_days)), F.lit(False))
-        first = batch.filter(~late).groupBy(*keys).agg(F.min("received_at").alias("received_at"))
-        if kept is not None:
-            first = first.join(kept.select(*keys), keys, "left_anti")
-        _write_version(batch.filter(late), f"{run}/late", i)
-        _write_version(first, f"{run}/kept", i)
-
-    q = (rows.writeStream.option("checkpointLocation", f"{run}/_checkpoint").foreachBatch(dedup)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    rows = rows.select(*REPORT_KEYS, F.col("received_at").cast("timestamp").alias("received_at"))
+    recent, late = _split_late(rows, F.col("received_at"), as_of, horizon_days)
+    recent = recent.withWatermark("event_time", f"{horizon_days} days").dropDuplicatesWithinWatermark(REPORT_KEYS)
+    _append(recent.drop("event_time"), run, "kept")
+    _append(late, run, "late")
     return run
 
 
-def deduplicated(spark: SparkSession, run: str) -> DataFrame:
-    """Distinct (nid, fecha_reporte): the kept rows, and the late ones that no kept row covers."""
-    keys = ["nid", "fecha_reporte"]
-    return _read_versions(spark, f"{run}/kept").select(*keys).unionByName(
-        _read_versions(spark, f"{run}/late").select(*keys)).distinct()
+def reports_of(spark: SparkSession, run: str, part: str) -> DataFrame:
+    """Rows of ``kept`` or ``late``."""
+    return _appended(spark, run, part, "nid string, fecha_reporte string, received_at timestamp")
 
 
-# ---------------------------------------------------------------- ST3 -----
-def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def _newest_buckets(spark: SparkSession, root: str, below: int | None = None) -> dict[int, str]:
-    """Bucket -> folder of its newest version; at most one entry a bucket."""
-    out: dict[int, str] = {}
-    for v in versions(spark, root):
-        if below is None or v < below:
-            fs, p = _path(spark, f"{root}/v={v}")
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if name.startswith("bucket="):
-                    out[int(name[7:])] = f"{root}/v={v}/{name}"
-    return out
-
-
-def upsert_batch(spark: SparkSession, root: str, keys=("nid",), by: str = "modified_date",
-                 tiebreak: str = "record_id", buckets: int = BUCKETS):
-    """``foreachBatch`` function of ST3.  Batch ``k`` merges its rows with the
-    newest version below ``k`` of the buckets it touches and writes those
-    buckets as ``v=k``; running batch ``k`` again writes the same version."""
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("bucket", _bucket(list(keys), buckets))
-        touched = {r.bucket for r in rows.select("bucket").distinct().collect()}  # at most ``buckets`` numbers
-        old = [p for b, p in _newest_buckets(spark, root, batch_id).items() if b in touched]
-        if old:
-            before = spark.read.parquet(*old)
-            rows = rows.unionByName(before.withColumn("bucket", _bucket(list(keys), buckets)))
-        _write_version(latest_per_key(rows, list(keys), by, tiebreak), root, batch_id, "bucket")
-    return upsert
+def deduplicated(spark: SparkSession, run: str) -> DataFrame:
+    """Distinct (nid, fecha_reporte) of the kept rows and the late ones."""
+    return reports_of(spark, run, "kept").unionByName(reports_of(spark, run, "late")).select(*REPORT_KEYS).distinct()
 
 
+# ---------------------------------------------------------------- ST3 -----
 def latest_upsert_stream(spark: SparkSession, visits: DataFrame, keys=("nid",), by: str = "modified_date",
                          tiebreak: str = "record_id", name: str = "latest_upsert",
                          root: str | None = None) -> str:
-    """ST3: keyed latest-record table maintained per micro-batch; returns the folder of the versions."""
+    """ST3: latest row per key, kept up to date per micro-batch; returns the run folder."""
     run = root or _run_dir(spark, name)
-    out = f"{run}/versions"
-    q = (visits.writeStream.option("checkpointLocation", f"{run}/_checkpoint")
-         .foreachBatch(upsert_batch(spark, out, keys, by, tiebreak)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
+    first = [by, tiebreak]
+    rest = [c for c in visits.columns if c not in (*keys, *first)]
+    latest = visits.groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("row"))
+    _run(latest.writeStream.outputMode("update").format("noop"), run)
+    return run
 
 
-def read_keyed(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of every bucket."""
-    return spark.read.parquet(*_newest_buckets(spark, root).values())
+def read_keyed(spark: SparkSession, run: str, schema: StructType) -> DataFrame:
+    """The latest row of each key; ``schema`` is that of the visits."""
+    state = _state(spark, run)
+    if state is None:
+        return spark.createDataFrame([], schema)
+    return _values(state, ["row"]).select("key.*", "row.*").select(*schema.names)
 
 
-def vacuum(spark: SparkSession, root: str) -> int:
-    """Delete bucket folders that a newer complete version replaced; returns their number.
-    Call it when no reader is on an older version."""
-    newest, gone = set(_newest_buckets(spark, root).values()), 0
-    for v in versions(spark, root):
-        fs, p = _path(spark, f"{root}/v={v}")
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("bucket=") and f"{root}/v={v}/{name}" not in newest:
-                fs.delete(st.getPath(), True)
-                gone += 1
-    return gone
+# ---------------------------------------------------------------- ST4 -----
+COUNTS = "dia string, agente string, canceladas bigint"
 
 
-# ---------------------------------------------------------------- ST4 -----
-def _cancellations(visits: DataFrame, master: DataFrame, cancel_statuses) -> DataFrame:
+def cancellations(visits: DataFrame, master: DataFrame, cancel_statuses) -> DataFrame:
+    """Cancelled visits with their agent and the day of their last change."""
     v = visits.filter(F.col("status").isin(list(cancel_statuses)))
     v = joins.left_cast(v, master, "nid", "nid", ["c_comercial_captacion"])
-    return v.withColumn("agente", falsy_chain("c_comercial_captacion", "email_agendador"))
+    return v.select(F.substring("modified_date", 1, 10).alias("dia"), falsy_chain("c_comercial_captacion", "email_agendador").alias("agente"), "modified_date")
 
 
-def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFrame, cancel_statuses,
-                        name: str = "daily_counts", closed_only: bool = False, lateness: str = "1 day",
-                        root: str | None = None) -> str:
-    """ST4: cancellations per agent and UTC day; returns the folder of the result.
+def daily_counts_stream(spark: SparkSession, visits: DataFrame, master: DataFrame, cancel_statuses, as_of: dt.date,
+                        horizon_days: int = 7, name: str = "daily_counts", root: str | None = None) -> str:
+    """ST4: cancellations per agent and UTC day; returns the run folder.
 
-    By default each batch adds its own counts, so no window stays in memory and
-    no row is too late.  ``closed_only`` emits a day once the watermark (newest
-    event time minus ``lateness``) has passed its end, and drops rows later than that."""
+    A day is closed, and its counts final but for late rows, once the newest event time is ``horizon_days`` past its end."""
     run = root or _run_dir(spark, name)
     md = F.col("modified_date")
-    if not closed_only:
-        out = f"{run}/versions"
-
-        def count(batch: DataFrame, i: int) -> None:
-            c = _cancellations(batch, master, cancel_statuses).groupBy(F.substring(md, 1, 10).alias("dia"), "agente")
-            # in order of days, so that a reader of a day skips most of a version
-            _write_version(c.agg(F.count(F.lit(1)).alias("canceladas")).repartitionByRange("dia").sortWithinPartitions("dia"), out, i)
-
-        (visits.writeStream.option("checkpointLocation", f"{run}/_checkpoint").foreachBatch(count)
-         .trigger(availableNow=True).start().awaitTermination())
-        return out
-    out = f"{run}/table"
-    v = _cancellations(visits, master, cancel_statuses)
-    # ISO text with a zone designator -> an instant, whatever the session time zone;
-    # tumbling windows are aligned to UTC days, and the day label is the UTC date text
-    v = v.withColumn("event_ts", F.coalesce(F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")),
-                                            F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))))
-    agg = (v.withWatermark("event_ts", lateness)
-           .groupBy(F.window("event_ts", "1 day").alias("w"), "agente")
-           .agg(F.min(F.substring(md, 1, 10)).alias("dia"), F.count(F.lit(1)).alias("canceladas")))
-    (agg.select("dia", "agente", F.col("canceladas").cast("bigint").alias("canceladas"))
-     .writeStream.outputMode("append").option("checkpointLocation", f"{run}/_checkpoint")
-     .format("parquet").option("path", out).trigger(availableNow=True).start().awaitTermination())
-    return out
-
-
-def daily_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Counts per day and agent over all versions."""
-    return _read_versions(spark, root).groupBy(F.col("dia").cast("string").alias("dia"), "agente").agg(F.sum("canceladas").alias("canceladas"))
+    # ISO text with a zone designator is an instant, whatever the session's time zone
+    at = F.coalesce(F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")), F.try_to_timestamp(md, F.lit("yyyy-MM-dd'T'HH:mm:ssX")))
+    rows, late = _split_late(cancellations(visits, master, cancel_statuses), at, as_of, horizon_days)
+    # the day is part of the key: times capped at as_of keep their own
+    days = (rows.withWatermark("event_time", f"{horizon_days} days").groupBy(F.window("event_time", "1 day").alias("w"), "dia", "agente")
+            .agg(F.count(F.lit(1)).alias("canceladas")))
+    _append(days.select("dia", "agente", "canceladas"), run, "closed")
+    _append(late.select("dia", "agente"), run, "late")
+    return run
+
+
+def closed_counts(spark: SparkSession, run: str) -> DataFrame:
+    """(dia, agente, canceladas) of the closed days."""
+    return _appended(spark, run, "closed", COUNTS)
+
+
+def daily_counts(spark: SparkSession, run: str) -> DataFrame:
+    """(dia, agente, canceladas) over closed and open days, late rows included.  Read it between runs."""
+    parts = closed_counts(spark, run)
+    late = _appended(spark, run, "late", "dia string, agente string")
+    parts = parts.unionByName(late.withColumn("canceladas", F.lit(1).cast("bigint")))
+    state = _state(spark, run, "closed")
+    if state is not None:
+        parts = parts.unionByName(_values(state, ["canceladas"]).select("key.dia", "key.agente", "canceladas"))
+    return parts.groupBy("dia", "agente").agg(F.sum("canceladas").alias("canceladas"))

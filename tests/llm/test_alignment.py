@@ -130,17 +130,34 @@ def test_long_texts_many_runs_and_a_deep_tree(spark, coder, monkeypatch):
     assert rows_of(got) == brute(coder, rows)
 
 
+def test_two_tables_one_after_the_other(spark, coder):
+    for held in (texts()[:50], texts()[60:90]):
+        rows = [(i, t, "en", "s", 1) for i, t in enumerate(held)]
+        assert rows_of(A.align_documents(docs(spark, rows), *PATHS)) == brute(coder, rows)
+
+
 def test_empty_table(spark):
     out = A.align_documents(docs(spark).limit(0), *PATHS)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"] and out.count() == 0
 
 
-def test_a_pair_that_was_not_counted_raises():
-    pairs = np.arange(10, dtype=np.int64)
-    h = A.PerfectHash.of(pairs)
-    order = np.empty_like(pairs)
-    order[h.numbers(pairs)] = pairs
-    rows = [(b, 10, h.sizes, h.packed(), order.tobytes(), np.ones(10, np.int64).tobytes()) for b in range(A.BUCKETS)]
-    table = A.Counts(rows, np.ones(1), 32_000)
+def test_lookups_are_verified(coder):
+    """A worker may remember pieces of another table: only those that the documents hold must have counts."""
+    pairs = np.unique(np.random.default_rng(1).integers(0, 1 << 30, 5_000))
+    buckets, rows = A.bucket_of(pairs), []
+    for b in np.unique(buckets).tolist():
+        h, own = A.PerfectHash.of(pairs[buckets == b]), pairs[buckets == b]
+        order = np.empty_like(own)
+        order[h.numbers(own)] = own
+        rows.append((b, len(own), h.sizes, h.packed(), order.tobytes(), (order * 3).tobytes()))
+    table = A.Counts(rows, np.zeros(len(coder.bytes_a), np.int64), coder.width)
+    got, mine, lost = table.of(pairs)
+    assert (got == pairs * 3).all() and mine.all() and not lost.any()
+    other = np.setdiff1d(np.random.default_rng(2).integers(0, 1 << 30, 5_000), pairs)
+    got, mine, lost = table.of(other)
+    assert not got.any() and (lost == mine).all()
+    looked = A.Looked(table)
+    pieces, _ = coder.numbers(["some words of another table"])
+    assert looked.of(coder, pieces[:0]).shape == (0, 2)
     with pytest.raises(RuntimeError):
-        table.of(np.array([99], np.int64))
+        looked.of(coder, pieces)

@@ -55,7 +55,7 @@ RUN_PAIRS = 1 << 21
 #: Pairs of one lookup round.
 ROUND_PAIRS = 1 << 23
 #: Characters and number of remembered pieces.
-MEMO, PIECES = 1 << 23, 400_000
+MEMO, PIECES = 1 << 23, 600_000
 #: Characters of a piece from which it is encoded by itself.
 LONG = 2_000
 #: Characters of text that are aligned together.
@@ -497,51 +497,53 @@ class Counts:
         counts = np.concatenate([*counts, np.zeros(0, np.int64)])
         self.counts = counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts
 
-    def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs' counts, and whether they lie in these buckets; a pair that should but does not raises."""
+    def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs' counts, whether they lie in these buckets, and whether they should but were not counted."""
         bucket = bucket_of(pairs)
         mine = self.here[bucket]
-        out, left = np.zeros(len(pairs), np.int64), np.flatnonzero(mine)
+        out, found, left = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool), np.flatnonzero(mine)
         for level in range(len(self.sizes)):
             size, start = self.sizes[level, bucket[left]], self.starts[level, bucket[left]]
             at = start + (mix(pairs[left], level + 1) % np.maximum(size, 1).astype(np.uint64)).astype(np.int64)
             byte, place = self.bits[at >> 3], (at & 7).astype(np.uint8)
             hit = (size > 0) & ((byte >> (7 - place)) & 1 == 1)
             number = self.ones[at[hit] >> 3].astype(np.int64) + np.bitwise_count((byte[hit].astype(np.uint16) >> (8 - place[hit])).astype(np.uint8))
-            known = self.pairs[number] == pairs[left[hit]]
-            if not known.all():
-                break
-            out[left[hit]] = self.counts[number]
+            # the place may be another pair's
+            same = self.pairs[number] == pairs[left[hit]]
+            out[left[hit][same]] = self.counts[number[same]]
+            found[left[hit][same]] = True
             left = left[~hit]
-        if len(left):
-            raise RuntimeError("a linked pair was not counted: the documents changed between the passes")
-        return out, mine
+        return out, mine, mine & ~found
 
 
 ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
 class Looked:
-    """Sums over the links of an aligner's pieces, looked up once a piece: counts, and links at their A id's best."""
+    """Sums over the links of an aligner's pieces, looked up once a piece: links at their A id's best, counts, and links
+    that were not counted.  The aligner may remember pieces of other tables, whose pairs this one lacks."""
 
     def __init__(self, counts: Counts):
         self.counts, self.generation, self.upto = counts, -1, 0
-        self.sums = np.zeros((0, 2), np.int64)
+        self.sums = np.zeros((0, 3), np.int64)
 
-    def follow(self, aligner: Aligner) -> np.ndarray:
+    def of(self, aligner: Aligner, pieces: np.ndarray) -> np.ndarray:
         if self.generation != aligner.generation:
             self.generation, self.upto = aligner.generation, 0
         if len(self.sums) < len(aligner.sizes):
-            self.sums = np.concatenate([self.sums, np.zeros((len(aligner.sizes) - len(self.sums), 2), np.int64)])
+            self.sums = np.concatenate([self.sums, np.zeros((len(aligner.sizes) - len(self.sums), 3), np.int64)])
         if self.upto < aligner.count:
             starts = aligner.starts[self.upto:aligner.count + 1]
             pairs = aligner.pairs[starts[0]:starts[-1]]
-            got, mine = self.counts.of(pairs)
-            best = mine & (got == self.counts.best[pairs // self.counts.width])
+            got, mine, lost = self.counts.of(pairs)
+            best = mine & ~lost & (got == self.counts.best[pairs // self.counts.width])
             # every piece has a link
-            self.sums[self.upto:aligner.count] = np.add.reduceat(np.stack([best, got], 1), starts[:-1] - starts[0])
+            self.sums[self.upto:aligner.count] = np.add.reduceat(np.stack([best, got, lost], 1), starts[:-1] - starts[0])
             self.upto = aligner.count
-        return self.sums
+        own = self.sums[pieces]
+        if own[:, 2].any():
+            raise RuntimeError("a linked pair was not counted: the documents changed between the passes")
+        return own[:, :2]
 
 
 def worker_lookups(table, token: str) -> Looked:
@@ -556,7 +558,7 @@ def _lookups(vocabularies, table, token: str):
         aligner, looked = worker_aligner(*vocabularies.value), worker_lookups(table, token)
         names = [f.split()[0] for f in ALIGNED.split(", ")]
         for keys, pieces, lengths in aligned(aligner, batches):
-            own = looked.follow(aligner)[pieces]
+            own = looked.of(aligner, pieces)
             per_piece = np.concatenate([aligner.sizes[pieces], (aligner.starts[pieces + 1] - aligner.starts[pieces])[:, None], own], 1)
             sums = np.zeros((len(lengths), 6), np.int64)
             full = np.flatnonzero(lengths)

@@ -149,7 +149,8 @@ def test_late_reports_are_set_aside(spark, scratch):
     run = S.dedup_reports_stream(spark, stream, dt.date(2026, 6, 20), root=os.path.join(scratch, "run"))
     assert same(S.deduplicated(spark, run), df.select("nid", "fecha_reporte").distinct())
     kept, late = S.reports_of(spark, run, "kept"), S.reports_of(spark, run, "late")
-    recent = df.filter("received_at >= timestamp_ntz'2026-05-22'")
+    recent = df.filter("received_at > timestamp_ntz'2026-05-22'")
+    assert df.filter("received_at = timestamp_ntz'2026-05-22'").count() > 0
     # a row without a time is late; times after the run's day (2026-06-20) count as that day
     assert late.count() == df.count() - recent.count() and same(kept.select("nid", "fecha_reporte"), recent.select("nid", "fecha_reporte").distinct())
 
@@ -160,7 +161,7 @@ def test_dedup_forgets_what_lies_behind_the_horizon(spark, scratch):
     df = df.withColumn("nid", F.col("i").cast("string"))
     for k in range(9):
         df.filter(f"i % 90 between {10 * k} and {10 * k + 9}").write.mode("append").parquet(src)
-        S.dedup_reports_stream(spark, S.stream_source(spark, src), dt.date(2026, 4, 1) + dt.timedelta(days=10 * k + 9), 10, root=run)
+        S.dedup_reports_stream(spark, S.stream_source(spark, src), dt.date(2026, 4, 1) + dt.timedelta(days=10 * k + 9), 11, root=run)
     held = spark.read.format("statestore").load(f"{run}/checkpoints/kept").count()
     assert 0 < held < 0.4 * df.count() and S.reports_of(spark, run, "late").count() == 0
     assert same(S.deduplicated(spark, run), df.select("nid", "fecha_reporte").distinct())

@@ -91,6 +91,8 @@ class Params:
     coordinator_email: str = "coordination@example.com"
     notice_emails: tuple = ("coordination@example.com", "operations@example.com")
     max_messages: int | None = None
+    #: Reports see the visit log as it was at this time (ISO text); None: all of it.
+    known_at: str | None = None
     force_weekend: bool = False
     confirmed_label: str = CONFIRMED
     cancelled_label: str = CANCELLED

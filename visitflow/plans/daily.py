@@ -4,6 +4,7 @@
         --visit-type KIND --visit-category KIND --sender reports@... \
         [--links a.csv:Bogotá --links b.csv:Ciudades] [--followup ...] [--only report ...] \
         [--lookback-days 30] [--force-weekend] [--first-messages N] [--bucketed-db name --buckets 512] \
+        [--known-at 2026-04-23T23:59:59] [--visits-by-month <folder>] \
         [--mails <folder of parsed mails, kept from day to day; default: <out>/report_rows>]
 
 ``roles.json`` maps role names (FIXTURES.md) to parquet paths or catalog
@@ -27,7 +28,7 @@ from ..sources.roles import read_roles
 from . import outbox as O
 from . import reports as R
 from .bindings import Tables
-from .materialize import materialize_roles
+from .materialize import materialize_roles, visit_log_by_month
 
 REPORTS = {
     "visits_tomorrow": R.visits_tomorrow,
@@ -119,6 +120,8 @@ def main(argv=None) -> None:
     ap.add_argument("--followup", action="append")
     ap.add_argument("--only", nargs="*")
     ap.add_argument("--mails")
+    ap.add_argument("--known-at", help="reports see the visit log as it was then")
+    ap.add_argument("--visits-by-month", help="folder for the visit log laid out by month")
     ap.add_argument("--bucketed-db")
     ap.add_argument("--buckets", type=int, default=512)
     a = ap.parse_args(argv)
@@ -128,7 +131,9 @@ def main(argv=None) -> None:
     t = read_roles(spark, locations, _tabs(a.links), _tabs(a.followup), a.mails or f"{a.out.rstrip('/')}/report_rows")
     if a.bucketed_db:
         t = materialize_roles(spark, t, a.bucketed_db, a.buckets)
-    p = Params(as_of=a.as_of, visit_types=tuple(a.visit_type), visit_categories=tuple(a.visit_category), report_sender=a.sender,
+    if a.visits_by_month:
+        t = visit_log_by_month(t, a.visits_by_month)
+    p = Params(as_of=a.as_of, known_at=a.known_at, visit_types=tuple(a.visit_type), visit_categories=tuple(a.visit_category), report_sender=a.sender,
                force_weekend=a.force_weekend, max_messages=a.first_messages)
     if a.lookback_days is not None:
         p = p.with_(completed_lookback_days=a.lookback_days, cancelled_lookback_days=a.lookback_days)

@@ -11,8 +11,10 @@ a fresh database name, so nothing is rewritten in place.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .bindings import Tables
+from .reports import MONTH
 
 # role -> numeric key it is joined on
 KEYED_ROLES = {
@@ -33,10 +35,20 @@ def materialize_roles(spark: SparkSession, t: Tables, database: str, buckets: in
     roles = roles or KEYED_ROLES
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out = Tables(t)
-    out.spark, out.source_dir = t.spark, t.source_dir
     for role, key in roles.items():
         name = f"{database}.{role}"
         (t[role].write.mode("overwrite").format("parquet")
          .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
         out[role] = spark.table(name)
     return out
+
+
+def visit_log_by_month(t: Tables, folder: str) -> Tables:
+    """Write the visit log partitioned by the month of its last change and return a Tables view reading it: reports
+    that start at a date (R14-R18) read the partitions from there on."""
+    log = t.visit_log.withColumn(MONTH, F.substring("modified_date", 1, 7))
+    # a month of any size is dealt over several tasks
+    log.repartition(MONTH, F.pmod(F.xxhash64("record_id"), F.lit(16))).write.mode("overwrite").partitionBy(MONTH).parquet(folder)
+    out = Tables(t)
+    out["visit_log"] = log.sparkSession.read.schema(log.schema).parquet(folder)
+    return out

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as T
 from ..functions.keys import is_real_key, key_string, safe_cast
-from ..operators import aggs, filters, joins, latest, rules, sets
+from ..operators import aggs, filters, history, joins, latest, rules, sets
 from ..operators.extract import html_rows, report_rows
 from ..operators.positions import with_position
 from ..operators.status import clean_log, state_upsert
@@ -409,6 +409,27 @@ op("win_dedup_then_filter",
    """SELECT nid, record_id FROM (SELECT *, row_number() OVER (PARTITION BY nid ORDER BY modified_date DESC, record_id DESC)
       AS _rn FROM visit_log WHERE nid <> 'nan' AND nid IS NOT NULL) WHERE _rn = 1 AND status = 'O'""", VL)
 
+_MOMENTS = ("1996-07-01T00:00:00.000Z", "2000-02-29T12:00:00.000Z")
+
+
+def _as_of(t, sf):
+    """The visit of each property that was the latest at two moments."""
+    probes = t.property_master.select(F.col("nid").cast("string").alias("nid"), F.explode(F.array(*[F.lit(x) for x in _MOMENTS])).alias("at"))
+    found = history.as_of(t.visit_log.select("nid", "modified_date", "record_id", "status"), probes, ["nid"], "modified_date", "record_id", "at")
+    return found.select("nid", "at", "found.record_id", "found.status")
+
+
+op("win_as_of", _as_of, f"""
+SELECT DISTINCT ON (p.nid, m.moment) CAST(p.nid AS VARCHAR) AS nid, m.moment AS at, v.record_id, v.status
+FROM property_master p CROSS JOIN (VALUES ({q(_MOMENTS[0])}), ({q(_MOMENTS[1])})) m(moment)
+LEFT JOIN visit_log v ON v.nid = CAST(p.nid AS VARCHAR) AND v.modified_date <= m.moment
+ORDER BY p.nid, m.moment, v.modified_date DESC NULLS LAST, v.record_id DESC NULLS LAST""", ("visit_log", "property_master"))
+op("win_valid_at",
+   lambda t, sf: history.valid_at(history.validity(t.visit_log, ["nid"], "modified_date", "record_id"), F.lit(_MOMENTS[1])).select(
+       "nid", "record_id", "status"),
+   f"""SELECT DISTINCT ON (nid) nid, record_id, status FROM visit_log WHERE modified_date <= {q(_MOMENTS[1])}
+       ORDER BY nid, modified_date DESC, record_id DESC""", VL)
+
 # ------------------------------------------------ 2.6 sorts, limits, set ops
 op("sort_nulls",
    lambda t, sf: with_position(t.property_master.select("nid", "date_publication"), [F.col("date_publication").asc_nulls_first(), "nid"])
@@ -704,6 +725,21 @@ def _append(spark, sf):
     return latest.latest_per_key(spark.read.parquet(path), ["nid", "fecha"], "seq").select(*sinks.LOG_COLUMNS)
 
 
+def _many_writers(spark, sf):
+    """S12 with several writers: three submissions, sequenced in two runs; the last row of each key."""
+    log = sinks.StatusLog(spark, _io_dir(spark, "status_log_writers"))
+    rows = tables(spark, sf).status_log
+    for k in range(3):
+        log.submit(rows.filter((F.col("seq") >= k * 1000) & (F.col("seq") < (k + 1) * 1000) if k < 2 else F.col("seq") >= 2000), ["seq"])
+        if k:
+            log.sequence()
+    return latest.latest_per_key(log.rows(), ["nid", "fecha"], "seq").select(*sinks.LOG_COLUMNS)
+
+
+register("status_append_writers", """SELECT nid, fecha, arg_max(estado, seq) AS estado, '' AS usuario FROM status_log GROUP BY nid, fecha""",
+         ("status_log",))(_many_writers)
+
+
 register("scan_csv_typed", f"""SELECT CAST(p_partkey AS BIGINT) AS clave, CAST(p_size AS BIGINT) AS medida, CAST(NULL AS BIGINT) AS malo,
   {_ODD_TEXT[1]} AS nota FROM part""")(_csv_typed)
 register("scan_sheet_bom", f"SELECT CAST(p_partkey AS VARCHAR) AS nid, {_ODD_TEXT[1]} AS observaciones FROM part")(_sheet_bom)

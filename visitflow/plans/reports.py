@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import spanish_day_month, utc_to_local_hhmm
 from ..functions.keys import canonical_long, is_real_key
 from ..functions.text import clean, falsy_chain, iso_date_part, not_contains_ci, title_or_blank
-from ..operators import joins, rules
+from ..operators import joins, rules, status
 from ..operators.aggs import any_value
+from ..operators.history import valid_at, validity
 from ..operators.latest import first_per_key, latest_per_key
 from ..operators.status import status_fold
 from ..params import NO_INFO_LABEL, NO_VISIT_LABEL, Params
@@ -47,8 +48,37 @@ def _or_blank(c) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def tracked_visits(t: Tables, p: Params) -> DataFrame:
-    return t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types)) & is_real_key("nid"))
+#: Partition column of a visit log that is laid out by month (``materialize.visit_log_by_month``).
+MONTH = "modified_month"
+
+
+def visit_log(t: Tables, p: Params, since: str | None = None) -> DataFrame:
+    """The visit log, or what of it was known at ``p.known_at``; only rows modified ``since`` then.
+
+    A log laid out by month is pruned to the months in question.  With the role ``visit_history``
+    (``visit_history``) a past state is read without ranking the log."""
+    past = p.known_at is not None and "visit_history" in t
+    v = t.visit_history if past else t.visit_log
+    modified = F.col("modified_date")
+    if since is not None:
+        v = v.filter(modified >= F.lit(since))
+        v = v.filter(F.col(MONTH) >= F.lit(since[:7])) if MONTH in v.columns else v
+    if past:
+        v = valid_at(v, F.lit(p.known_at))
+    elif p.known_at is not None:
+        v = v.filter(modified.isNull() | (modified <= F.lit(p.known_at)))
+        v = v.filter(F.col(MONTH).isNull() | (F.col(MONTH) <= F.lit(p.known_at[:7]))) if MONTH in v.columns else v
+    return v
+
+
+def visit_history(log: DataFrame) -> DataFrame:
+    """The role ``visit_history``: the visit log with validity intervals.  Kinds of visit are tracked apart, since a
+    report picks the latest row among the kinds that it tracks."""
+    return validity(log, ["nid", "visit_type"], "modified_date", "record_id")
+
+
+def tracked_visits(t: Tables, p: Params, since: str | None = None) -> DataFrame:
+    return visit_log(t, p, since).filter(F.col("visit_type").isin(list(p.visit_types)) & is_real_key("nid"))
 
 
 def latest_visits(t: Tables, p: Params, only: Column | None = None, since: str | None = None) -> DataFrame:
@@ -59,9 +89,7 @@ def latest_visits(t: Tables, p: Params, only: Column | None = None, since: str |
     rest of the log is not shuffled.  ``since``: the caller keeps rows modified
     since then; the ranking column is that date, so older rows are never picked
     and are left out before the ranking (the filter reaches the scan)."""
-    v = tracked_visits(t, p)
-    if since is not None:
-        v = v.filter(F.col("modified_date") >= F.lit(since))
+    v = tracked_visits(t, p, since)
     if only is not None:
         v = joins.semi(v, v.filter(only).select("nid").distinct(), "nid", "nid")
     last = latest_per_key(v, "nid", "modified_date", tiebreak="record_id")
@@ -71,7 +99,8 @@ def latest_visits(t: Tables, p: Params, only: Column | None = None, since: str |
 def visit_state(t: Tables, p: Params) -> DataFrame:
     """(b_nid, b_status, b_done) per numeric key of the tracked category: the
     latest status, and whether any visit was finished, from one aggregate."""
-    v = t.visit_log.filter(F.col("visit_category").isin(list(p.visit_categories)))
+    # with a history, one row for each kind of a key; "was ever finished" needs all rows
+    v = visit_log(Tables({"visit_log": t.visit_log}), p).filter(F.col("visit_category").isin(list(p.visit_categories)))
     v = v.select(canonical_long("nid").alias("b_nid"), "status", "modified_date", "record_id").filter(F.col("b_nid").isNotNull())
     return v.groupBy("b_nid").agg(
         F.max_by("status", F.struct("modified_date", "record_id")).alias("b_status"),
@@ -158,7 +187,7 @@ def cancelled(t: Tables, p: Params) -> DataFrame:
                          [F.col("received_at").asc_nulls_first(), "doc_id", "row_pos"])
     kept = kept.withColumn("last_report", F.max("report_date").over(Window.partitionBy("nid")))
 
-    v = joins.semi(t.visit_log.filter(F.col("visit_type").isin(list(p.visit_types))), kept.select("nid").distinct(), "nid", "nid")
+    v = joins.semi(visit_log(t, p).filter(F.col("visit_type").isin(list(p.visit_types))), kept.select("nid").distinct(), "nid", "nid")
     last = latest_per_key(v, "nid", "modified_date", tiebreak="record_id")
     mod = F.col("modified_date")
     last = last.select(

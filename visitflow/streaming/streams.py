@@ -132,7 +132,8 @@ def _split_late(rows: DataFrame, at: Column, as_of: dt.date, horizon_days: int)
     end = F.lit(dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time()).isoformat() + "Z").cast("timestamp")
     first = end - F.make_dt_interval(days=F.lit(horizon_days))
     timed = rows.withColumn("event_time", F.when(at.isNotNull(), F.least(at, end)))
-    recent = F.coalesce(F.col("event_time") >= first, F.lit(False))
+    # a row at the watermark itself counts as behind it
+    recent = F.coalesce(F.col("event_time") > first, F.lit(False))
     return timed.filter(recent), timed.filter(~recent).drop("event_time")
 
 

@@ -63,11 +63,13 @@ def check(out, rows, width=4):
     assert all(r.kept == (r.doc_id == r.component_id) for d, r in got.items() if d is not None)
 
 
-@pytest.mark.parametrize("leaf", [64, 6])
-def test_components_match_brute_force(spark, monkeypatch, leaf):
-    """A small leaf sends the clusters through pivots, cores and deeper nodes."""
+@pytest.mark.parametrize("leaf,outside", [(64, 4096), (6, 6), (6, 4096)])
+def test_components_match_brute_force(spark, monkeypatch, leaf, outside):
+    """A small leaf sends the clusters through pivots, cores and deeper nodes, or compares them whole."""
     monkeypatch.setattr(near_text, "LEAF", leaf)
+    monkeypatch.setattr(near_text, "OUTSIDE", outside)
     monkeypatch.setattr(near_text, "PART", 16)
+    monkeypatch.setattr(near_text, "PART_ITEMS", 900)
     rows = corpus()
     check(near_text.groups(docs(spark, rows)), rows)
 
@@ -75,6 +77,7 @@ def test_components_match_brute_force(spark, monkeypatch, leaf):
 def test_pairs_at_the_threshold_meet_in_deep_trees(spark, monkeypatch):
     """Three of five tokens are common to all, so nodes stay large for some levels; pairs are planted at 0.8."""
     monkeypatch.setattr(near_text, "LEAF", 2)
+    monkeypatch.setattr(near_text, "OUTSIDE", 2)
     rng, rows = random.Random(3), []
     for i in range(0, 400, 2):
         first = [k if rng.random() < 0.6 else rng.getrandbits(40) for k in range(near_text.TOKENS)]
@@ -82,15 +85,46 @@ def test_pairs_at_the_threshold_meet_in_deep_trees(spark, monkeypatch):
     agree = {i: sum(map(int.__eq__, rows[i][1], rows[i + 1][1])) / near_text.TOKENS for i in range(0, 400, 2)}
     classes = spark.createDataFrame(rows, "id long, tokens array<long>").coalesce(1).cache()
     none = spark.createDataFrame([], "id long, component_id long")
-    got = near_text.candidate_pairs(classes, range(4, 12), none)
-    pairs, level = got if isinstance(got, tuple) else (got, None)
+    pairs, level, ends = near_text.candidate_pairs(classes, range(4, 12), none)
     found = {(r.a, r.b) for r in pairs.select("a", "b").collect()}
+    nodes = {}
+    for r in ends.collect():
+        nodes.setdefault(r.node, []).append(r.id)
+    # nodes that are compared on full sets
+    found |= {(a, b) for ids in nodes.values() for a in ids for b in ids if a < b}
     want = [i for i, share in agree.items() if share >= near_text.MAYBE]
     met = sum((i, i + 1) in found for i in want)
     print("met", met, "of", len(want), "level", level)
     assert len(want) >= 190 and met >= 0.995 * len(want)
 
 
+def test_outsiders_are_linked_on_full_sets(spark, monkeypatch):
+    """Links that join components of a part, at and below the threshold, and none inside a component."""
+    monkeypatch.setattr(near_text, "PART_ITEMS", 40)
+    sets = {1: range(10), 2: range(10), 3: range(8), 4: range(1, 10), 5: range(100, 110), 6: range(7), 7: [*range(8), 20, 21]}
+    frame = spark.createDataFrame([(i, [*s]) for i, s in sets.items()], "id long, items array<long>")
+    ends = spark.createDataFrame([(9, i, min(i, 2) if i < 3 else i, i < 3) for i in sets] + [(8, 5, 5, True), (8, 6, 6, False)],
+                                 "node long, id long, comp long, inside boolean")
+    got = {tuple(sorted((r.a, r.b))) for r in near_text._exact_links(ends, frame, 80).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    assert got <= links
+    parent = {i: i for i in sets}
+    parent[2] = 1
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def joined(pairs):
+        parent.update({i: i for i in sets} | {2: 1})
+        for a, b in sorted(pairs):
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in sets]
+
+    assert joined(got) == joined(links)
+
+
 def test_trees_grow_with_the_levels_and_the_recall():
     n = [near_text.trees_for(level, 0.99) for level in range(8)]
     assert n == sorted(n) and n[0] < n[7] <= 8

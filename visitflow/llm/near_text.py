@@ -9,14 +9,16 @@ branch on ``DEEPER`` positions, ``WAYS`` ways each time (1 / 0.8 a position in t
 first round).  A node of at most ``LEAF`` classes is compared
 exhaustively.  A larger one compares its members with ``PIVOTS`` of them.
 Members close to pivots that share close members form the node's core, which is
-one component.  If at most ``LEAF`` members stay outside, these are compared
+one component.  If at most ``OUTSIDE`` members stay outside, these are compared
 with the whole node and it ends; else it branches on.
 
 Trees are grown in two rounds.  Nodes of the first ``FIRST_TREES`` return the
 likeliest pairs that would join their members, not all pairs.  Once these are
 confirmed, a node of a later tree ends where its members already are one
-component, its core is its largest component, and all pairs of different
-components that may be links are returned.
+component, and its core is its largest component.  Its outsiders are compared with
+the whole node on full sets: a group of copies around the threshold has very many
+pairs that minwise tokens cannot rule out, and of its links only those are needed
+that join components.
 
 Nodes compare minwise tokens only.  Every pair that may reach the threshold is
 then confirmed on full sets, in steps: the pairs of the first round, then one
@@ -63,8 +65,10 @@ FIRST_TREES = 4
 DEEPER = 4
 #: Children of a large node in later trees; a pair at 0.8 shares two of them on average.
 WAYS = 5
-#: Members of a large node that one comparison holds, about.
-PART = 1024
+#: Members outside a large node's core up to which the node is compared and ends: fewer steps than its branches' rows.
+OUTSIDE = 4096
+#: Members of a large node, and shingles of members, that one comparison holds, about.
+PART, PART_ITEMS = 1024, 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 20
@@ -298,29 +302,89 @@ def _core(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": [rows["node"].iloc[0]], "core": [best], "outside": [int(n.sum()) - inside]})
 
 
-def _with_outside(forest: bool):
+def _with_outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, part, rank, id, comp, tokens) sorted by (node, part); rank 0 stands outside the core, -1
+    is any member -> each outsider's best pair of the part."""
+    names, kinds = ["a", "b", "share", "first"], [pa.int64(), pa.int64(), pa.float32(), pa.bool_()]
+    out: list[tuple] = []
+    for _, rows in _by_node(batches, 2):
+        rank, ids, comp, m = rows.column("rank").to_numpy(), rows.column("id").to_numpy(), rows.column("comp").to_numpy(), _matrix(rows)
+        members = np.flatnonzero(rank < 0)
+        for k in np.flatnonzero(rank >= 0).tolist() if len(members) else ():
+            share = np.where(comp[members] == comp[k], -1.0, (m[members] == m[k]).mean(1))
+            j = int(share.argmax())
+            if share[j] >= MAYBE:
+                out.append((int(ids[k]), int(ids[members[j]]), float(share[j]), True))
+        if len(out) >= 20_000:
+            yield _pair_batch(out, names, kinds)
+            out = []
+    yield _pair_batch(out, names, kinds)
+
+
+def _exact_outside(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (node, part, rank, id, comp, tokens) sorted by (node, part); rank 0 stands outside the core, -1
-        is any member -> each outsider's best pair of the part, or all its pairs, of different components."""
-        names, kinds = ["a", "b", "share", "first"], [pa.int64(), pa.int64(), pa.float32(), pa.bool_()]
-        out: list[tuple] = []
-        for _, rows in _by_node(batches, 2):
-            rank, ids, comp, m = rows.column("rank").to_numpy(), rows.column("id").to_numpy(), rows.column("comp").to_numpy(), _matrix(rows)
-            members = np.flatnonzero(rank < 0)
-            for k in np.flatnonzero(rank >= 0).tolist():
-                share = np.where(comp[members] == comp[k], -1.0, (m[members] == m[k]).mean(1))
-                hits = np.flatnonzero(share >= MAYBE)
-                if forest and len(hits):
-                    hits = [int(share.argmax())]
-                out += [(int(ids[k]), int(ids[members[j]]), float(share[j]), forest) for j in hits]
+        """Rows (node, part, rank, id, comp, items) sorted by (node, part, rank): the members of a part (rank -1), then the
+        outsiders one by one -> links that join components of the part."""
+        out: list[tuple[int, int]] = []
+        key, members, index = None, [], None
+
+        def flush() -> pa.RecordBatch:
+            batch = pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+            out.clear()
+            return batch
+
+        def find(c: int) -> int:
+            while parent.get(c, c) != c:
+                parent[c] = c = parent.get(parent[c], parent[c])
+            return c
+
+        parent: dict[int, int] = {}
+        for batch in batches:
+            node, part, rank, ids, comp = (batch.column(i).to_pylist() for i in range(5))
+            lists = batch.column(5)
+            flat, at = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], lists.value_lengths().to_numpy().cumsum()])
+            for k in range(batch.num_rows):
+                if (node[k], part[k]) != key:
+                    key, members, index, parent = (node[k], part[k]), [], None, {}
+                items = flat[at[k]:at[k + 1]]
+                if rank[k] < 0:
+                    members.append((ids[k], comp[k], items.copy()))
+                    continue
+                if index is None:
+                    sizes = np.array([len(m[2]) for m in members], np.int64)
+                    owner = np.repeat(np.arange(len(members), dtype=np.int32), sizes)
+                    every = np.concatenate([m[2] for m in members]) if members else np.zeros(0, np.int64)
+                    order = np.argsort(every, kind="stable")
+                    index = every[order], owner[order], sizes, np.array([m[1] for m in members], np.int64)
+                every, owner, sizes, comps = index
+                low, high = np.searchsorted(every, items, "left"), np.searchsorted(every, items, "right")
+                n = high - low
+                places = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                shared = np.bincount(owner[places], minlength=len(sizes))
+                hits = np.flatnonzero((100 * shared >= percent * (sizes + len(items) - shared)) & (comps != comp[k]))
+                for j in hits[np.unique(comps[hits], return_index=True)[1]].tolist():
+                    x, y = find(comp[k]), find(int(comps[j]))
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        out.append((ids[k], members[j][0]))
             if len(out) >= 20_000:
-                yield _pair_batch(out, names, kinds)
-                out = []
-        yield _pair_batch(out, names, kinds)
+                yield flush()
+        yield flush()
 
     return run
 
 
+def _exact_links(ends: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the outsiders of large nodes; ``ends`` (node, id, comp, inside)."""
+    rows = staged(ends.join(sets, "id"), "near-ends")
+    sizes = rows.groupBy("node").agg(F.ceil(F.sum(F.size("items")) / PART_ITEMS).cast("int").alias("parts"))
+    rows = rows.join(sizes, "node")
+    a = rows.select("node", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(-1).alias("rank"), "id", "comp", "items")
+    b = rows.where("NOT inside").select("node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rank"), "id", "comp", "items")
+    dealt = a.unionByName(b).repartition("node", "part").sortWithinPartitions("node", "part", "rank")
+    return staged(dealt.mapInArrow(_exact_outside(percent), "a long, b long"), "near-exact")
+
+
 def _token(at: Column) -> Column:
     return F.element_at("tokens", (F.pmod(at, F.lit(TOKENS)) + 1).cast("int"))
 
@@ -379,9 +443,11 @@ def trees_for(level: int, recall: float, similarity: float = 0.8) -> int:
     return trees
 
 
-def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None = None, max_depth: int = 64) -> tuple[DataFrame, int]:
+def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None = None,
+                    max_depth: int = 64) -> tuple[DataFrame, int, DataFrame | None]:
     """``classes`` (id, tokens) -> pairs (a, b, share, first) that some node of the
-    trees compares and that may be links, and the deepest level with a node.
+    trees compares and that may be links, the deepest level with a node, and the large
+    nodes (node, id, comp, inside) whose outsiders are to be compared on full sets.
     ``comps`` (id, component_id): components known so far; pairs inside one are left out."""
     # the root of each tree picks one position; the position is part of the child's name
     nodes = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(t), _token(F.xxhash64(F.lit(t)))) for t in trees])).alias("node"))
@@ -390,7 +456,7 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
         nodes = nodes.join(known, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     else:
         nodes = nodes.withColumn("comp", F.col("id"))
-    leaves, found, deepest, ways = [], [], 0, 1.25 ** DEEPER if known is None else WAYS
+    leaves, found, whole, deepest, ways = [], [], None, 0, 1.25 ** DEEPER if known is None else WAYS
     for level in range(max_depth):
         nodes = staged(nodes.select("node", "id", "comp"), "near-nodes")
         if level and nodes.isEmpty():
@@ -414,15 +480,19 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
             found.append(met)
         else:
             rated = _cores_by_components(members)
-        ends = rated.where(F.col("outside").between(1, LEAF))
-        found.append(_side_by_side(ends, ends.where("NOT inside").withColumn("rank", F.lit(0))).mapInArrow(_with_outside(known is None), PAIRS))
+        ends = rated.where(F.col("outside").between(1, OUTSIDE))
+        if known is None:
+            found.append(_side_by_side(ends, ends.where("NOT inside").withColumn("rank", F.lit(0))).mapInArrow(_with_outside, PAIRS))
+        else:
+            ends = ends.select("node", "id", "comp", "inside")
+            whole = ends if whole is None else whole.unionByName(ends)
 
         def child(k: int) -> Column:
             # ``ways`` children on average
             at = [_token(F.xxhash64("node", F.lit(DEEPER * k + i))) for i in range(DEEPER)]
             return F.when(F.lit(k) < F.floor(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1000)) / 1000 + ways), F.xxhash64("node", F.lit(k), *at))
 
-        nodes = (rated.where(F.col("outside") > LEAF)
+        nodes = (rated.where(F.col("outside") > OUTSIDE)
                  .select("id", "comp", F.explode(F.array_compact(F.array(*[child(k) for k in range(math.ceil(ways))]))).alias("node")))
     else:
         raise RuntimeError("nodes stay large; raise max_depth")
@@ -434,7 +504,7 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
     for more in found:
         pairs = pairs.unionByName(more)
     ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "share", "first")
-    return staged(ordered.groupBy("a", "b").agg(F.max("share").alias("share"), F.max("first").alias("first")), "near-pairs"), deepest
+    return staged(ordered.groupBy("a", "b").agg(F.max("share").alias("share"), F.max("first").alias("first")), "near-pairs"), deepest, whole
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -456,10 +526,14 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame, comps: DataFrame | None, width: int,
             percent: int) -> tuple[DataFrame, DataFrame, int]:
     """Links confirmed with those that the trees bring, their components, and the trees' deepest level."""
-    pairs, level = candidate_pairs(classes, trees, comps)
-    if comps is not None and pairs.isEmpty():
+    pairs, level, ends = candidate_pairs(classes, trees, comps)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    if ends is not None:
+        ends = staged(ends, "near-nodes")
+        wanted = wanted.unionByName(ends.select(F.col("id").alias("doc_id")))
+    wanted = staged(wanted.distinct(), "near-wanted")
+    if comps is not None and wanted.isEmpty():
         return links, comps, level
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "near-wanted")
     # a filter of the wanted ids drops the other texts before they shuffle
     table, bits = repeat_filter(wanted, "doc_id", times=1)
     some = may_repeat(docs.select(F.col("doc_id").cast("long"), "text"), table, bits, "doc_id").where("may_repeat").select("doc_id", "text")
@@ -467,6 +541,11 @@ def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame,
     if comps is None:
         links = staged(links.unionByName(confirmed(pairs, sets, percent)), "near-links")
         return links, connected(links), level
+    if ends is not None:
+        exact = _exact_links(ends, sets, percent)
+        if not exact.isEmpty():
+            links = staged(links.unionByName(exact).distinct(), "near-links")
+            comps = connected(links)
     # one pair for each two components, the likeliest; then all pairs that are still apart
     apart = staged(_apart(pairs, comps), "near-apart")
     tops = apart.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(F.max_by(F.struct("a", "b"), F.struct("share", "a", "b")).alias("p"))

@@ -70,9 +70,7 @@ _CODER = packing.WordIds(open(PATH).read())
 
 
 def test_memo_may_be_forgotten(monkeypatch):
-    monkeypatch.setattr(packing, "MEMO", 5)
-    monkeypatch.setattr(packing, "MEMO_PARTS", 5)
-    coder = packing.WordIds(open(PATH).read())
+    coder = packing.WordIds(open(PATH).read(), memo=5)
     texts = ["one two three four", "five six seven one, two!", "eight nine one two ten"] * 2
     assert [coder.encode([t])[0] for t in texts] == [ids_of(_TOKENIZER, t).tobytes() for t in texts]
 

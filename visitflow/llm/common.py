@@ -37,6 +37,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """In a task: hand memory that is no longer used back to the system, since the Python worker lives on."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def with_group(df: DataFrame, keys: list[str], spread: Column, first: dict[str, Column],
                last: dict[str, Column], salts: int = 64) -> DataFrame:
     """Attach aggregates of each row's group to the row.

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, with_group
+from .common import release, staged, with_group
 from .components import connected
 from .exact import may_repeat, repeat_filter
 
@@ -159,6 +159,7 @@ def _sketches(width: int):
             n, a, b, s = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
                                    pa.array(s, pa.list_(pa.int32()))], ["doc_id", "n_shingles", "fp1", "fp2", "tokens"])
+        release()
 
     return run
 
@@ -177,6 +178,7 @@ def _sets(width: int):
                 part = batch.slice(s, 500)
                 sets = [shingler.shingles(_bytes(t)).view(np.int64) for t in part.column(1)]
                 yield pa.record_batch([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "items"])
+        release()
 
     return run
 

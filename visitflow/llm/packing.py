@@ -34,15 +34,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 END = 2
 ENDING = END.to_bytes(4, "little")
 SIGNS = string.punctuation.encode()
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "loss_tokens long, sequence_segments int")
 BLOCK = 1 << 20
-#: Words, and parts of words, whose ids a Python worker remembers.
+#: Words whose ids a Python worker remembers, and twice as many parts of words: about 0.6 kB a word.
 MEMO = 400_000
-MEMO_PARTS = 800_000
 #: Characters of text that are encoded together.
 CHUNK = 1 << 20
 
@@ -67,9 +68,10 @@ class WordIds:
     encoded once, and a word of letters followed by ASCII signs is put together
     from its two parts."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, memo: int = MEMO):
         from tokenizers import Tokenizer
 
+        self.memo = memo
         self.tokenizer = Tokenizer.from_str(definition)
         #: ids that close a word
         suffix = self.tokenizer.model.end_of_word_suffix
@@ -98,9 +100,9 @@ class WordIds:
         self.parts.update(zip(words, map(data.__getitem__, map(slice, [0, *ends], ends))))
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > MEMO:
+        if len(self.words) + len(words) > self.memo:
             self.words.clear()
-        if len(self.parts) > MEMO_PARTS:
+        if len(self.parts) > 2 * self.memo:
             self.parts.clear()
         cores, tails, others = [], [], []
         for w in words:
@@ -200,11 +202,11 @@ def powers(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int,
         yield here
 
 
-def worker_coder(definition: str) -> WordIds:
+def worker_coder(definition: str, memo: int) -> WordIds:
     """The coder of this Python worker: later tasks of the worker find its words."""
     held = sys.modules.setdefault("visitflow_packing_worker", types.ModuleType("visitflow_packing_worker"))
-    if getattr(held, "definition", None) != definition:
-        held.definition, held.coder = definition, WordIds(definition)
+    if getattr(held, "definition", None) != (definition, memo):
+        held.definition, held.coder = (definition, memo), WordIds(definition, memo)
     return held.coder
 
 
@@ -221,12 +223,19 @@ def coded(coder: WordIds, batch: pa.RecordBatch) -> Iterator[tuple[int | None, b
     yield from zip(keys, coder.encode(texts), strict=True)
 
 
-def _packed(definition, limits: tuple[int, int, int], pool: int):
+def _packed(definition, limits: tuple[int, int, int], pool: int, memo: int):
     most = limits[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # the memo's many small objects hold no cycles
-        coder = worker_coder(definition.value)
+        try:
+            yield from pieces(batches)
+        finally:
+            gc.enable()
+            release()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = worker_coder(definition.value, memo)
         base = TaskContext.get().partitionId() << 32
         count = 0
         rows: list[tuple] = []
@@ -281,16 +290,17 @@ def _packed(definition, limits: tuple[int, int, int], pool: int):
                 if len(rows) >= 10_000:
                     yield flush()
         settle(True)
-        gc.enable()
         yield flush()
 
     return run
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, max_segments: int = 256,
-                   max_loss: int | None = None, pool: int = 1024) -> DataFrame:
-    """Pieces of all documents in sequences within the limits; the vocabulary file is read on the driver."""
+                   max_loss: int | None = None, pool: int = 1024, memo: int = MEMO) -> DataFrame:
+    """Pieces of all documents in sequences within the limits; the vocabulary file is read on the driver.
+
+    ``memo``: words that a worker remembers; fewer take less memory and more time, with the same result."""
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _packed(definition, (max_tokens, max_segments, max_loss or max_tokens), pool), SCHEMA)
+        _packed(definition, (max_tokens, max_segments, max_loss or max_tokens), pool, memo), SCHEMA)

@@ -45,8 +45,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 4096."""
-    return packing.pack_documents(docs, vocabulary())
+    """Token sequences of at most 4096.  The workers come out of the stages before with what these needed, so they
+    remember fewer words than where packing runs alone."""
+    return packing.pack_documents(docs, vocabulary(), memo=60_000)
 
 
 STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),

@@ -83,7 +83,7 @@ def test_pairs_at_the_threshold_meet_in_deep_trees(spark, monkeypatch):
         first = [k if rng.random() < 0.6 else rng.getrandbits(40) for k in range(near_text.TOKENS)]
         rows += [(i, first), (i + 1, [t if t == k or rng.random() < 0.5 else rng.getrandbits(40) for k, t in enumerate(first)])]
     agree = {i: sum(map(int.__eq__, rows[i][1], rows[i + 1][1])) / near_text.TOKENS for i in range(0, 400, 2)}
-    classes = spark.createDataFrame(rows, "id long, tokens array<long>").coalesce(1).cache()
+    classes = spark.createDataFrame([(*r, 100) for r in rows], "id long, tokens array<long>, size long").coalesce(1).cache()
     none = spark.createDataFrame([], "id long, component_id long")
     pairs, level, ends = near_text.candidate_pairs(classes, range(4, 12), none)
     found = {(r.a, r.b) for r in pairs.select("a", "b").collect()}
@@ -103,8 +103,8 @@ def test_outsiders_are_linked_on_full_sets(spark, monkeypatch):
     monkeypatch.setattr(near_text, "PART_ITEMS", 40)
     sets = {1: range(10), 2: range(10), 3: range(8), 4: range(1, 10), 5: range(100, 110), 6: range(7), 7: [*range(8), 20, 21]}
     frame = spark.createDataFrame([(i, [*s]) for i, s in sets.items()], "id long, items array<long>")
-    ends = spark.createDataFrame([(9, i, min(i, 2) if i < 3 else i, i < 3) for i in sets] + [(8, 5, 5, True), (8, 6, 6, False)],
-                                 "node long, id long, comp long, inside boolean")
+    ends = spark.createDataFrame([(9, i, 1 if i < 3 else i, i < 3, len(sets[i])) for i in sets] + [(8, 5, 5, True, 10), (8, 6, 6, False, 7)],
+                                 "node long, id long, comp long, inside boolean, size long")
     got = {tuple(sorted((r.a, r.b))) for r in near_text._exact_links(ends, frame, 80).collect()}
     links = {(a, b) for a in sets for b in sets if a < b and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
     assert got <= links

@@ -15,10 +15,10 @@ with the whole node and it ends; else it branches on.
 Trees are grown in two rounds.  Nodes of the first ``FIRST_TREES`` return the
 likeliest pairs that would join their members, not all pairs.  Once these are
 confirmed, a node of a later tree ends where its members already are one
-component, and its core is its largest component.  Its outsiders are compared with
-the whole node on full sets: a group of copies around the threshold has very many
-pairs that minwise tokens cannot rule out, and of its links only those are needed
-that join components.
+component, and its core is its largest component.  More than ``LEAF`` outsiders are
+compared with the whole node on full sets: a group of copies around the threshold
+has very many pairs that minwise tokens cannot rule out, and of its links only
+those are needed that join components.
 
 Nodes compare minwise tokens only.  Every pair that may reach the threshold is
 then confirmed on full sets, in steps: the pairs of the first round, then one
@@ -304,23 +304,27 @@ def _core(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": [rows["node"].iloc[0]], "core": [best], "outside": [int(n.sum()) - inside]})
 
 
-def _with_outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, part, rank, id, comp, tokens) sorted by (node, part); rank 0 stands outside the core, -1
-    is any member -> each outsider's best pair of the part."""
-    names, kinds = ["a", "b", "share", "first"], [pa.int64(), pa.int64(), pa.float32(), pa.bool_()]
-    out: list[tuple] = []
-    for _, rows in _by_node(batches, 2):
-        rank, ids, comp, m = rows.column("rank").to_numpy(), rows.column("id").to_numpy(), rows.column("comp").to_numpy(), _matrix(rows)
-        members = np.flatnonzero(rank < 0)
-        for k in np.flatnonzero(rank >= 0).tolist() if len(members) else ():
-            share = np.where(comp[members] == comp[k], -1.0, (m[members] == m[k]).mean(1))
-            j = int(share.argmax())
-            if share[j] >= MAYBE:
-                out.append((int(ids[k]), int(ids[members[j]]), float(share[j]), True))
-        if len(out) >= 20_000:
-            yield _pair_batch(out, names, kinds)
-            out = []
-    yield _pair_batch(out, names, kinds)
+def _with_outside(forest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (node, part, rank, id, comp, tokens) sorted by (node, part); rank 0 stands outside the core, -1
+        is any member -> each outsider's best pair of the part, or all its pairs, of different components."""
+        names, kinds = ["a", "b", "share", "first"], [pa.int64(), pa.int64(), pa.float32(), pa.bool_()]
+        out: list[tuple] = []
+        for _, rows in _by_node(batches, 2):
+            rank, ids, comp, m = rows.column("rank").to_numpy(), rows.column("id").to_numpy(), rows.column("comp").to_numpy(), _matrix(rows)
+            members = np.flatnonzero(rank < 0)
+            for k in np.flatnonzero(rank >= 0).tolist():
+                share = np.where(comp[members] == comp[k], -1.0, (m[members] == m[k]).mean(1))
+                hits = np.flatnonzero(share >= MAYBE)
+                if forest and len(hits):
+                    hits = [int(share.argmax())]
+                out += [(int(ids[k]), int(ids[members[j]]), float(share[j]), forest) for j in hits]
+            if len(out) >= 20_000:
+                yield _pair_batch(out, names, kinds)
+                out = []
+        yield _pair_batch(out, names, kinds)
+
+    return run
 
 
 def _exact_outside(percent: int):
@@ -377,13 +381,13 @@ def _exact_outside(percent: int):
 
 
 def _exact_links(ends: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the outsiders of large nodes; ``ends`` (node, id, comp, inside)."""
-    rows = staged(ends.join(sets, "id"), "near-ends")
-    sizes = rows.groupBy("node").agg(F.ceil(F.sum(F.size("items")) / PART_ITEMS).cast("int").alias("parts"))
-    rows = rows.join(sizes, "node")
-    a = rows.select("node", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(-1).alias("rank"), "id", "comp", "items")
-    b = rows.where("NOT inside").select("node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rank"), "id", "comp", "items")
-    dealt = a.unionByName(b).repartition("node", "part").sortWithinPartitions("node", "part", "rank")
+    """Links of the outsiders of large nodes; ``ends`` (node, id, comp, inside, size), size: shingles of the set."""
+    parts = ends.groupBy("node").agg(F.ceil(F.sum("size") / PART_ITEMS).cast("int").alias("parts"))
+    rows = ends.join(parts, "node")
+    a = rows.select("node", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(-1).alias("rank"), "id", "comp")
+    b = rows.where("NOT inside").select("node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rank"), "id", "comp")
+    dealt = a.unionByName(b).join(sets, "id").select("node", "part", "rank", "id", "comp", "items")
+    dealt = dealt.repartition("node", "part").sortWithinPartitions("node", "part", "rank")
     return staged(dealt.mapInArrow(_exact_outside(percent), "a long, b long"), "near-exact")
 
 
@@ -447,9 +451,9 @@ def trees_for(level: int, recall: float, similarity: float = 0.8) -> int:
 
 def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None = None,
                     max_depth: int = 64) -> tuple[DataFrame, int, DataFrame | None]:
-    """``classes`` (id, tokens) -> pairs (a, b, share, first) that some node of the
+    """``classes`` (id, tokens, size of the set) -> pairs (a, b, share, first) that some node of the
     trees compares and that may be links, the deepest level with a node, and the large
-    nodes (node, id, comp, inside) whose outsiders are to be compared on full sets.
+    nodes (node, id, comp, inside, size) whose outsiders are to be compared on full sets.
     ``comps`` (id, component_id): components known so far; pairs inside one are left out."""
     # the root of each tree picks one position; the position is part of the child's name
     nodes = classes.select("id", F.explode(F.array(*[F.xxhash64(F.lit(t), _token(F.xxhash64(F.lit(t)))) for t in trees])).alias("node"))
@@ -482,12 +486,11 @@ def candidate_pairs(classes: DataFrame, trees: range, comps: DataFrame | None =
             found.append(met)
         else:
             rated = _cores_by_components(members)
-        ends = rated.where(F.col("outside").between(1, OUTSIDE))
-        if known is None:
-            found.append(_side_by_side(ends, ends.where("NOT inside").withColumn("rank", F.lit(0))).mapInArrow(_with_outside, PAIRS))
-        else:
-            ends = ends.select("node", "id", "comp", "inside")
-            whole = ends if whole is None else whole.unionByName(ends)
+        ends = rated.where(F.col("outside").between(1, OUTSIDE if known is None else LEAF))
+        found.append(_side_by_side(ends, ends.where("NOT inside").withColumn("rank", F.lit(0))).mapInArrow(_with_outside(known is None), PAIRS))
+        if known is not None:
+            more = rated.where(F.col("outside").between(LEAF + 1, OUTSIDE)).select("node", "id", "comp", "inside", "size")
+            whole = more if whole is None else whole.unionByName(more)
 
         def child(k: int) -> Column:
             # ``ways`` children on average
@@ -525,6 +528,17 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return pairs.where("ca <> cb")
 
 
+def _joined(comps: DataFrame, links: DataFrame, salts: int = 16) -> DataFrame:
+    """``comps`` (id, component_id) after more links: only the components that these join are searched."""
+    between = _apart(links, comps).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    merged = connected(between)
+    # a component may hold any share of the ids
+    spread = merged.select(F.col("id").alias("component_id"), F.col("component_id").alias("now"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    old = comps.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(spread, ["component_id", "_salt"], "left")
+    new = merged.join(comps.select("id"), "id", "left_anti")
+    return staged(old.select("id", F.coalesce("now", "component_id").alias("component_id")).unionByName(new), "near-comps")
+
+
 def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame, comps: DataFrame | None, width: int,
             percent: int) -> tuple[DataFrame, DataFrame, int]:
     """Links confirmed with those that the trees bring, their components, and the trees' deepest level."""
@@ -545,18 +559,21 @@ def _extend(docs: DataFrame, classes: DataFrame, trees: range, links: DataFrame,
         return links, connected(links), level
     if ends is not None:
         exact = _exact_links(ends, sets, percent)
-        if not exact.isEmpty():
-            links = staged(links.unionByName(exact).distinct(), "near-links")
-            comps = connected(links)
+    else:
+        exact = links.limit(0)  # nothing to compare on full sets
     # one pair for each two components, the likeliest; then all pairs that are still apart
     apart = staged(_apart(pairs, comps), "near-apart")
     tops = apart.groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(F.max_by(F.struct("a", "b"), F.struct("share", "a", "b")).alias("p"))
     for rest in (tops.select("p.a", "p.b"), None):
         rest = staged(_apart(apart.select("a", "b"), comps).select("a", "b") if rest is None else rest, "near-rest")
-        if rest.isEmpty():
+        found = confirmed(rest, sets, percent)
+        if exact is not None:
+            found, exact = found.unionByName(exact), None
+        elif rest.isEmpty():
             break
-        links = staged(links.unionByName(confirmed(rest, sets, percent)), "near-links")
-        comps = connected(links)
+        found = staged(found, "near-found")
+        if not found.isEmpty():
+            links, comps = links.unionByName(found), _joined(comps, found)
     return links, comps, level
 
 
@@ -569,7 +586,7 @@ def groups(docs: DataFrame, width: int = 4, percent: int = 80, trees: int = 12,
                                {"rep": F.min("doc_id")}, {"rep": F.min("rep")}).select("doc_id", "n_shingles", "fp1", "rep"), "near-members")
     leads = member.where("n_shingles > 0 AND doc_id = rep").select("doc_id", "fp1").distinct()
     classes = staged(rows.join(leads, ["doc_id", "fp1"], "left_semi").dropDuplicates(["doc_id", "fp1"])
-                     .select(F.col("doc_id").alias("id"), "tokens"), "near-classes")
+                     .select(F.col("doc_id").alias("id"), "tokens", F.col("n_shingles").alias("size")), "near-classes")
     # an id with several texts links the classes of all of them
     several = member.where("n_shingles > 0").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
     own = member.where("n_shingles > 0").join(several, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(registry.ORACLES) <= set(registry.QUERIES)
 
 
@@ -35,7 +35,9 @@ COLUMNS = {
     "op2_chosen_path": "doc_id n_shingles component_id kept", "op3_bradley_terry": "doc_id held_out score predicted",
     "op5_sorted_projections": "vec_id n_links component_id kept", "op6_deep_shallow": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op7_exact_dedup": "doc_id keep_id group_size kept text_sha256", "op9_virtual_slots": "doc_id size text_crc32 law shard slot grown_shard",
-    "op10_vector_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op11_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12_tokenizer_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_redirect_filter": "page_id host path rule verdict", "op10_vector_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
 }
 
 
@@ -45,7 +47,7 @@ def test_contract_columns(spark, key):
     assert set(COLUMNS[key].split()) <= set(df.columns)
 
 
-@pytest.mark.parametrize("key", ["op4_source_mixing", "op7_exact_dedup", "op9_virtual_slots"])
+@pytest.mark.parametrize("key", ["op4_source_mixing", "op7_exact_dedup", "op9_virtual_slots", "op13_redirect_filter"])
 def test_native_queries_run_no_python(spark, key):
     text = registry.QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in text for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"))

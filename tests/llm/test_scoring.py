@@ -91,3 +91,18 @@ def test_buckets_grow_with_the_corpus(spark):
     few = S.corpus_vocabulary(docs(spark, patterned(10)))
     many = S.corpus_vocabulary(docs(spark, [(i, " ".join(f"w{i}x{k}" for k in range(20_000)), "en", "a", 1) for i in range(120)]))
     assert len(few.counts) == 1 << 10 and len(many.counts) == 1 << 11
+
+
+def test_rounds_together_train_every_position_once(spark):
+    rows = patterned(30) + [(None, "no id here", "en", "a", 1), (50, "long " * 20_000, "en", "a", 1), (50, None, "en", "a", 1)]
+    df = docs(spark, rows).repartition(3).localCheckpoint()
+    v = S.corpus_vocabulary(df)
+    model = spark.sparkContext.broadcast((v, S.Network(len(v.counts)).flat()))
+    for rounds in (1, 2, 3):
+        seen = [df.select("doc_id", "text").mapInArrow(S._train(model, 0.1, turn, rounds), S.PIECES).select("task", "n").distinct().groupBy().sum("n").first()[0]
+                for turn in range(rounds)]
+        assert sum(seen) == 30 * 120 + 3 + 20_000 and max(seen) < 1.3 * sum(seen) * -(-S.SHARES // rounds) / S.SHARES
+    # places of a document and documents are dealt apart, evenly
+    share = S.position_shares(7, 80_000)
+    assert abs(np.bincount(share.astype(int), minlength=S.SHARES) / 10_000 - 1).max() < 0.05
+    assert (share != S.position_shares(8, 80_000)).mean() > 0.8 and (share[::2] % 2 == 0).mean() < 0.55

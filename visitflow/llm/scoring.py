@@ -9,9 +9,11 @@ own).
 
 Counts cover all words of all documents, and the number of hash buckets grows
 with the square root of the number of words, between 2**10 and ``MOST``.
-Training masks a hashed share ``MASK`` of the positions of every document: in
-each round every task trains a copy of the network on what it reads, and the
-copies are averaged by their numbers of tokens, in two steps of bounded groups.
+Training predicts every position of every document once: positions are dealt
+into ``SHARES`` by a hash of document and place, each round takes its part of the
+shares, and the rounds together take all.  In a round every task trains a copy of
+the network on what it reads, and the copies are averaged by their numbers of
+tokens, in two steps of bounded groups.
 The driver holds counts and weights of at most ``MOST`` buckets.
 
 Defined results: a null or empty text has no tokens, log likelihood 0 and null
@@ -39,9 +41,10 @@ DIM = 16
 HIDDEN = 32
 OWN = 63
 CLASSES = 128
-MASK = 0.125
+#: Positions are trained in so many shares; a training step takes one share of what was read.
+SHARES = 8
 ROUNDS = 2
-#: Tokens read before a training step.
+#: Tokens read before training steps.
 CHUNK = 1 << 14
 #: Tokens of a text that the network scores together.
 BLOCK = 1 << 11
@@ -106,29 +109,44 @@ class Network:
             p[...] = flat[at:at + p.size].reshape(p.shape)
             at += p.size
 
+    def _outputs(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window ids (n x 2 SIDE) -> inputs, hidden values, outputs before the softmax, the largest of a row at 0."""
+        x = self.embed.take(around.ravel(), 0).reshape(len(around), -1)
+        h = x @ self.w1
+        h += self.b1
+        np.tanh(h, out=h)
+        z = h @ self.w2
+        z += self.b2
+        z -= z.max(1, keepdims=True)
+        return x, h, z
+
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Window ids (n x 2 SIDE) -> inputs, hidden values, log probabilities of classes."""
-        x = self.embed[around].reshape(len(around), -1)
-        h = np.tanh(x @ self.w1 + self.b1)
-        z = h @ self.w2 + self.b2
-        z -= z.max(1, keepdims=True)
+        x, h, z = self._outputs(around)
         return x, h, z - np.log(np.exp(z).sum(1, keepdims=True))
 
+    def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probability of one class a window."""
+        z = self._outputs(around)[2]
+        at = z[np.arange(len(target)), target]
+        return at - np.log(np.exp(z, out=z).sum(1))
+
     def gradients(self, around: np.ndarray, target: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean negative log probability of the target classes, and its gradients in the order of
         (input rows, w1, b1, w2, b2)."""
-        x, h, logp = self.forward(around)
-        n = len(target)
-        loss = -float(logp[np.arange(n), target].mean())
-        dz = np.exp(logp)
-        dz[np.arange(n), target] -= 1
-        dz /= n
+        x, h, dz = self._outputs(around)
+        n, rows = len(target), np.arange(len(target))
+        at = dz[rows, target]
+        total = np.exp(dz, out=dz).sum(1, keepdims=True)
+        loss = float((np.log(total[:, 0]) - at).mean())
+        dz /= total * n
+        dz[rows, target] -= 1 / n
         dh = (dz @ self.w2.T) * (1 - h * h)
         return loss, [(dh @ self.w1.T).reshape(-1, DIM), x.T @ dh, dh.sum(0), h.T @ dz, dz.sum(0)]
 
 
 class Trainer:
-    """Adagrad steps on masked positions."""
+    """Adagrad steps; a step predicts some positions from their windows."""
 
     def __init__(self, net: Network, rate: float):
         self.net, self.rate = net, rate
@@ -138,11 +156,11 @@ class Trainer:
         loss, (rows, *grads) = self.net.gradients(around, target)
         # one sum for each bucket that occurs
         ids, inverse = np.unique(around.ravel(), return_inverse=True)
-        dense = np.zeros((len(ids), DIM), np.float32)
-        order = np.argsort(inverse, kind="stable")
-        dense += np.add.reduceat(rows[order], np.searchsorted(inverse[order], np.arange(len(ids))), axis=0)
-        self.square[0][ids] += dense * dense
-        self.net.embed[ids] -= self.rate * dense / np.sqrt(self.square[0][ids])
+        cells = (inverse[:, None] * DIM + np.arange(DIM)).ravel()
+        dense = np.bincount(cells, rows.ravel(), len(ids) * DIM).astype(np.float32).reshape(-1, DIM)
+        square = self.square[0][ids] + dense * dense
+        self.square[0][ids] = square
+        self.net.embed[ids] -= self.rate * dense / np.sqrt(square)
         for p, s, g in zip(self.net.parts()[1:], self.square[1:], grads, strict=True):
             s += g * g
             p -= self.rate * g / np.sqrt(s)
@@ -168,8 +186,7 @@ def token_scores(net: Network, vocabulary: Vocabulary, text: np.ndarray) -> np.n
     out = np.empty(len(tokens), np.float64)
     for s in range(0, len(tokens), BLOCK):
         t = tokens[s:s + BLOCK]
-        logp = net.forward(around[s:s + BLOCK])[2]
-        out[s:s + BLOCK] = logp[np.arange(len(t)), vocabulary.class_of[t]] + vocabulary.log_share[t]
+        out[s:s + BLOCK] = net.log_probabilities(around[s:s + BLOCK], vocabulary.class_of[t]) + vocabulary.log_share[t]
     return out
 
 
@@ -196,34 +213,44 @@ def corpus_vocabulary(docs: DataFrame) -> Vocabulary:
     return Vocabulary(fine.reshape(buckets, -1).sum(1))
 
 
-def _train(model, rate: float, turn: int):
+def position_shares(doc_id: int | None, n: int) -> np.ndarray:
+    """The share of each of a document's ``n`` positions, by a hash of document and place."""
+    key = np.arange(n, dtype=np.uint64) + np.uint64((doc_id or 0) * 0xD6E8FEB86659FD93 % (1 << 64))
+    for _ in range(2):
+        key *= np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return (key * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(SHARES)
+
+
+def _train(model, rate: float, turn: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = model.value
         net, shingler = Network(len(vocabulary.counts)), Shingler(1)
         net.load(flat)
-        trainer, held, size, seen = Trainer(net, rate), [], 0, 0
+        trainer, held, dealt, size, seen = Trainer(net, rate), [], [], 0, 0
 
         def learn() -> int:
             tokens, around = windows(held, len(vocabulary.counts))
-            # masked positions: a hash of token, neighbours and turn
-            key = (tokens.astype(np.uint64) + np.uint64(turn)) * np.uint64(0x9E3779B97F4A7C15)
-            for c in around.T:
-                key = (key ^ c.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-                key ^= key >> np.uint64(29)
-            at = np.flatnonzero((key >> np.uint64(32)) < np.uint64(int(MASK * (1 << 32))))
-            if len(at):
-                trainer.step(around[at], vocabulary.class_of[tokens[at]])
-            return len(at)
+            share, done = np.concatenate(dealt), 0
+            # more rounds than shares begin again
+            for k in range(turn % SHARES, SHARES, rounds):
+                at = np.flatnonzero(share == k)
+                if len(at):
+                    trainer.step(around[at], vocabulary.class_of[tokens[at]])
+                done += len(at)
+            return done
 
         for batch in batches:
-            for text in batch.column(0):
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 ids = vocabulary.ids(word_hashes(shingler, text.as_py()))
+                share = position_shares(doc_id.as_py(), len(ids))
                 for s in range(0, len(ids), CHUNK):
                     held.append(ids[s:s + CHUNK])
+                    dealt.append(share[s:s + CHUNK])
                     size += len(held[-1])
                     if size >= CHUNK:
                         seen += learn()
-                        held, size = [], 0
+                        held, dealt, size = [], [], 0
         if held:
             seen += learn()
         flat = net.flat()
@@ -248,12 +275,13 @@ def _average(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, rate: float = 0.15) -> Network:
-    """Rounds of local training and averaging over all documents."""
+    """Rounds of local training and averaging over all documents; together they train every position."""
     net = Network(len(vocabulary.counts))
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
     sc = docs.sparkSession.sparkContext
     for turn in range(rounds):
         model = sc.broadcast((vocabulary, net.flat()))
-        copies = docs.select("text").mapInArrow(_train(model, rate / (1 + turn), turn), PIECES)
+        copies = rows.mapInArrow(_train(model, rate / (1 + turn), turn, rounds), PIECES)
         halves = copies.withColumn("part", F.col("task") % PARTS).groupBy("piece", "part").applyInPandas(lambda rows: _average(rows), PIECES)
         mean = halves.groupBy("piece").applyInPandas(lambda rows: _average(rows), PIECES).toPandas().sort_values("piece")
         if len(mean):

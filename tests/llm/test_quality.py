@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pandas as pd
 
 from visitflow.llm import quality
@@ -86,3 +87,46 @@ def test_accepted_keeps_columns(spark):
     assert out.columns == df.columns
     kept = {r.doc_id for r in out.collect()}
     assert len(kept & {i for i in range(600) if i % 5}) >= 470 and len(kept & {i for i in range(600) if i % 5 == 0}) <= 6
+
+
+def brute_force(x, y, share, ridge=1e-3):
+    """Weights over all pairs one by one, and the cut in the sorted scores."""
+    high, low = x[y == 1], x[y == 0]
+    mean, scale = x.mean(0), x.std(0) + 1e-6
+    diff = ((high[:, None] - low[None]) / scale).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
+        w += np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + ridge * np.eye(len(w)), diff.T @ p / len(diff) - ridge * w)
+    latent = ((x - mean) / scale) @ w
+    order = np.argsort(latent, kind="stable")
+    mass = np.where(y == 0, share / len(low), (1 - share) / len(high))[order].cumsum()
+    at = min(max(int(np.searchsorted(mass, share + 1e-12)), 1), len(order) - 1)
+    return w, latent[order[at - 1:at + 1]].mean()
+
+
+def test_fit_is_that_of_all_labelled_rows_and_pairs(spark):
+    rng = np.random.default_rng(5)
+    for share in (0.3, 0.05):
+        y = (rng.random(700) >= share).astype(int)
+        x = np.abs(rng.normal(size=(700, quality.FEATURES))) * 0.1 + 0.03 * y[:, None] * rng.random(quality.FEATURES)
+        x[:, 3] = 0
+        frame = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(y, x, strict=True)], "quality int, f array<double>").repartition(5)
+        for of in (float((1 - y).mean()), 0.5):
+            got, (w, cut) = quality.fit_pairs(frame, of), brute_force(x, y, of)
+            assert np.abs(got.weights - w).max() < 1e-3 * np.abs(w).max() and abs(got.cut - cut) < 2e-3
+            # the cut for these weights lies between the same two scores
+            latent = np.sort(((x - got.mean) / got.scale) @ got.weights)
+            mass = np.where(y == 0, of / (y == 0).sum(), (1 - of) / (y == 1).sum())[np.argsort(((x - got.mean) / got.scale) @ got.weights)].cumsum()
+            at = min(max(int(np.searchsorted(mass, of + 1e-12)), 1), 699)
+            assert abs(got.cut - latent[at - 1:at + 1].mean()) < 1e-9
+
+
+def test_no_labelled_row_is_left_out(spark, monkeypatch):
+    """Every labelled row outside the fold reaches the fit, more than 40,000 of them too."""
+    n, seen = 60_000, {}
+    frame = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 50, if(id % 3 = 0, ' !!', ' b')) AS text", "'en' AS lang", "'a' AS source", "1 AS n_chars")
+    labels = spark.range(n).selectExpr("id AS doc_id", "cast(id % 3 > 0 AS int) AS quality", "0 AS toxic")
+    monkeypatch.setattr(quality, "fit_pairs", lambda rows, share: seen.update(rows=rows.count(), share=share))
+    quality.train(frame, labels)
+    assert seen["rows"] == labels.where(~quality.held_out("doc_id")).count() > 40_000

@@ -197,3 +197,18 @@ def test_streams_without_rows_read_as_empty(spark, scratch):
     assert S.current_values(spark, S.status_fold_stream(spark, log, "2026-04-01")).count() == 0
     assert S.deduplicated(spark, S.dedup_reports_stream(spark, rows, at)).count() == 0
     assert S.daily_counts(spark, S.daily_counts_stream(spark, visits, master, ["P"], at)).count() == 0
+
+
+def test_larger_tables_become_more_files_a_trigger(spark, scratch):
+    """The files of a driver table are of bounded size, and the number of triggers stays."""
+    from visitflow.plans import registry_ops
+    for n, files in ((50, 1), (100, 1), (1_000, 9), (0, 1)):
+        spark.range(n).withColumnRenamed("id", "k").write.parquet(os.path.join(scratch, f"n{n}", "orders.parquet"))
+        stream = registry_ops._files(spark, os.path.join(scratch, f"n{n}"), "orders", rows=40)
+        run = os.path.join(scratch, f"run{n}")
+        S._append(stream.withColumn("file", F.input_file_name()), run, "rows")
+        got = spark.createDataFrame([], "k long, file string") if not n else spark.read.parquet(f"{run}/rows")
+        assert same(got.select("k"), spark.range(n).withColumnRenamed("id", "k"))
+        if n:
+            sizes = [r["count"] for r in got.groupBy("file").count().collect()]
+            assert len(sizes) == 3 * files and max(sizes) <= 50 and batches(spark, run, "rows") == 3

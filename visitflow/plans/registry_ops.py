@@ -646,11 +646,16 @@ op("first_final_phase",
 # ------------------------------------------------------------ 2.10 streams
 
 
-def _files(spark, sf, name, parts=3):
-    """A driver table as several files of a folder, in no order of time: a stream reads one a trigger."""
+def _files(spark, sf, name, parts=3, rows=100_000):
+    """A driver table as a folder that a stream reads in several triggers, in no order of time.
+
+    A file is one task's at least, whatever its size (a row group is not split): files hold about ``rows`` rows, so a
+    trigger's work spreads over the cores and a task's memory does not grow with the table."""
     path = _io_dir(spark, f"stream/{name}")
-    spark.read.parquet(f"{sf}/{name}.parquet").repartition(parts).write.parquet(path)
-    return S.stream_source(spark, path, max_files=1)
+    table = spark.read.parquet(f"{sf}/{name}.parquet")
+    files = max(1, -(-table.count() // (parts * rows)))
+    table.repartition(parts * files).write.parquet(path)
+    return S.stream_source(spark, path, max_files=files)
 
 
 def _st1(spark, sf):

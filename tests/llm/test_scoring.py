@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from visitflow.llm import scoring as S
 
@@ -106,3 +107,36 @@ def test_rounds_together_train_every_position_once(spark):
     share = S.position_shares(7, 80_000)
     assert abs(np.bincount(share.astype(int), minlength=S.SHARES) / 10_000 - 1).max() < 0.05
     assert (share != S.position_shares(8, 80_000)).mean() > 0.8 and (share[::2] % 2 == 0).mean() < 0.55
+
+
+def test_short_texts_are_hashed_together(monkeypatch):
+    texts = ["A b  c", "", None, " \n", "x" * 30, "tail ", " head", "é\x00 \x1c İ", "long " * 40_000, *[f"w{i} W{i}" for i in range(5_000)]]
+    shingler, calls = S.Shingler(1), []
+    want = [S.word_hashes(shingler, t).tolist() for t in texts]
+    placed = S.Shingler._placed
+    monkeypatch.setattr(S.Shingler, "_placed", lambda self, data: calls.append(len(data)) or placed(self, data))
+    got = list(S.column_hashes(shingler, pa.array(texts)))
+    assert [x.tolist() for x in got] == want and len(calls) < 5
+    assert list(S.column_hashes(shingler, pa.array([], pa.string()))) == []
+
+
+def test_large_outputs_are_shifted(monkeypatch):
+    rng = np.random.default_rng(3)
+    net, around, target = S.Network(50), rng.integers(0, 51, (40, 2 * S.SIDE)), rng.integers(0, S.CLASSES, 40)
+    assert net.top()[1]
+    plain, scores = net.gradients(around, target), net.log_probabilities(net._inputs(around), target, net.top())
+    assert np.allclose(scores, net.forward(around)[2][np.arange(40), target], atol=1e-5)
+    monkeypatch.setattr(S, "SAFE", 0.0)
+    shifted = net.gradients(around, target)
+    assert np.allclose(scores, net.log_probabilities(net._inputs(around), target, net.top()), atol=1e-5)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(plain[1], shifted[1], strict=True))
+    monkeypatch.undo()
+    net.w2 *= 5_000
+    net.embed *= 50
+    assert not net.top()[1] and np.isfinite(net.log_probabilities(net._inputs(around), target, net.top())).all()
+    assert all(np.isfinite(g).all() for g in net.gradients(around, target)[1])
+
+
+def test_positions_are_dealt_alike_alone_and_together():
+    keys = [np.arange(n, dtype=np.uint64) + S._document_key(i) for i, n in ((3, 50), (None, 7), (-4, 90))]
+    assert S._dealt(np.concatenate(keys)).tolist() == [x for i, n in ((3, 50), (None, 7), (-4, 90)) for x in S.position_shares(i, n).tolist()]

@@ -40,6 +40,7 @@ null component and is kept.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -85,10 +86,9 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.lower = np.arange(256, dtype=np.uint8)
-        self.lower[65:91] += 32
-        self.blank = np.zeros(256, bool)
-        self.blank[[32, *range(9, 14)]] = True
+        # for bytes.translate: lower case, and whether a byte belongs to a word
+        self.lower = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
+        self.solid = bytes(b != 32 and not 9 <= b < 14 for b in range(256))
         self.power = self.inverse = np.ones(1, np.uint64)
         rng = np.random.default_rng(11)
         self.order = rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -101,16 +101,19 @@ class Shingler:
             self.power = np.concatenate([np.ones(1, np.uint64), np.full(m - 1, _ODD)]).cumprod(dtype=np.uint64)
             self.inverse = np.concatenate([np.ones(1, np.uint64), np.full(m - 1, back)]).cumprod(dtype=np.uint64)
 
-    def _words(self, data: np.ndarray) -> np.ndarray:
-        """One 64-bit hash a word: a polynomial of its bytes, taken from prefix sums."""
+    def _placed(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word starts, and one 64-bit hash a word: a polynomial of its bytes, taken from prefix sums."""
         n = len(data)
         self._powers(n)
-        text = self.lower[data]
-        word = np.concatenate([[False], ~self.blank[text], [False]])
+        word = np.frombuffer(b"\0" + data.translate(self.solid) + b"\0", bool)
         edge = np.flatnonzero(word[1:] != word[:-1])
         start, end = edge[::2], edge[1::2]
-        total = np.concatenate([np.zeros(1, np.uint64), ((text.astype(np.uint64) + np.uint64(1)) * self.power[:n]).cumsum(dtype=np.uint64)])
-        return _mix((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64) * self.order[0])
+        value = np.frombuffer(data.translate(self.lower), np.uint8).astype(np.uint64)
+        value += np.uint64(1)
+        value *= self.power[:n]
+        total = np.zeros(n + 1, np.uint64)
+        value.cumsum(out=total[1:])
+        return start, _mix((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64) * self.order[0])
 
     def words(self, data: bytes) -> np.ndarray:
         out, i, n = [], 0, len(data)
@@ -118,10 +121,19 @@ class Shingler:
             j = min(n, i + _BLOCK)
             while j < n and data[j] not in b" \t\n\x0b\x0c\r":
                 j += 1
-            out.append(self._words(np.frombuffer(data, np.uint8, j - i, i)))
+            out.append(self._placed(data[i:j])[1])
             i = j
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
+    def words_of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The words of each text, as ``words`` has them; the texts are read as one, so short ones cost little."""
+        if not texts:
+            return []
+        start, words = self._placed(b"\n".join(texts))
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = [0, *np.searchsorted(start, ends).tolist()]
+        return [words[a:b] for a, b in itertools.pairwise(cuts)]
+
     def shingles(self, data: bytes) -> np.ndarray:
         """Sorted distinct hashes; a text of fewer words is one shingle."""
         words = self.words(data)

@@ -48,6 +48,10 @@ ROUNDS = 2
 CHUNK = 1 << 14
 #: Tokens of a text that the network scores together.
 BLOCK = 1 << 11
+#: Bytes of text that are hashed together.
+READ = 1 << 17
+#: Sums of magnitudes of output weights up to which outputs need no shift before ``exp`` in single precision.
+SAFE = 60.0
 #: Weights are averaged in pieces of so many numbers, over so many parts of the tasks.
 PIECE, PARTS = 4096, 64
 
@@ -57,6 +61,24 @@ def word_hashes(shingler: Shingler, text: str | None) -> np.ndarray:
     return shingler.words((text or "").encode("utf-8", "replace"))
 
 
+def column_hashes(shingler: Shingler, column: pa.Array) -> Iterator[np.ndarray]:
+    """``word_hashes`` of every text of a column, some texts at a time."""
+    texts, size = [], 0
+    for text in column:
+        data = (text.as_py() or "").encode("utf-8", "replace")
+        if len(data) >= READ:
+            yield from shingler.words_of(texts)
+            yield shingler.words(data)
+            texts, size = [], 0
+            continue
+        texts.append(data)
+        size += len(data)
+        if size >= READ:
+            yield from shingler.words_of(texts)
+            texts, size = [], 0
+    yield from shingler.words_of(texts)
+
+
 @dataclass
 class Vocabulary:
     """Counts of hash buckets, their classes, and log shares of the class."""
@@ -109,40 +131,58 @@ class Network:
             p[...] = flat[at:at + p.size].reshape(p.shape)
             at += p.size
 
-    def _outputs(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Window ids (n x 2 SIDE) -> inputs, hidden values, outputs before the softmax, the largest of a row at 0."""
-        x = self.embed.take(around.ravel(), 0).reshape(len(around), -1)
-        h = x @ self.w1
-        h += self.b1
-        np.tanh(h, out=h)
-        z = h @ self.w2
-        z += self.b2
-        z -= z.max(1, keepdims=True)
-        return x, h, z
+    def top(self) -> tuple[np.ndarray, bool]:
+        """Output weights with their offsets as the last row, and whether no output can leave the range of ``exp``."""
+        top = np.concatenate([self.w2, self.b2[None]])
+        return top, float(np.abs(top).sum(0).max()) < SAFE
+
+    def _outputs(self, x: np.ndarray, top: tuple[np.ndarray, bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs -> hidden values with a last column of ones, outputs before the softmax; where outputs may be large,
+        the largest of a row at 0."""
+        values = x @ self.w1
+        values += self.b1
+        h = np.empty((len(x), HIDDEN + 1), values.dtype)
+        h[:, :HIDDEN] = np.tanh(values, out=values)
+        h[:, HIDDEN] = 1
+        z = h @ top[0]
+        if not top[1]:
+            z -= z.max(1, keepdims=True)
+        return h, z
+
+    def _inputs(self, around: np.ndarray) -> np.ndarray:
+        return self.embed.take(around.ravel(), 0).reshape(len(around), -1)
 
     def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Window ids (n x 2 SIDE) -> inputs, hidden values, log probabilities of classes."""
-        x, h, z = self._outputs(around)
-        return x, h, z - np.log(np.exp(z).sum(1, keepdims=True))
+        x = self._inputs(around)
+        h, z = self._outputs(x, self.top())
+        return x, h[:, :HIDDEN], z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log probability of one class a window."""
-        z = self._outputs(around)[2]
+    def log_probabilities(self, x: np.ndarray, target: np.ndarray, top: tuple[np.ndarray, bool]) -> np.ndarray:
+        """Log probability of one class for each row of inputs; ``top`` as ``top()`` gives it."""
+        z = self._outputs(x, top)[1]
         at = z[np.arange(len(target)), target]
-        return at - np.log(np.exp(z, out=z).sum(1))
+        np.exp(z, out=z)
+        return at - np.log(z @ np.ones(CLASSES, z.dtype))
 
     def gradients(self, around: np.ndarray, target: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean negative log probability of the target classes, and its gradients in the order of
         (input rows, w1, b1, w2, b2)."""
-        x, h, dz = self._outputs(around)
+        x = self._inputs(around)
+        h, e = self._outputs(x, self.top())
         n, rows = len(target), np.arange(len(target))
-        at = dz[rows, target]
-        total = np.exp(dz, out=dz).sum(1, keepdims=True)
-        loss = float((np.log(total[:, 0]) - at).mean())
-        dz /= total * n
-        dz[rows, target] -= 1 / n
-        dh = (dz @ self.w2.T) * (1 - h * h)
-        return loss, [(dh @ self.w1.T).reshape(-1, DIM), x.T @ dh, dh.sum(0), h.T @ dz, dz.sum(0)]
+        at = e[rows, target]
+        total = np.exp(e, out=e) @ np.ones(CLASSES, e.dtype)
+        loss = float((np.log(total) - at).mean())
+        # the gradient of the outputs is e * scale: rows are scaled where they are narrow
+        e[rows, target] -= total
+        scale = (1 / (total * n))[:, None]
+        values = h[:, :HIDDEN]
+        dh = e @ self.w2.T
+        dh *= scale
+        dh *= 1 - values * values
+        dw2 = e.T @ (values * scale)
+        return loss, [(dh @ self.w1.T).reshape(-1, DIM), x.T @ dh, dh.sum(0), dw2.T, scale[:, 0] @ e]
 
 
 class Trainer:
@@ -151,16 +191,28 @@ class Trainer:
     def __init__(self, net: Network, rate: float):
         self.net, self.rate = net, rate
         self.square = [np.full(p.shape, 1e-6, np.float32) for p in net.parts()]
+        self.cell = np.zeros(len(net.embed), np.int64)
+        self.room = np.empty((0, DIM), np.int64)
+
+    def _room(self, n: int) -> np.ndarray:
+        if len(self.room) < n:
+            self.room = np.empty((n * 5 // 4, DIM), np.int64)
+        return self.room[:n]
 
     def step(self, around: np.ndarray, target: np.ndarray) -> float:
         loss, (rows, *grads) = self.net.gradients(around, target)
         # one sum for each bucket that occurs
-        ids, inverse = np.unique(around.ravel(), return_inverse=True)
-        cells = (inverse[:, None] * DIM + np.arange(DIM)).ravel()
-        dense = np.bincount(cells, rows.ravel(), len(ids) * DIM).astype(np.float32).reshape(-1, DIM)
-        square = self.square[0][ids] + dense * dense
+        around = around.ravel()
+        ids = np.flatnonzero(np.bincount(around, minlength=len(self.cell)))
+        self.cell[ids] = np.arange(0, len(ids) * DIM, DIM)
+        cells = np.add(self.cell.take(around)[:, None], np.arange(DIM), out=self._room(len(around)))
+        dense = np.bincount(cells.ravel(), rows.ravel(), len(ids) * DIM).astype(np.float32).reshape(-1, DIM)
+        square = self.square[0].take(ids, 0)
+        square += dense * dense
         self.square[0][ids] = square
-        self.net.embed[ids] -= self.rate * dense / np.sqrt(square)
+        dense *= self.rate
+        dense /= np.sqrt(square, out=square)
+        self.net.embed[ids] = self.net.embed.take(ids, 0) - dense
         for p, s, g in zip(self.net.parts()[1:], self.square[1:], grads, strict=True):
             s += g * g
             p -= self.rate * g / np.sqrt(s)
@@ -177,16 +229,19 @@ def windows(texts: list[np.ndarray], edge: int) -> tuple[np.ndarray, np.ndarray]
     return line[at], np.stack([line[at + o] for o in offsets], 1)
 
 
-def token_scores(net: Network, vocabulary: Vocabulary, text: np.ndarray) -> np.ndarray:
+def token_scores(net: Network, vocabulary: Vocabulary, text: np.ndarray, top: tuple[np.ndarray, bool] | None = None) -> np.ndarray:
     """Conditional log probability of every token of a text.
 
     The network sees a text by itself, in blocks counted from its start: the scores of a text do not depend on what else
     lies in its batch."""
-    tokens, around = windows([text], len(vocabulary.counts))
-    out = np.empty(len(tokens), np.float64)
-    for s in range(0, len(tokens), BLOCK):
-        t = tokens[s:s + BLOCK]
-        out[s:s + BLOCK] = net.log_probabilities(around[s:s + BLOCK], vocabulary.class_of[t]) + vocabulary.log_share[t]
+    n, top = len(text), top or net.top()
+    pad = np.full(SIDE, len(vocabulary.counts), text.dtype)
+    rows = net.embed.take(np.concatenate([pad, text, pad]), 0)
+    target, share, out = vocabulary.class_of.take(text), vocabulary.log_share.take(text), np.empty(n, np.float64)
+    for s in range(0, n, BLOCK):
+        e = min(n, s + BLOCK)
+        x = np.concatenate([rows[SIDE + o + s:SIDE + o + e] for o in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
+        out[s:e] = net.log_probabilities(x, target[s:e], top) + share[s:e]
     return out
 
 
@@ -194,8 +249,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler, counts = Shingler(1), np.zeros(MOST, np.int64)
     shift = np.uint64(64 - (MOST.bit_length() - 1))
     for batch in batches:
-        for text in batch.column(0):
-            hashes = word_hashes(shingler, text.as_py())
+        for hashes in column_hashes(shingler, batch.column(0)):
             if len(hashes):
                 np.add.at(counts, (hashes >> shift).astype(np.int64), 1)
     seen = np.flatnonzero(counts)
@@ -215,11 +269,20 @@ def corpus_vocabulary(docs: DataFrame) -> Vocabulary:
 
 def position_shares(doc_id: int | None, n: int) -> np.ndarray:
     """The share of each of a document's ``n`` positions, by a hash of document and place."""
-    key = np.arange(n, dtype=np.uint64) + np.uint64((doc_id or 0) * 0xD6E8FEB86659FD93 % (1 << 64))
+    return _dealt(np.arange(n, dtype=np.uint64) + _document_key(doc_id))
+
+
+def _document_key(doc_id: int | None) -> np.uint64:
+    return np.uint64((doc_id or 0) * 0xD6E8FEB86659FD93 % (1 << 64))
+
+
+def _dealt(key: np.ndarray) -> np.ndarray:
     for _ in range(2):
         key *= np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
-    return (key * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(SHARES)
+    key *= np.uint64(0xBF58476D1CE4E5B9)
+    key >>= np.uint64(32)
+    return (key % np.uint64(SHARES)).astype(np.int8)
 
 
 def _train(model, rate: float, turn: int, rounds: int):
@@ -231,7 +294,7 @@ def _train(model, rate: float, turn: int, rounds: int):
 
         def learn() -> int:
             tokens, around = windows(held, len(vocabulary.counts))
-            share, done = np.concatenate(dealt), 0
+            share, done = _dealt(np.concatenate(dealt)), 0
             # more rounds than shares begin again
             for k in range(turn % SHARES, SHARES, rounds):
                 at = np.flatnonzero(share == k)
@@ -241,12 +304,12 @@ def _train(model, rate: float, turn: int, rounds: int):
             return done
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = vocabulary.ids(word_hashes(shingler, text.as_py()))
-                share = position_shares(doc_id.as_py(), len(ids))
+            for doc_id, hashes in zip(batch.column(0), column_hashes(shingler, batch.column(1)), strict=True):
+                ids = vocabulary.ids(hashes)
+                key = _document_key(doc_id.as_py())
                 for s in range(0, len(ids), CHUNK):
                     held.append(ids[s:s + CHUNK])
-                    dealt.append(share[s:s + CHUNK])
+                    dealt.append(np.arange(s, s + len(held[-1]), dtype=np.uint64) + key)
                     size += len(held[-1])
                     if size >= CHUNK:
                         seen += learn()
@@ -294,13 +357,13 @@ def _score(model):
         vocabulary, flat = model.value
         net, shingler = Network(len(vocabulary.counts)), Shingler(1)
         net.load(flat)
+        top = net.top()
 
         for batch in batches:
             sizes, sums = [], []
-            for text in batch.column(1):
-                ids = vocabulary.ids(word_hashes(shingler, text.as_py()))
-                sizes.append(len(ids))
-                sums.append(float(token_scores(net, vocabulary, ids).sum()) if len(ids) else 0.0)
+            for hashes in column_hashes(shingler, batch.column(1)):
+                sizes.append(len(hashes))
+                sums.append(float(token_scores(net, vocabulary, vocabulary.ids(hashes), top).sum()) if len(hashes) else 0.0)
             yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
                                    pa.array([s / n if n else None for s, n in zip(sums, sizes, strict=True)], pa.float64())],
                                   ["doc_id", "n_tokens", "log_likelihood", "mean_log_prob"])

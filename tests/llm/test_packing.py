@@ -69,6 +69,23 @@ _TOKENIZER = Tokenizer.from_file(PATH)
 _CODER = packing.WordIds(open(PATH).read())
 
 
+def test_latin_words_need_only_the_model(monkeypatch):
+    coder = packing.WordIds(open(PATH).read())
+    latin = [chr(c) for c in range(0xC0, 0x100)]
+    words = ["Word", "ÀÉÎÕÜ", "straße,", "Ñandú!?", "x" * 300, "".join(c for c in latin if c.isalpha()), *[f"a{c}B{c}" for c in latin if c.isalpha()]]
+    want = [ids_of(_TOKENIZER, w).tobytes() for w in words]
+    coder.encode([",", "!?"])
+    for name in ("_letters", "_any"):
+        monkeypatch.setattr(coder, name, lambda words: pytest.fail(f"encoded beside the model: {words}"))
+    assert coder.encode(words) == want and coder.encode([" ".join(words)])[0] == b"".join(w[:-4] for w in want) + packing.ENDING
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZéÉßÿÿŸ×÷ªºµÀİſΣςǅﬁ1'.,!\u0300\u0301 \u00ad\u00a0\x85"), max_size=12), max_size=30))
+def test_letters_near_latin_give_the_same_ids(texts):
+    assert _CODER.encode(texts) == [ids_of(_TOKENIZER, t).tobytes() for t in texts]
+
+
 def test_memo_may_be_forgotten(monkeypatch):
     coder = packing.WordIds(open(PATH).read(), memo=5)
     texts = ["one two three four", "five six seven one, two!", "eight nine one two ten"] * 2

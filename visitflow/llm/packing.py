@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import gc
 import itertools
-import operator
 import string
 import sys
 import types
@@ -39,6 +38,8 @@ from .common import release
 END = 2
 ENDING = END.to_bytes(4, "little")
 SIGNS = string.punctuation.encode()
+#: Bytes of UTF-8 texts of the letters A-Z, a-z and U+00C0 to U+00FF: these have one normal form, and letters among them one lower case.
+LATIN = string.ascii_letters.encode() + bytes([0xC3, *range(0x80, 0xC0)])
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "loss_tokens long, sequence_segments int")
 BLOCK = 1 << 20
@@ -78,8 +79,12 @@ class WordIds:
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.closes[i] = bool(suffix) and token.endswith(suffix)
+        #: little-endian ids, and the vocabulary's letter for each byte (those that print, else the next from U+0100 on)
+        self.code = [i.to_bytes(4, "little") for i in range(len(self.closes))]
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letter = dict(zip([*shown, *sorted({*range(256)} - {*shown})], [*shown, *range(256, 256 + 256 - len(shown))], strict=True))
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
 
     def _letters(self, cores: list[bytes]) -> None:
         """Encode runs of letters together: each ends at its first id that closes a word."""
@@ -90,6 +95,13 @@ class WordIds:
         else:
             self._any(cores)
 
+    def _latin(self, core: bytes) -> bytes:
+        """Encode one run of lower-case letters of ``LATIN``: normalising and splitting would leave it as it is."""
+        text = core.decode("latin-1")
+        ids = b"".join([self.code[t.id] for t in self.tokenizer.model.tokenize(text if text.isascii() else text.translate(self.letter))])
+        self.parts[core] = ids
+        return ids
+
     def _any(self, words: list[bytes]) -> None:
         got = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
         of = np.array([-1 if i is None else i for i in got.word_ids], np.int64)
@@ -104,32 +116,52 @@ class WordIds:
             self.words.clear()
         if len(self.parts) > 2 * self.memo:
             self.parts.clear()
-        cores, tails, others = [], [], []
-        for w in words:
-            core = w.rstrip(SIGNS)
-            tails.append(w[len(core):])
-            if core.isalpha():  # ASCII letters
-                cores.append(core.lower())
-                continue
-            text = core.decode()
-            if not (text.isalpha() and text.lower().isalpha()):  # lower case of some letters adds a sign
-                core, tails[-1] = w, b""
-                others.append(w)
-            cores.append(core)
-        parts = self.parts
+        parts, known = self.parts, self.words
         parts[b""] = b""
-        if new := [x for x in {*others, *tails} if x not in parts]:
+        rest, letters, others = [], [], []
+        for w in words:
+            core, tail = w, b""
+            if not w.isalpha():  # ASCII letters
+                core = w.rstrip(SIGNS)
+                tail = w[len(core):]
+            if core.isalpha():
+                key = core.lower()
+            else:
+                text = core.decode()
+                plain = text.isalpha()
+                if plain and not core.translate(None, LATIN):
+                    key = text.lower().encode()
+                else:
+                    if plain and text.lower().isalpha():  # lower case of some letters adds a sign
+                        letters.append(core)
+                    else:
+                        core, tail = w, b""
+                        others.append(w)
+                    rest.append((w, core, tail))
+                    continue
+            ids = parts.get(key)
+            if ids is None:
+                ids = self._latin(key)
+            if tail:
+                end = parts.get(tail)
+                if end is None:
+                    self._any([tail])
+                    end = parts[tail]
+                ids += end
+            known[w] = ids
+        if new := [x for x in {*others, *(tail for _, _, tail in rest)} if x not in parts]:
             self._any(new)
-        if new := [x for x in {*cores} if x not in parts]:
+        if new := [x for x in {*letters} if x not in parts]:
             self._letters(new)
-        self.words.update(zip(words, map(operator.concat, map(parts.__getitem__, cores), map(parts.__getitem__, tails))))
+        for w, core, tail in rest:
+            known[w] = parts[core] + parts[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the closing id."""
         split = [[block.split() for block in blocks((t or "").encode("utf-8", "replace"))] for t in texts]
         found = [[list(map(self.words.get, words)) for words in text] for text in split]
-        gaps = [(words, ids, [i for i, x in enumerate(ids) if x is None])
-                for text, got in zip(split, found, strict=True) for words, ids in zip(text, got, strict=True) if None in ids]
+        gaps = [(words, ids, at) for text, got in zip(split, found, strict=True) for words, ids in zip(text, got, strict=True)
+                if (at := [i for i, x in enumerate(ids) if x is None])]
         if gaps:
             self.learn({words[i] for words, _, at in gaps for i in at})
             find = self.words.__getitem__
